@@ -444,6 +444,23 @@ class Testbed:
     def sources(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n)() for n in SOURCES}
 
+    def sources_lazy(self) -> "_LazySources":
+        """Mapping that derives a role only when a plan asks for it."""
+        return _LazySources(self)
+
+
+class _LazySources(dict):
+    def __init__(self, tb: Testbed):
+        super().__init__()
+        self.tb = tb
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in SOURCES:
+            raise KeyError(name)
+        df = getattr(self.tb, name)()
+        self[name] = df
+        return df
+
 
 # ---------------------------------------------------------------------------
 # Rendering: DuckDB (oracle side)
