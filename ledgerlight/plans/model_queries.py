@@ -28,3 +28,37 @@ _CPQ_DOUBLES = ["compute_cost", "compute_credits", "query_acceleration_cost",
 def cost_per_query(ctx: Context) -> DataFrame:
     """Compute, acceleration and cloud-services cost of every query."""
     return ctx.cost_per_query()
+
+
+def _hourly(ctx: Context) -> DataFrame:
+    from ledgerlight.plans.spend import hourly_spend
+    return ctx.memo("hourly_spend", lambda: hourly_spend(ctx.st, ctx.daily_rates(), ctx.account))
+
+
+@register("hourly_spend", M.model_sql(
+    "SELECT hour, service, storage_type, warehouse_name, database_name, usage, usage_net_cloud_services, "
+    "spend, spend_net_cloud_services, currency, usage_unit, usage_rate FROM hourly_spend",
+    M.DAILY_RATES, M.HOURLY_SPEND), M.SPEND_DOUBLES)
+def hourly_spend(ctx: Context) -> DataFrame:
+    """Spend per hour, service, storage type, warehouse and database on the full grid."""
+    return _hourly(ctx)
+
+
+@register("daily_spend", M.model_sql("SELECT * FROM daily_spend", M.DAILY_RATES, M.HOURLY_SPEND),
+          M.SPEND_DOUBLES)
+def daily_spend(ctx: Context) -> DataFrame:
+    """Spend per UTC day with the usage-weighted rate."""
+    from ledgerlight.plans.spend import daily_spend as build
+    return build(_hourly(ctx))
+
+
+@register("monthly_spend", M.model_sql(
+    f"SELECT CAST(date_trunc('month', date) AS DATE) AS month, service, sum(spend) AS spend FROM daily_spend "
+    f"WHERE date_trunc('month', date) = {M.FIRST_MONTH} GROUP BY 1, 2", M.DAILY_RATES, M.HOURLY_SPEND),
+    ["spend"])
+def monthly_spend(ctx: Context) -> DataFrame:
+    """Spend per service in the first month of the data (end-to-end check shape)."""
+    from pyspark.sql import functions as F
+    from ledgerlight.plans.spend import daily_spend as build, monthly_spend as month_of
+    first_month = ctx.tb.ev().agg(F.trunc(F.min("day"), "month")).scalar()
+    return month_of(build(_hourly(ctx)), first_month)

@@ -58,7 +58,9 @@ class Context:
 
     def daily_rates(self) -> DataFrame:
         from ledgerlight.plans.rates import daily_rates
-        return self.memo("daily_rates", lambda: daily_rates(self.st, self.account, self.as_of))
+        from ledgerlight.session import materialize
+        return self.memo("daily_rates",
+                         lambda: materialize(daily_rates(self.st, self.account, self.as_of)))
 
     def cost_per_query(self) -> DataFrame:
         from ledgerlight.plans.query_cost import cost_per_query

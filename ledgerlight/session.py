@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the semantics depend on. They are set on the session by
 # ``ensure_conf`` so queries behave the same under a session someone else built.
@@ -40,6 +40,8 @@ def build_session(master: str | None = None, app: str = "ledgerlight",
     conf = {**DEFAULT_CONF, **SEMANTIC_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        conf.setdefault("spark.driver.memory", os.environ.get("LEDGERLIGHT_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -76,3 +78,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def default_parallelism(spark: SparkSession) -> int:
     return int(os.environ.get("LEDGERLIGHT_PARTITIONS", spark.sparkContext.defaultParallelism))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small, reused intermediate to the shared checkpoint folder and cut its
+    lineage (the reference materializes these as tables). Reliable checkpoints survive
+    executor loss; local checkpoints would not."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -310,9 +310,19 @@ class Testbed:
             self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
+    # derived roles that are aggregates: written once per binding (they are tables in
+    # the reference's world) so that plans reusing them stay small
+    MATERIALIZED = ("metering_history", "metering_daily_history", "rate_sheet_daily",
+                    "remaining_balance_daily", "database_storage_usage_history",
+                    "stage_storage_usage_history", "storage_usage", "usage_in_currency_daily")
+
     def _memo(self, name, build):
         if name not in self._cache:
-            self._cache[name] = build()
+            df = build()
+            if name in self.MATERIALIZED:
+                from ledgerlight.session import materialize
+                df = materialize(df)
+            self._cache[name] = df
         return self._cache[name]
 
     def ev(self) -> DataFrame:

@@ -150,3 +150,170 @@ def model_sql(select: str, *parts: str) -> str:
     """Source roles + staging + the given CTE parts, then ``select``."""
     from ledgerlight.sources.testbed import duck_ctes
     return duck_ctes() + STAGED + "".join(parts) + "\n" + select
+
+_INITCAP = ("array_to_string(list_transform(string_split(lower({x}), ' '), "
+            "lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')")
+_TB = "1099511627776.0"
+
+
+def _initcap(x: str) -> str:
+    return _INITCAP.format(x=x)
+
+
+HOURLY_SPEND = f""",
+hours AS (
+  SELECT hour, CAST(hour AS DATE) AS date,
+         count(hour) OVER (PARTITION BY CAST(hour AS DATE)) AS hours_thus_far,
+         dayofmonth(last_day(CAST(hour AS DATE))) AS days_in_month
+  FROM (SELECT unnest(generate_series(coalesce(min(start_time), TIMESTAMP '2023-01-01 00:00:00'),
+                                      coalesce(max(start_time), TIMESTAMP '2023-01-01 00:00:00'),
+                                      INTERVAL 1 HOUR)) AS hour FROM metering_history) AS s),
+dsu AS (SELECT usage_date AS date, * EXCLUDE (usage_date) FROM database_storage_usage_history),
+itemized AS (SELECT date, sum(average_database_bytes) / {_TB} AS db_tb,
+                    sum(average_failsafe_bytes) / {_TB} AS fs_tb FROM dsu GROUP BY date),
+recon AS (SELECT s.usage_date AS date,
+                 s.storage_bytes / {_TB} - i.db_tb AS res_storage,
+                 s.failsafe_bytes / {_TB} - i.fs_tb AS res_failsafe
+          FROM storage_usage s LEFT JOIN itemized i ON s.usage_date = i.date),
+storage_daily AS (
+  SELECT date, 'Table and Time Travel' AS storage_type, database_name,
+         sum(average_database_bytes) / {_TB} AS tb FROM dsu GROUP BY 1, 2, 3
+  UNION ALL SELECT date, 'Failsafe', database_name, sum(average_failsafe_bytes) / {_TB} FROM dsu GROUP BY 1, 2, 3
+  UNION ALL SELECT usage_date, 'Stage', NULL, sum(average_stage_bytes) / {_TB}
+            FROM stage_storage_usage_history GROUP BY 1, 2, 3
+  UNION ALL SELECT date, 'Retained for Clones', NULL, res_storage FROM recon WHERE res_storage > 0
+  UNION ALL SELECT date, 'Failsafe Retained for Clones', NULL, res_failsafe FROM recon WHERE res_failsafe > 0),
+storage_fam AS (
+  SELECT h.hour, 'Storage' AS service, s.storage_type, CAST(NULL AS VARCHAR) AS warehouse_name, s.database_name,
+    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END), 0) AS usage,
+    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END * r.effective_rate), 0) AS spend,
+    max(r.currency) AS currency, 'TB' AS usage_unit, max(r.effective_rate) AS usage_rate
+  FROM hours h LEFT JOIN storage_daily s ON h.date = s.date
+  LEFT JOIN daily_rates r ON s.date = r.date AND r.service_type = 'STORAGE' AND r.usage_type = 'storage'
+  GROUP BY 1, 2, 3, 4, 5),
+hybrid_daily AS (SELECT date, database_name, sum(average_hybrid_table_storage_bytes) / {_TB} AS tb
+                 FROM dsu GROUP BY 1, 2),
+hybrid_fam AS (
+  SELECT h.hour, 'Hybrid Table Storage' AS service, CAST(NULL AS VARCHAR) AS storage_type,
+    CAST(NULL AS VARCHAR) AS warehouse_name, s.database_name,
+    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END), 0) AS usage,
+    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END * r.effective_rate), 0) AS spend,
+    max(r.currency) AS currency, 'TB' AS usage_unit, max(r.effective_rate) AS usage_rate
+  FROM hours h LEFT JOIN hybrid_daily s ON h.date = s.date
+  LEFT JOIN daily_rates r ON s.date = r.date AND r.service_type = 'HYBRID_TABLE_STORAGE'
+   AND r.usage_type = 'hybrid table storage'
+  GROUP BY 1, 2, 3, 4, 5),
+uic AS (SELECT usage_date, account_name, replace(usage_type, 'overage-', '') AS usage_type, currency,
+               sum(usage_in_currency) AS usage_in_currency, sum(usage) AS usage
+        FROM usage_in_currency_daily GROUP BY 1, 2, 3, 4),
+cats(usage_type, usage_unit) AS (VALUES ('data transfer', 'TB'), ('logging', 'Credits'),
+  ('reader compute', 'Credits'), ('reader storage', 'TB'), ('reader data transfer', 'TB'),
+  ('reader adj for incl cloud services', 'Credits'), ('reader cloud services', 'Credits')),
+spread AS (
+  SELECT h.hour, c.usage_type AS cat, {_initcap('c.usage_type')} AS service, c.usage_unit,
+    coalesce(u.usage / h.hours_thus_far, 0) AS usage,
+    coalesce(u.usage_in_currency / h.hours_thus_far, 0) AS spend, u.currency,
+    round(CASE WHEN u.usage = 0 THEN 0 ELSE u.usage_in_currency / u.usage END, 2) AS usage_rate
+  FROM hours h CROSS JOIN cats c
+  LEFT JOIN uic u ON u.account_name = '{ACCOUNT}' AND u.usage_type = c.usage_type AND h.date = u.usage_date),
+spread_fam AS (
+  SELECT s.hour, s.service, CAST(NULL AS VARCHAR) AS storage_type, CAST(NULL AS VARCHAR) AS warehouse_name,
+    CAST(NULL AS VARCHAR) AS database_name, s.usage,
+    CASE WHEN s.cat = 'reader adj for incl cloud services' THEN 0
+         WHEN s.cat = 'reader cloud services' THEN s.usage + a.usage ELSE s.usage END AS usage_net_cloud_services,
+    s.spend,
+    CASE WHEN s.cat = 'reader adj for incl cloud services' THEN 0
+         WHEN s.cat = 'reader cloud services' THEN s.spend + a.spend ELSE s.spend END AS spend_net_cloud_services,
+    s.currency, s.usage_unit, s.usage_rate
+  FROM spread s LEFT JOIN (SELECT * FROM spread WHERE cat = 'reader adj for incl cloud services') a
+    ON s.cat = 'reader cloud services' AND s.hour = a.hour),
+compute_fam AS (
+  SELECT h.hour, 'Compute' AS service, CAST(NULL AS VARCHAR) AS storage_type, m.name AS warehouse_name,
+    CAST(NULL AS VARCHAR) AS database_name,
+    coalesce(sum(m.credits_used_compute), 0) AS usage,
+    coalesce(sum(m.credits_used_compute * r.effective_rate), 0) AS spend,
+    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
+  FROM hours h LEFT JOIN metering_history m ON h.hour = m.start_time
+  LEFT JOIN daily_rates r ON h.date = r.date AND r.service_type = 'WAREHOUSE_METERING' AND r.usage_type = 'compute'
+  WHERE m.service_type = 'WAREHOUSE_METERING' AND m.name != 'CLOUD_SERVICES_ONLY'
+  GROUP BY 1, 2, 3, 4),
+serverless_fam AS (
+  SELECT h.hour, 'Serverless Tasks' AS service, CAST(NULL AS VARCHAR) AS storage_type,
+    CAST(NULL AS VARCHAR) AS warehouse_name, t.database_name,
+    coalesce(sum(t.credits_used), 0) AS usage, coalesce(sum(t.credits_used * r.effective_rate), 0) AS spend,
+    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
+  FROM hours h LEFT JOIN serverless_task_history t ON h.hour = date_trunc('hour', t.start_time)
+  LEFT JOIN daily_rates r ON h.date = r.date AND r.service_type = 'SERVERLESS_TASK'
+   AND r.usage_type = 'serverless tasks'
+  GROUP BY 1, 2, 3, 4, 5),
+adj_fam AS (
+  SELECT h.hour, 'Adj For Incl Cloud Services' AS service, CAST(NULL AS VARCHAR) AS storage_type,
+    CAST(NULL AS VARCHAR) AS warehouse_name, CAST(NULL AS VARCHAR) AS database_name,
+    coalesce(sum(d.credits_adjustment_cloud_services), 0) AS usage,
+    coalesce(sum(d.credits_adjustment_cloud_services * r.effective_rate), 0) AS spend,
+    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
+  FROM hours h LEFT JOIN metering_daily_history d ON h.hour = CAST(d.usage_date AS TIMESTAMP)
+  LEFT JOIN daily_rates r ON h.date = r.date AND r.service_type = 'CLOUD_SERVICES'
+   AND r.usage_type = 'cloud services'
+  GROUP BY 1, 2, 3, 4, 5),
+cs_usage AS (
+  SELECT h.hour, h.date,
+    CASE WHEN m.name = 'CLOUD_SERVICES_ONLY' THEN 'Cloud Services Only' ELSE m.name END AS warehouse_name,
+    coalesce(sum(m.credits_used_cloud_services), 0) AS cs
+  FROM hours h LEFT JOIN metering_history m ON h.hour = m.start_time AND m.service_type = 'WAREHOUSE_METERING'
+  GROUP BY 1, 2, 3),
+cs_daily AS (
+  SELECT usage_date AS date, sum(credits_used_cloud_services) AS cs,
+         sum(credits_used_cloud_services + credits_adjustment_cloud_services) AS billable
+  FROM metering_daily_history WHERE service_type = 'WAREHOUSE_METERING' GROUP BY 1),
+cs_fam AS (
+  SELECT u.hour, 'Cloud Services' AS service, CAST(NULL AS VARCHAR) AS storage_type, u.warehouse_name,
+    CAST(NULL AS VARCHAR) AS database_name, u.cs AS usage,
+    (CASE WHEN d.cs = 0 THEN 0 ELSE u.cs / d.cs END) * d.billable AS usage_net_cloud_services,
+    u.cs * r.effective_rate AS spend,
+    (CASE WHEN d.cs = 0 THEN 0 ELSE u.cs / d.cs END) * d.billable * r.effective_rate AS spend_net_cloud_services,
+    r.currency, 'Credits' AS usage_unit, r.effective_rate AS usage_rate
+  FROM cs_usage u JOIN cs_daily d ON u.date = d.date
+  LEFT JOIN daily_rates r ON u.date = r.date AND r.service_type = 'CLOUD_SERVICES' AND r.usage_type = 'cloud services'),
+other_rows AS (
+  SELECT h.hour, h.date, m.*,
+    CASE m.service_type WHEN 'AUTO_CLUSTERING' THEN 'AUTOMATIC_CLUSTERING' WHEN 'PIPE' THEN 'SNOWPIPE'
+         ELSE m.service_type END AS renamed
+  FROM hours h JOIN metering_history m ON h.hour = m.start_time
+  WHERE m.service_type NOT IN ('SERVERLESS_TASK', 'WAREHOUSE_METERING', 'WAREHOUSE_METERING_READER')),
+other_labeled AS (
+  SELECT *, CASE renamed WHEN 'MATERIALIZED_VIEW' THEN 'Materialized Views' WHEN 'AI_SERVICES' THEN 'AI Services'
+                 ELSE {_initcap("replace(renamed, '_', ' ')")} END AS service_label
+  FROM other_rows),
+other_fam AS (
+  SELECT o.hour, o.service_label AS service, CAST(NULL AS VARCHAR) AS storage_type,
+    CASE WHEN o.service_type = 'QUERY_ACCELERATION' THEN o.name END AS warehouse_name,
+    CAST(NULL AS VARCHAR) AS database_name,
+    coalesce(sum(o.credits_used), 0) AS usage, coalesce(sum(o.credits_used * r.effective_rate), 0) AS spend,
+    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
+  FROM other_labeled o LEFT JOIN daily_rates r ON o.date = r.date AND o.renamed = r.service_type
+   AND lower(o.service_label) = r.usage_type
+  GROUP BY o.hour, o.renamed, o.service_label, 4),
+hourly_spend AS (
+  SELECT hour, service, storage_type, warehouse_name, database_name, usage, usage AS usage_net_cloud_services,
+         spend, spend AS spend_net_cloud_services, currency, usage_unit, usage_rate FROM storage_fam
+  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM hybrid_fam
+  UNION ALL BY NAME SELECT * FROM spread_fam
+  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM compute_fam
+  UNION ALL BY NAME SELECT *, 0.0 AS usage_net_cloud_services, 0.0 AS spend_net_cloud_services FROM adj_fam
+  UNION ALL BY NAME SELECT * FROM cs_fam
+  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM serverless_fam
+  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM other_fam),
+daily_spend AS (
+  SELECT CAST(hour AS DATE) AS date, service, storage_type, warehouse_name, database_name,
+    sum(usage) AS usage, sum(usage_net_cloud_services) AS usage_net_cloud_services,
+    sum(spend) AS spend, sum(spend_net_cloud_services) AS spend_net_cloud_services,
+    max(currency) AS currency, max(usage_unit) AS usage_unit,
+    CASE WHEN sum(usage) > 0 THEN sum(spend) / sum(usage)
+         WHEN sum(usage_net_cloud_services) > 0 THEN sum(spend_net_cloud_services) / sum(usage_net_cloud_services)
+         ELSE 0 END AS usage_rate
+  FROM hourly_spend GROUP BY 1, 2, 3, 4, 5)
+"""
+
+SPEND_DOUBLES = ["usage", "usage_net_cloud_services", "spend", "spend_net_cloud_services", "usage_rate"]
+FIRST_MONTH = "(SELECT date_trunc('month', min(CAST(ts AS DATE))) FROM events)"
