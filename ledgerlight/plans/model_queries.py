@@ -62,3 +62,23 @@ def monthly_spend(ctx: Context) -> DataFrame:
     from ledgerlight.plans.spend import daily_spend as build, monthly_spend as month_of
     first_month = ctx.tb.ev().agg(F.trunc(F.min("day"), "month")).scalar()
     return month_of(build(_hourly(ctx)), first_month)
+
+
+def _enriched(ctx: Context) -> DataFrame:
+    from ledgerlight.plans.enriched import query_history_enriched
+    return ctx.memo("enriched", lambda: query_history_enriched(ctx.st.query_history(), ctx.cost_per_query()))
+
+
+@register("query_history_enriched",
+          M.model_sql(M.ENRICHED_SELECT, M.DAILY_RATES, M.COST_PER_QUERY, M.ENRICHED), M.ENRICHED_DOUBLES)
+def query_history_enriched(ctx: Context) -> DataFrame:
+    """Query log with costs, unit conversions, comment-free text and dbt metadata."""
+    return _enriched(ctx)
+
+
+@register("dbt_queries",
+          M.model_sql(M.DBT_QUERIES_SELECT, M.DAILY_RATES, M.COST_PER_QUERY, M.ENRICHED), M.ENRICHED_DOUBLES)
+def dbt_queries(ctx: Context) -> DataFrame:
+    """Queries issued by dbt with their node, run and project fields."""
+    from ledgerlight.plans.enriched import dbt_queries as build
+    return build(_enriched(ctx))

@@ -317,3 +317,92 @@ daily_spend AS (
 
 SPEND_DOUBLES = ["usage", "usage_net_cloud_services", "spend", "spend_net_cloud_services", "usage_rate"]
 FIRST_MONTH = "(SELECT date_trunc('month', min(CAST(ts AS DATE))) FROM events)"
+
+# --------------------------------------------------------------------------
+# Enriched query log and dbt metadata
+# --------------------------------------------------------------------------
+from ledgerlight.functions.text import COMMENT_PATTERN, DBT_COMMENT_PATTERN, TAG_MARKER_KEYS  # noqa: E402
+from ledgerlight.plans import enriched as E  # noqa: E402
+
+
+def _meta_val(key: str) -> str:
+    return (f"CASE WHEN list_contains(coalesce(json_keys(m_tag), []), '{key}') "
+            f"THEN json_extract_string(m_tag, '$.\"{key}\"') "
+            f"ELSE json_extract_string(m_comment, '$.\"{key}\"') END")
+
+
+_MARKERS = " OR ".join(f"try(json_extract(query_tag, '$.{k}')) IS NOT NULL" for k in TAG_MARKER_KEYS)
+_META_TEXT = ("array_to_string(list_sort(list_transform(m_keys, lambda k: k || '=' || coalesce("
+              "CASE WHEN list_contains(coalesce(json_keys(m_tag), []), k) "
+              "THEN json_extract_string(m_tag, '$.\"' || k || '\"') "
+              "ELSE json_extract_string(m_comment, '$.\"' || k || '\"') END, 'null'))), '|')")
+
+ENRICHED = f""",
+qm1 AS (SELECT *, nullif(regexp_extract(query_text, '{DBT_COMMENT_PATTERN}', 1), '') AS m_comment_txt
+        FROM stg_query_history),
+qm2 AS (SELECT *,
+          CASE WHEN try(json_type(m_comment_txt)) = 'OBJECT' THEN m_comment_txt END AS m_comment,
+          CASE WHEN try(json_type(query_tag)) = 'OBJECT' AND ({_MARKERS}) THEN query_tag END AS m_tag
+        FROM qm1),
+qm AS (SELECT *,
+         CASE WHEN m_comment IS NOT NULL OR m_tag IS NOT NULL
+              THEN list_distinct(list_concat(coalesce(json_keys(m_comment), []), coalesce(json_keys(m_tag), [])))
+         END AS m_keys
+       FROM qm2),
+enriched AS (
+  SELECT c.query_id, {", ".join(f"c.{n}" for n in E.COST_COLUMNS)},
+    {", ".join(f"q.{n}" for n in E.QUERY_COLUMNS)},
+    {", ".join(f"q.{n} AS {n}_ms" for n in E.MS_COLUMNS)},
+    q.warehouse_size IS NOT NULL AS ran_on_warehouse,
+    q.bytes_scanned / 1073741824.0 AS data_scanned_gb,
+    q.bytes_scanned / 1073741824.0 * q.percentage_scanned_from_cache AS data_scanned_from_cache_gb,
+    {", ".join(f"q.{b} / 1073741824.0 AS {n}" for b, n in E.GB_COLUMNS.items())},
+    regexp_replace(q.query_text, '{COMMENT_PATTERN}', '', 'g') AS query_text_no_comments,
+    CASE WHEN q.m_keys IS NOT NULL THEN {_META_TEXT.replace("m_keys", "q.m_keys").replace("m_tag", "q.m_tag").replace("m_comment", "q.m_comment")} END AS dbt_metadata,
+    {", ".join(f"q.{n} / 1000 AS {n}_s" for n in E.MS_COLUMNS)},
+    c.currency,
+    q.query_retry_time AS query_retry_time_ms, q.query_retry_time / 1000 AS query_retry_time_s,
+    q.query_retry_cause, q.fault_handling_time AS fault_handling_time_ms,
+    q.fault_handling_time / 1000 AS fault_handling_time_s,
+    q.m_keys, q.m_tag, q.m_comment
+  FROM qm q JOIN cost_per_query c ON q.query_id = c.query_id)
+"""
+
+
+def _array_text(expr: str) -> str:
+    return f"CASE WHEN try(json_type({expr})) = 'ARRAY' THEN array_to_string(json_extract_string({expr}, '$[*]'), '|') END"
+
+
+_VERSION = f"coalesce({_meta_val('dbt_query_tags_version')}, {_meta_val('dbt_snowflake_query_tags_version')})"
+_PROJECT = _meta_val("dbt_cloud_project_id")
+DBT_FIELDS = [
+    (_VERSION, "dbt_snowflake_query_tags_version"),
+    (_meta_val("invocation_id"), "dbt_invocation_id"),
+    (_meta_val("node_id"), "dbt_node_id"),
+    (_meta_val("node_resource_type"), "dbt_node_resource_type"),
+    (f"coalesce({_meta_val('node_name')}, replace(string_split({_meta_val('node_id')}, '.')[-1], '\"', ''))",
+     "dbt_node_name"),
+    (_meta_val("materialized"), "dbt_node_materialized"),
+    (f"TRY_CAST({_meta_val('is_incremental')} AS BOOLEAN)", "dbt_node_is_incremental"),
+    (_meta_val("node_alias"), "dbt_node_alias"),
+    (_meta_val("node_meta"), "dbt_node_meta"),
+    (_array_text(_meta_val("node_tags")), "node_tags"),
+    (f"CASE WHEN {_VERSION} >= '1.1.3' THEN {_array_text(_meta_val('node_refs'))} ELSE '' END", "dbt_node_refs"),
+] + [(_meta_val(E.STRING_FIELDS[o]), o) for o in [
+    "dbt_node_database", "dbt_node_schema", "dbt_version", "dbt_project_name", "dbt_target_name",
+    "dbt_target_database", "dbt_target_schema", "dbt_node_package_name", "dbt_node_original_file_path",
+    "dbt_cloud_project_id", "dbt_cloud_job_id", "dbt_cloud_run_id", "dbt_cloud_run_reason_category",
+    "dbt_cloud_run_reason"]] + [
+    (f"CASE WHEN {_PROJECT} IS NOT NULL THEN '{E.MISSING_ACCOUNT_MESSAGE}' END", "dbt_cloud_job_url"),
+    (f"CASE WHEN {_PROJECT} IS NOT NULL THEN '{E.MISSING_ACCOUNT_MESSAGE}' END", "dbt_cloud_run_url"),
+]
+
+DBT_QUERIES_SELECT = ("SELECT " + ", ".join(f"{e} AS {n}" for e, n in DBT_FIELDS) +
+                      ", * EXCLUDE (dbt_metadata, m_keys, m_tag, m_comment) FROM enriched WHERE m_keys IS NOT NULL")
+ENRICHED_SELECT = "SELECT * EXCLUDE (m_keys, m_tag, m_comment) FROM enriched"
+ENRICHED_DOUBLES = (["compute_cost", "compute_credits", "query_acceleration_cost", "query_acceleration_credits",
+                     "cloud_services_cost", "cloud_services_credits", "query_cost", "query_credits",
+                     "percentage_scanned_from_cache", "credits_used_cloud_services", "query_load_percent",
+                     "query_acceleration_upper_limit_scale_factor", "data_scanned_gb",
+                     "data_scanned_from_cache_gb", *E.GB_COLUMNS.values()]
+                    + [f"{n}_s" for n in E.MS_COLUMNS] + ["query_retry_time_s", "fault_handling_time_s"])
