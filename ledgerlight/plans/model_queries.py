@@ -82,3 +82,43 @@ def dbt_queries(ctx: Context) -> DataFrame:
     """Queries issued by dbt with their node, run and project fields."""
     from ledgerlight.plans.enriched import dbt_queries as build
     return build(_enriched(ctx))
+
+
+def _access(ctx: Context) -> DataFrame:
+    return ctx.st.access_history()
+
+
+@register("query_base_object_access", M.ACCESS_LINES + "SELECT * FROM base_objects")
+def query_base_object_access(ctx: Context) -> DataFrame:
+    """One row per query and base object with the distinct columns read."""
+    from ledgerlight.plans.access import query_base_object_access as build
+    return build(_access(ctx))
+
+
+@register("query_direct_object_access", M.ACCESS_LINES + "SELECT * FROM direct_objects")
+def query_direct_object_access(ctx: Context) -> DataFrame:
+    """One row per query and directly named object, deduplicated on the row key."""
+    from ledgerlight.plans.access import query_direct_object_access as build
+    return build(_access(ctx))
+
+
+@register("query_base_table_access", M.ACCESS_LINES + M.TABLE_ACCESS.format(src="base_objects"))
+def query_base_table_access(ctx: Context) -> DataFrame:
+    """Base objects that are tables with an id."""
+    from ledgerlight.plans.access import query_base_object_access as build, table_access
+    return table_access(build(_access(ctx)))
+
+
+@register("query_direct_table_access", M.ACCESS_LINES + M.TABLE_ACCESS.format(src="direct_objects"))
+def query_direct_table_access(ctx: Context) -> DataFrame:
+    """Directly named objects that are tables with an id."""
+    from ledgerlight.plans.access import query_direct_object_access as build, table_access
+    return table_access(build(_access(ctx)))
+
+
+@register("warehouses_type2_dimension",
+          M.model_sql("SELECT * FROM warehouses_type2_dimension", M.WAREHOUSES))
+def warehouses_type2_dimension(ctx: Context) -> DataFrame:
+    """Validity periods of warehouse size and name from the query log."""
+    from ledgerlight.plans.warehouses import warehouses_type2_dimension as build
+    return build(ctx.st)

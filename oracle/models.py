@@ -406,3 +406,60 @@ ENRICHED_DOUBLES = (["compute_cost", "compute_credits", "query_acceleration_cost
                      "query_acceleration_upper_limit_scale_factor", "data_scanned_gb",
                      "data_scanned_from_cache_gb", *E.GB_COLUMNS.values()]
                     + [f"{n}_s" for n in E.MS_COLUMNS] + ["query_retry_time_s", "fault_handling_time_s"])
+
+# --------------------------------------------------------------------------
+# Access history (flattened directly from the tables, without arrays)
+# --------------------------------------------------------------------------
+ACCESS_LINES = """
+WITH lines AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS query_id, o.o_orderdate AS query_start_time,
+         'cust_' || CAST(o.o_custkey AS VARCHAR) AS user_name, l.*
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey),
+base_cols AS (
+  SELECT * FROM (
+    SELECT query_id, query_start_time, user_name, l_partkey AS table_id,
+           CASE WHEN l_tax > 0.07 THEN NULL ELSE 'PART_' || CAST(l_partkey AS VARCHAR) END AS object_name,
+           'Table' AS object_domain,
+           CASE WHEN l_quantity < 5 THEN [] ELSE ['l_extendedprice', 'l_shipdate'] END AS cols
+    FROM lines) AS b, unnest(cols) AS t(col)
+  WHERE object_name IS NOT NULL),
+direct_cols AS (
+  SELECT query_id, query_start_time, user_name,
+         CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_suppkey END AS table_id,
+         'SUPPLIER_' || CAST(l_suppkey AS VARCHAR) AS object_name,
+         CASE WHEN l_linestatus = 'O' THEN 'Table' ELSE 'View' END AS object_domain,
+         unnest(['l_quantity', CASE WHEN l_discount > 0.05 THEN 'l_discount' END,
+                 'line_' || CAST(l_linenumber AS VARCHAR)]) AS col
+  FROM lines),
+base_objects AS (
+  SELECT md5(query_id || object_name) AS _unique_id, query_id, query_start_time, user_name, table_id,
+         object_name, object_domain, array_to_string(list_sort(list_distinct(array_agg(col))), '|') AS columns_accessed
+  FROM base_cols GROUP BY query_id, query_start_time, user_name, table_id, object_name, object_domain),
+direct_objects AS (
+  SELECT * FROM (
+    SELECT md5(query_id || object_name) AS _unique_id, query_id, query_start_time, user_name, table_id,
+           object_name, object_domain,
+           array_to_string(list_sort(list_distinct(array_agg(col))), '|') AS columns_accessed
+    FROM direct_cols GROUP BY query_id, query_start_time, user_name, table_id, object_name, object_domain) AS g
+  QUALIFY row_number() OVER (PARTITION BY _unique_id, query_start_time
+                             ORDER BY table_id NULLS FIRST, object_domain NULLS FIRST, user_name NULLS FIRST) = 1)
+"""
+TABLE_ACCESS = ("SELECT _unique_id, query_id, query_start_time, user_name, object_name AS full_table_name, "
+                "table_id, columns_accessed FROM {src} WHERE object_domain = 'Table' AND table_id IS NOT NULL")
+
+WAREHOUSES = """,
+wh_obs AS (
+  SELECT warehouse_id, warehouse_size, warehouse_name, start_time, query_id,
+         lag(warehouse_size) OVER w AS prev_size, lag(warehouse_name) OVER w AS prev_name
+  FROM stg_query_history WHERE warehouse_size IS NOT NULL
+  WINDOW w AS (PARTITION BY warehouse_id ORDER BY start_time, query_id)),
+wh_changes AS (
+  SELECT warehouse_id, warehouse_name, warehouse_size, start_time AS valid_from,
+         lead(start_time) OVER (PARTITION BY warehouse_id ORDER BY start_time, query_id) AS next_from
+  FROM wh_obs WHERE warehouse_size != coalesce(prev_size, '') OR warehouse_name != coalesce(prev_name, '')),
+warehouses_type2_dimension AS (
+  SELECT warehouse_id, warehouse_name, warehouse_size, valid_from,
+         coalesce(next_from, (SELECT max(start_time) FROM stg_query_history)) AS valid_to,
+         next_from IS NULL AS is_current
+  FROM wh_changes)
+"""
