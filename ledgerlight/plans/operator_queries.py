@@ -1,2 +1,159 @@
-"""Registered operator-level queries (one per operator id of SURVEY 2)."""
+"""Registered operator-level queries: each generic operator on the raw test tables
+(bindings of SURVEY 7.2), whole tables, no row caps."""
 from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from oracle import operators as O
+from ledgerlight.functions.text import strip_comments
+from ledgerlight.operators import checks
+from ledgerlight.operators.allocation import allocate, conditional_sums
+from ledgerlight.operators.fill import first_per_key, gap_fill, latest_per_key
+from ledgerlight.operators.history import scd2
+from ledgerlight.operators.nested import explode_objects
+from ledgerlight.operators.spine import hour_spine, slice_intervals, with_day_stats
+from ledgerlight.plans.registry import Context, register
+from ledgerlight.sources.testbed import EV_SPARK
+
+
+def _intervals(ctx: Context) -> DataFrame:
+    ev = ctx.table("events")
+    return ev.select("event_id", "user_id", "value",
+                     F.expr(EV_SPARK["start_ts"]).alias("start_ts"), F.expr(EV_SPARK["end_ts"]).alias("end_ts"))
+
+
+@register("k1_hour_grid", O.K1_HOUR_GRID)
+def k1_hour_grid(ctx: Context) -> DataFrame:
+    """Hour spine over the event hours with per-day hour counts and month length."""
+    hours = hour_spine(ctx.table("events").select(F.date_trunc("hour", "ts").alias("h")), "h")
+    return with_day_stats(hours)
+
+
+@register("k4_interval_slice", O.K4_INTERVAL_SLICE)
+def k4_interval_slice(ctx: Context) -> DataFrame:
+    """Every event interval cut into clock hours with the milliseconds in each."""
+    s = slice_intervals(_intervals(ctx), end="end_ts", anchor="start_ts", ms_col="ms")
+    return s.select("event_id", "hour_start", "ms")
+
+
+@register("k5_allocate", O.K5_ALLOCATE, ["allocated", "fraction"])
+def k5_allocate(ctx: Context) -> DataFrame:
+    """Each (user, hour)'s summed value shared over the events running in it by time."""
+    s = slice_intervals(_intervals(ctx), end="end_ts", anchor="start_ts", ms_col="ms")
+    billed = (ctx.table("events").groupBy("user_id", F.date_trunc("hour", "ts").alias("hour_start"))
+              .agg(F.sum("value").alias("billed")))
+    out = allocate(s, billed, ["user_id", "hour_start"], {"ms": ("total_ms", "fraction")},
+                   {"allocated": ("billed", "fraction")})
+    return out.select("event_id", "user_id", "hour_start", "ms", "fraction", "allocated")
+
+
+@register("e3_pivot_sums", O.E3_PIVOT_SUMS, ["view_value", "click_value", "purchase_value"])
+def e3_pivot_sums(ctx: Context) -> DataFrame:
+    """Conditional sums per user and day, one column per event type."""
+    ev = ctx.table("events").withColumn("day", F.to_date("ts"))
+    return conditional_sums(ev, ["user_id", "day"], "event_type",
+                            {"view_value": ("view", "value"), "click_value": ("click", "value"),
+                             "purchase_value": ("purchase", "value")})
+
+
+def _supplier_daily(ctx: Context) -> DataFrame:
+    li = ctx.table("lineitem")
+    return li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("date")).agg(
+        F.max("l_discount").alias("rate"), F.max("l_tax").alias("tax"))
+
+
+@register("k12_gap_fill", O.K12_GAP_FILL, ["rate", "tax"])
+def k12_gap_fill(ctx: Context) -> DataFrame:
+    """Supplier x day grid over the whole ship-date range, values filled both ways."""
+    daily = _supplier_daily(ctx)
+    bounds = daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    return gap_fill(daily, ["l_suppkey"], "date", ["rate", "tax"],
+                    bounds.select("lo").scalar(), bounds.select("hi").scalar())
+
+
+@register("k14_scd2", O.K14_SCD2)
+def k14_scd2(ctx: Context) -> DataFrame:
+    """Periods of each customer's order priority (ties on the date by order key)."""
+    od = ctx.table("orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    stop = od.agg(F.max("o_orderdate")).scalar()
+    out = scd2(od, "o_custkey", ["o_orderpriority"], "o_orderdate", stop, tiebreak=["o_orderkey"],
+               bucket="month")
+    return out.drop("o_orderkey")
+
+
+@register("k15_dedup", O.K15_DEDUP, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+def k15_dedup(ctx: Context) -> DataFrame:
+    """First line per (order, line number) by ship date, then part and supplier."""
+    li = ctx.table("lineitem")
+    return first_per_key(li, ["l_orderkey", "l_linenumber"], O.DEDUP_ORDER)
+
+
+@register("f2_latest_per_key", O.F2_LATEST, ["o_totalprice"])
+def f2_latest_per_key(ctx: Context) -> DataFrame:
+    """Latest order per customer (nulls last, then highest order key)."""
+    od = ctx.table("orders")
+    latest = latest_per_key(od, ["o_custkey"], [F.col("o_orderdate").desc_nulls_last(),
+                                                F.col("o_orderkey").desc()])
+    return latest.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+
+
+@register("s29_strip_comments", O.S29_STRIP)
+def s29_strip_comments(ctx: Context) -> DataFrame:
+    """Block comments, line comments and semicolons removed from every whole page."""
+    pages = ctx.table("pages")
+    stripped = strip_comments(F.col("html"))
+    return pages.select("page_id", stripped.alias("html_no_comments"),
+                        F.length(stripped).alias("n_chars"))
+
+
+@register("j1_explode_objects", O.J1_EXPLODE)
+def j1_explode_objects(ctx: Context) -> DataFrame:
+    """Flatten the nested direct-object arrays: one row per query and object."""
+    flat = explode_objects(ctx.st.access_history(), "direct_objects_accessed",
+                           ["query_id", "query_start_time"],
+                           {"table_id": ("objectId", "bigint"), "object_name": ("objectName", "string"),
+                            "object_domain": ("objectDomain", "string"), "columns_array": ("columns", None)})
+    return flat.select("query_id", "query_start_time", "table_id", "object_name", "object_domain",
+                       F.size("columns_array").alias("n_columns"))
+
+
+@register("n1_table_diff", O.N1_TABLE_DIFF, ["l_extendedprice", "l_discount"])
+def n1_table_diff(ctx: Context) -> DataFrame:
+    """Two-way multiset diff of the line items against their deduplicated form,
+    prices cut to 8 decimals."""
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount"]
+    li = ctx.table("lineitem").select(*cols)
+    dedup = first_per_key(ctx.table("lineitem"), ["l_orderkey", "l_linenumber"], O.DEDUP_ORDER).select(*cols)
+    return checks.table_diff(li, dedup, truncate=["l_extendedprice", "l_discount"])
+
+
+@register("n2_unmatched_keys", O.N2_UNMATCHED)
+def n2_unmatched_keys(ctx: Context) -> DataFrame:
+    """Order keys present in only one of orders and line items (two anti joins)."""
+    od = ctx.table("orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderdate")
+    li = ctx.table("lineitem").select(F.col("l_orderkey").alias("orderkey"), F.col("l_shipdate").alias("o_orderdate"))
+    return checks.unmatched_keys(od, li, "orderkey")
+
+
+@register("n3_duplicate_keys", O.N3_DUPLICATES)
+def n3_duplicate_keys(ctx: Context) -> DataFrame:
+    """(order, line number) pairs that occur more than once."""
+    return checks.duplicates(ctx.table("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("n4_null_rows", O.N4_NULLS)
+def n4_null_rows(ctx: Context) -> DataFrame:
+    """Query-log rows missing a warehouse (queries not run on a warehouse)."""
+    qh = ctx.st.query_history()
+    return checks.nulls(qh, ["warehouse_id", "warehouse_size"]).select("query_id", "start_time", "query_type")
+
+
+@register("s6_negative_slices", O.S6_NEGATIVE)
+def s6_negative_slices(ctx: Context) -> DataFrame:
+    """Query slices whose execution start lies after their end (negative run time)."""
+    from ledgerlight.plans.query_cost import filtered_queries
+    q = filtered_queries(ctx.st).where(F.col("ran_on_warehouse"))
+    s = slice_intervals(q, end="end_time", anchor="execution_start_time")
+    return checks.negatives(s, "num_milliseconds_query_ran").select(
+        "query_id", F.col("hour_start"), "num_milliseconds_query_ran")
