@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ONE_HOUR = F.expr("INTERVAL 1 HOUR")
-ONE_MICRO = F.expr("INTERVAL 0.000001 SECOND")
+def _one_hour() -> Column:
+    return F.expr("INTERVAL 1 HOUR")
+
+
+def _one_micro() -> Column:
+    return F.expr("INTERVAL 0.000001 SECOND")
 
 
 def _c(x) -> Column:
@@ -24,7 +28,7 @@ def hour_spine(fact: DataFrame, ts: str, fallback_start: str = "2023-01-01 00:00
     fb = F.lit(fallback_start).cast("timestamp")
     bounds = fact.agg(F.coalesce(F.min(ts).cast("timestamp"), fb).alias("_lo"),
                       F.coalesce(F.max(ts).cast("timestamp"), fb).alias("_hi"))
-    return bounds.select(F.explode(F.sequence("_lo", "_hi", ONE_HOUR)).alias(out))
+    return bounds.select(F.explode(F.sequence("_lo", "_hi", _one_hour())).alias(out))
 
 
 def day_spine(bounds: DataFrame, start: str, end: str, out: str = "date") -> DataFrame:
@@ -57,10 +61,10 @@ def slice_intervals(df: DataFrame, end: str, anchor: str, slice_col: str = "hour
     """
     a, e = F.col(anchor), F.col(end)
     first = F.date_trunc("hour", a)
-    last = F.date_trunc("hour", e - ONE_MICRO)
+    last = F.date_trunc("hour", e - _one_micro())
     out = (df.where(e > first)
-           .withColumn(slice_col, F.explode(F.sequence(first, last, ONE_HOUR)))
-           .withColumn(slice_end_col, F.col(slice_col) + ONE_HOUR))
+           .withColumn(slice_col, F.explode(F.sequence(first, last, _one_hour())))
+           .withColumn(slice_end_col, F.col(slice_col) + _one_hour()))
     if grid is not None:
         lo, hi = grid
         out = out.where(F.col(slice_col).between(lo, hi))

@@ -33,7 +33,8 @@ OUTPUT = ["query_id", "start_time", "end_time", "execution_start_time", "compute
 
 
 def filtered_queries(st: Staged, since: Column | None = None) -> DataFrame:
-    """Queries that ended by the last metered hour (L5), optionally after ``since``."""
+    """Queries that ended by the last metered hour (L5), optionally after ``since``
+    (the reference's look-back filter)."""
     stop = st.warehouse_metering_history().agg(F.max("end_time")).scalar()
     waits = sum((F.col(c) for c in WAITS[1:]), F.col(WAITS[0]))
     q = st.query_history().select(
@@ -60,7 +61,17 @@ def credits_billed_hourly(st: Staged) -> DataFrame:
 
 def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
                    grid: tuple[Column, Column] | None = None) -> DataFrame:
-    queries = filtered_queries(st, since)
+    """Cost of every query; with ``since``, only queries ending after it.
+
+    Incremental runs are exact (fix for S18): hour totals need every query with a slice
+    in the hours the new queries touch, so the slicing input reaches back to the
+    earliest hour of those queries, and only the output is cut at ``since``.
+    """
+    queries = filtered_queries(st)
+    if since is not None:
+        wanted = queries.where(F.col("end_time") > since)
+        first_hour = wanted.agg(F.min(F.date_trunc("hour", "execution_start_time"))).scalar()
+        queries = queries.where(F.col("end_time") > F.least(first_hour, since))
     billed = credits_billed_hourly(st)
 
     # K4: one row per hour a warehouse query ran
@@ -123,6 +134,8 @@ def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
         "cur_effective_rate": current.select("cur_effective_rate").scalar(),
         "cur_currency": current.select("cur_currency").scalar()})
 
+    if since is not None:
+        out = out.where(F.col("end_time") > since)
     cs_credits = share_of(F.col("credits_used_cloud_services"),
                           F.col("daily_credits_used_cloud_services"),
                           F.col("daily_billable_cloud_services"))

@@ -49,8 +49,12 @@ FREE_TIER_NAME = "Cloud Services Only"
 STORAGE_TYPES = ("Table and Time Travel", "Failsafe", "Stage", "Retained for Clones",
                  "Failsafe Retained for Clones")
 
-NULL_S = F.lit(None).cast("string")
-ZERO = F.lit(0.0)
+def _null_s() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _zero() -> Column:
+    return F.lit(0.0)
 
 
 def hours_grid(st: Staged) -> DataFrame:
@@ -66,14 +70,14 @@ def _grouped(joined: DataFrame, keys: dict[str, Column], usage: Column, spend: C
              rate: str = "effective_rate", currency: str = "currency") -> DataFrame:
     """group by hour + keys: zero-filled sums of usage and usage x rate."""
     agg = joined.groupBy("hour", *[v.alias(k) for k, v in keys.items()]).agg(
-        F.coalesce(F.sum(usage), ZERO).alias("usage"),
-        F.coalesce(F.sum(spend), ZERO).alias("spend"),
+        F.coalesce(F.sum(usage), _zero()).alias("usage"),
+        F.coalesce(F.sum(spend), _zero()).alias("spend"),
         F.max(currency).alias("currency"), F.max(rate).alias("usage_rate"))
-    col = lambda k: F.col(k) if k in keys else NULL_S
+    col = lambda k: F.col(k) if k in keys else _null_s()
     return _emit(agg, hour=F.col("hour"), service=F.lit(service), storage_type=col("storage_type"),
                  warehouse_name=col("warehouse_name"), database_name=col("database_name"),
-                 usage=F.col("usage"), usage_net_cloud_services=ZERO if net_zero else F.col("usage"),
-                 spend=F.col("spend"), spend_net_cloud_services=ZERO if net_zero else F.col("spend"),
+                 usage=F.col("usage"), usage_net_cloud_services=_zero() if net_zero else F.col("usage"),
+                 spend=F.col("spend"), spend_net_cloud_services=_zero() if net_zero else F.col("spend"),
                  currency=F.col("currency"), usage_unit=F.lit(unit), usage_rate=F.col("usage_rate"))
 
 
@@ -95,13 +99,13 @@ def storage_terabytes_daily(st: Staged) -> DataFrame:
         db.groupBy("date", "database_name").agg(tb("average_failsafe_bytes").alias("storage_terabytes"))
           .withColumn("storage_type", F.lit(STORAGE_TYPES[1])),
         st.stage_storage_usage_history().groupBy("date").agg(tb("average_stage_bytes").alias("storage_terabytes"))
-          .withColumns({"storage_type": F.lit(STORAGE_TYPES[2]), "database_name": NULL_S}),
+          .withColumns({"storage_type": F.lit(STORAGE_TYPES[2]), "database_name": _null_s()}),
         recon.where(F.col("residual_storage_terabytes") > 0).select(
             "date", F.col("residual_storage_terabytes").alias("storage_terabytes"),
-            F.lit(STORAGE_TYPES[3]).alias("storage_type"), NULL_S.alias("database_name")),
+            F.lit(STORAGE_TYPES[3]).alias("storage_type"), _null_s().alias("database_name")),
         recon.where(F.col("residual_failsafe_terabytes") > 0).select(
             "date", F.col("residual_failsafe_terabytes").alias("storage_terabytes"),
-            F.lit(STORAGE_TYPES[4]).alias("storage_type"), NULL_S.alias("database_name")),
+            F.lit(STORAGE_TYPES[4]).alias("storage_type"), _null_s().alias("database_name")),
     ]
     return reduce(DataFrame.unionByName, legs).withColumnRenamed("date", "fact_date")
 
@@ -149,21 +153,21 @@ def daily_spread_spend_hourly(st: Staged, hours: DataFrame, account: str) -> Dat
     j = grid.join(uic, (grid["date"] == uic["usage_date"]) & (grid["usage_type"] == uic["u_type"]), "left")
     j = j.withColumns({
         "service": F.initcap("usage_type"),
-        "usage": F.coalesce(F.col("u_usage") / F.col("hours_thus_far"), ZERO),
-        "spend": F.coalesce(F.col("u_spend") / F.col("hours_thus_far"), ZERO),
+        "usage": F.coalesce(F.col("u_usage") / F.col("hours_thus_far"), _zero()),
+        "spend": F.coalesce(F.col("u_spend") / F.col("hours_thus_far"), _zero()),
         "usage_rate": F.round(div0(F.col("u_spend"), F.col("u_usage")), 2)})
     adj = j.where(F.col("usage_type") == READER_ADJ).select(
         F.col("hour").alias("adj_hour"), F.col("usage").alias("adj_usage"), F.col("spend").alias("adj_spend"))
     plain = j.where(~F.col("usage_type").isin(READER_ADJ, READER_CS))
     reader_adj = j.where(F.col("usage_type") == READER_ADJ)
     reader_cs = j.where(F.col("usage_type") == READER_CS).join(adj, F.col("hour") == F.col("adj_hour"), "left")
-    common = dict(hour=F.col("hour"), service=F.col("service"), storage_type=NULL_S,
-                  warehouse_name=NULL_S, database_name=NULL_S, usage=F.col("usage"),
+    common = dict(hour=F.col("hour"), service=F.col("service"), storage_type=_null_s(),
+                  warehouse_name=_null_s(), database_name=_null_s(), usage=F.col("usage"),
                   spend=F.col("spend"), currency=F.col("currency"), usage_unit=F.col("usage_unit"),
                   usage_rate=F.col("usage_rate"))
     return reduce(DataFrame.unionByName, [
         _emit(plain, **common, usage_net_cloud_services=F.col("usage"), spend_net_cloud_services=F.col("spend")),
-        _emit(reader_adj, **common, usage_net_cloud_services=ZERO, spend_net_cloud_services=ZERO),
+        _emit(reader_adj, **common, usage_net_cloud_services=_zero(), spend_net_cloud_services=_zero()),
         _emit(reader_cs, **common, usage_net_cloud_services=F.col("usage") + F.col("adj_usage"),
               spend_net_cloud_services=F.col("spend") + F.col("adj_spend")),
     ])
@@ -201,7 +205,7 @@ def cloud_services_spend_hourly(st, hours, rates) -> DataFrame:
     j = hours.join(m, hours["hour"] == m["start_time"], "left")
     usage = j.groupBy("hour", "date", F.when(F.col("name") == CLOUD_SERVICES_ONLY, F.lit(FREE_TIER_NAME))
                       .otherwise(F.col("name")).alias("warehouse_name")).agg(
-        F.coalesce(F.sum("credits_used_cloud_services"), ZERO).alias("cs"))
+        F.coalesce(F.sum("credits_used_cloud_services"), _zero()).alias("cs"))
     daily = (st.metering_daily_history().where(F.col("service_type") == "WAREHOUSE_METERING")
              .groupBy(F.col("date").alias("b_date"))
              .agg(F.sum("credits_used_cloud_services").alias("b_cs"),
@@ -210,8 +214,8 @@ def cloud_services_spend_hourly(st, hours, rates) -> DataFrame:
     j = usage.join(daily, F.col("date") == F.col("b_date"), "inner")  # S10
     j = j.join(rate_slice(rates, "CLOUD_SERVICES", "cloud services"), F.col("date") == F.col("rate_date"), "left")
     net = share_of(F.col("cs"), F.col("b_cs"), F.col("b_billable"))
-    return _emit(j, hour=F.col("hour"), service=F.lit("Cloud Services"), storage_type=NULL_S,
-                 warehouse_name=F.col("warehouse_name"), database_name=NULL_S, usage=F.col("cs"),
+    return _emit(j, hour=F.col("hour"), service=F.lit("Cloud Services"), storage_type=_null_s(),
+                 warehouse_name=F.col("warehouse_name"), database_name=_null_s(), usage=F.col("cs"),
                  usage_net_cloud_services=net, spend=F.col("cs") * F.col("effective_rate"),
                  spend_net_cloud_services=net * F.col("effective_rate"), currency=F.col("currency"),
                  usage_unit=F.lit("Credits"), usage_rate=F.col("effective_rate"))
@@ -243,11 +247,11 @@ def other_spend_hourly(st, hours, rates) -> DataFrame:
                & (F.lower(F.col("_service")) == F.col("rate_usage")), "left")
     agg = j.groupBy("hour", "_service_renamed", F.col("_service").alias("service"),
                     F.when(F.col("service_type") == "QUERY_ACCELERATION", F.col("name")).alias("warehouse_name")).agg(
-        F.coalesce(F.sum("credits_used"), ZERO).alias("usage"),
-        F.coalesce(F.sum(F.col("credits_used") * F.col("effective_rate")), ZERO).alias("spend"),
+        F.coalesce(F.sum("credits_used"), _zero()).alias("usage"),
+        F.coalesce(F.sum(F.col("credits_used") * F.col("effective_rate")), _zero()).alias("spend"),
         F.max("currency").alias("currency"), F.max("effective_rate").alias("usage_rate"))
-    return _emit(agg, hour=F.col("hour"), service=F.col("service"), storage_type=NULL_S,
-                 warehouse_name=F.col("warehouse_name"), database_name=NULL_S, usage=F.col("usage"),
+    return _emit(agg, hour=F.col("hour"), service=F.col("service"), storage_type=_null_s(),
+                 warehouse_name=F.col("warehouse_name"), database_name=_null_s(), usage=F.col("usage"),
                  usage_net_cloud_services=F.col("usage"), spend=F.col("spend"),
                  spend_net_cloud_services=F.col("spend"), currency=F.col("currency"),
                  usage_unit=F.lit("Credits"), usage_rate=F.col("usage_rate"))
