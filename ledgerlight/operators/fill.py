@@ -56,11 +56,14 @@ def gap_fill(df: DataFrame, keys: list[str], date: str, values: list[str],
             .select(*keys, F.explode(F.sequence(start, end)).alias(date)))
     facts = df.select(*keys, date, *values)
     joined = grid.join(facts, [*keys, date], "left")
-    before = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(date).rowsBetween(1, Window.unboundedFollowing)
+    # Both fills use a growing frame (unbounded preceding .. 1 preceding), which Spark
+    # evaluates incrementally; the backward fill runs over the descending order. A
+    # "1 following .. unbounded following" frame would be re-aggregated per row.
+    before = Window.partitionBy(*keys).orderBy(F.col(date).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.col(date).desc()).rowsBetween(Window.unboundedPreceding, -1)
     return joined.withColumns({
         v: F.coalesce(F.col(v), F.last(v, ignorenulls=True).over(before),
-                      F.first(v, ignorenulls=True).over(after))
+                      F.last(v, ignorenulls=True).over(after))
         for v in values})
 
 

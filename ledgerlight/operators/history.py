@@ -62,8 +62,9 @@ def scd2(df: DataFrame, key: str, tracked: list[str], ts: str, stop: Column,
     w_in2 = Window.partitionBy(key, b).orderBy(*order)
     changes = changes.withColumn("_next", F.lead(ts).over(w_in2))
     first_change = changes.groupBy(key, b).agg(F.min(ts).alias("_bfirst"))
-    w_after = Window.partitionBy(key).orderBy(b).rowsBetween(1, Window.unboundedFollowing)
-    next_bucket = first_change.select(key, b, F.first("_bfirst", ignorenulls=True).over(w_after).alias("_nb"))
+    # first change of a later bucket: a growing frame over the descending bucket order
+    w_after = Window.partitionBy(key).orderBy(F.col(b).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    next_bucket = first_change.select(key, b, F.last("_bfirst", ignorenulls=True).over(w_after).alias("_nb"))
     changes = changes.join(next_bucket, [key, b], "left")
     nxt = F.coalesce(F.col("_next"), F.col("_nb"))
     return changes.select(

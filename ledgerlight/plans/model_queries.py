@@ -31,8 +31,7 @@ def cost_per_query(ctx: Context) -> DataFrame:
 
 
 def _hourly(ctx: Context) -> DataFrame:
-    from ledgerlight.plans.spend import hourly_spend
-    return ctx.memo("hourly_spend", lambda: hourly_spend(ctx.st, ctx.daily_rates(), ctx.account))
+    return ctx.hourly_spend()
 
 
 @register("hourly_spend", M.model_sql(
@@ -65,8 +64,7 @@ def monthly_spend(ctx: Context) -> DataFrame:
 
 
 def _enriched(ctx: Context) -> DataFrame:
-    from ledgerlight.plans.enriched import query_history_enriched
-    return ctx.memo("enriched", lambda: query_history_enriched(ctx.st.query_history(), ctx.cost_per_query()))
+    return ctx.query_history_enriched()
 
 
 @register("query_history_enriched",
@@ -84,36 +82,30 @@ def dbt_queries(ctx: Context) -> DataFrame:
     return build(_enriched(ctx))
 
 
-def _access(ctx: Context) -> DataFrame:
-    return ctx.st.access_history()
-
-
 @register("query_base_object_access", M.ACCESS_LINES + "SELECT * FROM base_objects")
 def query_base_object_access(ctx: Context) -> DataFrame:
     """One row per query and base object with the distinct columns read."""
-    from ledgerlight.plans.access import query_base_object_access as build
-    return build(_access(ctx))
+    return ctx.object_access("base")
 
 
 @register("query_direct_object_access", M.ACCESS_LINES + "SELECT * FROM direct_objects")
 def query_direct_object_access(ctx: Context) -> DataFrame:
     """One row per query and directly named object, deduplicated on the row key."""
-    from ledgerlight.plans.access import query_direct_object_access as build
-    return build(_access(ctx))
+    return ctx.object_access("direct")
 
 
 @register("query_base_table_access", M.ACCESS_LINES + M.TABLE_ACCESS.format(src="base_objects"))
 def query_base_table_access(ctx: Context) -> DataFrame:
     """Base objects that are tables with an id."""
-    from ledgerlight.plans.access import query_base_object_access as build, table_access
-    return table_access(build(_access(ctx)))
+    from ledgerlight.plans.access import table_access
+    return table_access(ctx.object_access("base"))
 
 
 @register("query_direct_table_access", M.ACCESS_LINES + M.TABLE_ACCESS.format(src="direct_objects"))
 def query_direct_table_access(ctx: Context) -> DataFrame:
     """Directly named objects that are tables with an id."""
-    from ledgerlight.plans.access import query_direct_object_access as build, table_access
-    return table_access(build(_access(ctx)))
+    from ledgerlight.plans.access import table_access
+    return table_access(ctx.object_access("direct"))
 
 
 @register("warehouses_type2_dimension",

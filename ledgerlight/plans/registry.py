@@ -28,23 +28,47 @@ class Query:
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_conf(spark)
-        return canonical(self.build(Context(spark, sf_dir)))
+        return canonical(self.build(Context.shared(spark, sf_dir)))
 
     def oracle(self) -> str | None:
         return None if self.sql is None else sql_canonical(self.sql, self.doubles)
 
 
+class _StagedTables(Staged):
+    """Staging models; the deduplicated query log is materialized once (an
+    incremental table in the reference)."""
+
+    def __init__(self, sources, ctx: "Context"):
+        super().__init__(sources)
+        self._ctx = ctx
+
+    def query_history(self) -> DataFrame:
+        from ledgerlight.session import materialize
+        return self._ctx.memo("stg_query_history",
+                              lambda: materialize(Staged.query_history(self), "stg_query_history"))
+
+
 class Context:
-    """Per-call bindings: test tables, staging models, the run date and shared plans."""
+    """Bindings for one data directory: test tables, staging models, the run date and
+    the upstream result tables. Like a DAG run of the reference, every upstream model
+    that the reference materializes (``table``/``incremental``) is computed once per
+    Spark application and data directory, written to the checkpoint folder and read by
+    the models downstream of it."""
+
+    _shared: dict[tuple[str, str, str], "Context"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str, account: str = ACCOUNT):
         self.spark, self.sf_dir, self.account = spark, sf_dir, account
         self.tb = Testbed(spark, sf_dir, account)
-        self.st = Staged(self.tb.sources_lazy())
+        self.st = _StagedTables(self.tb.sources_lazy(), self)
         self._memo: dict[str, DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:
-        return self.tb.table(name)
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str, account: str = ACCOUNT) -> "Context":
+        key = (spark.sparkContext.applicationId, sf_dir, account)
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir, account)
+        return cls._shared[key]
 
     @property
     def as_of(self) -> Column:
@@ -60,11 +84,35 @@ class Context:
         from ledgerlight.plans.rates import daily_rates
         from ledgerlight.session import materialize
         return self.memo("daily_rates",
-                         lambda: materialize(daily_rates(self.st, self.account, self.as_of)))
+                         lambda: materialize(daily_rates(self.st, self.account, self.as_of), "daily_rates"))
+
+    def table(self, name: str) -> DataFrame:
+        return self.tb.table(name)
 
     def cost_per_query(self) -> DataFrame:
         from ledgerlight.plans.query_cost import cost_per_query
-        return self.memo("cost_per_query", lambda: cost_per_query(self.st, self.daily_rates()))
+        from ledgerlight.session import materialize
+        return self.memo("cost_per_query", lambda: materialize(
+            cost_per_query(self.st, self.daily_rates()), "cost_per_query"))
+
+    def hourly_spend(self) -> DataFrame:
+        from ledgerlight.plans.spend import hourly_spend
+        from ledgerlight.session import materialize
+        return self.memo("hourly_spend", lambda: materialize(
+            hourly_spend(self.st, self.daily_rates(), self.account), "hourly_spend"))
+
+    def query_history_enriched(self) -> DataFrame:
+        from ledgerlight.plans.enriched import query_history_enriched
+        from ledgerlight.session import materialize
+        return self.memo("query_history_enriched", lambda: materialize(
+            query_history_enriched(self.st.query_history(), self.cost_per_query()), "query_history_enriched"))
+
+    def object_access(self, kind: str) -> DataFrame:
+        from ledgerlight.plans import access
+        from ledgerlight.session import materialize
+        build = access.query_base_object_access if kind == "base" else access.query_direct_object_access
+        return self.memo(f"{kind}_object_access", lambda: materialize(
+            build(self.st.access_history()), f"query_{kind}_object_access"))
 
 
 QUERIES: dict[str, Query] = {}

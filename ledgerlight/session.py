@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,9 +81,12 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(os.environ.get("LEDGERLIGHT_PARTITIONS", spark.sparkContext.defaultParallelism))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a small, reused intermediate to the shared checkpoint folder and cut its
-    lineage (the reference materializes these as tables). Reliable checkpoints survive
-    executor loss; local checkpoints would not."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a small, reused intermediate as parquet under the shared checkpoint folder
+    and read it back: one job, lineage cut (survives executor loss), and later reads
+    get column pruning, filter pushdown and file statistics. The reference
+    materializes these as tables."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

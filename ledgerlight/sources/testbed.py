@@ -314,14 +314,15 @@ class Testbed:
     # the reference's world) so that plans reusing them stay small
     MATERIALIZED = ("metering_history", "metering_daily_history", "rate_sheet_daily",
                     "remaining_balance_daily", "database_storage_usage_history",
-                    "stage_storage_usage_history", "storage_usage", "usage_in_currency_daily")
+                    "stage_storage_usage_history", "storage_usage", "usage_in_currency_daily",
+                    "access_history")
 
     def _memo(self, name, build):
         if name not in self._cache:
             df = build()
             if name in self.MATERIALIZED:
                 from ledgerlight.session import materialize
-                df = materialize(df)
+                df = materialize(df, name)
             self._cache[name] = df
         return self._cache[name]
 

@@ -72,7 +72,7 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], part
     existing = target.join(touched, partition_col, "left_semi")
     merged = evolve(existing.withColumn("_is_new", F.lit(0)), new.withColumn("_is_new", F.lit(1)))
     newest = first_per_key(merged, keys, [F.col("_is_new").desc(), *(order or [])]).drop("_is_new")
-    newest = materialize(newest)
+    newest = materialize(newest, "upsert")
     (newest.repartition(partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
