@@ -72,6 +72,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) "
+                           "before running on a cluster")
     local = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
     sc.setCheckpointDir(local)
     return local

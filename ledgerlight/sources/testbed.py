@@ -19,7 +19,8 @@ with them), following one rule per role:
                              on heavy days: overage), with a second contract row.
 * storage tables             daily bytes from ``value`` per event type.
 * ``usage_in_currency_daily`` daily usage per event type mapped to a usage type.
-* ``access_history``         one query per order, one accessed object per line item.
+* ``access_history``         one access record per line item (order + line number), with
+                             fixed-size object arrays built per row.
 
 Every rule is written once as SQL text. The Spark side evaluates it with
 ``selectExpr``/``groupBy(expr)`` on DataFrames; ``duck_sql`` renders the same text for
@@ -424,31 +425,40 @@ class Testbed:
         return self._memo("remaining_balance_daily", build)
 
     def access_history(self) -> DataFrame:
+        """One access record per line item (query = order + line number). The object
+        arrays are built per row, so their size is fixed (no per-key collection); the
+        supplier object appears twice with different columns and the base supplier
+        object has no column list."""
         def build():
             li = self.table("lineitem")
-            od = self.table("orders")
-            direct = F.struct(
-                F.expr("CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_suppkey END").alias("objectId"),
-                F.expr("'SUPPLIER_' || CAST(l_suppkey AS STRING)").alias("objectName"),
-                F.expr("CASE WHEN l_linestatus = 'O' THEN 'Table' ELSE 'View' END").alias("objectDomain"),
-                F.expr("array(named_struct('columnName', 'l_quantity'), "
-                       "named_struct('columnName', CASE WHEN l_discount > 0.05 THEN 'l_discount' END), "
-                       "named_struct('columnName', 'line_' || CAST(l_linenumber AS STRING)))").alias("columns"))
-            base = F.struct(
-                F.col("l_partkey").alias("objectId"),
-                F.expr("CASE WHEN l_tax > 0.07 THEN NULL ELSE 'PART_' || CAST(l_partkey AS STRING) END").alias("objectName"),
-                F.lit("Table").alias("objectDomain"),
-                F.expr("CASE WHEN l_quantity < 5 THEN array() ELSE array(named_struct('columnName', 'l_extendedprice'), "
-                       "named_struct('columnName', 'l_shipdate')) END").cast(
-                    "array<struct<columnName:string>>").alias("columns"))
-            per_order = li.groupBy("l_orderkey").agg(
-                F.collect_list(direct).alias("direct_objects_accessed"),
-                F.collect_list(base).alias("base_objects_accessed"))
-            out = od.join(per_order, od.o_orderkey == per_order.l_orderkey).select(
-                F.col("o_orderkey").cast("string").alias("query_id"),
+            od = self.table("orders").select("o_orderkey", "o_orderdate", "o_custkey")
+            supplier_id = F.expr("CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_suppkey END")
+            supplier_name = F.expr("'SUPPLIER_' || CAST(l_suppkey AS STRING)")
+            supplier_domain = F.expr("CASE WHEN l_linestatus = 'O' THEN 'Table' ELSE 'View' END")
+            col = lambda e: F.struct(F.expr(e).alias("columnName"))
+            direct = F.array(
+                F.struct(supplier_id.alias("objectId"), supplier_name.alias("objectName"),
+                         supplier_domain.alias("objectDomain"),
+                         F.array(col("'l_quantity'"), col("CASE WHEN l_discount > 0.05 THEN 'l_discount' END"),
+                                 col("'line_' || CAST(l_linenumber AS STRING)")).alias("columns")),
+                F.struct(supplier_id.alias("objectId"), supplier_name.alias("objectName"),
+                         supplier_domain.alias("objectDomain"),
+                         F.array(col("'l_quantity'"), col("'l_shipdate'")).alias("columns")))
+            part_cols = F.when(F.col("l_quantity") < 5, F.array().cast("array<struct<columnName:string>>")) \
+                .otherwise(F.array(col("'l_extendedprice'"), col("'l_shipdate'")))
+            base = F.array(
+                F.struct(F.col("l_partkey").alias("objectId"),
+                         F.expr("CASE WHEN l_tax > 0.07 THEN NULL ELSE 'PART_' || CAST(l_partkey AS STRING) END")
+                         .alias("objectName"),
+                         F.lit("Table").alias("objectDomain"), part_cols.alias("columns")),
+                F.struct(F.col("l_suppkey").alias("objectId"), supplier_name.alias("objectName"),
+                         F.lit("Table").alias("objectDomain"),
+                         F.lit(None).cast("array<struct<columnName:string>>").alias("columns")))
+            out = li.join(od, li.l_orderkey == od.o_orderkey).select(
+                F.expr("CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)").alias("query_id"),
                 F.col("o_orderdate").cast("timestamp").alias("query_start_time"),
                 F.expr("'cust_' || CAST(o_custkey AS STRING)").alias("user_name"),
-                "direct_objects_accessed", "base_objects_accessed")
+                direct.alias("direct_objects_accessed"), base.alias("base_objects_accessed"))
             return conform(out, SOURCES["access_history"])
         return self._memo("access_history", build)
 

@@ -412,8 +412,8 @@ ENRICHED_DOUBLES = (["compute_cost", "compute_credits", "query_acceleration_cost
 # --------------------------------------------------------------------------
 ACCESS_LINES = """
 WITH lines AS (
-  SELECT CAST(o.o_orderkey AS VARCHAR) AS query_id, o.o_orderdate AS query_start_time,
-         'cust_' || CAST(o.o_custkey AS VARCHAR) AS user_name, l.*
+  SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS query_id,
+         o.o_orderdate AS query_start_time, 'cust_' || CAST(o.o_custkey AS VARCHAR) AS user_name, l.*
   FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey),
 base_cols AS (
   SELECT * FROM (
@@ -429,7 +429,7 @@ direct_cols AS (
          'SUPPLIER_' || CAST(l_suppkey AS VARCHAR) AS object_name,
          CASE WHEN l_linestatus = 'O' THEN 'Table' ELSE 'View' END AS object_domain,
          unnest(['l_quantity', CASE WHEN l_discount > 0.05 THEN 'l_discount' END,
-                 'line_' || CAST(l_linenumber AS VARCHAR)]) AS col
+                 'line_' || CAST(l_linenumber AS VARCHAR), 'l_quantity', 'l_shipdate']) AS col
   FROM lines),
 base_objects AS (
   SELECT md5(query_id || object_name) AS _unique_id, query_id, query_start_time, user_name, table_id,

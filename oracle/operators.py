@@ -82,12 +82,13 @@ SELECT page_id, regexp_replace(html, '{COMMENT_PATTERN}', '', 'g') AS html_no_co
 FROM pages"""
 
 J1_EXPLODE = """
-SELECT CAST(o.o_orderkey AS VARCHAR) AS query_id, o.o_orderdate AS query_start_time,
+SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS query_id,
+       o.o_orderdate AS query_start_time,
        CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE l.l_suppkey END AS table_id,
        'SUPPLIER_' || CAST(l.l_suppkey AS VARCHAR) AS object_name,
        CASE WHEN l.l_linestatus = 'O' THEN 'Table' ELSE 'View' END AS object_domain,
-       CAST(3 AS INTEGER) AS n_columns
-FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey"""
+       CAST(n AS INTEGER) AS n_columns
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey, (VALUES (3), (2)) AS t(n)"""
 
 _T8 = "sign({c}) * floor(abs({c}) * 100000000.0) / 100000000.0 AS {c}"
 _N1_COLS = f"l_orderkey, l_linenumber, l_partkey, {_T8.format(c='l_extendedprice')}, {_T8.format(c='l_discount')}"
