@@ -65,7 +65,11 @@ class Context:
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, account: str = ACCOUNT) -> "Context":
-        key = (spark.sparkContext.applicationId, sf_dir, account)
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # sessions without a local SparkContext handle
+            app = str(id(spark))
+        key = (app, sf_dir, account)
         if key not in cls._shared:
             cls._shared[key] = cls(spark, sf_dir, account)
         return cls._shared[key]
