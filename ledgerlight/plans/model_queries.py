@@ -114,3 +114,15 @@ def warehouses_type2_dimension(ctx: Context) -> DataFrame:
     """Validity periods of warehouse size and name from the query log."""
     from ledgerlight.plans.warehouses import warehouses_type2_dimension as build
     return build(ctx.st)
+
+
+@register("cost_per_query_incremental",
+          M.model_sql(M.COST_LOOKBACK, M.DAILY_RATES, M.COST_PER_QUERY), _CPQ_DOUBLES)
+def cost_per_query_incremental(ctx: Context) -> DataFrame:
+    """An incremental run: queries ending in the last 3 days of the log, recomputed from
+    whole hours so they equal the full run (look-back boundary fixed)."""
+    from pyspark.sql import functions as F
+    from ledgerlight.plans.query_cost import cost_per_query as build, filtered_queries
+    since = F.timestamp_add("DAY", F.lit(-M.LOOKBACK_DAYS),
+                            filtered_queries(ctx.st).agg(F.max("end_time")).scalar())
+    return build(ctx.st, ctx.daily_rates(), since=since)

@@ -463,3 +463,7 @@ warehouses_type2_dimension AS (
          next_from IS NULL AS is_current
   FROM wh_changes)
 """
+
+LOOKBACK_DAYS = 3
+COST_LOOKBACK = (f"SELECT * FROM cost_per_query WHERE end_time > "
+                 f"(SELECT max(end_time) - INTERVAL {LOOKBACK_DAYS} DAY FROM fq)")
