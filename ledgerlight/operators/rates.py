@@ -9,8 +9,9 @@ def rate_slice(rates: DataFrame, service_type: str | None, usage_type: str | Non
                prefix: str = "", latest_only: bool = False) -> DataFrame:
     """Rates of one (service type, usage type), columns renamed with ``prefix``.
 
-    The daily rate table holds one row per day and type, so a slice is bounded by the
-    number of days and is broadcast by AQE at runtime."""
+    Proven size bound: the daily rate table holds one row per (day, service type,
+    usage type), so a slice holds at most one row per day of the rate grid. It is
+    broadcast, which also keeps a day holding most facts from becoming a hot join key."""
     r = rates
     if service_type is not None:
         r = r.where(F.col("service_type") == service_type)
@@ -18,9 +19,9 @@ def rate_slice(rates: DataFrame, service_type: str | None, usage_type: str | Non
         r = r.where(F.col("usage_type") == usage_type)
     if latest_only:
         r = r.where(F.col("is_latest_rate"))
-    return r.select(F.col("date").alias(f"{prefix}rate_date"),
-                    F.col("effective_rate").alias(f"{prefix}effective_rate"),
-                    F.col("currency").alias(f"{prefix}currency"))
+    return F.broadcast(r.select(F.col("date").alias(f"{prefix}rate_date"),
+                                F.col("effective_rate").alias(f"{prefix}effective_rate"),
+                                F.col("currency").alias(f"{prefix}currency")))
 
 
 def with_rate(df: DataFrame, rates: DataFrame, date: Column, service_type: str,

@@ -124,7 +124,9 @@ def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
     daily = daily.withColumn("daily_billable_cloud_services",
                              billable_after_free_tier(F.col("daily_credits_used_cloud_services"),
                                                       F.col("daily_credits_used_compute")))
-    out = all_queries.join(daily, F.to_date("start_time") == F.col("day"), "inner")
+    # one row per day (bounded by the calendar): broadcast, no shuffle of the queries on
+    # a day key that could be hot
+    out = all_queries.join(F.broadcast(daily), F.to_date("start_time") == F.col("day"), "inner")
     cs_rate = rate_slice(rates, "CLOUD_SERVICES", "cloud services", prefix="d_")
     out = out.join(cs_rate, F.to_date("start_time") == F.col("d_rate_date"), "left")
     # No current cloud-services rate at all -> no rows. The latest rate is one row

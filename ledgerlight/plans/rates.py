@@ -53,7 +53,7 @@ def daily_rates(st: Staged, account: str, as_of: Column) -> DataFrame:
                       .where(F.col("date").isNotNull()).select("_day_overage").scalar())
     in_overage = F.coalesce(F.col("_day_overage"), latest_overage, F.lit(False))
     is_overage_rate = F.col("usage_type").startswith(OVERAGE_PREFIX)
-    rated = (filled.join(bal_day, "date", "left")
+    rated = (filled.join(F.broadcast(bal_day), "date", "left")  # one balance row per day
              .withColumn("is_overage_rate", is_overage_rate)
              .withColumn("associated_usage_type", F.replace("usage_type", F.lit(OVERAGE_PREFIX), F.lit("")))
              .withColumn("rate_priority",

@@ -211,7 +211,7 @@ def cloud_services_spend_hourly(st, hours, rates) -> DataFrame:
              .agg(F.sum("credits_used_cloud_services").alias("b_cs"),
                   F.sum(F.col("credits_used_cloud_services") + F.col("credits_adjustment_cloud_services"))
                   .alias("b_billable")))
-    j = usage.join(daily, F.col("date") == F.col("b_date"), "inner")  # S10
+    j = usage.join(F.broadcast(daily), F.col("date") == F.col("b_date"), "inner")  # S10; one row per day
     j = j.join(rate_slice(rates, "CLOUD_SERVICES", "cloud services"), F.col("date") == F.col("rate_date"), "left")
     net = share_of(F.col("cs"), F.col("b_cs"), F.col("b_billable"))
     return _emit(j, hour=F.col("hour"), service=F.lit("Cloud Services"), storage_type=_null_s(),
