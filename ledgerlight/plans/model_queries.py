@@ -126,3 +126,32 @@ def cost_per_query_incremental(ctx: Context) -> DataFrame:
     since = F.timestamp_add("DAY", F.lit(-M.LOOKBACK_DAYS),
                             filtered_queries(ctx.st).agg(F.max("end_time")).scalar())
     return build(ctx.st, ctx.daily_rates(), since=since)
+
+
+@register("check_no_queries_dropped",
+          M.model_sql(M.CHECK_NO_QUERIES_DROPPED, M.DAILY_RATES, M.COST_PER_QUERY, M.ENRICHED))
+def check_no_queries_dropped(ctx: Context) -> DataFrame:
+    """Queries before the run date present in only one of the enriched log and the
+    cost per query (must be empty)."""
+    from ledgerlight.operators.checks import unmatched_keys
+    return unmatched_keys(ctx.query_history_enriched(), ctx.cost_per_query(), "query_id",
+                          date_col="start_time", before=ctx.as_of)
+
+
+@register("check_unique_daily_rates", M.model_sql(M.CHECK_UNIQUE_DAILY_RATES, M.DAILY_RATES))
+def check_unique_daily_rates(ctx: Context) -> DataFrame:
+    """(date, usage type) pairs with more than one rate (must be empty)."""
+    from ledgerlight.operators.checks import duplicates
+    return duplicates(ctx.daily_rates(), ["date", "usage_type"])
+
+
+@register("check_cost_per_query_keys",
+          M.model_sql(M.CHECK_COST_KEYS, M.DAILY_RATES, M.COST_PER_QUERY))
+def check_cost_per_query_keys(ctx: Context) -> DataFrame:
+    """Query ids of the cost table that repeat or are null (unique + not-null test)."""
+    from pyspark.sql import functions as F
+    from ledgerlight.operators.checks import duplicates, nulls
+    cost = ctx.cost_per_query()
+    dup = duplicates(cost, ["query_id"])
+    missing = nulls(cost, ["query_id"]).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    return dup.unionByName(missing)

@@ -467,3 +467,17 @@ warehouses_type2_dimension AS (
 LOOKBACK_DAYS = 3
 COST_LOOKBACK = (f"SELECT * FROM cost_per_query WHERE end_time > "
                  f"(SELECT max(end_time) - INTERVAL {LOOKBACK_DAYS} DAY FROM fq)")
+
+# --------------------------------------------------------------------------
+# The reference's data checks (each returns the offending rows; empty = pass)
+# --------------------------------------------------------------------------
+CHECK_NO_QUERIES_DROPPED = (
+    "SELECT coalesce(e.query_id, c.query_id) AS query_id, "
+    "CASE WHEN c.query_id IS NULL THEN 'only_in_left' ELSE 'only_in_right' END AS side "
+    "FROM (SELECT DISTINCT query_id FROM enriched WHERE CAST(start_time AS DATE) < (" + AS_OF + ")) e "
+    "FULL OUTER JOIN (SELECT DISTINCT query_id FROM cost_per_query WHERE CAST(start_time AS DATE) < ("
+    + AS_OF + ")) c ON e.query_id = c.query_id WHERE e.query_id IS NULL OR c.query_id IS NULL")
+CHECK_UNIQUE_DAILY_RATES = ("SELECT date, usage_type, count(*) AS n FROM daily_rates "
+                            "GROUP BY date, usage_type HAVING count(*) > 1")
+CHECK_COST_KEYS = ("SELECT query_id, count(*) AS n FROM cost_per_query GROUP BY query_id "
+                   "HAVING count(*) > 1 OR query_id IS NULL")
