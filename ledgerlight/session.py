@@ -18,6 +18,15 @@ SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# On a cluster: size post-shuffle partitions by bytes, not by core count. Start from a
+# generous spark.sql.shuffle.partitions (e.g. input bytes / 128 MB) and let AQE merge
+# small partitions up to ~128 MB. On one machine Spark's parallelism-first default keeps
+# all cores busy instead.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+}
+
 # Performance settings: applied when we build the session ourselves.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -43,6 +52,8 @@ def build_session(master: str | None = None, app: str = "ledgerlight",
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", os.environ.get("LEDGERLIGHT_DRIVER_MEMORY", "16g"))
+    else:
+        conf.update(CLUSTER_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
