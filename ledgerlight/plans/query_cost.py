@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.functions.num import div0
 from ledgerlight.operators.allocation import (allocate, billable_after_free_tier,
                                               conditional_sums, rollup_slices, share_of)
 from ledgerlight.operators.rates import rate_slice
