@@ -49,7 +49,7 @@ INCREMENTAL = {
 ACCESS_LOOKBACK_DAYS = 1
 
 
-class Pipeline:
+class ModelBuild:
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], target_root: str,
                  account: str, as_of: Column, cloud_account_id: str | None = None):
         self.spark, self.sources, self.root = spark, sources, target_root.rstrip("/")

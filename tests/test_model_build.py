@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlight.plans.canonical import canonical
-from ledgerlight.plans.pipeline import PART, Pipeline
+from ledgerlight.plans.model_build import PART, ModelBuild
 from ledgerlight.plans.registry import Context
 from tests.conftest import SF_SMALL
 
@@ -23,14 +23,14 @@ def test_full_then_incremental_equals_one_full_run(spark, tmp_path):
     early = dict(sources)
     early["query_history"] = qh.where(F.col("end_time") <= F.lit(cut))
     early["access_history"] = ah.where(F.col("query_start_time") <= F.lit(acut))
-    inc = Pipeline(spark, early, str(tmp_path / "inc"), ctx.account, ctx.as_of)
+    inc = ModelBuild(spark, early, str(tmp_path / "inc"), ctx.account, ctx.as_of)
     assert inc.run()["cost_per_query"] is None                       # first run: full build
     inc.sources = sources
     inc.src = type(inc.src)(sources)
     lows = inc.run()
     assert lows["cost_per_query"] is not None and lows["stg_query_history"] is not None
 
-    full = Pipeline(spark, sources, str(tmp_path / "full"), ctx.account, ctx.as_of)
+    full = ModelBuild(spark, sources, str(tmp_path / "full"), ctx.account, ctx.as_of)
     full.run(full_refresh=True)
     for name in ["stg_query_history", "cost_per_query", "query_history_enriched", "dbt_queries",
                  "query_base_object_access", "query_direct_object_access", "stg_access_history"]:
