@@ -35,7 +35,7 @@ def test_full_then_incremental_equals_one_full_run(spark, tmp_path):
     for name in ["stg_query_history", "cost_per_query", "query_history_enriched", "dbt_queries",
                  "query_base_object_access", "query_direct_object_access", "stg_access_history"]:
         assert rows(inc.read(name)) == rows(full.read(name)), name
-    # and the pipeline's tables equal the registered queries
+    # and the built tables equal the registered queries
     assert rows(full.read("cost_per_query")) == rows(ctx.cost_per_query())
     assert rows(full.daily_spend()) == rows(
         __import__("ledgerlight.plans.spend", fromlist=["daily_spend"]).daily_spend(ctx.hourly_spend()))
