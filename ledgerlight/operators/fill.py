@@ -56,14 +56,18 @@ def gap_fill(df: DataFrame, keys: list[str], date: str, values: list[str],
             .select(*keys, F.explode(F.sequence(start, end)).alias(date)))
     facts = df.select(*keys, date, *values)
     joined = grid.join(facts, [*keys, date], "left")
-    # Both fills use a growing frame (unbounded preceding .. 1 preceding), which Spark
-    # evaluates incrementally; the backward fill runs over the descending order. A
-    # "1 following .. unbounded following" frame would be re-aggregated per row.
-    before = Window.partitionBy(*keys).orderBy(F.col(date).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(F.col(date).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # The forward fill is a growing frame (unbounded preceding .. 1 preceding), evaluated
+    # incrementally. The backward fill only matters before a key's first known value (the
+    # forward fill covers every later row), where it equals the key's first non-null
+    # value: a whole-partition frame. Both frames share one partitioning and ordering, so
+    # one sort serves both (a "1 following .. unbounded following" frame would be
+    # re-aggregated per row instead).
+    ordered = Window.partitionBy(*keys).orderBy(F.col(date).asc())
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return joined.withColumns({
         v: F.coalesce(F.col(v), F.last(v, ignorenulls=True).over(before),
-                      F.last(v, ignorenulls=True).over(after))
+                      F.first(v, ignorenulls=True).over(whole))
         for v in values})
 
 
