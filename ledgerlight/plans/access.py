@@ -16,7 +16,7 @@ KEEP = ["query_id", "query_start_time", "user_name"]
 OBJECT_FIELDS = {"table_id": ("objectId", "bigint"), "object_name": ("objectName", "string"),
                  "object_domain": ("objectDomain", "string"), "columns_array": ("columns", None)}
 GROUP = ["query_id", "query_start_time", "user_name", "table_id", "object_name", "object_domain"]
-TABLE_DOMAIN = "Table"
+TABLE_DOMAIN = "Table"  # fixed value: the domain of plain tables (others are views)
 
 
 def object_access(access: DataFrame, array_col: str, dedup: bool) -> DataFrame:

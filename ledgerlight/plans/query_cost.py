@@ -22,8 +22,14 @@ from ledgerlight.operators.rates import rate_slice
 from ledgerlight.operators.spine import slice_intervals
 from ledgerlight.sources.staging import Staged
 
+# ---------------------------------------------------------------------------
+# Waiting times before execution starts, share of compute credits that
+# covers cloud services for free, metered service types billed per warehouse hour
+# ---------------------------------------------------------------------------
 WAITS = ["queued_overload_time", "compilation_time", "queued_provisioning_time",
          "queued_repair_time", "list_external_files_time"]
+FREE_CLOUD_SERVICES_FRACTION = 0.1
+HOURLY_SERVICE_TYPES = ("QUERY_ACCELERATION", "WAREHOUSE_METERING")
 
 OUTPUT = ["query_id", "start_time", "end_time", "execution_start_time", "compute_cost",
           "compute_credits", "query_acceleration_cost", "query_acceleration_credits",
@@ -49,7 +55,7 @@ def filtered_queries(st: Staged, since: Column | None = None) -> DataFrame:
 
 
 def credits_billed_hourly(st: Staged) -> DataFrame:
-    m = st.metering_history().where(F.col("service_type").isin("QUERY_ACCELERATION", "WAREHOUSE_METERING"))
+    m = st.metering_history().where(F.col("service_type").isin(*HOURLY_SERVICE_TYPES))
     return conditional_sums(
         m.withColumnRenamed("start_time", "hour").withColumnRenamed("entity_id", "warehouse_id"),
         ["hour", "warehouse_id"], "service_type",
@@ -122,7 +128,8 @@ def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
                   F.sum("credits_used_cloud_services").alias("daily_credits_used_cloud_services")))
     daily = daily.withColumn("daily_billable_cloud_services",
                              billable_after_free_tier(F.col("daily_credits_used_cloud_services"),
-                                                      F.col("daily_credits_used_compute")))
+                                                      F.col("daily_credits_used_compute"),
+                                                      FREE_CLOUD_SERVICES_FRACTION))
     # one row per day (bounded by the calendar): broadcast, no shuffle of the queries on
     # a day key that could be hot
     out = all_queries.join(F.broadcast(daily), F.to_date("start_time") == F.col("day"), "inner")

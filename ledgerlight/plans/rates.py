@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from ledgerlight.operators.fill import flag_first, gap_fill, latest_per_key, pick_by_priority
 from ledgerlight.sources.staging import Staged
 
-SPINE_START = "2018-01-01"  # first day of the date spine (fixed value)
+# ---------------------------------------------------------------------------
+# First day of the date spine, prefix of overage usage types
+# ---------------------------------------------------------------------------
+SPINE_START = "2018-01-01"
 OVERAGE_PREFIX = "overage-"
 
 
