@@ -1,8 +1,8 @@
 """Registered queries: every named result table and operator, bound to the test tables.
 
-``QUERIES[name].build(spark, sf_dir)`` returns the result DataFrame in canonical form
-(see ``canonical``); ``QUERIES[name].sql`` is the DuckDB statement computing the same
-rows over the same parquet files, or ``None`` for a rows-only check.
+``QUERIES[name].run(spark, sf_dir)`` returns the result DataFrame in canonical form
+(see ``canonical``); ``QUERIES[name].oracle()`` is the DuckDB statement computing the
+same rows over the same parquet files.
 """
 from __future__ import annotations
 
@@ -12,8 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.plans import access, enriched, query_cost, rates, spend
 from ledgerlight.plans.canonical import canonical, sql_canonical
-from ledgerlight.session import ensure_conf
+from ledgerlight.session import ensure_conf, materialize
 from ledgerlight.sources.staging import Staged
 from ledgerlight.sources.testbed import ACCOUNT, Testbed
 
@@ -43,7 +44,6 @@ class _StagedTables(Staged):
         self._ctx = ctx
 
     def query_history(self) -> DataFrame:
-        from ledgerlight.session import materialize
         return self._ctx.memo("stg_query_history",
                               lambda: materialize(Staged.query_history(self), "stg_query_history"))
 
@@ -84,39 +84,29 @@ class Context:
             self._memo[key] = build()
         return self._memo[key]
 
-    def daily_rates(self) -> DataFrame:
-        from ledgerlight.plans.rates import daily_rates
-        from ledgerlight.session import materialize
-        return self.memo("daily_rates",
-                         lambda: materialize(daily_rates(self.st, self.account, self.as_of), "daily_rates"))
-
     def table(self, name: str) -> DataFrame:
         return self.tb.table(name)
 
+    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self.memo(name, lambda: materialize(build(), name))
+
+    def daily_rates(self) -> DataFrame:
+        return self._table("daily_rates", lambda: rates.daily_rates(self.st, self.account, self.as_of))
+
     def cost_per_query(self) -> DataFrame:
-        from ledgerlight.plans.query_cost import cost_per_query
-        from ledgerlight.session import materialize
-        return self.memo("cost_per_query", lambda: materialize(
-            cost_per_query(self.st, self.daily_rates()), "cost_per_query"))
+        return self._table("cost_per_query", lambda: query_cost.cost_per_query(self.st, self.daily_rates()))
 
     def hourly_spend(self) -> DataFrame:
-        from ledgerlight.plans.spend import hourly_spend
-        from ledgerlight.session import materialize
-        return self.memo("hourly_spend", lambda: materialize(
-            hourly_spend(self.st, self.daily_rates(), self.account), "hourly_spend"))
+        return self._table("hourly_spend",
+                           lambda: spend.hourly_spend(self.st, self.daily_rates(), self.account))
 
     def query_history_enriched(self) -> DataFrame:
-        from ledgerlight.plans.enriched import query_history_enriched
-        from ledgerlight.session import materialize
-        return self.memo("query_history_enriched", lambda: materialize(
-            query_history_enriched(self.st.query_history(), self.cost_per_query()), "query_history_enriched"))
+        return self._table("query_history_enriched", lambda: enriched.query_history_enriched(
+            self.st.query_history(), self.cost_per_query()))
 
     def object_access(self, kind: str) -> DataFrame:
-        from ledgerlight.plans import access
-        from ledgerlight.session import materialize
         build = access.query_base_object_access if kind == "base" else access.query_direct_object_access
-        return self.memo(f"{kind}_object_access", lambda: materialize(
-            build(self.st.access_history()), f"query_{kind}_object_access"))
+        return self._table(f"query_{kind}_object_access", lambda: build(self.st.access_history()))
 
 
 QUERIES: dict[str, Query] = {}
