@@ -50,7 +50,8 @@ def with_day_stats(hours: DataFrame, hour: str = "hour") -> DataFrame:
 def slice_intervals(df: DataFrame, end: str, anchor: str, slice_col: str = "hour_start",
                     slice_end_col: str = "hour_end",
                     ms_col: str = "num_milliseconds_query_ran",
-                    grid: tuple[Column, Column] | None = None) -> DataFrame:
+                    grid: tuple[Column, Column] | None = None,
+                    clip: tuple[Column, Column] | None = None) -> DataFrame:
     """One row per clock hour an interval touches.
 
     Hours ``h`` with ``date_trunc('hour', anchor) <= h < end``; an interval whose
@@ -58,12 +59,17 @@ def slice_intervals(df: DataFrame, end: str, anchor: str, slice_col: str = "hour
     ``ms_col`` is the overlap in milliseconds, ``least(end, h+1h) - greatest(anchor, h)``,
     which is negative when the anchor lies after the end inside the same hour.
     ``grid`` optionally bounds the hours (the reference's fixed look-back grid).
+    ``clip`` (first hour, last hour) bounds the generated sequence itself, so a row with
+    a bogus start or end cannot emit more slices than the hours of interest.
     """
     a, e = F.col(anchor), F.col(end)
     first = F.date_trunc("hour", a)
     last = F.date_trunc("hour", e - _one_micro())
-    out = (df.where(e > first)
-           .withColumn(slice_col, F.explode(F.sequence(first, last, _one_hour())))
+    out = df.where(e > first)
+    if clip is not None:
+        first, last = F.greatest(first, clip[0]), F.least(last, clip[1])
+        out = out.where(first <= last)
+    out = (out.withColumn(slice_col, F.explode(F.sequence(first, last, _one_hour())))
            .withColumn(slice_end_col, F.col(slice_col) + _one_hour()))
     if grid is not None:
         lo, hi = grid

@@ -79,9 +79,14 @@ def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
         queries = queries.where(F.col("end_time") > F.least(first_hour, since))
     billed = credits_billed_hourly(st)
 
-    # K4: one row per hour a warehouse query ran
+    # K4: one row per hour a warehouse query ran. Hours outside the billed range can
+    # never join a bill, so the generated sequence is clipped to it (exact, and bounded
+    # even for a row with a bogus start time).
+    billed_hours = billed.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
+    clip = (billed_hours.select("lo").scalar(), billed_hours.select("hi").scalar())
     slices = slice_intervals(queries.where(F.col("ran_on_warehouse")), end="end_time",
-                             anchor="execution_start_time", grid=grid).withColumnRenamed("hour_start", "hour")
+                             anchor="execution_start_time", grid=grid,
+                             clip=clip).withColumnRenamed("hour_start", "hour")
     # K5 + K6: share each hour's bill by run time and by accelerated bytes
     cost = allocate(
         slices, billed.select("hour", "warehouse_id", "credits_used_compute",

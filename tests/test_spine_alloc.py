@@ -85,3 +85,14 @@ def test_free_tier_and_residual(spark):
     parts = spark.createDataFrame([("d1", 4.0), ("d1", 1.0), ("d2", 5.0)], "d string, p double")
     out = residual(total, parts, ["d"], {"r": ("t", "p")}, keep_positive=True)
     assert [(r.d, r.r) for r in out.collect()] == [("d1", 5.0)]
+
+
+def test_clip_bounds_the_sequence(spark):
+    rows = [("bogus", ts("1970-01-01 00:00:00"), ts("2024-01-01 02:30:00")),
+            ("inside", ts("2024-01-01 01:10:00"), ts("2024-01-01 01:20:00")),
+            ("outside", ts("2023-12-31 10:00:00"), ts("2023-12-31 11:00:00"))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    clip = (F.lit(ts("2024-01-01 00:00:00")), F.lit(ts("2024-01-01 01:00:00")))
+    out = slice_intervals(df, end="e", anchor="s", ms_col="ms", clip=clip)
+    got = sorted((r.id, r.hour_start.hour, r.ms) for r in out.collect())
+    assert got == [("bogus", 0, 3_600_000), ("bogus", 1, 3_600_000), ("inside", 1, 600_000)]
