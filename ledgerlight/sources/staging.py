@@ -6,10 +6,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlight.operators.fill import first_per_key
 from ledgerlight.schemas import QUERY_HISTORY_COLUMNS
 
+OBJECT_COLUMNS = ("direct_objects_accessed", "base_objects_accessed", "objects_modified")
+RAW_OBJECTS_ARRAY = ("array<struct<objectId:string,objectName:string,objectDomain:string,"
+                     "columns:array<struct<columnName:string>>>>")
+
 
 class Staged:
     """The twelve staging models over a mapping of source DataFrames."""
@@ -44,9 +49,16 @@ class Staged:
             "database_id", "database_name", "credits_used")
 
     def access_history(self) -> DataFrame:
-        return self.src["access_history"].select(
-            "query_id", "parent_query_id", "root_query_id", "query_start_time", "user_name",
-            "direct_objects_accessed", "base_objects_accessed", "objects_modified")
+        """Object arrays may arrive typed or as raw JSON text; text is parsed here with
+        ``objectId`` kept as text (the flattening step ``try_cast``s it), so one odd id
+        cannot null a whole array."""
+        df = self.src["access_history"]
+        parsed = {c: F.from_json(c, RAW_OBJECTS_ARRAY) for c in OBJECT_COLUMNS
+                  if isinstance(df.schema[c].dataType, T.StringType)}
+        if parsed:
+            df = df.withColumns(parsed)
+        return df.select("query_id", "parent_query_id", "root_query_id", "query_start_time", "user_name",
+                         *OBJECT_COLUMNS)
 
     def database_storage_usage_history(self) -> DataFrame:
         return self.src["database_storage_usage_history"].select(

@@ -66,3 +66,22 @@ def test_seeds(spark, tmp_path):
     p.write_text("MONTH,SERVICE,SPEND\n2022-04-01,Storage,1.5\n2022-04-01,Compute,2\n")
     seed = read_csv_seed(spark, str(p))
     assert [(r.SERVICE, r.SPEND) for r in seed.orderBy("SERVICE").collect()] == [("Compute", 2.0), ("Storage", 1.5)]
+
+
+def test_access_history_from_raw_json_text(spark):
+    import json
+    from ledgerlight.sources.staging import Staged
+    objs = [{"objectId": 7, "objectName": "DB.S.T", "objectDomain": "Table",
+             "columns": [{"columnName": "b"}, {"columnName": "a"}]},
+            {"objectId": "not-a-number", "objectName": "DB.S.V", "objectDomain": "View",
+             "columns": [{"columnName": "x"}]}]
+    raw = spark.createDataFrame(
+        [("q1", None, None, T0, "u", json.dumps(objs), json.dumps(objs), None),
+         ("q2", None, None, T0, "u", "not json", None, "[]")],
+        "query_id string, parent_query_id string, root_query_id string, query_start_time timestamp, "
+        "user_name string, direct_objects_accessed string, base_objects_accessed string, objects_modified string")
+    staged = Staged({"access_history": raw}).access_history()
+    out = query_base_object_access(staged)
+    got = sorted(((r.query_id, r.table_id, r.object_name, tuple(r.columns_accessed)) for r in out.collect()),
+                 key=str)
+    assert got == [("q1", 7, "DB.S.T", ("a", "b")), ("q1", None, "DB.S.V", ("x",))]
