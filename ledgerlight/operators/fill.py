@@ -33,6 +33,19 @@ def flag_first(df: DataFrame, keys: list[str], order: list, flag: str) -> DataFr
     return df.withColumn(flag, F.row_number().over(w) == 1)
 
 
+def flag_latest(df: DataFrame, keys: list[str], order: list[str], flag: str) -> DataFrame:
+    """Boolean column, true on the row(s) with the greatest ``order`` values per key.
+
+    Skew-safe: the per-key maximum is a partial aggregate (one value per key and map
+    task crosses the shuffle) joined back, instead of a window holding the whole key.
+    Put a unique column last in ``order`` to flag exactly one row."""
+    ordering = F.struct(*[F.col(c) for c in order])
+    top = df.groupBy(*keys).agg(F.max(ordering).alias("_latest"))
+    return (df.join(top, keys, "left")
+            .withColumn(flag, F.coalesce(ordering == F.col("_latest"), F.lit(False)))
+            .drop("_latest"))
+
+
 def latest_row(df: DataFrame, order: list) -> DataFrame:
     """The single latest row of a frame (F3); planned as a top-1, not a sort."""
     return df.orderBy(*_order(order)).limit(1)

@@ -157,3 +157,41 @@ def s6_negative_slices(ctx: Context) -> DataFrame:
     s = slice_intervals(q, end="end_time", anchor="execution_start_time")
     return checks.negatives(s, "num_milliseconds_query_ran").select(
         "query_id", F.col("hour_start"), "num_milliseconds_query_ran")
+
+
+@register("k9_spread_daily", O.K9_SPREAD_DAILY, ["value_per_hour"])
+def k9_spread_daily(ctx: Context) -> DataFrame:
+    """Each day's summed event value spread evenly over that day's grid hours."""
+    from ledgerlight.operators.spine import spread_daily
+    hours = with_day_stats(hour_spine(ctx.table("events").select(F.date_trunc("hour", "ts").alias("h")), "h"))
+    daily = ctx.table("events").groupBy(F.to_date("ts").alias("day")).agg(F.sum("value").alias("v"))
+    return spread_daily(hours, daily, "day", {"value_per_hour": "v"}).select("hour", "value_per_hour")
+
+
+@register("k11_residual", O.K11_RESIDUAL, ["residual"])
+def k11_residual(ctx: Context) -> DataFrame:
+    """Order total minus the sum of its line prices, where positive."""
+    from ledgerlight.operators.allocation import residual
+    total = ctx.table("orders").select("o_orderkey", "o_totalprice")
+    parts = ctx.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
+    out = residual(total, parts, ["o_orderkey"], {"residual": ("o_totalprice", "l_extendedprice")},
+                   keep_positive=True)
+    return out.select("o_orderkey", "residual")
+
+
+@register("k13_priority_pick", O.K13_PRIORITY_PICK, ["l_extendedprice"])
+def k13_priority_pick(ctx: Context) -> DataFrame:
+    """One line per order: returned lines first, then the lowest line number."""
+    from ledgerlight.operators.fill import pick_by_priority
+    li = ctx.table("lineitem")
+    prio = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    out = pick_by_priority(li, ["l_orderkey"], prio, ["l_linenumber", "l_partkey", "l_extendedprice"])
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+
+
+@register("f5_flag_latest", O.F5_FLAG_LATEST)
+def f5_flag_latest(ctx: Context) -> DataFrame:
+    """Every order, flagged when it is its customer's latest (skew-safe flag)."""
+    from ledgerlight.operators.fill import flag_latest
+    od = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return flag_latest(od, ["o_custkey"], ["o_orderdate", "o_orderkey"], "is_latest")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.fill import flag_first, gap_fill, latest_per_key, pick_by_priority
+from ledgerlight.operators.fill import flag_latest, gap_fill, latest_per_key, pick_by_priority
 from ledgerlight.sources.staging import Staged
 
 # ---------------------------------------------------------------------------
@@ -68,5 +68,5 @@ def daily_rates(st: Staged, account: str, as_of: Column) -> DataFrame:
                               F.col("rate_priority"), ["usage_type", "effective_rate"])
     out = picked.select("date", F.col("associated_usage_type").alias("usage_type"), "service_type",
                         "effective_rate", "currency", "is_overage_rate")
-    # latest day per (service type, usage type)
-    return flag_first(out, ["service_type", "usage_type"], [F.col("date").desc()], "is_latest_rate")
+    # latest day per (service type, usage type); one row per day and type after the pick
+    return flag_latest(out, ["service_type", "usage_type"], ["date"], "is_latest_rate")

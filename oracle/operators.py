@@ -115,3 +115,28 @@ N4_NULLS = model_sql("SELECT query_id, start_time, query_type FROM stg_query_his
 
 S6_NEGATIVE = model_sql("SELECT query_id, hour_start, ms AS num_milliseconds_query_ran FROM q_ms WHERE ms < 0",
                         DAILY_RATES, COST_PER_QUERY)
+
+K9_SPREAD_DAILY = """
+WITH b AS (SELECT min(date_trunc('hour', ts)) AS lo, max(date_trunc('hour', ts)) AS hi FROM events),
+h AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour FROM b),
+hours AS (SELECT hour, CAST(hour AS DATE) AS date, count(*) OVER (PARTITION BY CAST(hour AS DATE)) AS n FROM h),
+daily AS (SELECT CAST(ts AS DATE) AS day, sum(value) AS v FROM events GROUP BY 1)
+SELECT hours.hour, coalesce(daily.v / hours.n, 0) AS value_per_hour
+FROM hours LEFT JOIN daily ON hours.date = daily.day"""
+
+K11_RESIDUAL = """
+WITH parts AS (SELECT l_orderkey, sum(l_extendedprice) AS p FROM lineitem GROUP BY 1)
+SELECT o.o_orderkey, o.o_totalprice - p.p AS residual
+FROM orders o LEFT JOIN parts p ON o.o_orderkey = p.l_orderkey
+WHERE o.o_totalprice - p.p > 0"""
+
+K13_PRIORITY_PICK = """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey
+                           ORDER BY CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END DESC,
+                                    l_linenumber, l_partkey, l_extendedprice) = 1"""
+
+F5_FLAG_LATEST = """
+SELECT o_orderkey, o_custkey, o_orderdate,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 AS is_latest
+FROM orders"""
