@@ -28,7 +28,8 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def flag_first(df: DataFrame, keys: list[str], order: list, flag: str) -> DataFrame:
-    """Boolean column, true on the first row per key by ``order``."""
+    """Boolean column, true on the first row per key by ``order`` (F5). A full window
+    per key: use it for keys with calendar-bounded groups, ``flag_latest`` otherwise."""
     w = Window.partitionBy(*keys).orderBy(*_order(order))
     return df.withColumn(flag, F.row_number().over(w) == 1)
 
