@@ -1,10 +1,18 @@
-"""Type-2 history from an observation log (K14, F6, C9), skew-aware.
+"""Type-2 history from an observation log (K14, F6, C9), skew-proof.
 
 A plain ``lag``/``lead`` over ``partition by entity`` puts an entity's whole log in one
-task. Here the log is cut into (entity, time bucket) groups: change points are found
-inside each bucket, and only one summary row per bucket crosses bucket borders. The
-cross-bucket windows therefore see one row per bucket (bounded by the time range),
-not one row per observation.
+task. Two formulations avoid that:
+
+* ``method="sorted"`` (default): one global sort by (entity, time, tiebreak). Range
+  partitioning splits a hot entity over many partitions; rows are numbered inside each
+  sorted partition, and the previous row is an equi-join on the unique pair
+  (partition, index - 1). The first row of a partition takes the last row of the
+  previous non-empty partition from a table with one row per partition. The next
+  change is found the same way over the change rows. No group of any size is held by
+  one task; the cost is two global sorts.
+* ``method="bucketed"``: change points are found inside (entity, time bucket) groups and
+  one summary row per bucket crosses bucket borders; groups are bounded by the entity's
+  event rate x bucket length, cheaper when no bucket is hot.
 """
 from __future__ import annotations
 
@@ -13,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.session import materialize
+
 
 def _changed(cur: list[Column], prev: list[Column]) -> Column:
     # ``x != coalesce(prev, '')`` per tracked column, or-ed: the reference predicate,
@@ -21,10 +31,56 @@ def _changed(cur: list[Column], prev: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, terms)
 
 
+def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
+    """Globally sorted rows with (``_pid``, ``_i``): sorted partition and position in it.
+    Materialized so that every later join sees the same numbering."""
+    s = df.orderBy(*order)
+    s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    s = s.withColumn("_i", F.col("_mid") - F.col("_pid").cast("long") * F.lit(1 << 33)).drop("_mid")
+    return materialize(s, "numbered")
+
+
+def _neighbour(s: DataFrame, cols: list[str], step: int, prefix: str) -> DataFrame:
+    """Attach the previous (``step=-1``) or next (``step=1``) row's ``cols`` in the global
+    order as ``{prefix}{col}``: an equi-join on (partition, index) inside a partition, and
+    for the edge row the last (first) row of the nearest non-empty partition before
+    (after), from a one-row-per-partition table (bounded by the partition count)."""
+    shifted = s.select("_pid", (F.col("_i") - F.lit(step)).alias("_i"),
+                       *[F.col(c).alias(f"_n_{c}") for c in cols])
+    out = s.join(shifted, ["_pid", "_i"], "left")
+    edge = F.struct(*[F.col(c) for c in cols])
+    per_part = s.groupBy("_pid").agg(
+        (F.max_by(edge, F.col("_i")) if step < 0 else F.min_by(edge, F.col("_i"))).alias("_e"),
+        F.max("_i").alias("_last_i"))
+    w = Window.orderBy("_pid")  # one row per partition
+    nb = F.lag("_e").over(w) if step < 0 else F.lead("_e").over(w)
+    per_part = per_part.select("_pid", "_last_i", nb.alias("_nb"))
+    out = out.join(F.broadcast(per_part), "_pid", "left")
+    at_edge = (F.col("_i") == 0) if step < 0 else (F.col("_i") == F.col("_last_i"))
+    return out.withColumns({
+        f"{prefix}{c}": F.when(at_edge, F.col("_nb")[c]).otherwise(F.col(f"_n_{c}")) for c in cols
+    }).drop("_nb", "_last_i", *[f"_n_{c}" for c in cols])
+
+
+def _scd2_sorted(df: DataFrame, key: str, tracked: list[str], ts: str, stop: Column,
+                 tiebreak: list[str], valid_from: str, valid_to: str, is_current: str) -> DataFrame:
+    order = [key, ts, *tiebreak]
+    s = _numbered(df.select(*dict.fromkeys([key, *tracked, ts, *tiebreak])), order)
+    s = _neighbour(s, [key, *tracked], -1, "_prev_")
+    same = F.col(f"_prev_{key}") == F.col(key)
+    prev = [F.when(same, F.col(f"_prev_{c}")) for c in tracked]
+    changes = s.where(_changed([F.col(c) for c in tracked], prev)).select(
+        *dict.fromkeys([key, *tracked, ts, *tiebreak]))
+    c = _neighbour(_numbered(changes, order), [key, ts], 1, "_next_")
+    nxt = F.when(F.col(f"_next_{key}") == F.col(key), F.col(f"_next_{ts}"))
+    return c.select(key, *tracked, F.col(ts).alias(valid_from), F.coalesce(nxt, stop).alias(valid_to),
+                    nxt.isNull().alias(is_current), *[F.col(t) for t in tiebreak])
+
+
 def scd2(df: DataFrame, key: str, tracked: list[str], ts: str, stop: Column,
          tiebreak: list[str] | None = None, bucket: str = "hour",
          valid_from: str = "valid_from", valid_to: str = "valid_to",
-         is_current: str = "is_current") -> DataFrame:
+         is_current: str = "is_current", method: str = "sorted") -> DataFrame:
     """Compress an observation log to validity periods.
 
     A row starts a period when any tracked value differs from the previous observation
@@ -33,6 +89,8 @@ def scd2(df: DataFrame, key: str, tracked: list[str], ts: str, stop: Column,
     open one, which is flagged ``is_current``.
     """
     tiebreak = tiebreak or []
+    if method == "sorted":
+        return _scd2_sorted(df, key, tracked, ts, stop, tiebreak, valid_from, valid_to, is_current)
     order = [ts, *tiebreak]
     b = "_bucket"
     rows = df.select(key, *tracked, *order).withColumn(b, F.date_trunc(bucket, F.col(ts)))

@@ -77,8 +77,7 @@ def k14_scd2(ctx: Context) -> DataFrame:
     """Periods of each customer's order priority (ties on the date by order key)."""
     od = ctx.table("orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
     stop = od.agg(F.max("o_orderdate")).scalar()
-    out = scd2(od, "o_custkey", ["o_orderpriority"], "o_orderdate", stop, tiebreak=["o_orderkey"],
-               bucket="month")
+    out = scd2(od, "o_custkey", ["o_orderpriority"], "o_orderdate", stop, tiebreak=["o_orderkey"])
     return out.drop("o_orderkey")
 
 

@@ -61,10 +61,10 @@ def naive_scd2(rows, stop):
     return sorted(out, key=str)
 
 
-def run_scd2(spark, rows, bucket):
+def run_scd2(spark, rows, bucket, method="bucketed"):
     df = spark.createDataFrame(rows, "k long, size string, name string, t timestamp, tb long")
     stop = df.agg(F.max("t")).scalar()
-    out = scd2(df, "k", ["size", "name"], "t", stop, tiebreak=["tb"], bucket=bucket)
+    out = scd2(df, "k", ["size", "name"], "t", stop, tiebreak=["tb"], bucket=bucket, method=method)
     return sorted(((r.k, r.size, r.name, r.valid_from, r.valid_to, r.is_current) for r in out.collect()), key=str)
 
 
@@ -82,6 +82,7 @@ def test_scd2_edge_cases(spark):
     stop = max(r[3] for r in rows)
     for bucket in ("hour", "day", "minute"):
         assert run_scd2(spark, rows, bucket) == naive_scd2(rows, stop)
+    assert run_scd2(spark, rows, None, "sorted") == naive_scd2(rows, stop)
 
 
 def test_scd2_random_logs_match_naive(spark):
@@ -93,6 +94,28 @@ def test_scd2_random_logs_match_naive(spark):
                      t0 + dt.timedelta(minutes=rnd.randint(0, 3000)), i))
     stop = max(r[3] for r in rows)
     assert run_scd2(spark, rows, "hour") == naive_scd2(rows, stop)
+    assert run_scd2(spark, rows, None, "sorted") == naive_scd2(rows, stop)
+
+
+def test_scd2_sorted_splits_a_hot_key_over_partitions(spark):
+    rnd = random.Random(11)
+    t0 = ts("2024-01-01 00:00:00")
+    # key 1 holds most rows, all inside one hour bucket
+    rows = [(1, rnd.choice(["S", "M"]), "a", t0 + dt.timedelta(seconds=rnd.randint(0, 3000)), i) for i in range(900)]
+    rows += [(k, rnd.choice(["S", "M"]), "b", t0 + dt.timedelta(minutes=rnd.randint(0, 600)), 1000 + i)
+             for i, k in enumerate(rnd.choices([2, 3, 4], k=100))]
+    stop = max(r[3] for r in rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        from ledgerlight.operators.history import _numbered
+        df = spark.createDataFrame(rows, "k long, size string, name string, t timestamp, tb long")
+        parts = _numbered(df, ["k", "t", "tb"]).where("k = 1").select("_pid").distinct().count()
+        assert parts > 4                       # the hot key is split over many sorted partitions
+        assert run_scd2(spark, rows, None, "sorted") == naive_scd2(rows, stop)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_first_per_key_dedup(spark):
