@@ -194,3 +194,16 @@ def f5_flag_latest(ctx: Context) -> DataFrame:
     from ledgerlight.operators.fill import flag_latest
     od = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return flag_latest(od, ["o_custkey"], ["o_orderdate", "o_orderkey"], "is_latest")
+
+
+@register("l7_stream_query_hours", O.L7_STREAM_HOURS)
+def l7_stream_query_hours(ctx: Context) -> DataFrame:
+    """Structured Streaming run over the events file (available-now trigger): run time per
+    warehouse and hour for every hour the watermark has closed."""
+    import uuid
+
+    from ledgerlight.session import checkpoint_dir
+    from ledgerlight.streaming.query_hours import run_events_stream
+    base = f"{checkpoint_dir(ctx.spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return run_events_stream(ctx.spark, ctx.sf_dir, "events.parquet", base,
+                             f"{O.STREAM_LATENESS_HOURS} hours")

@@ -41,3 +41,28 @@ def start_hourly_run_time(spark: SparkSession, source_dir: str, sink_dir: str, c
               .option("path", sink_dir).option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def event_intervals(events: DataFrame) -> DataFrame:
+    """Query intervals from the test ``events`` table (the binding of ``testbed``):
+    warehouse = user, end = ts + floor(value * 60) seconds."""
+    start = F.col("ts").cast("timestamp")
+    return events.select(F.col("event_id").cast("string").alias("query_id"),
+                         F.col("user_id").alias("warehouse_id"), start.alias("start_time"),
+                         F.timestamp_add("SECOND", F.floor(F.col("value") * 60), start).alias("end_time"))
+
+
+def run_events_stream(spark: SparkSession, source_dir: str, file_glob: str, base: str,
+                      lateness: str) -> DataFrame:
+    """Stream the event files of ``source_dir`` matching ``file_glob`` through
+    ``hourly_run_time`` until drained; return the closed hours written to the sink (a
+    batch read of the parquet sink)."""
+    events_path = f"{source_dir.rstrip('/')}/{file_glob}"
+    schema = spark.read.parquet(events_path).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
+    query = (hourly_run_time(event_intervals(stream), lateness).writeStream.format("parquet")
+             .option("path", f"{base}/sink").option("checkpointLocation", f"{base}/checkpoint")
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(hourly_run_time(event_intervals(spark.read.schema(schema).parquet(events_path)),
+                                             lateness).schema).parquet(f"{base}/sink")

@@ -140,3 +140,11 @@ F5_FLAG_LATEST = """
 SELECT o_orderkey, o_custkey, o_orderdate,
        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 AS is_latest
 FROM orders"""
+
+STREAM_LATENESS_HOURS = 24
+L7_STREAM_HOURS = _SLICES + f""",
+closed AS (SELECT max(hour_start) - INTERVAL {STREAM_LATENESS_HOURS} HOUR AS wm FROM sl)
+SELECT user_id AS warehouse_id, hour_start AS hour, CAST(sum(ms) AS BIGINT) AS total_query_milliseconds_in_hour,
+       count(*) AS slices
+FROM sl GROUP BY 1, 2
+HAVING hour_start + INTERVAL 1 HOUR <= (SELECT wm FROM closed)"""
