@@ -19,19 +19,49 @@ def group_totals(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFr
     return df.groupBy(*keys).agg(*[F.sum(c).alias(o) for o, c in sums.items()])
 
 
+def salted_join(big: DataFrame, keyed: DataFrame, keys: list[str], rows_col: str,
+                max_rows_per_key: int, spread_cols: list[str]) -> DataFrame:
+    """Inner join of many rows to one row per key, splitting hot keys explicitly.
+
+    ``keyed`` carries ``rows_col``, the number of ``big`` rows of its key. A key with more
+    than ``max_rows_per_key`` rows is hot: its keyed row is replicated
+    ``f = ceil(rows / max_rows_per_key)`` times and each of its big rows goes to one
+    replica by a hash of ``spread_cols`` (deterministic, so retries agree). The hot-key
+    list has at most ``total rows / max_rows_per_key`` entries, a proven bound, and is
+    broadcast. Results equal the plain join; no key's rows exceed one task's share."""
+    hot = keyed.where(F.col(rows_col) > max_rows_per_key).select(
+        *keys, F.ceil(F.col(rows_col) / F.lit(max_rows_per_key)).cast("int").alias("_fan"))
+    fan = F.coalesce(F.col("_fan"), F.lit(1))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), fan.cast("long")).cast("int")
+    b = big.join(F.broadcast(hot), keys, "left").withColumn("_salt", spread).drop("_fan")
+    k = (keyed.join(F.broadcast(hot), keys, "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("_fan"))
+    return b.join(k, [*keys, "_salt"], "inner").drop("_salt")
+
+
 def allocate(slices: DataFrame, billed: DataFrame, keys: list[str],
              weights: dict[str, tuple[str, str]],
-             amounts: dict[str, tuple[str, str]]) -> DataFrame:
+             amounts: dict[str, tuple[str, str]],
+             max_rows_per_key: int | None = None, spread_cols: list[str] | None = None) -> DataFrame:
     """Share billed amounts over rows in proportion to a weight.
 
     ``weights``: ``{weight_col: (total_col, fraction_col)}``; the total is the weight's
     sum over all rows of the key (rows without a bill count too).
     ``amounts``: ``{out_col: (billed_col, fraction_col)}``.
     Rows whose key has no bill are dropped (inner join), as in the reference.
+    With ``max_rows_per_key``, keys holding more rows are split over several join tasks
+    (``salted_join``, rows spread by a hash of ``spread_cols``); otherwise AQE's skew
+    join splits hot keys at runtime.
     """
-    totals = group_totals(slices, keys, {t: w for w, (t, _f) in weights.items()})
+    sums = {t: w for w, (t, _f) in weights.items()}
+    totals = slices.groupBy(*keys).agg(*[F.sum(c).alias(o) for o, c in sums.items()],
+                                       F.count(F.lit(1)).alias("_rows"))
     keyed = totals.join(billed, keys, "inner")
-    out = slices.join(keyed, keys, "inner")
+    if max_rows_per_key is not None:
+        out = salted_join(slices, keyed, keys, "_rows", max_rows_per_key,
+                          spread_cols or slices.columns).drop("_rows")
+    else:
+        out = slices.join(keyed.drop("_rows"), keys, "inner")
     out = out.withColumns({f: div0(F.col(w), F.col(t)) for w, (t, f) in weights.items()})
     return out.withColumns({o: F.col(b) * F.col(f) for o, (b, f) in amounts.items()})
 

@@ -31,6 +31,9 @@ WAITS = ["queued_overload_time", "compilation_time", "queued_provisioning_time",
 FREE_CLOUD_SERVICES_FRACTION = 0.1
 HOURLY_SERVICE_TYPES = ("QUERY_ACCELERATION", "WAREHOUSE_METERING")
 
+# A (warehouse, hour) with more query slices than this is split over several join tasks.
+MAX_SLICES_PER_WAREHOUSE_HOUR = 2_000_000
+
 OUTPUT = ["query_id", "start_time", "end_time", "execution_start_time", "compute_cost",
           "compute_credits", "query_acceleration_cost", "query_acceleration_credits",
           "cloud_services_cost", "cloud_services_credits", "query_cost", "query_credits",
@@ -65,7 +68,8 @@ def credits_billed_hourly(st: Staged) -> DataFrame:
 
 
 def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
-                   grid: tuple[Column, Column] | None = None) -> DataFrame:
+                   grid: tuple[Column, Column] | None = None,
+                   max_slices_per_hour: int | None = MAX_SLICES_PER_WAREHOUSE_HOUR) -> DataFrame:
     """Cost of every query; with ``since``, only queries ending after it.
 
     Incremental runs are exact (fix for S18): hour totals need every query with a slice
@@ -91,7 +95,8 @@ def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
     cost = allocate(
         slices, billed.select("hour", "warehouse_id", "credits_used_compute",
                               "credits_used_query_acceleration"),
-        ["warehouse_id", "hour"],
+        ["warehouse_id", "hour"], max_rows_per_key=max_slices_per_hour,
+        spread_cols=["query_id", "hour"],
         weights={"num_milliseconds_query_ran": ("total_query_milliseconds_in_hour",
                                                 "fraction_of_total_query_time_in_hour"),
                  "query_acceleration_bytes_scanned": ("total_query_acceleration_bytes_scanned_in_hour",

@@ -96,3 +96,20 @@ def test_clip_bounds_the_sequence(spark):
     out = slice_intervals(df, end="e", anchor="s", ms_col="ms", clip=clip)
     got = sorted((r.id, r.hour_start.hour, r.ms) for r in out.collect())
     assert got == [("bogus", 0, 3_600_000), ("bogus", 1, 3_600_000), ("inside", 1, 600_000)]
+
+
+def test_salted_allocation_equals_plain(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(f"q{i}", 1 if i < 400 else rnd.randint(2, 6), f"h{rnd.randint(1, 3)}", float(rnd.randint(1, 100)))
+            for i in range(600)]                      # warehouse 1 is hot
+    sl = spark.createDataFrame(rows, "q string, w long, h string, ms double")
+    billed = sl.select("w", "h").distinct().withColumn("credits", F.lit(7.0))
+    spec = ({"ms": ("total", "frac")}, {"alloc": ("credits", "frac")})
+    plain = allocate(sl, billed, ["w", "h"], *spec)
+    salted = allocate(sl, billed, ["w", "h"], *spec, max_rows_per_key=25, spread_cols=["q"])
+    key = lambda r: (r.q, r.h)
+    a = sorted(((r.q, r.h, round(r.alloc, 9)) for r in plain.collect()), key=str)
+    b = sorted(((r.q, r.h, round(r.alloc, 9)) for r in salted.collect()), key=str)
+    assert a == b and len(a) == 600
+    assert salted.columns == plain.columns
