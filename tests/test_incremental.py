@@ -73,3 +73,18 @@ def test_append_new_skips_redelivered(spark, tmp_path):
                                ("q2", dt.datetime(2023, 12, 31))], "query_id string, query_start_time timestamp")
     append_new(spark, path, b, "query_id", "query_start_time", since=dt.datetime(2023, 12, 1))
     assert sorted(r.query_id for r in read_target(spark, path).collect()) == ["q1", "q2"]
+
+
+def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
+    import os
+    path = str(tmp_path / "hot")
+    rows = [(f"q{i}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "query_id string, start_time timestamp").withColumn("date", F.to_date("start_time"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        upsert(spark, path, df, ["query_id", "start_time"], "date", cluster_by=["start_time"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for f in os.listdir(os.path.join(path, "date=2024-01-01")) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert read_target(spark, path).count() == 4000
