@@ -311,7 +311,7 @@ class Testbed:
     def table(self, name: str) -> DataFrame:
         """A test table. Each test file is a single parquet row group, which Spark reads
         in one task; when the scan has fewer partitions than the default parallelism the
-        rows are hash-spread on the leading key column so the narrow work after the scan
+        rows are spread round-robin so the narrow work after the scan
         uses every core (tables of a few MB are left alone). Filters and column pruning
         still reach the scan."""
         if name not in self._cache:
@@ -319,7 +319,7 @@ class Testbed:
             cores = self.spark.sparkContext.defaultParallelism
             size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
             if df.rdd.getNumPartitions() < cores and size >= self.SPREAD_MIN_BYTES:
-                df = df.repartition(cores, df.columns[0])
+                df = df.repartition(cores)  # round robin: no key can make one partition hot
             self._cache[name] = df
         return self._cache[name]
 
