@@ -3,8 +3,8 @@
 Group totals are computed with ``groupBy`` (map-side partial aggregation) and joined
 back, instead of ``sum() over (partition by key)``: a window would pull every row of a
 hot (warehouse, hour) into one task, the aggregate pulls one partial row per map task.
-The join back is keyed; AQE broadcasts the keyed side when its runtime size is small
-and splits skewed keys otherwise.
+The join back is keyed; keys above a row threshold are split explicitly by salting
+(``salted_join``), and AQE broadcasts the keyed side when its runtime size is small.
 """
 from __future__ import annotations
 

@@ -6,10 +6,10 @@ run time, and acceleration credits by bytes scanned with acceleration. Slices ro
 to one row per query. Cloud-services credits are billed per day only above 10 % of
 compute and shared by each query's share of the day's cloud-services credits.
 
-Scale: slicing multiplies rows by the hours a query spans (explode, no join). Hour
-totals are ``groupBy`` aggregates (map-side partial sums) joined back on
-(warehouse, hour); AQE splits a hot (warehouse, hour) key. Rate slices are one row per
-day; the current rate is one row.
+Scale: slicing multiplies rows by the hours a query spans (explode, no join), clipped
+to the billed hours. Hour totals are ``groupBy`` aggregates (map-side partial sums)
+joined back on (warehouse, hour), hot keys split by salting. Rate slices and daily
+credits are one row per day and broadcast; the current rate is a scalar subquery.
 """
 from __future__ import annotations
 

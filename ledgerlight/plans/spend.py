@@ -3,8 +3,9 @@
 Every family emits the same twelve columns on the complete hour grid of the metering
 history. Facts are daily or hourly aggregates and the rate table has one row per day
 and type, so every join here is between bounded tables: the grid (hours), per-day
-rows, and small rate slices that AQE broadcasts from runtime sizes. The daily-spread
-families are one plan keyed by a generated category column (no per-family re-scan).
+rows, and rate slices of at most one row per day, which are broadcast. The
+daily-spread families are one plan keyed by a generated category column (no
+per-family re-scan).
 """
 from __future__ import annotations
 
