@@ -62,14 +62,23 @@ def gap_fill(df: DataFrame, keys: list[str], date: str, values: list[str],
     """One row per key and date in [start, end], values filled from the last known
     earlier date, else from the next known later date, per value column (K12).
 
-    ``start``/``end`` are scalar columns (literals or scalar subqueries). The grid is
-    the distinct keys with a generated date sequence each; the fill windows hold one
-    key's dates, i.e. at most the number of days in the range.
+    ``start``/``end`` are scalar columns (literals or scalar subqueries). The grid is the
+    distinct keys with a generated date sequence each. Instead of joining grid and facts
+    (two shuffles on (key, date) plus one on key for the fill), both are unioned and
+    shuffled once by key; a grid row is dropped where its (key, date) has a fact, which
+    keeps every fact row exactly like a left join would. All windows then share one sort
+    by (key, date), and each key holds one row per day of the range (plus repeated
+    facts), however many rows the key has upstream.
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    facts = (df.select(*keys, date, *values).where(F.col(date).between(start, end))
+             .withColumn("_fact", F.lit(1)))
     grid = (df.select(*keys).distinct()
-            .select(*keys, F.explode(F.sequence(start, end)).alias(date)))
-    facts = df.select(*keys, date, *values)
-    joined = grid.join(facts, [*keys, date], "left")
+            .select(*keys, F.explode(F.sequence(start, end)).alias(date),
+                    *[F.lit(None).cast(types[v]).alias(v) for v in values], F.lit(0).alias("_fact")))
+    rows = facts.unionByName(grid).repartition(*keys)
+    rows = rows.withColumn("_has_fact", F.max("_fact").over(Window.partitionBy(*keys, date)))
+    rows = rows.where((F.col("_fact") == 1) | (F.col("_has_fact") == 0)).drop("_fact", "_has_fact")
     # The forward fill is a growing frame (unbounded preceding .. 1 preceding), evaluated
     # incrementally. The backward fill only matters before a key's first known value (the
     # forward fill covers every later row), where it equals the key's first non-null
@@ -79,10 +88,10 @@ def gap_fill(df: DataFrame, keys: list[str], date: str, values: list[str],
     ordered = Window.partitionBy(*keys).orderBy(F.col(date).asc())
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return joined.withColumns({
+    return rows.withColumns({
         v: F.coalesce(F.col(v), F.last(v, ignorenulls=True).over(before),
                       F.first(v, ignorenulls=True).over(whole))
-        for v in values})
+        for v in values}).select(*keys, date, *values)
 
 
 def pick_by_priority(df: DataFrame, keys: list[str], priority: Column,

@@ -67,9 +67,9 @@ def _supplier_daily(ctx: Context) -> DataFrame:
 def k12_gap_fill(ctx: Context) -> DataFrame:
     """Supplier x day grid over the whole ship-date range, values filled both ways."""
     daily = _supplier_daily(ctx)
-    bounds = daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    return gap_fill(daily, ["l_suppkey"], "date", ["rate", "tax"],
-                    bounds.select("lo").scalar(), bounds.select("hi").scalar())
+    # both bounds from one scalar subquery (one pass over the facts)
+    bounds = daily.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    return gap_fill(daily, ["l_suppkey"], "date", ["rate", "tax"], bounds["lo"], bounds["hi"])
 
 
 @register("k14_scd2", O.K14_SCD2)
