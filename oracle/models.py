@@ -6,7 +6,9 @@ full statement.
 """
 from __future__ import annotations
 
-from ledgerlight.sources.testbed import ACCOUNT
+from ledgerlight.functions.text import COMMENT_PATTERN, DBT_COMMENT_PATTERN, TAG_MARKER_KEYS
+from ledgerlight.plans import enriched as E
+from ledgerlight.sources.testbed import ACCOUNT, duck_ctes
 
 AS_OF = "(SELECT max(CAST(ts AS DATE)) FROM events) + 2"
 
@@ -148,7 +150,6 @@ cost_per_query AS (
 
 def model_sql(select: str, *parts: str) -> str:
     """Source roles + staging + the given CTE parts, then ``select``."""
-    from ledgerlight.sources.testbed import duck_ctes
     return duck_ctes() + STAGED + "".join(parts) + "\n" + select
 
 _INITCAP = ("array_to_string(list_transform(string_split(lower({x}), ' '), "
@@ -321,8 +322,6 @@ FIRST_MONTH = "(SELECT date_trunc('month', min(CAST(ts AS DATE))) FROM events)"
 # --------------------------------------------------------------------------
 # Enriched query log and dbt metadata
 # --------------------------------------------------------------------------
-from ledgerlight.functions.text import COMMENT_PATTERN, DBT_COMMENT_PATTERN, TAG_MARKER_KEYS  # noqa: E402
-from ledgerlight.plans import enriched as E  # noqa: E402
 
 
 def _meta_val(key: str) -> str:
