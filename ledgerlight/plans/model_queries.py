@@ -155,3 +155,23 @@ def check_cost_per_query_keys(ctx: Context) -> DataFrame:
     dup = duplicates(cost, ["query_id"])
     missing = nulls(cost, ["query_id"]).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
     return dup.unionByName(missing)
+
+
+_BAL_DOUBLES = ["free_usage_balance", "capacity_balance", "on_demand_consumption_balance", "rollover_balance"]
+
+
+@register("remaining_balance_daily_without_contract_view",
+          M.model_sql("SELECT date, organization_name, currency, free_usage_balance, capacity_balance, "
+                      "on_demand_consumption_balance, rollover_balance FROM bal"), _BAL_DOUBLES)
+def remaining_balance_daily_without_contract_view(ctx: Context) -> DataFrame:
+    """One balance per day: highest contract number, nulls last."""
+    from ledgerlight.plans.rates import remaining_balance_daily_without_contract
+    return remaining_balance_daily_without_contract(ctx.st)
+
+
+@register("stg_query_history", M.model_sql("SELECT * FROM stg_query_history"),
+          ["percentage_scanned_from_cache", "credits_used_cloud_services", "query_load_percent",
+           "query_acceleration_upper_limit_scale_factor"])
+def stg_query_history(ctx: Context) -> DataFrame:
+    """The staged query log: 70 columns, first row per query id by start time."""
+    return ctx.st.query_history()
