@@ -13,6 +13,7 @@ from ledgerlight.operators.fill import first_per_key, gap_fill, latest_per_key
 from ledgerlight.operators.history import scd2
 from ledgerlight.operators.nested import explode_objects
 from ledgerlight.operators.spine import hour_spine, slice_intervals, with_day_stats
+from ledgerlight.plans.query_cost import MAX_SLICES_PER_WAREHOUSE_HOUR
 from ledgerlight.plans.registry import Context, register
 from ledgerlight.sources.testbed import EV_SPARK
 
@@ -44,7 +45,8 @@ def k5_allocate(ctx: Context) -> DataFrame:
     billed = (ctx.table("events").groupBy("user_id", F.date_trunc("hour", "ts").alias("hour_start"))
               .agg(F.sum("value").alias("billed")))
     out = allocate(s, billed, ["user_id", "hour_start"], {"ms": ("total_ms", "fraction")},
-                   {"allocated": ("billed", "fraction")})
+                   {"allocated": ("billed", "fraction")},
+                   max_rows_per_key=MAX_SLICES_PER_WAREHOUSE_HOUR, spread_cols=["event_id", "hour_start"])
     return out.select("event_id", "user_id", "hour_start", "ms", "fraction", "allocated")
 
 
