@@ -51,3 +51,35 @@ def test_scd2_periods_are_contiguous(spark, obs):
             assert a[2] == b[0] and not a[3]                  # no gap, no overlap, only the last is open
             assert a[4] != b[4]                               # consecutive periods differ
         assert ps[-1][3] and ps[-1][2] == max_t               # the open period ends at the latest observation
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 40), st.integers(1, 9), st.booleans()),
+                min_size=1, max_size=40),
+       st.integers(0, 15), st.integers(15, 40))
+def test_gap_fill_matches_naive(spark, facts, lo, hi):
+    from ledgerlight.operators.fill import gap_fill
+    d0 = dt.date(2024, 1, 1)
+    rows = []
+    for k, day, v, dup in facts:
+        if any(r[0] == k and r[1] == day for r in rows):
+            continue                                   # one value per (key, day) ...
+        rows.append((k, day, float(v)))
+        if dup:
+            rows.append((k, day, float(v)))            # ... possibly repeated as an identical fact
+    df = spark.createDataFrame([(k, d0 + dt.timedelta(days=day), v) for k, day, v in rows],
+                               "k string, date date, v double")
+    out = gap_fill(df, ["k"], "date", ["v"], F.lit(d0 + dt.timedelta(days=lo)), F.lit(d0 + dt.timedelta(days=hi)))
+    got = sorted((r.k, (r.date - d0).days, r.v) for r in out.collect())
+    want = []
+    for k in sorted({r[0] for r in rows}):
+        known = sorted((day, v) for kk, day, v in rows if kk == k and lo <= day <= hi)
+        for day in range(lo, hi + 1):
+            here = [v for d, v in known if d == day]
+            if here:
+                want += [(k, day, v) for v in here]
+                continue
+            before = [v for d, v in known if d < day]
+            after = [v for d, v in known if d > day]
+            want.append((k, day, before[-1] if before else (after[0] if after else None)))
+    assert got == sorted(want, key=lambda r: (r[0], r[1], r[2] is None, r[2] or 0))
