@@ -83,3 +83,39 @@ def test_gap_fill_matches_naive(spark, facts, lo, hi):
             after = [v for d, v in known if d > day]
             want.append((k, day, before[-1] if before else (after[0] if after else None)))
     assert got == sorted(want, key=lambda r: (r[0], r[1], r[2] is None, r[2] or 0))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 3), st.integers(0, 50)), min_size=1, max_size=60),
+       st.integers(1, 6))
+def test_allocation_matches_naive(spark, slices, threshold):
+    from ledgerlight.operators.allocation import allocate
+    rows = [(f"q{i}", w, h, float(ms)) for i, (w, h, ms) in enumerate(slices)]
+    sl = spark.createDataFrame(rows, "q string, w long, h long, ms double")
+    billed_rows = [(w, h, float(w * 10 + h)) for w in (1, 2, 3) for h in (0, 1, 2)]   # hour 3 has no bill
+    billed = spark.createDataFrame(billed_rows, "w long, h long, credits double")
+    spec = ({"ms": ("total", "frac")}, {"alloc": ("credits", "frac")})
+    bill = {(w, h): c for w, h, c in billed_rows}
+    totals = {}
+    for _q, w, h, ms in rows:
+        totals[(w, h)] = totals.get((w, h), 0.0) + ms
+    want = sorted((q, round(bill[(w, h)] * (0.0 if totals[(w, h)] == 0 else ms / totals[(w, h)]), 9))
+                  for q, w, h, ms in rows if (w, h) in bill)
+    for kwargs in ({}, {"max_rows_per_key": threshold, "spread_cols": ["q"]}):
+        out = allocate(sl, billed, ["w", "h"], *spec, **kwargs)
+        got = sorted((r.q, round(r.alloc, 9)) for r in out.collect())
+        assert got == want
+
+
+fragments = st.sampled_from(["select", " ", "x", "/*", "*/", "--", "\n", "\r", ";", "*", "/", "-", "{", "é"])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(fragments, max_size=25).map("".join), min_size=1, max_size=30))
+def test_strip_comments_matches_python_regex(spark, texts):
+    import re
+    from ledgerlight.functions.text import COMMENT_PATTERN, strip_comments
+    py = re.compile(COMMENT_PATTERN.replace(r"\z", r"\Z"))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r.i: r.x for r in df.select("i", strip_comments("t").alias("x")).collect()}
+    assert got == {i: py.sub("", t) for i, t in enumerate(texts)}
