@@ -119,3 +119,18 @@ def test_strip_comments_matches_python_regex(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
     got = {r.i: r.x for r in df.select("i", strip_comments("t").alias("x")).collect()}
     assert got == {i: py.sub("", t) for i, t in enumerate(texts)}
+
+
+maps = st.one_of(st.none(), st.dictionaries(st.sampled_from(["a", "b", "c", "d"]), st.sampled_from(["1", "2", "x"]),
+                                             max_size=4))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(maps, maps), min_size=1, max_size=20))
+def test_merge_maps_is_right_wins_union(spark, pairs):
+    from ledgerlight.functions.text import merge_maps
+    df = spark.createDataFrame([(i, l, r) for i, (l, r) in enumerate(pairs)],
+                               "i long, l map<string,string>, r map<string,string>")
+    got = {r.i: r.m for r in df.select("i", merge_maps("l", "r").alias("m")).collect()}
+    want = {i: (None if l is None and r is None else {**(l or {}), **(r or {})}) for i, (l, r) in enumerate(pairs)}
+    assert got == want
