@@ -12,8 +12,8 @@ with them), following one rule per role:
                              leg per serverless service family.
 * ``warehouse_metering_history`` / ``metering_daily_history``  rolled up from it.
 * ``serverless_task_history`` ``signup`` events as task runs.
-* ``rate_sheet_daily``       a price per usage type, published on the days the type's
-                             credits reach its mean daily credits (so the sheet has
+* ``rate_sheet_daily``       a price per usage type, published on the days the type has
+                             at least its mean number of metering rows (so the sheet has
                              holes to fill), plus rows of a second account.
 * ``remaining_balance_daily`` mean daily ``value`` minus the day's ``value`` (negative
                              on heavy days: overage), with a second contract row.
@@ -236,8 +236,8 @@ _PRICE_VALUES = ", ".join(f"('{m}', '{u}', '{s}', {r!r})" for m, u, s, r in PRIC
 DAILY_USAGE = AggRole(
     "metering_history",
     {"day": "CAST(start_time AS DATE)", "metered": "service_type"},
-    {"compute": "sum(credits_used_compute)", "cs": "sum(credits_used_cloud_services)"},
-    {"day": "day", "metered": "metered", "compute": "compute", "cs": "cs"})
+    {"n": "count(*)"},
+    {"day": "day", "metered": "metered", "n": "n"})
 
 DATABASE_STORAGE = AggRole(
     "ev", {"usage_date": "day", "event_type": "event_type"},
@@ -394,17 +394,15 @@ class Testbed:
             # cloud services are metered on warehouse rows, priced under their own type
             daily = daily.unionByName(
                 daily.where("metered = 'WAREHOUSE_METERING'")
-                .select("day", F.lit("CLOUD_SERVICES").alias("metered"),
-                        F.col("cs").alias("compute"), "cs"))
+                .select("day", F.lit("CLOUD_SERVICES").alias("metered"), "n"))
             storage = (self.database_storage_usage_history().groupBy(F.col("usage_date").alias("day"))
-                       .agg(F.sum("average_database_bytes").alias("compute"),
-                            F.sum("average_hybrid_table_storage_bytes").alias("cs")))
-            daily = daily.unionByName(storage.select("day", F.lit("STORAGE").alias("metered"), "compute", "cs"))
-            daily = daily.unionByName(storage.select("day", F.lit("HYBRID_TABLE_STORAGE").alias("metered"),
-                                                     F.col("cs").alias("compute"), "cs"))
-            # published on the days a type's credits reach its mean daily credits
-            means = daily.groupBy("metered").agg(F.avg("compute").alias("mean_compute"))
-            published = daily.join(means, "metered").where("compute >= mean_compute")
+                       .agg(F.count(F.lit(1)).alias("n")))
+            daily = daily.unionByName(storage.select("day", F.lit("STORAGE").alias("metered"), "n"))
+            daily = daily.unionByName(storage.select("day", F.lit("HYBRID_TABLE_STORAGE").alias("metered"), "n"))
+            # published on the days a type has at least its mean number of metering rows
+            # (integer counts: exact in any summation order, so both engines agree)
+            means = daily.groupBy("metered").agg(F.avg("n").alias("mean_n"))
+            published = daily.join(means, "metered").where("n >= mean_n")
             rows = published.join(F.broadcast(prices), "metered").select(
                 F.col("day").alias("date"), "usage_type",
                 F.expr("base * (1 + dayofmonth(day) / 100)").alias("effective_rate"),
@@ -545,20 +543,18 @@ def duck_ctes(account: str = ACCOUNT) -> str:
     rsd = f"""
       WITH prices(metered, usage_type, rate_service, base) AS (VALUES {_PRICE_VALUES}),
       d0 AS ({_duck_agg(DAILY_USAGE)}),
-      st AS (SELECT usage_date AS day, sum(average_database_bytes) AS compute,
-                    sum(average_hybrid_table_storage_bytes) AS cs
-             FROM database_storage_usage_history GROUP BY usage_date),
+      st AS (SELECT usage_date AS day, count(*) AS n FROM database_storage_usage_history GROUP BY usage_date),
       daily AS (
-        SELECT day, metered, compute, cs FROM d0
-        UNION ALL SELECT day, 'CLOUD_SERVICES', cs, cs FROM d0 WHERE metered = 'WAREHOUSE_METERING'
-        UNION ALL SELECT day, 'STORAGE', compute, cs FROM st
-        UNION ALL SELECT day, 'HYBRID_TABLE_STORAGE', cs, cs FROM st),
-      means AS (SELECT metered, avg(compute) AS mean_compute FROM daily GROUP BY metered),
+        SELECT day, metered, n FROM d0
+        UNION ALL SELECT day, 'CLOUD_SERVICES', n FROM d0 WHERE metered = 'WAREHOUSE_METERING'
+        UNION ALL SELECT day, 'STORAGE', n FROM st
+        UNION ALL SELECT day, 'HYBRID_TABLE_STORAGE', n FROM st),
+      means AS (SELECT metered, avg(n) AS mean_n FROM daily GROUP BY metered),
       rows_ AS (
         SELECT d.day AS date, p.usage_type, p.base * (1 + dayofmonth(d.day) / 100) AS effective_rate,
                p.rate_service AS service_type
         FROM daily d JOIN means m ON d.metered = m.metered JOIN prices p ON d.metered = p.metered
-        WHERE d.compute >= m.mean_compute)
+        WHERE d.n >= m.mean_n)
       SELECT CAST(date AS DATE) AS date, 'ORG1' AS organization_name, 'C-100' AS contract_number,
              account_name, 'AB12345' AS account_locator, 'AWS_US_EAST_1' AS region,
              'ENTERPRISE' AS service_level, usage_type, 'USD' AS currency,
