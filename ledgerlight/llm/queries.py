@@ -6,14 +6,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import secrets, topk, url_filter
+from ledgerlight.llm import bitplanes, secrets, spm, topk, url_filter
 from ledgerlight.llm.common import read_table
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.encode_and_digest(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.digest(spm.encode_documents(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
 
@@ -24,7 +38,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_url_filters, op8_secret_scans, op9_exact_top_k)
+    f.__name__: f for f in (op3_token_ids, op4_url_filters, op7_sentencepiece, op8_secret_scans, op9_exact_top_k)
 }
 
 TOP_K_SQL = """
