@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import bitplanes, secrets, spm, topk, url_filter
+from ledgerlight.llm import bitplanes, decontaminate, secrets, spm, topk, toxicity, url_filter
 from ledgerlight.llm.common import read_table
 
 
@@ -16,6 +16,16 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(decontaminate.overlaps(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.encode_and_digest(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -38,7 +48,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_ids, op4_url_filters, op7_sentencepiece, op8_secret_scans, op9_exact_top_k)
+    f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_token_ids, op4_url_filters, op7_sentencepiece, op8_secret_scans, op9_exact_top_k)
 }
 
 TOP_K_SQL = """
