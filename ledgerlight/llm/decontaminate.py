@@ -69,6 +69,11 @@ def seed_hashes(code: np.ndarray, mask: str) -> np.ndarray:
     return h
 
 
+def padded(code: np.ndarray) -> np.ndarray:
+    """Room after the last word, so that a mask that ignores its end also looks there."""
+    return np.concatenate([code, np.zeros(SPAN - WEIGHT, np.uint64)])
+
+
 def best_run(same: np.ndarray, penalty: int = PENALTY) -> tuple[int, int, int]:
     """(start, end, equal words) of the run with the highest score."""
     s = np.concatenate([[0], np.cumsum(np.where(same, 1, -penalty))])
@@ -86,9 +91,8 @@ class Items:
         self.code = [c for _, c in rows]
         h, item, pos = [], [], []
         for k, c in enumerate(self.code):
-            padded = np.concatenate([c, np.zeros(max(0, SPAN - len(c)), np.uint64)]) if len(c) < SPAN else c
             for m in MASKS:
-                x = seed_hashes(padded, m)
+                x = seed_hashes(padded(c), m)
                 h.append(x)
                 item.append(np.full(len(x), k))
                 pos.append(np.arange(len(x)))
@@ -102,8 +106,9 @@ class Items:
     def hits(self, code: np.ndarray) -> np.ndarray:
         """Distinct (item, diagonal) of a document."""
         found = []
+        tail = padded(code)
         for m in MASKS:
-            h = seed_hashes(code, m)
+            h = seed_hashes(tail, m)
             at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
             if len(at):
                 lo, hi = np.searchsorted(self.hash, h[at]), np.searchsorted(self.hash, h[at], "right")
@@ -162,8 +167,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
                 found = []
                 for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                     code = codes(words(t), memo)
-                    if len(code) < SPAN:
-                        code = np.concatenate([code, np.zeros(SPAN - len(code), np.uint64)])
                     for k, s, e, at, equal in items.overlaps(code, min(min_match, MIN_WHOLE)):
                         i, p, own = rows[k]
                         if equal >= min_match or (p == 0 and equal == len(own) >= MIN_WHOLE):

@@ -27,11 +27,11 @@ def test_swapping_a_group_moves_no_score(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, toxic string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (3, None)], "doc_id long, toxic int")
     plain = tox.train(docs, labels, lambda_swap=0.0)
-    fair = tox.train(docs, labels, lambda_swap=20.0)
+    fair = tox.train(docs, labels, lambda_swap=1.0)
     neutral = " ".join(t for t in rows[1][1].split() if t not in tox.SWAPS)
     gap = lambda m: abs(m.score(neutral + " gay") - m.score(neutral + " straight"))
     assert gap(plain) > 0.1 and gap(fair) < gap(plain) / 4
-    assert fair.score(neutral + " vermin") > 0.6 and fair.score(neutral + " gay") < plain.score(neutral + " gay") - 0.1
+    assert fair.score(neutral + " vermin") > 0.6 and fair.score(neutral + " gay") < 0.3
     got = tox.score_documents(docs, fair).join(labels, "doc_id").where(F.col("toxic").isNotNull() & F.col("held_out"))
     r = got.select(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
     assert r > 0.85
