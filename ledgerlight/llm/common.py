@@ -48,7 +48,7 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def text_tag(text: Column) -> Column:
     """32 bits of the text: with doc_id it names a row's content, so rows that repeat a
     doc_id with another text keep their own spans."""
-    return F.xxhash64(text).cast("int")
+    return F.hash(text)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import bitplanes, decontaminate, secrets, spm, topk, toxicity, url_filter
+from ledgerlight.llm import (bitplanes, debruijn, decontaminate, secrets, spm, suffix_dedup, topk, toxicity,
+                             url_filter)
 from ledgerlight.llm.common import read_table
 
 
@@ -34,6 +35,14 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.drop_repeats(read_table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.drop_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.digest(spm.encode_documents(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
@@ -48,7 +57,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_token_ids, op4_url_filters, op7_sentencepiece, op8_secret_scans, op9_exact_top_k)
+    f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_token_ids, op4_url_filters, op5_substring_dedup, op6_suffix_array_dedup, op7_sentencepiece, op8_secret_scans, op9_exact_top_k)
 }
 
 TOP_K_SQL = """
