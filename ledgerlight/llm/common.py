@@ -95,3 +95,28 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iter
 
 def partitions_for(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+_FILTER_BITS = 1 << 23
+
+
+def likely_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be one of ``ids`` (one column): a bitmap of hashes, one
+    megabyte whatever the input, spares a following join most rows that it would only shuffle.
+    It drops no row that the join needs."""
+    hashed = lambda c: F.pmod(F.xxhash64(c), F.lit(_FILTER_BITS))
+    place = ids.select(hashed(ids.columns[0]).alias("h"))
+    parts = (place.groupBy(F.shiftright("h", 15).alias("part"))
+             .agg(F.bitmap_construct_agg(F.col("h").bitwiseAND(32767)).alias("bits")).collect())  # at most 256 rows
+    bits = np.zeros((_FILTER_BITS >> 15, 4096), np.uint8)
+    for r in parts:
+        bits[r.part] = np.frombuffer(r.bits, np.uint8)
+    shared = df.sparkSession.sparkContext.broadcast(np.packbits(np.unpackbits(bits, axis=1, bitorder="little")).tobytes())
+
+    def run(batches):
+        flags = np.frombuffer(shared.value, np.uint8)
+        for b in batches:
+            h = b.column("h_").to_numpy()
+            yield b.filter(pa.array((flags[h >> 3] >> (7 - (h & 7))) & 1 == 1)).drop_columns(["h_"])
+
+    return df.withColumn("h_", hashed(column)).mapInArrow(run, df.schema)
