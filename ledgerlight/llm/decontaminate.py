@@ -18,16 +18,16 @@ nothing (shorter items must match whole: every word, and at least MIN_WHOLE of t
 repeat an id or a text are each scanned, and equal results are one row; null ids are kept as
 null; empty tables give no rows; other columns are not read.
 """
-from __future__ import annotations
-
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import by_bytes, pieces, texts_of
+from ledgerlight.llm.common import pieces, texts_of
 
 SPAN, WEIGHT = 9, 6
 MASKS = ("111111000", "110110101", "101011011", "111001101")
@@ -131,13 +131,10 @@ class Items:
 SCHEMA = "doc_id long, item_id long, doc_start int, doc_end int, item_start int, n_equal int"
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             item_col: str = "item_id", item_text_col: str = "text", min_match: int = MIN_MATCH,
-             block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Verified overlaps: (doc_id, item_id, doc_start, doc_end, item_start, n_equal), positions in words."""
-    spark = docs.sparkSession
-    texts = texts_of(docs, id_col, text_col)
-    test = texts_of(benchmark, item_col, item_text_col).withColumnRenamed("doc_id", "item_id").distinct()
+def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", min_match: int = MIN_MATCH,
+                block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, int, bytes]]]:
+    """The benchmark in blocks of about ``block_words`` words: (item_id, first word, word codes)."""
+    test = texts_of(benchmark, item_col, text_col).withColumnRenamed("doc_id", "item_id").distinct()
 
     def cut(batches):
         memo: dict[str, int] = {}
@@ -153,26 +150,49 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(parts, pa.binary())],
                                              ["item_id", "at", "code"])
 
-    parts = test.mapInArrow(cut, "item_id long, at int, code binary").orderBy("item_id", "at")
-    out, block, held = None, [], 0
+    block, held = [], 0
+    for r in test.mapInArrow(cut, "item_id long, at int, code binary").orderBy("item_id", "at").toLocalIterator():
+        block.append((r.item_id, r.at, bytes(r.code)))
+        held += len(r.code) // 8
+        if held >= block_words:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
+class Scanner:
+    """Finds the overlaps of texts with one block of items."""
+
+    def __init__(self, block: list[tuple[int, int, bytes]], min_match: int):
+        self._rows = [(i, p, np.frombuffer(c, np.uint64)) for i, p, c in block]
+        self._items = Items([(j, c) for j, (_, _, c) in enumerate(self._rows)])
+        self._min, self._memo = min_match, {}
+
+    def overlaps(self, text: str):
+        if len(self._memo) > 400_000:
+            self._memo.clear()
+        for k, s, e, at, equal in self._items.overlaps(codes(words(text), self._memo), min(self._min, MIN_WHOLE)):
+            i, p, own = self._rows[k]
+            if equal >= self._min or (p == 0 and equal == len(own) >= MIN_WHOLE):
+                yield i, s, e, p + at, equal
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             item_col: str = "item_id", item_text_col: str = "text", min_match: int = MIN_MATCH,
+             block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Verified overlaps: (doc_id, item_id, doc_start, doc_end, item_start, n_equal), positions in words."""
+    spark = docs.sparkSession
+    texts = texts_of(docs, id_col, text_col)
 
     def scan(block):
-        shared = spark.sparkContext.broadcast([(i, p, c) for i, p, c in block])
+        shared = spark.sparkContext.broadcast(block)
 
         def run(batches):
-            rows = [(i, p, np.frombuffer(c, np.uint64)) for i, p, c in shared.value]
-            items = Items([(j, c) for j, (_, _, c) in enumerate(rows)])
-            memo: dict[str, int] = {}
-            for b in (x for y in by_bytes(batches, "text", 2_000_000) for x in pieces([y])):
-                found = []
-                for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                    code = codes(words(t), memo)
-                    for k, s, e, at, equal in items.overlaps(code, min(min_match, MIN_WHOLE)):
-                        i, p, own = rows[k]
-                        if equal >= min_match or (p == 0 and equal == len(own) >= MIN_WHOLE):
-                            found.append((doc, i, s, e, p + at, equal))
-                if len(memo) > 400_000:
-                    memo = {}
+            scanner = Scanner(shared.value, min_match)
+            for b in pieces(batches):
+                found = [(doc, *x) for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())
+                         for x in scanner.overlaps(t)]
                 cols = list(zip(*found)) if found else [[]] * 6
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64()] + [pa.int32()] * 4)],
@@ -180,16 +200,33 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
         return texts.mapInArrow(run, SCHEMA)
 
-    for r in parts.toLocalIterator():  # the query set, a block at a time
-        block.append((r.item_id, r.at, bytes(r.code)))
-        held += len(r.code) // 8
-        if held >= block_words:
-            out, block, held = (scan(block) if out is None else out.unionByName(scan(block))), [], 0
-    if block or out is None:
-        out = scan(block) if out is None else out.unionByName(scan(block))
+    out = spark.createDataFrame([], SCHEMA)
+    for block in item_blocks(benchmark, item_col, item_text_col, min_match, block_words):
+        out = out.unionByName(scan(block))
     return out.distinct()
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+               item_text_col: str = "text", min_match: int = MIN_MATCH, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows that overlap with no item, with all their columns; null texts stay."""
+    spark = docs.sparkSession
+
+    def clean(block):
+        shared = spark.sparkContext.broadcast(block)
+
+        @F.pandas_udf("boolean")
+        def no_overlap(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            scanner = Scanner(shared.value, min_match)
+            for texts in batches:
+                yield pd.Series([next(scanner.overlaps(t or ""), None) is None for t in texts], dtype=bool)
+
+        return no_overlap(F.col(f"`{text_col}`").cast("string"))
+
+    for block in item_blocks(benchmark, item_col, item_text_col, min_match, block_words):
+        docs = docs.where(clean(block))
+    return docs
+
+
 def contaminated(found: DataFrame) -> DataFrame:
     """One row for each document and item that overlap: the longest overlap."""
     best = F.max(F.struct("n_equal", -F.col("doc_start"), -F.col("item_start"), "doc_end"))

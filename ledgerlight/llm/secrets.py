@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import pieces, texts_of
+from ledgerlight.llm.common import pieces, ship, texts_of
 
 # The kinds of the result contract, in the order that breaks ties, then ours.
 BASE_KINDS = ("assign", "access", "hex")
@@ -148,4 +148,5 @@ def redact_column(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def clean(texts):
         return texts.map(lambda t: t if t is None else redact(t, scan(t)))
 
+    ship(docs.sparkSession)
     return docs.withColumn(text_col, clean(F.col(f"`{text_col}`")))

@@ -15,18 +15,18 @@ rows with a null label, and ids that are null, teach nothing; ids labelled twice
 and not at all if they differ; without labels of both kinds every score is the share of toxic ones (0
 without any); repeated rows each give a row; an empty table gives no rows; other columns are not read.
 """
-from __future__ import annotations
-
 import re
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import by_bytes, pieces, texts_of
+from ledgerlight.llm.common import pieces, ship, texts_of
 
 SLOTS = 1 << 18
 SAMPLE = 12_000
@@ -158,35 +158,47 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(x, rows.column("y").to_numpy(), twins, lambda_swap)
 
 
-def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-                    cutoff: float = CUTOFF) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row."""
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A column's texts to their scores; null texts are empty."""
+    ship(spark)
     used = np.flatnonzero(model.weights)
-    shared = docs.sparkSession.sparkContext.broadcast((used.astype(np.int32), model.weights[used], model.intercept))
+    # at most SLOTS weights, few of them not 0
+    shared = spark.sparkContext.broadcast((used.astype(np.int32), model.weights[used], model.intercept))
+    memo: dict[str, int] = {}
+
+    def score(t: str | None, weights: np.ndarray, intercept: float) -> float:
+        hit = set()
+        for word in words(t or ""):
+            s = memo.get(word)
+            if s is None:
+                s = memo[word] = slot(word) if weights[slot(word)] else -1
+            if s >= 0:
+                hit.add(s)
+        z = intercept + (float(weights[sorted(hit)].sum(dtype=np.float64)) if hit else 0.0)
+        return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
-    def run(batches):
+    @F.pandas_udf("double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         at, w, intercept = shared.value
         weights = np.zeros(SLOTS, np.float32)
         weights[at] = w
-        m = Model(weights, intercept)
-        memo: dict[str, int] = {}
-        for b in (x for y in by_bytes(batches, "text", 2_000_000) for x in pieces([y])):
-            out = []
-            for t in b.column("text").to_pylist():
-                z = intercept
-                hit = set()
-                for word in words(t):
-                    s = memo.get(word)
-                    if s is None:
-                        s = memo[word] = slot(word) if m.weights[slot(word)] else -1
-                    if s >= 0:
-                        hit.add(s)
-                z += float(m.weights[sorted(hit)].sum(dtype=np.float64)) if hit else 0.0
-                out.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+        for texts in batches:
+            yield pd.Series([score(t, weights, intercept) for t in texts], dtype="float64")
             if len(memo) > 400_000:
-                memo = {}
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.float64())], ["doc_id", "score"])
+                memo.clear()
+
+    return lambda column: scores(column.cast("string"))
 
-    return (texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+                    cutoff: float = CUTOFF) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every row."""
+    score = scorer(docs.sparkSession, model)
+    return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), score(F.col(f"`{text_col}`")).alias("score"))
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     (F.col("score") >= cutoff).cast("int").alias("predicted")))
+
+
+def keep_accepted(docs: DataFrame, model: Model, text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
+    """The rows whose score is under the cutoff, with all their columns."""
+    return docs.where(scorer(docs.sparkSession, model)(F.col(f"`{text_col}`")) < cutoff)

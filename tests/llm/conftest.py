@@ -1,8 +1,9 @@
+import os
 import sys
 
 import pytest
 
-sys.path.insert(0, "/opt/tokenizers/..")
+sys.path.insert(0, os.path.dirname(__file__))  # tests share fixtures
 
 
 @pytest.fixture(scope="session")
