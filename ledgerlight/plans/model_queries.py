@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from oracle import models as M
 from ledgerlight.plans.registry import Context, register
 
+LOOKBACK_DAYS = 3
+
 _RATE_COLS = ["date", "usage_type", "service_type", "effective_rate", "currency",
               "is_overage_rate", "is_latest_rate"]
 
@@ -123,7 +125,7 @@ def cost_per_query_incremental(ctx: Context) -> DataFrame:
     whole hours so they equal the full run (look-back boundary fixed)."""
     from pyspark.sql import functions as F
     from ledgerlight.plans.query_cost import cost_per_query as build, filtered_queries
-    since = F.timestamp_add("DAY", F.lit(-M.LOOKBACK_DAYS),
+    since = F.timestamp_add("DAY", F.lit(-LOOKBACK_DAYS),
                             filtered_queries(ctx.st).agg(F.max("end_time")).scalar())
     return build(ctx.st, ctx.daily_rates(), since=since)
 

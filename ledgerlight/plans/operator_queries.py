@@ -15,8 +15,13 @@ from ledgerlight.operators.nested import explode_objects
 from ledgerlight.operators.spine import hour_spine, slice_intervals, with_day_stats
 from ledgerlight.plans.query_cost import MAX_SLICES_PER_WAREHOUSE_HOUR
 from ledgerlight.plans.registry import Context, register
+from ledgerlight.session import checkpoint_dir, materialize
 from ledgerlight.sources.testbed import EV_SPARK
 
+STREAM_LATENESS_HOURS = 24
+DEDUP_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+               "l_tax", "l_returnflag", "l_linestatus"]
+
 
 def _intervals(ctx: Context) -> DataFrame:
     ev = ctx.table("events")
@@ -68,7 +73,7 @@ def _supplier_daily(ctx: Context) -> DataFrame:
 @register("k12_gap_fill", O.K12_GAP_FILL, ["rate", "tax"])
 def k12_gap_fill(ctx: Context) -> DataFrame:
     """Supplier x day grid over the whole ship-date range, values filled both ways."""
-    daily = _supplier_daily(ctx)
+    daily = ctx.memo("supplier_daily", lambda: materialize(_supplier_daily(ctx), "supplier_daily"))
     # both bounds from one scalar subquery (one pass over the facts)
     bounds = daily.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     return gap_fill(daily, ["l_suppkey"], "date", ["rate", "tax"], bounds["lo"], bounds["hi"])
@@ -87,7 +92,7 @@ def k14_scd2(ctx: Context) -> DataFrame:
 def k15_dedup(ctx: Context) -> DataFrame:
     """First line per (order, line number) by ship date, then part and supplier."""
     li = ctx.table("lineitem")
-    return first_per_key(li, ["l_orderkey", "l_linenumber"], O.DEDUP_ORDER)
+    return first_per_key(li, ["l_orderkey", "l_linenumber"], DEDUP_ORDER)
 
 
 @register("f2_latest_per_key", O.F2_LATEST, ["o_totalprice"])
@@ -125,7 +130,7 @@ def n1_table_diff(ctx: Context) -> DataFrame:
     prices cut to 8 decimals."""
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount"]
     li = ctx.table("lineitem").select(*cols)
-    dedup = first_per_key(ctx.table("lineitem"), ["l_orderkey", "l_linenumber"], O.DEDUP_ORDER).select(*cols)
+    dedup = first_per_key(ctx.table("lineitem"), ["l_orderkey", "l_linenumber"], DEDUP_ORDER).select(*cols)
     return checks.table_diff(li, dedup, truncate=["l_extendedprice", "l_discount"])
 
 
@@ -204,8 +209,6 @@ def l7_stream_query_hours(ctx: Context) -> DataFrame:
     warehouse and hour for every hour the watermark has closed."""
     import uuid
 
-    from ledgerlight.session import checkpoint_dir
     from ledgerlight.streaming.query_hours import run_events_stream
     base = f"{checkpoint_dir(ctx.spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    return run_events_stream(ctx.spark, ctx.sf_dir, "events.parquet", base,
-                             f"{O.STREAM_LATENESS_HOURS} hours")
+    return run_events_stream(ctx.spark, f"{ctx.sf_dir}/events.parquet", base, f"{STREAM_LATENESS_HOURS} hours")

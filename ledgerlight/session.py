@@ -91,6 +91,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that system knows it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files."""
+    fs, p = hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(os.environ.get("LEDGERLIGHT_PARTITIONS", spark.sparkContext.defaultParallelism))
 

@@ -6,10 +6,55 @@ full statement.
 """
 from __future__ import annotations
 
-from ledgerlight.functions.text import COMMENT_PATTERN, DBT_COMMENT_PATTERN, TAG_MARKER_KEYS
-from ledgerlight.plans import enriched as E
 from ledgerlight.sources.testbed import ACCOUNT, duck_ctes
 
+# Fixed values, written out here so that a slip on the Spark side shows.
+COMMENT_PATTERN = '/\\*[\\s\\S]*?\\*/|--[^\\n]*(?:\\n|\\z)|;'
+DBT_COMMENT_PATTERN = '(?i)/\\*\\s*(\\{[^*]*?"app":\\s*"dbt"[^*]*\\})\\s*\\*/'
+TAG_MARKER_KEYS = ('dbt_snowflake_query_tags_version', 'dbt_query_tags_version')
+COST_COLUMNS = ['compute_cost', 'compute_credits', 'query_acceleration_cost', 'query_acceleration_credits',
+     'cloud_services_cost', 'cloud_services_credits', 'query_cost', 'query_credits', 'execution_start_time']
+QUERY_COLUMNS = ['query_text', 'database_id', 'database_name', 'schema_id', 'schema_name', 'query_type', 'session_id',
+     'user_name', 'role_name', 'warehouse_id', 'warehouse_name', 'warehouse_size', 'warehouse_type',
+     'cluster_number', 'query_tag', 'execution_status', 'error_code', 'error_message', 'start_time', 'end_time',
+     'total_elapsed_time', 'bytes_scanned', 'percentage_scanned_from_cache', 'bytes_written',
+     'bytes_written_to_result', 'bytes_read_from_result', 'rows_produced', 'rows_inserted', 'rows_updated',
+     'rows_deleted', 'rows_unloaded', 'bytes_deleted', 'partitions_scanned', 'partitions_total',
+     'bytes_spilled_to_local_storage', 'bytes_spilled_to_remote_storage', 'bytes_sent_over_the_network',
+     'outbound_data_transfer_cloud', 'outbound_data_transfer_region', 'outbound_data_transfer_bytes',
+     'inbound_data_transfer_cloud', 'inbound_data_transfer_region', 'inbound_data_transfer_bytes',
+     'credits_used_cloud_services', 'release_version', 'external_function_total_invocations',
+     'external_function_total_sent_rows', 'external_function_total_received_rows',
+     'external_function_total_sent_bytes', 'external_function_total_received_bytes', 'query_load_percent',
+     'is_client_generated_statement', 'query_acceleration_bytes_scanned', 'query_acceleration_partitions_scanned',
+     'query_acceleration_upper_limit_scale_factor', 'query_hash', 'query_hash_version',
+     'query_parameterized_hash', 'query_parameterized_hash_version']
+MS_COLUMNS = ['total_elapsed_time', 'compilation_time', 'queued_provisioning_time', 'queued_repair_time',
+     'queued_overload_time', 'transaction_blocked_time', 'list_external_files_time', 'execution_time']
+GB_COLUMNS = {'bytes_spilled_to_local_storage': 'data_spilled_to_local_storage_gb',
+     'bytes_spilled_to_remote_storage': 'data_spilled_to_remote_storage_gb',
+     'bytes_sent_over_the_network': 'data_sent_over_the_network_gb'}
+STRING_FIELDS = {'dbt_invocation_id': 'invocation_id',
+     'dbt_node_id': 'node_id',
+     'dbt_node_resource_type': 'node_resource_type',
+     'dbt_node_materialized': 'materialized',
+     'dbt_node_alias': 'node_alias',
+     'dbt_node_database': 'node_database',
+     'dbt_node_schema': 'node_schema',
+     'dbt_version': 'dbt_version',
+     'dbt_project_name': 'project_name',
+     'dbt_target_name': 'target_name',
+     'dbt_target_database': 'target_database',
+     'dbt_target_schema': 'target_schema',
+     'dbt_node_package_name': 'node_package_name',
+     'dbt_node_original_file_path': 'node_original_file_path',
+     'dbt_cloud_project_id': 'dbt_cloud_project_id',
+     'dbt_cloud_job_id': 'dbt_cloud_job_id',
+     'dbt_cloud_run_id': 'dbt_cloud_run_id',
+     'dbt_cloud_run_reason_category': 'dbt_cloud_run_reason_category',
+     'dbt_cloud_run_reason': 'dbt_cloud_run_reason'}
+MISSING_ACCOUNT_MESSAGE = 'Required dbt_cloud_account_id variable not set'
+
 AS_OF = "(SELECT max(CAST(ts AS DATE)) FROM events) + 2"
 
 STAGED = """,
@@ -22,129 +67,99 @@ bal AS (
                                                         capacity_balance DESC NULLS LAST) = 1)
 """
 
+# Filled by as-of joins: the newest known value up to a day, else the oldest known one after it.
 DAILY_RATES = f""",
-rsb AS (SELECT date, usage_type, currency, effective_rate, service_type
-        FROM rate_sheet_daily WHERE account_name = '{ACCOUNT}'),
-rng AS (SELECT (SELECT max(d) FROM (SELECT min(date) AS d FROM rsb UNION ALL SELECT min(date) FROM bal) AS u)
-               AS start_date, {AS_OF} AS end_date),
-rs AS (SELECT rsb.* FROM rsb, rng WHERE rsb.date BETWEEN rng.start_date AND rng.end_date),
-types AS (SELECT DISTINCT usage_type FROM rs),
-days AS (SELECT CAST(unnest(generate_series(CAST(greatest(start_date, DATE '2018-01-01') AS TIMESTAMP),
-                                             CAST(end_date AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
-         FROM rng),
-grid AS (SELECT days.date, types.usage_type FROM days, types),
-filled AS (
-  SELECT g.date, g.usage_type,
-    coalesce(r.service_type, last_value(r.service_type IGNORE NULLS) OVER wb,
-             first_value(r.service_type IGNORE NULLS) OVER wa) AS service_type,
-    coalesce(r.effective_rate, last_value(r.effective_rate IGNORE NULLS) OVER wb,
-             first_value(r.effective_rate IGNORE NULLS) OVER wa) AS effective_rate,
-    coalesce(r.currency, last_value(r.currency IGNORE NULLS) OVER wb,
-             first_value(r.currency IGNORE NULLS) OVER wa) AS currency
-  FROM grid g LEFT JOIN rs r ON g.date = r.date AND g.usage_type = r.usage_type
-  WINDOW wb AS (PARTITION BY g.usage_type ORDER BY g.date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-         wa AS (PARTITION BY g.usage_type ORDER BY g.date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
-bday AS (SELECT date, (free_usage_balance + capacity_balance + on_demand_consumption_balance
-                       + rollover_balance) < 0 AS day_over FROM bal),
-latest_bal AS (SELECT * FROM (SELECT * FROM bday ORDER BY date DESC NULLS FIRST LIMIT 1) AS l
-               WHERE date IS NOT NULL),
-rated AS (
-  SELECT f.*, starts_with(f.usage_type, 'overage-') AS is_overage_rate,
-         replace(f.usage_type, 'overage-', '') AS assoc,
-         coalesce(b.day_over, (SELECT day_over FROM latest_bal), false) AS in_over
-  FROM filled f LEFT JOIN bday b ON f.date = b.date),
-picked AS (
-  SELECT * FROM rated
-  QUALIFY row_number() OVER (
-    PARTITION BY date, service_type, assoc
-    ORDER BY CASE WHEN in_over AND is_overage_rate THEN 1
-                  WHEN NOT in_over AND NOT is_overage_rate THEN 1 ELSE 0 END DESC,
-             usage_type NULLS FIRST, effective_rate NULLS FIRST) = 1),
+price AS (SELECT date AS d, usage_type AS kind, service_type, effective_rate, currency
+          FROM rate_sheet_daily WHERE account_name = '{ACCOUNT}'),
+span AS (SELECT greatest((SELECT min(d) FROM price), (SELECT min(date) FROM bal)) AS lo, {AS_OF} AS hi),
+known AS (SELECT price.* FROM price, span WHERE d >= lo AND d <= hi),
+cell AS (SELECT kind, unnest(range(CAST(greatest(lo, DATE '2018-01-01') AS TIMESTAMP),
+                                   CAST(hi AS TIMESTAMP) + INTERVAL 1 SECOND, INTERVAL 1 DAY))::DATE AS d
+         FROM (SELECT DISTINCT kind FROM known), span),
+rate_known AS (SELECT kind, d, effective_rate FROM known WHERE effective_rate IS NOT NULL),
+service_known AS (SELECT kind, d, service_type FROM known WHERE service_type IS NOT NULL),
+money_known AS (SELECT kind, d, currency FROM known WHERE currency IS NOT NULL),
+cell_rate AS (
+  SELECT c.kind, c.d, coalesce(b.effective_rate, a.effective_rate) AS effective_rate
+  FROM cell c ASOF LEFT JOIN rate_known b ON b.kind = c.kind AND b.d <= c.d
+  ASOF LEFT JOIN rate_known a ON a.kind = c.kind AND a.d >= c.d),
+cell_service AS (
+  SELECT c.kind, c.d, coalesce(b.service_type, a.service_type) AS service_type
+  FROM cell c ASOF LEFT JOIN service_known b ON b.kind = c.kind AND b.d <= c.d
+  ASOF LEFT JOIN service_known a ON a.kind = c.kind AND a.d >= c.d),
+cell_money AS (
+  SELECT c.kind, c.d, coalesce(b.currency, a.currency) AS currency
+  FROM cell c ASOF LEFT JOIN money_known b ON b.kind = c.kind AND b.d <= c.d
+  ASOF LEFT JOIN money_known a ON a.kind = c.kind AND a.d >= c.d),
+debt AS (SELECT date AS d, free_usage_balance + capacity_balance + on_demand_consumption_balance
+                           + rollover_balance < 0 AS owing FROM bal),
+offer AS (
+  SELECT c.d, c.kind, service_type, effective_rate, currency, c.kind LIKE 'overage-%' AS over,
+         regexp_replace(c.kind, 'overage-', '', 'g') AS plain,
+         coalesce((SELECT owing FROM debt WHERE debt.d = c.d), (SELECT arg_max(owing, d) FROM debt), false) AS owing
+  FROM cell c JOIN cell_rate USING (kind, d) JOIN cell_service USING (kind, d) JOIN cell_money USING (kind, d)),
+-- of a day's offers the one that fits the balance, then the first by name and rate
+chosen AS (
+  SELECT d, service_type, plain, min({{'misfit': over <> owing, 'kind': kind, 'rate': coalesce(effective_rate, -1e300),
+                                       'effective_rate': effective_rate, 'currency': currency, 'over': over}}) AS o
+  FROM offer GROUP BY d, service_type, plain),
 daily_rates AS (
-  SELECT date, assoc AS usage_type, service_type, effective_rate, currency, is_overage_rate,
-         row_number() OVER (PARTITION BY service_type, assoc ORDER BY date DESC) = 1 AS is_latest_rate
-  FROM picked)
+  SELECT d AS date, plain AS usage_type, service_type, o.effective_rate AS effective_rate, o.currency AS currency,
+         o.over AS is_overage_rate,
+         d = (SELECT max(z.d) FROM chosen z WHERE z.plain = chosen.plain
+              AND z.service_type IS NOT DISTINCT FROM chosen.service_type) AS is_latest_rate
+  FROM chosen)
 """
 
+# Each query lists its own hours; hour totals are grouped and joined to them.
 COST_PER_QUERY = """,
-stop_ts AS (SELECT max(end_time) AS latest_ts FROM warehouse_metering_history),
-fq AS (
-  SELECT query_id, credits_used_cloud_services, warehouse_id,
-         warehouse_size IS NOT NULL AS ran_on_warehouse,
-         start_time + to_milliseconds(queued_overload_time + compilation_time + queued_provisioning_time
-                                      + queued_repair_time + list_external_files_time) AS execution_start_time,
-         start_time, end_time, query_acceleration_bytes_scanned
-  FROM stg_query_history WHERE end_time <= (SELECT latest_ts FROM stop_ts)),
-hour_grid AS (
-  SELECT unnest(generate_series((SELECT date_trunc('hour', min(execution_start_time)) FROM fq),
-                                (SELECT max(end_time) FROM fq), INTERVAL 1 HOUR)) AS hour_start),
-q_hours AS (
-  SELECT h.hour_start, h.hour_start + INTERVAL 1 HOUR AS hour_end, q.*
-  FROM hour_grid h JOIN fq q
-    ON h.hour_start >= date_trunc('hour', q.execution_start_time) AND h.hour_start < q.end_time
-   AND q.ran_on_warehouse),
-q_ms AS (
-  SELECT *, epoch_us(least(end_time, hour_end)) // 1000
-            - epoch_us(greatest(execution_start_time, hour_start)) // 1000 AS ms
-  FROM q_hours),
-q_frac AS (
-  SELECT *,
-    CASE WHEN sum(ms) OVER w = 0 THEN 0 ELSE ms / sum(ms) OVER w END AS frac_time,
-    CASE WHEN sum(query_acceleration_bytes_scanned) OVER w = 0 THEN 0
-         ELSE query_acceleration_bytes_scanned / sum(query_acceleration_bytes_scanned) OVER w END AS frac_qa
-  FROM q_ms WINDOW w AS (PARTITION BY warehouse_id, hour_start)),
-billed_hourly AS (
-  SELECT start_time AS hour, entity_id AS warehouse_id,
-    sum(CASE WHEN service_type = 'WAREHOUSE_METERING' THEN credits_used_compute ELSE 0 END) AS b_compute,
-    sum(CASE WHEN service_type = 'WAREHOUSE_METERING' THEN credits_used_cloud_services ELSE 0 END) AS b_cs,
-    sum(CASE WHEN service_type = 'QUERY_ACCELERATION' THEN credits_used_compute ELSE 0 END) AS b_qa
-  FROM metering_history WHERE service_type IN ('QUERY_ACCELERATION', 'WAREHOUSE_METERING')
-  GROUP BY 1, 2),
-q_cost AS (
-  SELECT f.*, b.b_compute * f.frac_time AS comp_cr, b.b_compute * f.frac_time * r.effective_rate AS comp_cost,
-         b.b_qa * f.frac_qa AS qa_cr, b.b_qa * f.frac_qa * r.effective_rate AS qa_cost
-  FROM q_frac f
-  JOIN billed_hourly b ON f.warehouse_id = b.warehouse_id AND f.hour_start = b.hour
-  JOIN daily_rates r ON CAST(f.start_time AS DATE) = r.date
-   AND r.service_type = 'WAREHOUSE_METERING' AND r.usage_type = 'compute'),
-per_query AS (
-  SELECT query_id, max(start_time) AS start_time, max(end_time) AS end_time,
-         max(execution_start_time) AS execution_start_time,
-         sum(comp_cost) AS compute_cost, sum(comp_cr) AS compute_credits,
-         sum(qa_cost) AS query_acceleration_cost, sum(qa_cr) AS query_acceleration_credits,
-         max(credits_used_cloud_services) AS credits_used_cloud_services,
-         bool_or(ran_on_warehouse) AS ran_on_warehouse
-  FROM q_cost GROUP BY query_id),
-all_q AS (
-  SELECT * FROM per_query
-  UNION ALL
-  SELECT query_id, start_time, end_time, execution_start_time, 0.0, 0.0, 0.0, 0.0,
-         credits_used_cloud_services, ran_on_warehouse
-  FROM fq WHERE NOT ran_on_warehouse),
-billed_daily AS (
-  SELECT CAST(hour AS DATE) AS date, sum(b_compute) AS d_compute, sum(b_cs) AS d_cs,
-         CASE WHEN sum(b_cs) - sum(b_compute) * 0.1 > 0 THEN sum(b_cs) - sum(b_compute) * 0.1 ELSE 0 END AS d_billable
-  FROM billed_hourly GROUP BY 1),
+done AS (
+  SELECT query_id, warehouse_id, start_time, end_time, warehouse_size IS NOT NULL AS ran_on_warehouse,
+         credits_used_cloud_services, query_acceleration_bytes_scanned AS accelerated,
+         start_time + to_milliseconds(queued_provisioning_time + queued_repair_time + queued_overload_time
+                                      + list_external_files_time + compilation_time) AS began
+  FROM stg_query_history
+  WHERE NOT end_time > (SELECT max(end_time) FROM warehouse_metering_history)),
+part AS (
+  SELECT query_id, warehouse_id, accelerated, began, end_time, CAST(start_time AS DATE) AS day, t.h AS hour,
+         epoch_us(least(t.h + INTERVAL 1 HOUR, end_time)) // 1000 - epoch_us(greatest(t.h, began)) // 1000 AS ms
+  FROM done, unnest(generate_series(date_trunc('hour', began), end_time - INTERVAL 1 MICROSECOND, INTERVAL 1 HOUR)) AS t(h)
+  WHERE ran_on_warehouse),
+hour_sum AS (SELECT warehouse_id, hour, sum(ms) AS ms, sum(accelerated) AS accelerated FROM part GROUP BY ALL),
+bill AS (
+  SELECT entity_id AS warehouse_id, start_time AS hour,
+         coalesce(sum(credits_used_compute) FILTER (service_type = 'WAREHOUSE_METERING'), 0) AS compute,
+         coalesce(sum(credits_used_compute) FILTER (service_type = 'QUERY_ACCELERATION'), 0) AS speedup,
+         coalesce(sum(credits_used_cloud_services) FILTER (service_type = 'WAREHOUSE_METERING'), 0) AS cloud
+  FROM metering_history WHERE service_type = 'WAREHOUSE_METERING' OR service_type = 'QUERY_ACCELERATION' GROUP BY ALL),
+share AS (
+  SELECT p.query_id, r.effective_rate AS rate,
+         bill.compute * coalesce(p.ms / nullif(s.ms, 0), 0) AS compute,
+         bill.speedup * CASE s.accelerated WHEN 0 THEN 0 ELSE p.accelerated / s.accelerated END AS speedup
+  FROM part p JOIN hour_sum s USING (warehouse_id, hour) JOIN bill USING (warehouse_id, hour)
+  JOIN daily_rates r ON r.date = p.day AND (r.service_type, r.usage_type) = ('WAREHOUSE_METERING', 'compute')),
+used AS (
+  SELECT query_id, sum(compute) AS compute, sum(compute * rate) AS compute_cost, sum(speedup) AS speedup,
+         sum(speedup * rate) AS speedup_cost FROM share GROUP BY query_id
+  UNION ALL SELECT query_id, 0.0, 0.0, 0.0, 0.0 FROM done WHERE NOT ran_on_warehouse),
+day_bill AS (
+  SELECT day, cloud, greatest(cloud - compute / 10, 0) AS billable
+  FROM (SELECT CAST(hour AS DATE) AS day, sum(cloud) AS cloud, sum(compute) AS compute FROM bill GROUP BY 1)),
+cloud_price AS (SELECT date, effective_rate, currency, is_latest_rate FROM daily_rates
+                WHERE (service_type, usage_type) = ('CLOUD_SERVICES', 'cloud services')),
+final AS (
+  SELECT d.query_id, d.start_time, d.end_time, d.began, d.ran_on_warehouse, u.* EXCLUDE (query_id),
+         CASE b.cloud WHEN 0 THEN 0 ELSE d.credits_used_cloud_services / b.cloud END * b.billable AS cloud,
+         coalesce(own.effective_rate, now.effective_rate) AS rate, coalesce(own.currency, now.currency) AS currency
+  FROM used u JOIN done d USING (query_id) JOIN day_bill b ON b.day = CAST(d.start_time AS DATE)
+  JOIN cloud_price now ON now.is_latest_rate LEFT JOIN cloud_price own ON own.date = b.day),
 cost_per_query AS (
-  SELECT a.query_id, a.start_time, a.end_time, a.execution_start_time,
-    a.compute_cost, a.compute_credits, a.query_acceleration_cost, a.query_acceleration_credits,
-    (CASE WHEN d.d_cs = 0 THEN 0 ELSE a.credits_used_cloud_services / d.d_cs END) * d.d_billable
-      * coalesce(dr.effective_rate, cur.effective_rate) AS cloud_services_cost,
-    (CASE WHEN d.d_cs = 0 THEN 0 ELSE a.credits_used_cloud_services / d.d_cs END) * d.d_billable
-      AS cloud_services_credits,
-    a.compute_cost + a.query_acceleration_cost
-      + (CASE WHEN d.d_cs = 0 THEN 0 ELSE a.credits_used_cloud_services / d.d_cs END) * d.d_billable
-        * coalesce(dr.effective_rate, cur.effective_rate) AS query_cost,
-    a.compute_credits + a.query_acceleration_credits
-      + (CASE WHEN d.d_cs = 0 THEN 0 ELSE a.credits_used_cloud_services / d.d_cs END) * d.d_billable
-      AS query_credits,
-    a.ran_on_warehouse, coalesce(dr.currency, cur.currency) AS currency
-  FROM all_q a
-  JOIN billed_daily d ON CAST(a.start_time AS DATE) = d.date
-  LEFT JOIN daily_rates dr ON CAST(a.start_time AS DATE) = dr.date
-   AND dr.service_type = 'CLOUD_SERVICES' AND dr.usage_type = 'cloud services'
-  JOIN daily_rates cur ON cur.is_latest_rate AND cur.service_type = 'CLOUD_SERVICES'
-   AND cur.usage_type = 'cloud services')
+  SELECT query_id, start_time, end_time, began AS execution_start_time, compute_cost, compute AS compute_credits,
+         speedup_cost AS query_acceleration_cost, speedup AS query_acceleration_credits,
+         cloud * rate AS cloud_services_cost, cloud AS cloud_services_credits,
+         compute_cost + speedup_cost + cloud * rate AS query_cost, compute + speedup + cloud AS query_credits,
+         ran_on_warehouse, currency
+  FROM final)
 """
 
 
@@ -161,159 +176,133 @@ def _initcap(x: str) -> str:
     return _INITCAP.format(x=x)
 
 
+# One long table of priced facts: every family lists (hour, labels, amount, day of its price); a rule
+# gives the family's price, unit and whether hours without a fact still get a row; one grouping
+# prices them all. Families billed in currency are settled per day and then dealt to its hours.
 HOURLY_SPEND = f""",
-hours AS (
-  SELECT hour, CAST(hour AS DATE) AS date,
-         count(hour) OVER (PARTITION BY CAST(hour AS DATE)) AS hours_thus_far,
-         dayofmonth(last_day(CAST(hour AS DATE))) AS days_in_month
-  FROM (SELECT unnest(generate_series(coalesce(min(start_time), TIMESTAMP '2023-01-01 00:00:00'),
-                                      coalesce(max(start_time), TIMESTAMP '2023-01-01 00:00:00'),
-                                      INTERVAL 1 HOUR)) AS hour FROM metering_history) AS s),
-dsu AS (SELECT usage_date AS date, * EXCLUDE (usage_date) FROM database_storage_usage_history),
-itemized AS (SELECT date, sum(average_database_bytes) / {_TB} AS db_tb,
-                    sum(average_failsafe_bytes) / {_TB} AS fs_tb FROM dsu GROUP BY date),
-recon AS (SELECT s.usage_date AS date,
-                 s.storage_bytes / {_TB} - i.db_tb AS res_storage,
-                 s.failsafe_bytes / {_TB} - i.fs_tb AS res_failsafe
-          FROM storage_usage s LEFT JOIN itemized i ON s.usage_date = i.date),
-storage_daily AS (
-  SELECT date, 'Table and Time Travel' AS storage_type, database_name,
-         sum(average_database_bytes) / {_TB} AS tb FROM dsu GROUP BY 1, 2, 3
-  UNION ALL SELECT date, 'Failsafe', database_name, sum(average_failsafe_bytes) / {_TB} FROM dsu GROUP BY 1, 2, 3
-  UNION ALL SELECT usage_date, 'Stage', NULL, sum(average_stage_bytes) / {_TB}
-            FROM stage_storage_usage_history GROUP BY 1, 2, 3
-  UNION ALL SELECT date, 'Retained for Clones', NULL, res_storage FROM recon WHERE res_storage > 0
-  UNION ALL SELECT date, 'Failsafe Retained for Clones', NULL, res_failsafe FROM recon WHERE res_failsafe > 0),
-storage_fam AS (
-  SELECT h.hour, 'Storage' AS service, s.storage_type, CAST(NULL AS VARCHAR) AS warehouse_name, s.database_name,
-    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END), 0) AS usage,
-    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END * r.effective_rate), 0) AS spend,
-    max(r.currency) AS currency, 'TB' AS usage_unit, max(r.effective_rate) AS usage_rate
-  FROM hours h LEFT JOIN storage_daily s ON h.date = s.date
-  LEFT JOIN daily_rates r ON s.date = r.date AND r.service_type = 'STORAGE' AND r.usage_type = 'storage'
-  GROUP BY 1, 2, 3, 4, 5),
-hybrid_daily AS (SELECT date, database_name, sum(average_hybrid_table_storage_bytes) / {_TB} AS tb
-                 FROM dsu GROUP BY 1, 2),
-hybrid_fam AS (
-  SELECT h.hour, 'Hybrid Table Storage' AS service, CAST(NULL AS VARCHAR) AS storage_type,
-    CAST(NULL AS VARCHAR) AS warehouse_name, s.database_name,
-    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END), 0) AS usage,
-    coalesce(sum(CASE WHEN h.days_in_month * 24 = 0 THEN 0 ELSE s.tb / (h.days_in_month * 24) END * r.effective_rate), 0) AS spend,
-    max(r.currency) AS currency, 'TB' AS usage_unit, max(r.effective_rate) AS usage_rate
-  FROM hours h LEFT JOIN hybrid_daily s ON h.date = s.date
-  LEFT JOIN daily_rates r ON s.date = r.date AND r.service_type = 'HYBRID_TABLE_STORAGE'
-   AND r.usage_type = 'hybrid table storage'
-  GROUP BY 1, 2, 3, 4, 5),
-uic AS (SELECT usage_date, account_name, replace(usage_type, 'overage-', '') AS usage_type, currency,
-               sum(usage_in_currency) AS usage_in_currency, sum(usage) AS usage
-        FROM usage_in_currency_daily GROUP BY 1, 2, 3, 4),
-cats(usage_type, usage_unit) AS (VALUES ('data transfer', 'TB'), ('logging', 'Credits'),
-  ('reader compute', 'Credits'), ('reader storage', 'TB'), ('reader data transfer', 'TB'),
-  ('reader adj for incl cloud services', 'Credits'), ('reader cloud services', 'Credits')),
-spread AS (
-  SELECT h.hour, c.usage_type AS cat, {_initcap('c.usage_type')} AS service, c.usage_unit,
-    coalesce(u.usage / h.hours_thus_far, 0) AS usage,
-    coalesce(u.usage_in_currency / h.hours_thus_far, 0) AS spend, u.currency,
-    round(CASE WHEN u.usage = 0 THEN 0 ELSE u.usage_in_currency / u.usage END, 2) AS usage_rate
-  FROM hours h CROSS JOIN cats c
-  LEFT JOIN uic u ON u.account_name = '{ACCOUNT}' AND u.usage_type = c.usage_type AND h.date = u.usage_date),
-spread_fam AS (
-  SELECT s.hour, s.service, CAST(NULL AS VARCHAR) AS storage_type, CAST(NULL AS VARCHAR) AS warehouse_name,
-    CAST(NULL AS VARCHAR) AS database_name, s.usage,
-    CASE WHEN s.cat = 'reader adj for incl cloud services' THEN 0
-         WHEN s.cat = 'reader cloud services' THEN s.usage + a.usage ELSE s.usage END AS usage_net_cloud_services,
-    s.spend,
-    CASE WHEN s.cat = 'reader adj for incl cloud services' THEN 0
-         WHEN s.cat = 'reader cloud services' THEN s.spend + a.spend ELSE s.spend END AS spend_net_cloud_services,
-    s.currency, s.usage_unit, s.usage_rate
-  FROM spread s LEFT JOIN (SELECT * FROM spread WHERE cat = 'reader adj for incl cloud services') a
-    ON s.cat = 'reader cloud services' AND s.hour = a.hour),
-compute_fam AS (
-  SELECT h.hour, 'Compute' AS service, CAST(NULL AS VARCHAR) AS storage_type, m.name AS warehouse_name,
-    CAST(NULL AS VARCHAR) AS database_name,
-    coalesce(sum(m.credits_used_compute), 0) AS usage,
-    coalesce(sum(m.credits_used_compute * r.effective_rate), 0) AS spend,
-    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
-  FROM hours h LEFT JOIN metering_history m ON h.hour = m.start_time
-  LEFT JOIN daily_rates r ON h.date = r.date AND r.service_type = 'WAREHOUSE_METERING' AND r.usage_type = 'compute'
-  WHERE m.service_type = 'WAREHOUSE_METERING' AND m.name != 'CLOUD_SERVICES_ONLY'
-  GROUP BY 1, 2, 3, 4),
-serverless_fam AS (
-  SELECT h.hour, 'Serverless Tasks' AS service, CAST(NULL AS VARCHAR) AS storage_type,
-    CAST(NULL AS VARCHAR) AS warehouse_name, t.database_name,
-    coalesce(sum(t.credits_used), 0) AS usage, coalesce(sum(t.credits_used * r.effective_rate), 0) AS spend,
-    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
-  FROM hours h LEFT JOIN serverless_task_history t ON h.hour = date_trunc('hour', t.start_time)
-  LEFT JOIN daily_rates r ON h.date = r.date AND r.service_type = 'SERVERLESS_TASK'
-   AND r.usage_type = 'serverless tasks'
-  GROUP BY 1, 2, 3, 4, 5),
-adj_fam AS (
-  SELECT h.hour, 'Adj For Incl Cloud Services' AS service, CAST(NULL AS VARCHAR) AS storage_type,
-    CAST(NULL AS VARCHAR) AS warehouse_name, CAST(NULL AS VARCHAR) AS database_name,
-    coalesce(sum(d.credits_adjustment_cloud_services), 0) AS usage,
-    coalesce(sum(d.credits_adjustment_cloud_services * r.effective_rate), 0) AS spend,
-    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
-  FROM hours h LEFT JOIN metering_daily_history d ON h.hour = CAST(d.usage_date AS TIMESTAMP)
-  LEFT JOIN daily_rates r ON h.date = r.date AND r.service_type = 'CLOUD_SERVICES'
-   AND r.usage_type = 'cloud services'
-  GROUP BY 1, 2, 3, 4, 5),
-cs_usage AS (
-  SELECT h.hour, h.date,
-    CASE WHEN m.name = 'CLOUD_SERVICES_ONLY' THEN 'Cloud Services Only' ELSE m.name END AS warehouse_name,
-    coalesce(sum(m.credits_used_cloud_services), 0) AS cs
-  FROM hours h LEFT JOIN metering_history m ON h.hour = m.start_time AND m.service_type = 'WAREHOUSE_METERING'
-  GROUP BY 1, 2, 3),
-cs_daily AS (
-  SELECT usage_date AS date, sum(credits_used_cloud_services) AS cs,
-         sum(credits_used_cloud_services + credits_adjustment_cloud_services) AS billable
+clock AS (
+  SELECT t.h AS hour, CAST(t.h AS DATE) AS day, dayofmonth(last_day(t.h)) * 24 AS month_hours
+  FROM (SELECT coalesce(min(start_time), TIMESTAMP '2023-01-01') AS lo, coalesce(max(start_time), TIMESTAMP '2023-01-01') AS hi
+        FROM metering_history), unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS t(h)),
+day_hours AS (SELECT day, count(*) AS n FROM clock GROUP BY day),
+rule(family, unit, price_service, price_type, every_hour, free) AS (VALUES
+  ('Storage', 'TB', 'STORAGE', 'storage', 'unpriced', false),
+  ('Hybrid Table Storage', 'TB', 'HYBRID_TABLE_STORAGE', 'hybrid table storage', 'unpriced', false),
+  ('Compute', 'Credits', 'WAREHOUSE_METERING', 'compute', NULL, false),
+  ('Serverless Tasks', 'Credits', 'SERVERLESS_TASK', 'serverless tasks', 'priced', false),
+  ('Adj For Incl Cloud Services', 'Credits', 'CLOUD_SERVICES', 'cloud services', 'priced', true)),
+held AS (
+  SELECT usage_date AS day, database_name, x.family, x.storage_type, sum(x.bytes) AS bytes
+  FROM database_storage_usage_history, unnest([
+    {{'family': 'Storage', 'storage_type': 'Table and Time Travel', 'bytes': average_database_bytes}},
+    {{'family': 'Storage', 'storage_type': 'Failsafe', 'bytes': average_failsafe_bytes}},
+    {{'family': 'Hybrid Table Storage', 'storage_type': NULL, 'bytes': average_hybrid_table_storage_bytes}}]) AS u(x)
+  GROUP BY ALL
+  UNION ALL SELECT usage_date, NULL, 'Storage', 'Stage', sum(average_stage_bytes) FROM stage_storage_usage_history GROUP BY 1),
+unlisted AS (
+  SELECT usage_date AS day, y.storage_type, y.total - (SELECT sum(bytes) FROM held h
+           WHERE h.day = usage_date AND h.storage_type = y.itemized) AS bytes
+  FROM storage_usage, unnest([
+    {{'storage_type': 'Retained for Clones', 'itemized': 'Table and Time Travel', 'total': storage_bytes}},
+    {{'storage_type': 'Failsafe Retained for Clones', 'itemized': 'Failsafe', 'total': failsafe_bytes}}]) AS u(y)),
+stored AS (
+  SELECT * FROM held UNION ALL BY NAME
+  SELECT day, CAST(NULL AS VARCHAR) AS database_name, 'Storage' AS family, storage_type, bytes FROM unlisted WHERE bytes > 0),
+fact AS (
+  SELECT family, hour, storage_type, CAST(NULL AS VARCHAR) AS warehouse_name, database_name,
+         bytes / {_TB} / month_hours AS amount, day AS price_day
+  FROM stored JOIN clock USING (day)
+  UNION ALL
+  SELECT 'Compute', hour, NULL, name, NULL, credits_used_compute, day
+  FROM metering_history JOIN clock ON hour = start_time
+  WHERE service_type = 'WAREHOUSE_METERING' AND name <> 'CLOUD_SERVICES_ONLY'
+  UNION ALL
+  SELECT 'Serverless Tasks', hour, NULL, NULL, database_name, credits_used, day
+  FROM serverless_task_history JOIN clock ON hour = date_trunc('hour', start_time)
+  UNION ALL
+  SELECT 'Adj For Incl Cloud Services', hour, NULL, NULL, NULL, credits_adjustment_cloud_services, day
+  FROM metering_daily_history JOIN clock ON hour = CAST(usage_date AS TIMESTAMP)),
+with_holes AS (
+  SELECT * FROM fact UNION ALL
+  SELECT family, hour, NULL, NULL, NULL, NULL, CASE every_hour WHEN 'priced' THEN day END
+  FROM rule, clock WHERE every_hour IS NOT NULL
+   AND NOT EXISTS (SELECT 1 FROM fact WHERE fact.family = rule.family AND fact.hour = clock.hour)),
+priced AS (
+  SELECT f.hour, f.family AS service, f.storage_type, f.warehouse_name, f.database_name, any_value(u.unit) AS usage_unit,
+         bool_or(u.free) AS free, coalesce(sum(f.amount), 0) AS usage, coalesce(sum(f.amount * r.effective_rate), 0) AS spend,
+         max(r.currency) AS currency, max(r.effective_rate) AS usage_rate
+  FROM with_holes f JOIN rule u USING (family)
+  LEFT JOIN daily_rates r ON (r.date, r.service_type, r.usage_type) = (f.price_day, u.price_service, u.price_type)
+  GROUP BY f.hour, f.family, f.storage_type, f.warehouse_name, f.database_name),
+billed_as(kind, unit) AS (VALUES ('data transfer', 'TB'), ('logging', 'Credits'), ('reader compute', 'Credits'),
+  ('reader storage', 'TB'), ('reader data transfer', 'TB'), ('reader adj for incl cloud services', 'Credits'),
+  ('reader cloud services', 'Credits')),
+settled AS (
+  SELECT d.day, d.n, b.kind, b.unit, s.usage_date IS NOT NULL AS has_bill, sum(s.usage) AS used,
+         sum(s.usage_in_currency) AS paid, s.currency
+  FROM day_hours d CROSS JOIN billed_as b
+  LEFT JOIN usage_in_currency_daily s ON s.usage_date = d.day AND s.account_name = '{ACCOUNT}'
+   AND replace(s.usage_type, 'overage-', '') = b.kind
+  GROUP BY d.day, d.n, b.kind, b.unit, s.usage_date IS NOT NULL, s.currency),
+per_hour AS (
+  SELECT *, coalesce(used / n, 0) AS u, coalesce(paid / n, 0) AS p,
+         round(CASE used WHEN 0 THEN 0 ELSE paid / used END, 2) AS rate FROM settled),
+dealt AS (
+  SELECT c.hour, {_initcap('x.kind')} AS service, x.unit AS usage_unit, x.u AS usage, x.p AS spend, x.currency, x.rate AS usage_rate,
+         CASE x.kind WHEN 'reader cloud services' THEN x.u + a.u WHEN 'reader adj for incl cloud services' THEN 0 ELSE x.u END AS net_u,
+         CASE x.kind WHEN 'reader cloud services' THEN x.p + a.p WHEN 'reader adj for incl cloud services' THEN 0 ELSE x.p END AS net_p
+  FROM clock c JOIN per_hour x USING (day)
+  LEFT JOIN per_hour a ON x.kind = 'reader cloud services' AND a.kind = 'reader adj for incl cloud services' AND a.day = x.day),
+cloud_day AS (
+  SELECT usage_date AS day, sum(credits_used_cloud_services) AS used,
+         sum(credits_used_cloud_services + credits_adjustment_cloud_services) AS due
   FROM metering_daily_history WHERE service_type = 'WAREHOUSE_METERING' GROUP BY 1),
-cs_fam AS (
-  SELECT u.hour, 'Cloud Services' AS service, CAST(NULL AS VARCHAR) AS storage_type, u.warehouse_name,
-    CAST(NULL AS VARCHAR) AS database_name, u.cs AS usage,
-    (CASE WHEN d.cs = 0 THEN 0 ELSE u.cs / d.cs END) * d.billable AS usage_net_cloud_services,
-    u.cs * r.effective_rate AS spend,
-    (CASE WHEN d.cs = 0 THEN 0 ELSE u.cs / d.cs END) * d.billable * r.effective_rate AS spend_net_cloud_services,
-    r.currency, 'Credits' AS usage_unit, r.effective_rate AS usage_rate
-  FROM cs_usage u JOIN cs_daily d ON u.date = d.date
-  LEFT JOIN daily_rates r ON u.date = r.date AND r.service_type = 'CLOUD_SERVICES' AND r.usage_type = 'cloud services'),
-other_rows AS (
-  SELECT h.hour, h.date, m.*,
-    CASE m.service_type WHEN 'AUTO_CLUSTERING' THEN 'AUTOMATIC_CLUSTERING' WHEN 'PIPE' THEN 'SNOWPIPE'
-         ELSE m.service_type END AS renamed
-  FROM hours h JOIN metering_history m ON h.hour = m.start_time
-  WHERE m.service_type NOT IN ('SERVERLESS_TASK', 'WAREHOUSE_METERING', 'WAREHOUSE_METERING_READER')),
-other_labeled AS (
-  SELECT *, CASE renamed WHEN 'MATERIALIZED_VIEW' THEN 'Materialized Views' WHEN 'AI_SERVICES' THEN 'AI Services'
-                 ELSE {_initcap("replace(renamed, '_', ' ')")} END AS service_label
-  FROM other_rows),
-other_fam AS (
-  SELECT o.hour, o.service_label AS service, CAST(NULL AS VARCHAR) AS storage_type,
-    CASE WHEN o.service_type = 'QUERY_ACCELERATION' THEN o.name END AS warehouse_name,
-    CAST(NULL AS VARCHAR) AS database_name,
-    coalesce(sum(o.credits_used), 0) AS usage, coalesce(sum(o.credits_used * r.effective_rate), 0) AS spend,
-    max(r.currency) AS currency, 'Credits' AS usage_unit, max(r.effective_rate) AS usage_rate
-  FROM other_labeled o LEFT JOIN daily_rates r ON o.date = r.date AND o.renamed = r.service_type
-   AND lower(o.service_label) = r.usage_type
-  GROUP BY o.hour, o.renamed, o.service_label, 4),
+cloud_hour AS (
+  SELECT c.hour, c.day, replace(m.name, 'CLOUD_SERVICES_ONLY', 'Cloud Services Only') AS warehouse_name,
+         coalesce(sum(m.credits_used_cloud_services), 0) AS used
+  FROM clock c LEFT JOIN metering_history m ON m.start_time = c.hour AND m.service_type = 'WAREHOUSE_METERING'
+  GROUP BY ALL),
+cloud AS (
+  SELECT h.hour, h.warehouse_name, h.used, CASE d.used WHEN 0 THEN 0 ELSE h.used / d.used END * d.due AS due,
+         r.effective_rate AS rate, r.currency
+  FROM cloud_hour h JOIN cloud_day d USING (day)
+  LEFT JOIN daily_rates r ON (r.date, r.service_type, r.usage_type) = (h.day, 'CLOUD_SERVICES', 'cloud services')),
+-- other services go by their own name, but for a few
+name_of(service_type, price_service) AS (VALUES ('AUTO_CLUSTERING', 'AUTOMATIC_CLUSTERING'), ('PIPE', 'SNOWPIPE')),
+label_of(price_service, label) AS (VALUES ('MATERIALIZED_VIEW', 'Materialized Views'), ('AI_SERVICES', 'AI Services')),
+remaining AS (
+  SELECT c.hour, c.day, coalesce(k.price_service, m.service_type) AS price_service,
+         CASE m.service_type WHEN 'QUERY_ACCELERATION' THEN m.name END AS warehouse_name, sum(m.credits_used) AS used
+  FROM metering_history m JOIN clock c ON c.hour = m.start_time LEFT JOIN name_of k USING (service_type)
+  WHERE NOT list_contains(['SERVERLESS_TASK', 'WAREHOUSE_METERING', 'WAREHOUSE_METERING_READER'], m.service_type)
+  GROUP BY ALL),
+named AS (
+  SELECT m.*, coalesce(l.label, {_initcap("replace(m.price_service, '_', ' ')")}) AS service
+  FROM remaining m LEFT JOIN label_of l USING (price_service)),
+other AS (
+  SELECT o.hour, o.service, o.price_service, o.warehouse_name, coalesce(max(o.used), 0) AS usage,
+         coalesce(sum(o.used * r.effective_rate), 0) AS spend, max(r.currency) AS currency, max(r.effective_rate) AS usage_rate
+  FROM named o LEFT JOIN daily_rates r
+    ON r.date = o.day AND r.service_type = o.price_service AND r.usage_type = lower(o.service)
+  GROUP BY o.hour, o.service, o.price_service, o.warehouse_name),
 hourly_spend AS (
-  SELECT hour, service, storage_type, warehouse_name, database_name, usage, usage AS usage_net_cloud_services,
-         spend, spend AS spend_net_cloud_services, currency, usage_unit, usage_rate FROM storage_fam
-  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM hybrid_fam
-  UNION ALL BY NAME SELECT * FROM spread_fam
-  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM compute_fam
-  UNION ALL BY NAME SELECT *, 0.0 AS usage_net_cloud_services, 0.0 AS spend_net_cloud_services FROM adj_fam
-  UNION ALL BY NAME SELECT * FROM cs_fam
-  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM serverless_fam
-  UNION ALL BY NAME SELECT *, usage AS usage_net_cloud_services, spend AS spend_net_cloud_services FROM other_fam),
+  SELECT hour, service, storage_type, warehouse_name, database_name, usage, if(free, 0, usage) AS usage_net_cloud_services,
+         spend, if(free, 0, spend) AS spend_net_cloud_services, currency, usage_unit, usage_rate FROM priced
+  UNION ALL
+  SELECT hour, service, NULL, NULL, NULL, usage, net_u, spend, net_p, currency, usage_unit, usage_rate FROM dealt
+  UNION ALL
+  SELECT hour, 'Cloud Services', NULL, warehouse_name, NULL, used, due, used * rate, due * rate, currency, 'Credits', rate FROM cloud
+  UNION ALL
+  SELECT hour, service, NULL, warehouse_name, NULL, usage, usage, spend, spend, currency, 'Credits', usage_rate FROM other),
 daily_spend AS (
   SELECT CAST(hour AS DATE) AS date, service, storage_type, warehouse_name, database_name,
     sum(usage) AS usage, sum(usage_net_cloud_services) AS usage_net_cloud_services,
     sum(spend) AS spend, sum(spend_net_cloud_services) AS spend_net_cloud_services,
     max(currency) AS currency, max(usage_unit) AS usage_unit,
-    CASE WHEN sum(usage) > 0 THEN sum(spend) / sum(usage)
-         WHEN sum(usage_net_cloud_services) > 0 THEN sum(spend_net_cloud_services) / sum(usage_net_cloud_services)
-         ELSE 0 END AS usage_rate
-  FROM hourly_spend GROUP BY 1, 2, 3, 4, 5)
+    coalesce(CASE WHEN sum(usage) > 0 THEN sum(spend) / sum(usage) END,
+             CASE WHEN NOT sum(usage) > 0 AND sum(usage_net_cloud_services) > 0
+                  THEN sum(spend_net_cloud_services) / sum(usage_net_cloud_services) END, 0) AS usage_rate
+  FROM hourly_spend GROUP BY ALL)
 """
 
 SPEND_DOUBLES = ["usage", "usage_net_cloud_services", "spend", "spend_net_cloud_services", "usage_rate"]
@@ -349,16 +338,16 @@ qm AS (SELECT *,
          END AS m_keys
        FROM qm2),
 enriched AS (
-  SELECT c.query_id, {", ".join(f"c.{n}" for n in E.COST_COLUMNS)},
-    {", ".join(f"q.{n}" for n in E.QUERY_COLUMNS)},
-    {", ".join(f"q.{n} AS {n}_ms" for n in E.MS_COLUMNS)},
+  SELECT c.query_id, {", ".join(f"c.{n}" for n in COST_COLUMNS)},
+    {", ".join(f"q.{n}" for n in QUERY_COLUMNS)},
+    {", ".join(f"q.{n} AS {n}_ms" for n in MS_COLUMNS)},
     q.warehouse_size IS NOT NULL AS ran_on_warehouse,
     q.bytes_scanned / 1073741824.0 AS data_scanned_gb,
     q.bytes_scanned / 1073741824.0 * q.percentage_scanned_from_cache AS data_scanned_from_cache_gb,
-    {", ".join(f"q.{b} / 1073741824.0 AS {n}" for b, n in E.GB_COLUMNS.items())},
+    {", ".join(f"q.{b} / 1073741824.0 AS {n}" for b, n in GB_COLUMNS.items())},
     regexp_replace(q.query_text, '{COMMENT_PATTERN}', '', 'g') AS query_text_no_comments,
     CASE WHEN q.m_keys IS NOT NULL THEN {_META_TEXT.replace("m_keys", "q.m_keys").replace("m_tag", "q.m_tag").replace("m_comment", "q.m_comment")} END AS dbt_metadata,
-    {", ".join(f"q.{n} / 1000 AS {n}_s" for n in E.MS_COLUMNS)},
+    {", ".join(f"q.{n} / 1000 AS {n}_s" for n in MS_COLUMNS)},
     c.currency,
     q.query_retry_time AS query_retry_time_ms, q.query_retry_time / 1000 AS query_retry_time_s,
     q.query_retry_cause, q.fault_handling_time AS fault_handling_time_ms,
@@ -387,13 +376,13 @@ DBT_FIELDS = [
     (_meta_val("node_meta"), "dbt_node_meta"),
     (_array_text(_meta_val("node_tags")), "node_tags"),
     (f"CASE WHEN {_VERSION} >= '1.1.3' THEN {_array_text(_meta_val('node_refs'))} ELSE '' END", "dbt_node_refs"),
-] + [(_meta_val(E.STRING_FIELDS[o]), o) for o in [
+] + [(_meta_val(STRING_FIELDS[o]), o) for o in [
     "dbt_node_database", "dbt_node_schema", "dbt_version", "dbt_project_name", "dbt_target_name",
     "dbt_target_database", "dbt_target_schema", "dbt_node_package_name", "dbt_node_original_file_path",
     "dbt_cloud_project_id", "dbt_cloud_job_id", "dbt_cloud_run_id", "dbt_cloud_run_reason_category",
     "dbt_cloud_run_reason"]] + [
-    (f"CASE WHEN {_PROJECT} IS NOT NULL THEN '{E.MISSING_ACCOUNT_MESSAGE}' END", "dbt_cloud_job_url"),
-    (f"CASE WHEN {_PROJECT} IS NOT NULL THEN '{E.MISSING_ACCOUNT_MESSAGE}' END", "dbt_cloud_run_url"),
+    (f"CASE WHEN {_PROJECT} IS NOT NULL THEN '{MISSING_ACCOUNT_MESSAGE}' END", "dbt_cloud_job_url"),
+    (f"CASE WHEN {_PROJECT} IS NOT NULL THEN '{MISSING_ACCOUNT_MESSAGE}' END", "dbt_cloud_run_url"),
 ]
 
 DBT_QUERIES_SELECT = ("SELECT " + ", ".join(f"{e} AS {n}" for e, n in DBT_FIELDS) +
@@ -403,8 +392,8 @@ ENRICHED_DOUBLES = (["compute_cost", "compute_credits", "query_acceleration_cost
                      "cloud_services_cost", "cloud_services_credits", "query_cost", "query_credits",
                      "percentage_scanned_from_cache", "credits_used_cloud_services", "query_load_percent",
                      "query_acceleration_upper_limit_scale_factor", "data_scanned_gb",
-                     "data_scanned_from_cache_gb", *E.GB_COLUMNS.values()]
-                    + [f"{n}_s" for n in E.MS_COLUMNS] + ["query_retry_time_s", "fault_handling_time_s"])
+                     "data_scanned_from_cache_gb", *GB_COLUMNS.values()]
+                    + [f"{n}_s" for n in MS_COLUMNS] + ["query_retry_time_s", "fault_handling_time_s"])
 
 # --------------------------------------------------------------------------
 # Access history (flattened directly from the tables, without arrays)
@@ -446,26 +435,27 @@ direct_objects AS (
 TABLE_ACCESS = ("SELECT _unique_id, query_id, query_start_time, user_name, object_name AS full_table_name, "
                 "table_id, columns_accessed FROM {src} WHERE object_domain = 'Table' AND table_id IS NOT NULL")
 
+# Gaps and islands: rows numbered over the warehouse and over each of its states; a state's run
+# has one difference. A null name starts no period, but parts two runs of the same state.
 WAREHOUSES = """,
-wh_obs AS (
+seen AS (
   SELECT warehouse_id, warehouse_size, warehouse_name, start_time, query_id,
-         lag(warehouse_size) OVER w AS prev_size, lag(warehouse_name) OVER w AS prev_name
-  FROM stg_query_history WHERE warehouse_size IS NOT NULL
-  WINDOW w AS (PARTITION BY warehouse_id ORDER BY start_time, query_id)),
-wh_changes AS (
-  SELECT warehouse_id, warehouse_name, warehouse_size, start_time AS valid_from,
-         lead(start_time) OVER (PARTITION BY warehouse_id ORDER BY start_time, query_id) AS next_from
-  FROM wh_obs WHERE warehouse_size != coalesce(prev_size, '') OR warehouse_name != coalesce(prev_name, '')),
+         row_number() OVER (PARTITION BY warehouse_id ORDER BY start_time, query_id)
+         - row_number() OVER (PARTITION BY warehouse_id, warehouse_size, warehouse_name ORDER BY start_time, query_id) AS run
+  FROM stg_query_history WHERE warehouse_size IS NOT NULL),
+period AS (
+  SELECT warehouse_id, warehouse_size, warehouse_name, run, min({'at': start_time, 'by': query_id}) AS opened
+  FROM seen GROUP BY ALL),
 warehouses_type2_dimension AS (
-  SELECT warehouse_id, warehouse_name, warehouse_size, valid_from,
-         coalesce(next_from, (SELECT max(start_time) FROM stg_query_history)) AS valid_to,
-         next_from IS NULL AS is_current
-  FROM wh_changes)
+  SELECT p.warehouse_id, p.warehouse_name, p.warehouse_size, p.opened.at AS valid_from,
+         coalesce(min(q.opened).at, (SELECT max(start_time) FROM stg_query_history)) AS valid_to,
+         count(q.opened) = 0 AS is_current
+  FROM period p LEFT JOIN period q ON q.warehouse_id = p.warehouse_id AND q.opened > p.opened
+  GROUP BY p.warehouse_id, p.warehouse_name, p.warehouse_size, p.opened)
 """
 
-LOOKBACK_DAYS = 3
 COST_LOOKBACK = (f"SELECT * FROM cost_per_query WHERE end_time > "
-                 f"(SELECT max(end_time) - INTERVAL {LOOKBACK_DAYS} DAY FROM fq)")
+                 f"(SELECT max(end_time) - INTERVAL 3 DAY FROM done)")
 
 # --------------------------------------------------------------------------
 # The reference's data checks (each returns the offending rows; empty = pass)

@@ -1,14 +1,10 @@
 """DuckDB SQL for the operator-level queries (formulated independently where the
 Spark side uses a rewrite: range joins instead of explode, window sums instead of
-aggregate + join, full outer join instead of two anti joins, plain windows instead of
-the bucketed type-2 history)."""
+aggregate + join, full outer join instead of one signed union, plain windows instead of
+the range-partitioned type-2 history)."""
 from __future__ import annotations
 
-from ledgerlight.functions.text import COMMENT_PATTERN
-from oracle.models import COST_PER_QUERY, DAILY_RATES, model_sql
-
-DEDUP_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-               "l_tax", "l_returnflag", "l_linestatus"]
+from oracle.models import COMMENT_PATTERN, COST_PER_QUERY, DAILY_RATES, model_sql
 
 K1_HOUR_GRID = """
 WITH b AS (SELECT min(date_trunc('hour', ts)) AS lo, max(date_trunc('hour', ts)) AS hi FROM events),
@@ -70,7 +66,8 @@ FROM c"""
 
 K15_DEDUP = f"""
 SELECT * FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(DEDUP_ORDER)}) = 1"""
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                           l_discount, l_tax, l_returnflag, l_linestatus) = 1"""
 
 F2_LATEST = """
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
@@ -113,7 +110,7 @@ SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVIN
 N4_NULLS = model_sql("SELECT query_id, start_time, query_type FROM stg_query_history "
                      "WHERE warehouse_id IS NULL OR warehouse_size IS NULL")
 
-S6_NEGATIVE = model_sql("SELECT query_id, hour_start, ms AS num_milliseconds_query_ran FROM q_ms WHERE ms < 0",
+S6_NEGATIVE = model_sql("SELECT query_id, hour AS hour_start, ms AS num_milliseconds_query_ran FROM part WHERE ms < 0",
                         DAILY_RATES, COST_PER_QUERY)
 
 K9_SPREAD_DAILY = """
@@ -141,9 +138,8 @@ SELECT o_orderkey, o_custkey, o_orderdate,
        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 AS is_latest
 FROM orders"""
 
-STREAM_LATENESS_HOURS = 24
-L7_STREAM_HOURS = _SLICES + f""",
-closed AS (SELECT max(hour_start) - INTERVAL {STREAM_LATENESS_HOURS} HOUR AS wm FROM sl)
+L7_STREAM_HOURS = _SLICES + """,
+closed AS (SELECT max(hour_start) - INTERVAL 24 HOUR AS wm FROM sl)
 SELECT user_id AS warehouse_id, hour_start AS hour, CAST(sum(ms) AS BIGINT) AS total_query_milliseconds_in_hour,
        count(*) AS slices
 FROM sl GROUP BY 1, 2
