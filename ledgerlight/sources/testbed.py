@@ -295,10 +295,6 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for f in schema.fields])
 
 
-def read_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
-
-
 class Testbed:
     """Lazily derived source roles for one test-data directory."""
 
@@ -306,21 +302,10 @@ class Testbed:
         self.spark, self.sf_dir, self.account = spark, sf_dir, account
         self._cache: dict[str, DataFrame] = {}
 
-    SPREAD_MIN_BYTES = 4 * 1024 * 1024
-
     def table(self, name: str) -> DataFrame:
-        """A test table. Each test file is a single parquet row group, which Spark reads
-        in one task; when the scan has fewer partitions than the default parallelism the
-        rows are spread round-robin so the narrow work after the scan
-        uses every core (tables of a few MB are left alone). Filters and column pruning
-        still reach the scan."""
+        """A test table, read as it is."""
         if name not in self._cache:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            cores = self.spark.sparkContext.defaultParallelism
-            size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-            if df.rdd.getNumPartitions() < cores and size >= self.SPREAD_MIN_BYTES:
-                df = df.repartition(cores)  # round robin: no key can make one partition hot
-            self._cache[name] = df
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
     # derived roles that are aggregates: written once per binding (they are tables in
@@ -584,8 +569,3 @@ usage_in_currency_daily AS ({uicd}),
 rate_sheet_daily AS ({rsd}),
 remaining_balance_daily AS ({rbd})
 """
-
-
-def duck_with(body: str, account: str = ACCOUNT) -> str:
-    """Prefix a query (which may start with more CTEs, no leading WITH) with the roles."""
-    return duck_ctes(account) + body

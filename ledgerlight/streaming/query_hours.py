@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.operators.spine import slice_intervals
+from ledgerlight.session import is_file
 
 QUERY_INTERVALS = T.StructType([
     T.StructField("query_id", T.StringType()), T.StructField("warehouse_id", T.LongType()),
@@ -52,17 +53,18 @@ def event_intervals(events: DataFrame) -> DataFrame:
                          F.timestamp_add("SECOND", F.floor(F.col("value") * 60), start).alias("end_time"))
 
 
-def run_events_stream(spark: SparkSession, source_dir: str, file_glob: str, base: str,
-                      lateness: str) -> DataFrame:
-    """Stream the event files of ``source_dir`` matching ``file_glob`` through
-    ``hourly_run_time`` until drained; return the closed hours written to the sink (a
-    batch read of the parquet sink)."""
-    events_path = f"{source_dir.rstrip('/')}/{file_glob}"
-    schema = spark.read.parquet(events_path).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
+def run_events_stream(spark: SparkSession, events_path: str, base: str, lateness: str) -> DataFrame:
+    """Stream an events table (a file, or a folder of part files) through ``hourly_run_time``
+    until drained; return the closed hours written to the sink (a batch read of it)."""
+    table = spark.read.parquet(events_path)
+    source = spark.readStream.schema(table.schema)
+    if is_file(spark, events_path):  # a file source streams a folder
+        folder, _, name = events_path.rpartition("/")
+        stream = source.option("pathGlobFilter", name).parquet(folder)
+    else:
+        stream = source.parquet(events_path)
     query = (hourly_run_time(event_intervals(stream), lateness).writeStream.format("parquet")
              .option("path", f"{base}/sink").option("checkpointLocation", f"{base}/checkpoint")
              .outputMode("append").trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(hourly_run_time(event_intervals(spark.read.schema(schema).parquet(events_path)),
-                                             lateness).schema).parquet(f"{base}/sink")
+    return spark.read.schema(hourly_run_time(event_intervals(table), lateness).schema).parquet(f"{base}/sink")

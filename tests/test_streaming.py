@@ -2,7 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerlight.streaming.query_hours import hourly_run_time, start_hourly_run_time
+from ledgerlight.streaming.query_hours import hourly_run_time, run_events_stream, start_hourly_run_time
+from tests.conftest import SF_SMALL
 
 
 def test_stream_emits_closed_hours_equal_to_batch(spark, tmp_path):
@@ -21,3 +22,11 @@ def test_stream_emits_closed_hours_equal_to_batch(spark, tmp_path):
     joined = out.join(static, ["warehouse_id", "hour"])
     assert joined.count() == out.count()
     assert joined.where(out.total_query_milliseconds_in_hour != static.total_query_milliseconds_in_hour).count() == 0
+
+
+def test_a_table_of_many_files_streams_like_one_file(spark, tmp_path):
+    one = f"{SF_SMALL}/events.parquet"
+    spark.read.parquet(one).repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    a = run_events_stream(spark, one, f"{tmp_path}/a", "24 hours")
+    b = run_events_stream(spark, f"{tmp_path}/events.parquet", f"{tmp_path}/b", "24 hours")
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
