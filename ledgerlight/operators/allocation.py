@@ -12,11 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.num import div0, greatest_strict
-
-
-def group_totals(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
-    """``{out: col}`` sums per key."""
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(o) for o, c in sums.items()])
+from ledgerlight.session import materialize
 
 
 def salted_join(big: DataFrame, keyed: DataFrame, keys: list[str], rows_col: str,
@@ -56,7 +52,8 @@ def allocate(slices: DataFrame, billed: DataFrame, keys: list[str],
     sums = {t: w for w, (t, _f) in weights.items()}
     totals = slices.groupBy(*keys).agg(*[F.sum(c).alias(o) for o, c in sums.items()],
                                        F.count(F.lit(1)).alias("_rows"))
-    keyed = totals.join(billed, keys, "inner")
+    # one row per key, used by the hot list and by the join: computed once
+    keyed = materialize(totals.join(billed, keys, "inner"), "allocation-totals")
     if max_rows_per_key is not None:
         out = salted_join(slices, keyed, keys, "_rows", max_rows_per_key,
                           spread_cols or slices.columns).drop("_rows")

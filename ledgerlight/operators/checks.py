@@ -20,23 +20,31 @@ def table_diff(actual: DataFrame, expected: DataFrame, truncate: list[str] | Non
             df = df.withColumns({c: trunc_to(c, digits) for c in truncate})
         return df
 
-    a, b = prep(actual), prep(expected)
-    return (a.exceptAll(b).select(F.lit("in_actual_not_in_expected").alias("which_diff"), "*")
-            .unionByName(b.exceptAll(a).select(F.lit("in_expected_not_in_actual").alias("which_diff"), "*")))
+    # one shuffle for both ways: +1 for a row here, -1 there, and what is left over
+    sides = prep(actual).withColumn("_n", F.lit(1)).unionByName(prep(expected).withColumn("_n", F.lit(-1)))
+    left = sides.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    which = F.when(F.col("_n") > 0, "in_actual_not_in_expected").otherwise("in_expected_not_in_actual")
+    copies = F.explode(F.sequence(F.lit(1), F.abs("_n")))
+    return left.select(which.alias("which_diff"), *cols, copies.alias("_copy")).drop("_copy")
 
 
 def unmatched_keys(a: DataFrame, b: DataFrame, key: str, date_col: str | None = None,
                    before=None) -> DataFrame:
-    """Keys present on one side only (two anti joins instead of a full outer join),
+    """Keys present on one side only (one aggregate over both sides instead of a full outer join),
     optionally only rows with ``date(date_col) < before``."""
     def cut(df):
         if date_col is not None and before is not None:
             df = df.where(F.to_date(date_col) < before)
-        return df.select(key).distinct()
-
-    ka, kb = cut(a), cut(b)
-    return (ka.join(kb, key, "left_anti").withColumn("side", F.lit("only_in_left"))
-            .unionByName(kb.join(ka, key, "left_anti").withColumn("side", F.lit("only_in_right"))))
+        return df.select(key)
+
+    sides = cut(a).withColumn("_left", F.lit(True)).unionByName(cut(b).withColumn("_left", F.lit(False)))
+    seen = sides.groupBy(key).agg(F.max("_left").alias("_in_left"), F.min("_left").alias("_not_right"))
+    # a null key equals nothing, so it is on one side only on each side that has it
+    null_right = F.col(key).isNull() & F.col("_in_left") & ~F.col("_not_right")
+    side = (F.when(null_right, F.array(F.lit("only_in_left"), F.lit("only_in_right")))
+            .when(F.col("_in_left") & F.col("_not_right"), F.array(F.lit("only_in_left")))
+            .when(~F.col("_in_left"), F.array(F.lit("only_in_right"))))
+    return seen.select(key, F.explode(side).alias("side"))
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

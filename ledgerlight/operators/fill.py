@@ -27,13 +27,6 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return first_per_key(df, keys, order)
 
 
-def flag_first(df: DataFrame, keys: list[str], order: list, flag: str) -> DataFrame:
-    """Boolean column, true on the first row per key by ``order`` (F5). A full window
-    per key: use it for keys with calendar-bounded groups, ``flag_latest`` otherwise."""
-    w = Window.partitionBy(*keys).orderBy(*_order(order))
-    return df.withColumn(flag, F.row_number().over(w) == 1)
-
-
 def flag_latest(df: DataFrame, keys: list[str], order: list[str], flag: str) -> DataFrame:
     """Boolean column, true on the row(s) with the greatest ``order`` values per key.
 
@@ -41,20 +34,11 @@ def flag_latest(df: DataFrame, keys: list[str], order: list[str], flag: str) ->
     task crosses the shuffle) joined back, instead of a window holding the whole key.
     Put a unique column last in ``order`` to flag exactly one row."""
     ordering = F.struct(*[F.col(c) for c in order])
-    top = df.groupBy(*keys).agg(F.max(ordering).alias("_latest"))
-    return (df.join(top, keys, "left")
+    top = df.groupBy(*keys).agg(F.max(ordering).alias("_latest")).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]  # null keys are one key
+    return (df.join(top, same, "left")
             .withColumn(flag, F.coalesce(ordering == F.col("_latest"), F.lit(False)))
-            .drop("_latest"))
-
-
-def latest_row(df: DataFrame, order: list) -> DataFrame:
-    """The single latest row of a frame (F3); planned as a top-1, not a sort."""
-    return df.orderBy(*_order(order)).limit(1)
-
-
-def common_start(*starts: Column) -> Column:
-    """The latest of several start dates; null inputs are skipped."""
-    return F.greatest(*starts)
+            .drop("_latest", *[f"_k_{k}" for k in keys]))
 
 
 def gap_fill(df: DataFrame, keys: list[str], date: str, values: list[str],

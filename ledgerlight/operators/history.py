@@ -1,18 +1,11 @@
 """Type-2 history from an observation log (K14, F6, C9), skew-proof.
 
 A plain ``lag``/``lead`` over ``partition by entity`` puts an entity's whole log in one
-task. Two formulations avoid that:
-
-* ``method="sorted"`` (default): one global sort by (entity, time, tiebreak). Range
-  partitioning splits a hot entity over many partitions; rows are numbered inside each
-  sorted partition, and the previous row is an equi-join on the unique pair
-  (partition, index - 1). The first row of a partition takes the last row of the
-  previous non-empty partition from a table with one row per partition. The next
-  change is found the same way over the change rows. No group of any size is held by
-  one task; the cost is two global sorts.
-* ``method="bucketed"``: change points are found inside (entity, time bucket) groups and
-  one summary row per bucket crosses bucket borders; groups are bounded by the entity's
-  event rate x bucket length, cheaper when no bucket is hot.
+task. Here the log is range-partitioned by (entity, time, tiebreak), which splits a hot
+entity over many partitions, and ``lag``/``lead`` run over the range partition instead. Only the
+edge row of a partition lacks its neighbour; it comes from a table with one row per partition.
+Finding the next change is the same over the change rows. No group of any size is held by
+one task, and each pass shuffles the log once.
 """
 from __future__ import annotations
 
@@ -31,103 +24,47 @@ def _changed(cur: list[Column], prev: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, terms)
 
 
-def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Globally sorted rows with (``_pid``, ``_i``): sorted partition and position in it.
-    Materialized so that every later join sees the same numbering."""
-    s = df.orderBy(*order)
-    s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    s = s.withColumn("_i", F.col("_mid") - F.col("_pid").cast("long") * F.lit(1 << 33)).drop("_mid")
-    return materialize(s, "numbered")
+def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows with the range partition (``_pid``) they fell into. Materialized, since the
+    ranges come from a sample and every later step must see the same ones."""
+    return materialize(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()), "ranged")
 
 
-def _neighbour(s: DataFrame, cols: list[str], step: int, prefix: str) -> DataFrame:
+def _neighbour(s: DataFrame, order: list[str], cols: list[str], step: int, prefix: str) -> DataFrame:
     """Attach the previous (``step=-1``) or next (``step=1``) row's ``cols`` in the global
-    order as ``{prefix}{col}``: an equi-join on (partition, index) inside a partition, and
-    for the edge row the last (first) row of the nearest non-empty partition before
-    (after), from a one-row-per-partition table (bounded by the partition count)."""
-    shifted = s.select("_pid", (F.col("_i") - F.lit(step)).alias("_i"),
-                       *[F.col(c).alias(f"_n_{c}") for c in cols])
-    out = s.join(shifted, ["_pid", "_i"], "left")
-    edge = F.struct(*[F.col(c) for c in cols])
-    per_part = s.groupBy("_pid").agg(
-        (F.max_by(edge, F.col("_i")) if step < 0 else F.min_by(edge, F.col("_i"))).alias("_e"),
-        F.max("_i").alias("_last_i"))
-    w = Window.orderBy("_pid")  # one row per partition
-    nb = F.lag("_e").over(w) if step < 0 else F.lead("_e").over(w)
-    per_part = per_part.select("_pid", "_last_i", nb.alias("_nb"))
-    out = out.join(F.broadcast(per_part), "_pid", "left")
-    at_edge = (F.col("_i") == 0) if step < 0 else (F.col("_i") == F.col("_last_i"))
-    return out.withColumns({
-        f"{prefix}{c}": F.when(at_edge, F.col("_nb")[c]).otherwise(F.col(f"_n_{c}")) for c in cols
-    }).drop("_nb", "_last_i", *[f"_n_{c}" for c in cols])
-
-
-def _scd2_sorted(df: DataFrame, key: str, tracked: list[str], ts: str, stop: Column,
-                 tiebreak: list[str], valid_from: str, valid_to: str, is_current: str) -> DataFrame:
-    order = [key, ts, *tiebreak]
-    s = _numbered(df.select(*dict.fromkeys([key, *tracked, ts, *tiebreak])), order)
-    s = _neighbour(s, [key, *tracked], -1, "_prev_")
-    same = F.col(f"_prev_{key}") == F.col(key)
-    prev = [F.when(same, F.col(f"_prev_{c}")) for c in tracked]
-    changes = s.where(_changed([F.col(c) for c in tracked], prev)).select(
-        *dict.fromkeys([key, *tracked, ts, *tiebreak]))
-    c = _neighbour(_numbered(changes, order), [key, ts], 1, "_next_")
-    nxt = F.when(F.col(f"_next_{key}") == F.col(key), F.col(f"_next_{ts}"))
-    return c.select(key, *tracked, F.col(ts).alias(valid_from), F.coalesce(nxt, stop).alias(valid_to),
-                    nxt.isNull().alias(is_current), *[F.col(t) for t in tiebreak])
+    order as ``{prefix}{col}``. The window holds one range partition, bounded by the shuffle;
+    edge rows take the nearest row of the nearest partition before (after) from a
+    one-row-per-partition table."""
+    within = Window.partitionBy("_pid").orderBy(*order)
+    shift = F.lag if step < 0 else F.lead
+    near = F.struct(*[F.col(c) for c in cols])
+    out = s.withColumn("_near", shift(near).over(within))
+    place = F.struct(*[F.col(c) for c in order])
+    edge = s.groupBy("_pid").agg((F.max_by if step < 0 else F.min_by)(near, place).alias("_e"))
+    beyond = edge.select("_pid", shift("_e").over(Window.orderBy("_pid")).alias("_beyond"))
+    out = out.join(F.broadcast(beyond), "_pid", "left").withColumn("_near", F.coalesce("_near", "_beyond"))
+    return out.withColumns({f"{prefix}{c}": F.col("_near")[c] for c in cols} | {
+        f"_has{prefix}": F.col("_near").isNotNull()}).drop("_near", "_beyond")
 
 
 def scd2(df: DataFrame, key: str, tracked: list[str], ts: str, stop: Column,
-         tiebreak: list[str] | None = None, bucket: str = "hour",
-         valid_from: str = "valid_from", valid_to: str = "valid_to",
-         is_current: str = "is_current", method: str = "sorted") -> DataFrame:
+         tiebreak: list[str] | None = None, valid_from: str = "valid_from", valid_to: str = "valid_to",
+         is_current: str = "is_current") -> DataFrame:
     """Compress an observation log to validity periods.
 
     A row starts a period when any tracked value differs from the previous observation
-    of the same key (ordered by ``ts`` then ``tiebreak``). ``valid_to`` is the start of
-    the next period, or ``stop`` (a scalar, e.g. the latest observation time) for the
-    open one, which is flagged ``is_current``.
+    of the same key (ordered by ``ts`` then ``tiebreak``; null keys are one key).
+    ``valid_to`` is the start of the next period, or ``stop`` (a scalar, e.g. the latest
+    observation time) for the open one, which is flagged ``is_current``.
     """
     tiebreak = tiebreak or []
-    if method == "sorted":
-        return _scd2_sorted(df, key, tracked, ts, stop, tiebreak, valid_from, valid_to, is_current)
-    order = [ts, *tiebreak]
-    b = "_bucket"
-    rows = df.select(key, *tracked, *order).withColumn(b, F.date_trunc(bucket, F.col(ts)))
-
-    # 1. previous observation inside the bucket
-    w_in = Window.partitionBy(key, b).orderBy(*order)
-    rows = rows.withColumns({f"_prev_{c}": F.lag(c).over(w_in) for c in tracked})
-    rows = rows.withColumn("_first_in_bucket", F.row_number().over(w_in) == 1)
-
-    # 2. last observation of each bucket (partial aggregate), then of the previous bucket
-    ord_struct = F.struct(*[F.col(c) for c in order])
-    last_of = (df.select(key, *tracked, *order)
-               .withColumn(b, F.date_trunc(bucket, F.col(ts)))
-               .groupBy(key, b)
-               .agg(F.max_by(F.struct(*[F.col(c) for c in tracked]), ord_struct).alias("_last")))
-    w_b = Window.partitionBy(key).orderBy(b)
-    prev_bucket = last_of.select(key, b, F.lag("_last").over(w_b).alias("_pb"))
-    rows = rows.join(prev_bucket, [key, b], "left")
-    rows = rows.withColumns({
-        f"_prev_{c}": F.when(F.col("_first_in_bucket"), F.col("_pb")[c]).otherwise(F.col(f"_prev_{c}"))
-        for c in tracked})
-    changes = rows.where(_changed([F.col(c) for c in tracked],
-                                  [F.col(f"_prev_{c}") for c in tracked]))
-    changes = changes.select(key, *tracked, *order, b)
-
-    # 3. next change: inside the bucket, else the first change of a later bucket
-    w_in2 = Window.partitionBy(key, b).orderBy(*order)
-    changes = changes.withColumn("_next", F.lead(ts).over(w_in2))
-    first_change = changes.groupBy(key, b).agg(F.min(ts).alias("_bfirst"))
-    # first change of a later bucket: a growing frame over the descending bucket order
-    w_after = Window.partitionBy(key).orderBy(F.col(b).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    next_bucket = first_change.select(key, b, F.last("_bfirst", ignorenulls=True).over(w_after).alias("_nb"))
-    changes = changes.join(next_bucket, [key, b], "left")
-    nxt = F.coalesce(F.col("_next"), F.col("_nb"))
-    return changes.select(
-        key, *tracked,
-        F.col(ts).alias(valid_from),
-        F.coalesce(nxt, stop).alias(valid_to),
-        nxt.isNull().alias(is_current),
-        *[F.col(t) for t in tiebreak])
+    order = [key, ts, *tiebreak]
+    cols = list(dict.fromkeys([key, *tracked, ts, *tiebreak]))
+    s = _neighbour(_ranged(df.select(*cols), order), order, [key, *tracked], -1, "_prev_")
+    same = F.col("_prev_" + key).eqNullSafe(F.col(key)) & F.col("_has_prev_")
+    prev = [F.when(same, F.col(f"_prev_{c}")) for c in tracked]
+    changes = s.where(_changed([F.col(c) for c in tracked], prev)).select(*cols)
+    c = _neighbour(_ranged(changes, order), order, [key, ts], 1, "_next_")
+    nxt = F.when(F.col("_next_" + key).eqNullSafe(F.col(key)) & F.col("_has_next_"), F.col(f"_next_{ts}"))
+    return c.select(key, *tracked, F.col(ts).alias(valid_from), F.coalesce(nxt, stop).alias(valid_to),
+                    nxt.isNull().alias(is_current), *[F.col(t) for t in tiebreak])

@@ -9,7 +9,7 @@ from ledgerlight.sources.seeds import warehouse_credits_map  # noqa: F401  (re-e
 from ledgerlight.sources.staging import Staged
 
 
-def warehouses_type2_dimension(st: Staged, method: str = "sorted") -> DataFrame:
+def warehouses_type2_dimension(st: Staged) -> DataFrame:
     """Validity periods of each warehouse's (size, name) as seen in the query log.
 
     The open period ends at the latest query start in the log (not null); ties on the
@@ -19,5 +19,5 @@ def warehouses_type2_dimension(st: Staged, method: str = "sorted") -> DataFrame:
     obs = qh.where(F.col("warehouse_size").isNotNull()).select(
         "warehouse_id", "warehouse_size", "warehouse_name", "start_time", "query_id")
     out = scd2(obs, "warehouse_id", ["warehouse_size", "warehouse_name"], "start_time", stop,
-               tiebreak=["query_id"], method=method)
+               tiebreak=["query_id"])
     return out.select("warehouse_id", "warehouse_name", "warehouse_size", "valid_from", "valid_to", "is_current")

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.fill import first_per_key, flag_first, gap_fill, latest_per_key, pick_by_priority
+from ledgerlight.operators.fill import first_per_key, flag_latest, gap_fill, latest_per_key, pick_by_priority
 from ledgerlight.operators.history import scd2
 from tests.conftest import ts
 
@@ -30,8 +30,8 @@ def test_priority_pick_and_latest_flags(spark):
     ], "date date, usage_type string, prio int, rate double")
     picked = pick_by_priority(df, ["date"], F.col("prio"), ["usage_type"])
     assert sorted((r.date.day, r.usage_type) for r in picked.collect()) == [(1, "compute"), (2, "overage-compute")]
-    flagged = flag_first(picked, [], [F.col("date").desc()], "is_latest")
-    assert sorted((r.date.day, r.is_latest) for r in flagged.collect()) == [(1, False), (2, True)]
+    flagged = flag_latest(picked.withColumn("k", F.lit(None).cast("string")), ["k"], ["date"], "is_latest")
+    assert sorted((r.date.day, r.is_latest) for r in flagged.collect()) == [(1, False), (2, True)]  # null keys are one key
 
 
 def test_latest_per_key_nulls_last(spark):
@@ -61,10 +61,10 @@ def naive_scd2(rows, stop):
     return sorted(out, key=str)
 
 
-def run_scd2(spark, rows, bucket, method="bucketed"):
+def run_scd2(spark, rows):
     df = spark.createDataFrame(rows, "k long, size string, name string, t timestamp, tb long")
     stop = df.agg(F.max("t")).scalar()
-    out = scd2(df, "k", ["size", "name"], "t", stop, tiebreak=["tb"], bucket=bucket, method=method)
+    out = scd2(df, "k", ["size", "name"], "t", stop, tiebreak=["tb"])
     return sorted(((r.k, r.size, r.name, r.valid_from, r.valid_to, r.is_current) for r in out.collect()), key=str)
 
 
@@ -80,9 +80,14 @@ def test_scd2_edge_cases(spark):
         (2, "S", "x", h(0), 7), (2, "S", "x", h(600), 8),          # change-free across many hours
     ]
     stop = max(r[3] for r in rows)
-    for bucket in ("hour", "day", "minute"):
-        assert run_scd2(spark, rows, bucket) == naive_scd2(rows, stop)
-    assert run_scd2(spark, rows, None, "sorted") == naive_scd2(rows, stop)
+    assert run_scd2(spark, rows) == naive_scd2(rows, stop)
+
+
+def test_scd2_null_key_is_one_key(spark):
+    t0 = ts("2024-01-01 10:00:00")
+    rows = [(None, "S", "a", t0, 1), (None, "S", "a", t0 + dt.timedelta(hours=1), 2), (None, "M", "a", t0 + dt.timedelta(hours=2), 3)]
+    got = run_scd2(spark, rows)
+    assert [(r[1], r[5]) for r in sorted(got, key=lambda r: r[3])] == [("S", False), ("M", True)]
 
 
 def test_scd2_random_logs_match_naive(spark):
@@ -93,8 +98,7 @@ def test_scd2_random_logs_match_naive(spark):
         rows.append((rnd.randint(1, 4), rnd.choice(["S", "M", "L"]), rnd.choice(["a", "b", None]),
                      t0 + dt.timedelta(minutes=rnd.randint(0, 3000)), i))
     stop = max(r[3] for r in rows)
-    assert run_scd2(spark, rows, "hour") == naive_scd2(rows, stop)
-    assert run_scd2(spark, rows, None, "sorted") == naive_scd2(rows, stop)
+    assert run_scd2(spark, rows) == naive_scd2(rows, stop)
 
 
 def test_scd2_sorted_splits_a_hot_key_over_partitions(spark):
@@ -108,11 +112,11 @@ def test_scd2_sorted_splits_a_hot_key_over_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        from ledgerlight.operators.history import _numbered
+        from ledgerlight.operators.history import _ranged
         df = spark.createDataFrame(rows, "k long, size string, name string, t timestamp, tb long")
-        parts = _numbered(df, ["k", "t", "tb"]).where("k = 1").select("_pid").distinct().count()
+        parts = _ranged(df, ["k", "t", "tb"]).where("k = 1").select("_pid").distinct().count()
         assert parts > 4                       # the hot key is split over many sorted partitions
-        assert run_scd2(spark, rows, None, "sorted") == naive_scd2(rows, stop)
+        assert run_scd2(spark, rows) == naive_scd2(rows, stop)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 
 from ledgerlight.functions.num import to_units
 from ledgerlight.operators import checks
-from ledgerlight.operators.fill import common_start, latest_row
 from ledgerlight.operators.rates import weighted_rate, with_rate
 from ledgerlight.operators.spine import day_spine, spread_daily, with_day_stats
 from ledgerlight.schemas import SOURCES
@@ -14,13 +13,11 @@ from ledgerlight.sources.catalog import SourceConfig, read_source, table_exists
 D = dt.date
 
 
-def test_day_spine_and_common_start(spark):
+def test_day_spine(spark):
     b = spark.createDataFrame([(D(2024, 1, 30), D(2024, 2, 2), "x"), (D(2024, 3, 2), D(2024, 3, 1), "empty")],
                               "s date, e date, tag string")
     got = [(r.tag, r.date.isoformat()) for r in day_spine(b, "s", "e").orderBy("date").collect()]
     assert got == [("x", "2024-01-30"), ("x", "2024-01-31"), ("x", "2024-02-01"), ("x", "2024-02-02")]
-    one = spark.createDataFrame([(D(2024, 1, 1), None)], "a date, b date")
-    assert one.select(common_start(F.col("a"), F.col("b")).alias("x")).first().x == D(2024, 1, 1)
 
 
 def test_spread_daily_and_units(spark):
@@ -49,9 +46,8 @@ def test_with_rate_and_weighted_rate(spark):
     assert s.agg(weighted_rate().alias("r")).first().r == 2.0
 
 
-def test_latest_row_checks_and_schema(spark):
+def test_checks_and_schema(spark):
     df = spark.createDataFrame([(1, -2.0), (2, 3.0)], "k long, v double")
-    assert latest_row(df, [F.col("k").desc()]).first().k == 2
     assert [r.k for r in checks.negatives(df, "v").collect()] == [1]
     assert checks.check_schema(df, T.StructType([T.StructField("k", T.LongType()),
                                                  T.StructField("z", T.StringType())])) == ["z"]
