@@ -18,6 +18,7 @@ from ledgerlight.functions.num import BYTES_PER_TB, div0
 from ledgerlight.operators.allocation import residual, share_of
 from ledgerlight.operators.rates import rate_slice, weighted_rate
 from ledgerlight.operators.spine import hour_spine, per_hour_of_month, with_day_stats
+from ledgerlight.session import materialize
 from ledgerlight.sources.staging import Staged
 
 SPEND_COLUMNS = ["hour", "service", "storage_type", "warehouse_name", "database_name", "usage",
@@ -82,6 +83,12 @@ def _grouped(joined: DataFrame, keys: dict[str, Column], usage: Column, spend: C
                  currency=F.col("currency"), usage_unit=F.lit(unit), usage_rate=F.col("usage_rate"))
 
 
+def _summed(facts: DataFrame, hour: Column, keys: dict[str, Column], measure: str) -> DataFrame:
+    """Facts added up per hour and label before they meet the hour grid: a busy hour reaches the
+    join as one row per label, and every map task sends partial sums only."""
+    return facts.groupBy(hour.alias("fact_hour"), *[c.alias(k) for k, c in keys.items()]).agg(F.sum(measure).alias(measure))
+
+
 def storage_terabytes_daily(st: Staged) -> DataFrame:
     """Five storage legs per day (H1); clone residuals only where positive."""
     db = st.database_storage_usage_history()
@@ -177,15 +184,17 @@ def daily_spread_spend_hourly(st: Staged, hours: DataFrame, account: str) -> Dat
 def compute_spend_hourly(st, hours, rates) -> DataFrame:
     m = st.metering_history().where((F.col("service_type") == "WAREHOUSE_METERING")
                                     & (F.col("name") != CLOUD_SERVICES_ONLY))
-    j = hours.join(m, hours["hour"] == m["start_time"], "inner")  # S9: the where makes it inner
+    m = _summed(m, F.col("start_time"), {"name": F.col("name")}, "credits_used_compute")
+    j = hours.join(m, hours["hour"] == m["fact_hour"], "inner")  # S9: the where makes it inner
     j = j.join(rate_slice(rates, "WAREHOUSE_METERING", "compute"), F.col("date") == F.col("rate_date"), "left")
     return _grouped(j, {"warehouse_name": F.col("name")}, F.col("credits_used_compute"),
                     F.col("credits_used_compute") * F.col("effective_rate"), "Compute", "Credits")
 
 
 def serverless_task_spend_hourly(st, hours, rates) -> DataFrame:
-    t = st.serverless_task_history()
-    j = hours.join(t, hours["hour"] == F.date_trunc("hour", t["start_time"]), "left")
+    t = _summed(st.serverless_task_history(), F.date_trunc("hour", "start_time"),
+                {"database_name": F.col("database_name")}, "credits_used")
+    j = hours.join(t, hours["hour"] == t["fact_hour"], "left")
     j = j.join(rate_slice(rates, "SERVERLESS_TASK", "serverless tasks"), F.col("date") == F.col("rate_date"), "left")
     return _grouped(j, {"database_name": F.col("database_name")}, F.col("credits_used"),
                     F.col("credits_used") * F.col("effective_rate"), "Serverless Tasks", "Credits")
@@ -193,8 +202,8 @@ def serverless_task_spend_hourly(st, hours, rates) -> DataFrame:
 
 def adj_for_incl_cloud_services_hourly(st, hours, rates) -> DataFrame:
     """The daily adjustment lands on the day's 00:00 hour, all service types."""
-    d = st.metering_daily_history()
-    j = hours.join(d, hours["hour"] == d["date"].cast("timestamp"), "left").drop(d["date"])
+    d = _summed(st.metering_daily_history(), F.col("date").cast("timestamp"), {}, "credits_adjustment_cloud_services")
+    j = hours.join(d, hours["hour"] == d["fact_hour"], "left")
     j = j.join(rate_slice(rates, "CLOUD_SERVICES", "cloud services"), F.col("date") == F.col("rate_date"), "left")
     return _grouped(j, {}, F.col("credits_adjustment_cloud_services"),
                     F.col("credits_adjustment_cloud_services") * F.col("effective_rate"),
@@ -203,10 +212,10 @@ def adj_for_incl_cloud_services_hourly(st, hours, rates) -> DataFrame:
 
 def cloud_services_spend_hourly(st, hours, rates) -> DataFrame:
     m = st.metering_history().where(F.col("service_type") == "WAREHOUSE_METERING")
-    j = hours.join(m, hours["hour"] == m["start_time"], "left")
-    usage = j.groupBy("hour", "date", F.when(F.col("name") == CLOUD_SERVICES_ONLY, F.lit(FREE_TIER_NAME))
-                      .otherwise(F.col("name")).alias("warehouse_name")).agg(
-        F.coalesce(F.sum("credits_used_cloud_services"), _zero()).alias("cs"))
+    label = F.when(F.col("name") == CLOUD_SERVICES_ONLY, F.lit(FREE_TIER_NAME)).otherwise(F.col("name"))
+    m = _summed(m, F.col("start_time"), {"warehouse_name": label}, "credits_used_cloud_services")
+    usage = hours.join(m, hours["hour"] == m["fact_hour"], "left").select(
+        "hour", "date", "warehouse_name", F.coalesce("credits_used_cloud_services", _zero()).alias("cs"))
     daily = (st.metering_daily_history().where(F.col("service_type") == "WAREHOUSE_METERING")
              .groupBy(F.col("date").alias("b_date"))
              .agg(F.sum("credits_used_cloud_services").alias("b_cs"),
@@ -239,15 +248,16 @@ def _service_label(renamed: Column) -> Column:
 def other_spend_hourly(st, hours, rates) -> DataFrame:
     """Every other metered service, matched to its rate by renamed service + label."""
     m = st.metering_history().where(~F.col("service_type").isin(*DEDICATED_SERVICE_TYPES))
-    j = hours.join(m, hours["hour"] == m["start_time"], "inner")  # S9
-    j = j.withColumn("_service_renamed", _renamed_service(F.col("service_type")))
-    j = j.withColumn("_service", _service_label(F.col("_service_renamed")))
+    renamed = _renamed_service(F.col("service_type"))
+    m = _summed(m, F.col("start_time"), {
+        "_service_renamed": renamed, "_service": _service_label(renamed),
+        "warehouse_name": F.when(F.col("service_type") == "QUERY_ACCELERATION", F.col("name"))}, "credits_used")
+    j = hours.join(m, hours["hour"] == m["fact_hour"], "inner")  # S9
     r = rates.select(F.col("date").alias("rate_date"), F.col("service_type").alias("rate_service"),
                      F.col("usage_type").alias("rate_usage"), "effective_rate", "currency")
     j = j.join(r, (F.col("date") == F.col("rate_date")) & (F.col("_service_renamed") == F.col("rate_service"))
                & (F.lower(F.col("_service")) == F.col("rate_usage")), "left")
-    agg = j.groupBy("hour", "_service_renamed", F.col("_service").alias("service"),
-                    F.when(F.col("service_type") == "QUERY_ACCELERATION", F.col("name")).alias("warehouse_name")).agg(
+    agg = j.groupBy("hour", "_service_renamed", F.col("_service").alias("service"), "warehouse_name").agg(
         F.coalesce(F.sum("credits_used"), _zero()).alias("usage"),
         F.coalesce(F.sum(F.col("credits_used") * F.col("effective_rate")), _zero()).alias("spend"),
         F.max("currency").alias("currency"), F.max("effective_rate").alias("usage_rate"))
@@ -259,7 +269,7 @@ def other_spend_hourly(st, hours, rates) -> DataFrame:
 
 
 def hourly_spend(st: Staged, rates: DataFrame, account: str) -> DataFrame:
-    hours = hours_grid(st)
+    hours = materialize(hours_grid(st), "hours")  # one row per hour, used by every family
     families = [
         storage_spend_hourly(st, hours, rates),
         hybrid_table_storage_spend_hourly(st, hours, rates),
