@@ -31,9 +31,13 @@ def main(argv: list[str] | None = None) -> dict:
     b.add_argument("--as-of", help="run date (default: today)")
     b.add_argument("--full-refresh", action="store_true")
     b.add_argument("--dbt-cloud-account-id")
+    b.add_argument("--dbt-cloud-url", help="start of the links to jobs and runs")
+    b.add_argument("--lookback-days", action="append", default=[], metavar="MODEL=DAYS",
+                   help="look-back of an incremental model, instead of its own")
     b.add_argument("--master", help="Spark master when not set by spark-submit")
     args = p.parse_args(argv)
 
+    from ledgerlight.plans.enriched import DEFAULT_CLOUD_URL
     from ledgerlight.plans.model_build import ModelBuild
     from ledgerlight.session import build_session
     from ledgerlight.sources.catalog import SourceConfig, read_sources
@@ -44,7 +48,9 @@ def main(argv: list[str] | None = None) -> dict:
                        organization_usage_schema=args.org_schema, root=args.sources, fmt=args.format)
     as_of = F.lit(dt.date.fromisoformat(args.as_of)) if args.as_of else F.current_date()
     build = ModelBuild(spark, read_sources(spark, cfg), args.target, args.account, as_of,
-                       cloud_account_id=args.dbt_cloud_account_id)
+                       cloud_account_id=args.dbt_cloud_account_id,
+                       cloud_url=args.dbt_cloud_url or DEFAULT_CLOUD_URL,
+                       lookback_days={m: float(d) for m, d in (x.split("=", 1) for x in args.lookback_days)})
     lows = build.run(full_refresh=args.full_refresh)
     report = {name: (low.isoformat() if low else None) for name, low in lows.items()}
     print(json.dumps({"built": args.target, "lookback_from": report}))

@@ -2,25 +2,27 @@
 
 ``views`` stay lazy, ``tables`` are rebuilt, ``incremental`` models rebuild only their
 look-back window and upsert it by key (``streaming/incremental.py``), and the access
-log is appended with a look-back and de-duplicated. Downstream models read the tables
-written upstream, so an incremental run touches each source only inside its window.
+log replaces its look-back dates with all records of those dates (S20: late records come
+in, repeated ones stay). Downstream models read the tables written upstream as they are,
+by date partition, so an incremental run reads each of them only inside its window.
 
-Look-backs and keys follow the reference's model settings; the access-log append uses
-a 1-day look-back instead of the reference's strict ``>`` so late rows are kept (S20).
+Look-backs and keys follow the reference's model settings; ``lookback_days`` overrides them by model.
 """
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.fill import first_per_key
 from ledgerlight.plans import access, enriched, query_cost, rates, spend, warehouses
-from ledgerlight.sources.staging import Staged
-from ledgerlight.streaming.incremental import append_new, read_target, run_incremental, watermark
+from ledgerlight.session import hadoop, remove_path
+from ledgerlight.sources.staging import Staged, first_query
+from ledgerlight.streaming.incremental import (MOST_RUN_DAYS, partition_dates, path_exists, read_target, replace_dates,
+                                               run_incremental)
 
 PART = "_date"  # date partition column of incremental tables, derived from a key column
 
@@ -51,7 +53,9 @@ ACCESS_LOOKBACK_DAYS = 1
 
 class ModelBuild:
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], target_root: str,
-                 account: str, as_of: Column, cloud_account_id: str | None = None):
+                 account: str, as_of: Column, cloud_account_id: str | None = None,
+                 cloud_url: str = enriched.DEFAULT_CLOUD_URL, lookback_days: Mapping[str, float] | None = None):
+        self.cloud_url, self.lookback_days = cloud_url, dict(lookback_days or {})
         self.spark, self.sources, self.root = spark, sources, target_root.rstrip("/")
         self.account, self.as_of, self.cloud_account_id = account, as_of, cloud_account_id
         self.src = Staged(sources)
@@ -63,8 +67,37 @@ class ModelBuild:
         return read_target(self.spark, self.path(name))
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.read(name)
+        """Write beside the live table, then swap: a failed job leaves the old one as it was."""
+        path, new, old = (f"{self.path(name)}{x}" for x in ("", f"__new-{uuid.uuid4().hex}", f"__old-{uuid.uuid4().hex}"))
+        df.write.parquet(new)
+        fs, live = hadoop(self.spark, path)
+        at = lambda x: hadoop(self.spark, x)[1]
+        if fs.exists(live):
+            fs.rename(live, at(old))
+        fs.rename(at(new), live)
+        remove_path(self.spark, old)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _window(self, name: str, since: dt.datetime | None) -> DataFrame:
+        """Rows of a written table that ended after ``since``: of the date partitions that can hold them."""
+        df = self.read(name)
+        if since is not None:
+            first = since.date() - dt.timedelta(days=MOST_RUN_DAYS)
+            df = df.where((F.col(PART) >= F.lit(first)) & (F.col("end_time") > F.lit(since)))
+        return df.drop(PART)
+
+    def _access_log(self, full_refresh: bool) -> dt.datetime | None:
+        path, log = self.path("stg_access_history"), self.src.access_history()
+        log = log.withColumn(PART, F.to_date("query_start_time"))
+        dates = partition_dates(self.spark, path, PART) if path_exists(self.spark, path) and not full_refresh else []
+        if not dates:
+            remove_path(self.spark, path)
+            replace_dates(self.spark, path, log, PART, ["query_start_time"])
+            return None
+        days = self.lookback_days.get("stg_access_history", ACCESS_LOOKBACK_DAYS)
+        since = dt.datetime.combine(dates[-1], dt.time()) - dt.timedelta(days=int(days))
+        replace_dates(self.spark, path, log.where(F.col("query_start_time") >= F.lit(since)), PART, ["query_start_time"])
+        return since
 
     def _incremental(self, name: str, build, full_refresh: bool) -> dt.datetime | None:
         spec = INCREMENTAL[name]
@@ -73,13 +106,28 @@ class ModelBuild:
             return build(since).withColumn(PART, F.to_date(spec.part_from))
 
         return run_incremental(self.spark, self.path(name), with_part, list(spec.keys), spec.ts,
-                               spec.lookback_days, PART, full_refresh,
+                               self.lookback_days.get(name, spec.lookback_days), PART, full_refresh,
                                cluster_by=[spec.part_from])
 
     @staticmethod
     def _after(df: DataFrame, col: str, since: dt.datetime | None) -> DataFrame:
         return df if since is None else df.where(F.col(col) > F.lit(since))
 
+    def _costed(self, tables: dict[str, DataFrame], since: dt.datetime | None) -> Staged:
+        """The staged tables, of the query log only the dates whose queries share an hour with one
+        that ended after ``since``: those ran at most MOST_RUN_DAYS, and so did their neighbours."""
+        if since is not None:
+            first = since.date() - dt.timedelta(days=2 * MOST_RUN_DAYS + 1)
+            log = self.read("stg_query_history").where(F.col(PART) >= F.lit(first)).drop(PART)
+            tables = tables | {"query_history": log}
+        return Staged(tables, deduplicated=True)
+
+    def _accessed(self, since: dt.datetime | None) -> DataFrame:
+        log = self.read("stg_access_history")
+        if since is not None:
+            log = log.where((F.col(PART) >= F.lit(since.date())) & (F.col("query_start_time") > F.lit(since)))
+        return log.drop(PART)
+
     def run(self, full_refresh: bool = False) -> dict[str, dt.datetime | None]:
         lows: dict[str, dt.datetime | None] = {}
         src = self.src
@@ -87,8 +135,7 @@ class ModelBuild:
         # --- staging: incremental upserts, an append, full tables; the rest are views
         lows["stg_query_history"] = self._incremental(
             "stg_query_history",
-            lambda since: first_per_key(self._after(src.src["query_history"], "end_time", since),
-                                        ["query_id"], ["start_time", "end_time", "query_text"]),
+            lambda since: first_query(self._after(src.query_log(), "end_time", since)),
             full_refresh)
         lows["stg_warehouse_metering_history"] = self._incremental(
             "stg_warehouse_metering_history",
@@ -96,16 +143,7 @@ class ModelBuild:
         lows["stg_serverless_task_history"] = self._incremental(
             "stg_serverless_task_history",
             lambda since: self._after(src.serverless_task_history(), "end_time", since), full_refresh)
-        acc_path = self.path("stg_access_history")
-        from ledgerlight.streaming.incremental import path_exists
-        since = None
-        if not full_refresh and path_exists(self.spark, acc_path):
-            since = watermark(self.read("stg_access_history"), "query_start_time", ACCESS_LOOKBACK_DAYS)
-        elif full_refresh and path_exists(self.spark, acc_path):
-            self.spark.createDataFrame([], src.access_history().schema).write.mode("overwrite").parquet(acc_path)
-        append_new(self.spark, acc_path, self._after(src.access_history(), "query_start_time", since),
-                   "query_id", "query_start_time", since)
-        lows["stg_access_history"] = since
+        lows["stg_access_history"] = self._access_log(full_refresh)
         for name, df in [("stg_metering_history", src.metering_history()),
                          ("stg_rate_sheet_daily", src.rate_sheet_daily()),
                          ("stg_remaining_balance_daily", src.remaining_balance_daily())]:
@@ -116,12 +154,12 @@ class ModelBuild:
             "query_history": self.read("stg_query_history").drop(PART),
             "warehouse_metering_history": self.read("stg_warehouse_metering_history").drop(PART),
             "serverless_task_history": self.read("stg_serverless_task_history").drop(PART),
-            "access_history": self.read("stg_access_history"),
+            "access_history": self.read("stg_access_history").drop(PART),
             "metering_history": self.read("stg_metering_history"),
             "rate_sheet_daily": self.read("stg_rate_sheet_daily"),
             "remaining_balance_daily": self.read("stg_remaining_balance_daily"),
         })
-        st = Staged(tables)
+        st = Staged(tables, deduplicated=True)
 
         # --- tables
         daily_rates = self._table("daily_rates", rates.daily_rates(st, self.account, self.as_of))
@@ -131,24 +169,23 @@ class ModelBuild:
         # --- incremental models, each reading what was written upstream
         lows["cost_per_query"] = self._incremental(
             "cost_per_query",
-            lambda since: query_cost.cost_per_query(st, daily_rates, None if since is None else F.lit(since)),
+            lambda since: query_cost.cost_per_query(self._costed(tables, since), daily_rates,
+                                                    None if since is None else F.lit(since)),
             full_refresh)
         lows["query_history_enriched"] = self._incremental(
             "query_history_enriched",
             lambda since: enriched.query_history_enriched(
-                self._after(st.query_history(), "end_time", since),
-                self._after(self.read("cost_per_query").drop(PART), "end_time", since)),
+                self._window("stg_query_history", since), self._window("cost_per_query", since)),
             full_refresh)
         lows["dbt_queries"] = self._incremental(
             "dbt_queries",
             lambda since: enriched.dbt_queries(
-                self._after(self.read("query_history_enriched").drop(PART), "end_time", since),
-                self.cloud_account_id),
+                self._window("query_history_enriched", since), self.cloud_account_id, self.cloud_url),
             full_refresh)
         for kind, build in (("base", access.query_base_object_access), ("direct", access.query_direct_object_access)):
             name = f"query_{kind}_object_access"
             lows[name] = self._incremental(
-                name, lambda since, b=build: b(self._after(st.access_history(), "query_start_time", since)),
+                name, lambda since, b=build: b(self._accessed(since)),
                 full_refresh)
         return lows
 

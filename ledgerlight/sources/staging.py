@@ -16,17 +16,24 @@ RAW_OBJECTS_ARRAY = ("array<struct<objectId:string,objectName:string,objectDomai
                      "columns:array<struct<columnName:string>>>>")
 
 
+def first_query(log: DataFrame) -> DataFrame:
+    return first_per_key(log, ["query_id"], ["start_time", "end_time", "query_text"])
+
+
 class Staged:
     """The twelve staging models over a mapping of source DataFrames."""
 
-    def __init__(self, sources: Mapping[str, DataFrame]):
-        self.src = sources
+    def __init__(self, sources: Mapping[str, DataFrame], deduplicated: bool = False):
+        """``deduplicated``: the query log is a staged table already, read as it is."""
+        self.src, self.deduplicated = sources, deduplicated
+
+    def query_log(self) -> DataFrame:
+        """The log's own columns, every row."""
+        return self.src["query_history"].select(*[c for c, _t in QUERY_HISTORY_COLUMNS])
 
     def query_history(self) -> DataFrame:
-        cols = [c for c, _t in QUERY_HISTORY_COLUMNS]
-        qh = self.src["query_history"].select(*cols)
         # first row per query id by start time (end time and text break ties)
-        return first_per_key(qh, ["query_id"], ["start_time", "end_time", "query_text"])
+        return self.query_log() if self.deduplicated else first_query(self.query_log())
 
     def metering_history(self) -> DataFrame:
         return self.src["metering_history"].select(

@@ -1,43 +1,71 @@
 """Incremental maintenance of result tables.
 
 No table format with MERGE is assumed. A table is a parquet folder partitioned by a
-date column derived from the key. A run:
+date column derived from the key; its schema lies beside the data (``_schema.json``), so a
+read opens no file footers. A run:
 
-1. reads the high watermark ``max(ts)`` of the target once (one small aggregate over
-   the ts column) and passes ``watermark - lookback`` as a literal, so filters on the
-   sources prune partitions and row groups;
-2. builds the new rows for that window;
+1. reads the high watermark from the newest date partitions (found by listing folders, not
+   by reading data) and passes ``watermark - lookback`` as a literal;
+2. builds the new rows for that window, once, into the shared checkpoint folder;
 3. upserts them: only the date partitions the new rows touch are read back, unioned
-   with the new rows, reduced to the newest row per key, checkpointed to the shared
-   checkpoint folder (lineage cut, survives executor loss) and written with dynamic
-   partition overwrite, which replaces exactly those partitions.
+   with the new rows, reduced to the newest row per key, staged (lineage cut, survives
+   executor loss) and written with dynamic partition overwrite, which replaces exactly
+   those partitions. Staged tables are deleted afterwards.
 
-Columns new in the source are added to the target (``unionByName`` with missing
-columns allowed; readers use ``mergeSchema``).
+Columns new in the source are added to the target (``unionByName`` with missing columns
+allowed; older files read them as null).
 """
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlight.operators.fill import first_per_key
-from ledgerlight.session import materialize
+from ledgerlight.session import checkpoint_dir, hadoop, remove_path
 
 EPOCH = dt.datetime(1970, 1, 1)
+# A row's end lies at most so many days after its start, from which the date partition is
+# derived (the platform's statement timeout ends longer ones).
+MOST_RUN_DAYS = 7
+SCHEMA_FILE = "_schema.json"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = hadoop(spark, path)
     return fs.exists(p)
 
 
+def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, p = hadoop(spark, f"{path}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+
+
 def read_target(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """The table, with the schema it was last written with."""
+    fs, p = hadoop(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return spark.read.parquet(path)
+    stream = fs.open(p)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
+
+
+def partition_dates(spark: SparkSession, path: str, partition_col: str) -> list[dt.date]:
+    """Dates of the table's partitions, from the folder names: as many as days."""
+    fs, p = hadoop(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    lead = f"{partition_col}="
+    return sorted(dt.date.fromisoformat(n[len(lead):]) for n in names
+                  if n.startswith(lead) and not n.endswith("__HIVE_DEFAULT_PARTITION__"))
 
 
 def watermark(target: DataFrame | None, ts: str, lookback_days: float = 0,
@@ -54,6 +82,14 @@ def watermark(target: DataFrame | None, ts: str, lookback_days: float = 0,
     return hi - dt.timedelta(days=lookback_days)
 
 
+def newest(spark: SparkSession, path: str, partition_col: str, days: int = MOST_RUN_DAYS) -> DataFrame | None:
+    """The partitions that can hold the table's newest rows; None for an empty table."""
+    dates = partition_dates(spark, path, partition_col)
+    if not dates:
+        return None
+    return read_target(spark, path).where(F.col(partition_col) >= F.lit(dates[-1] - dt.timedelta(days=days)))
+
+
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     """Union by name; columns missing on either side become null (L4)."""
     return old.unionByName(new, allowMissingColumns=True)
@@ -70,39 +106,49 @@ def _clustered(df: DataFrame, partition_col: str, cluster_by: list[str] | None,
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
+def _write(spark: SparkSession, path: str, df: DataFrame, partition_col: str, mode: str,
+           cluster_by: list[str] | None = None, keys: list[str] | None = None) -> None:
+    (_clustered(df, partition_col, cluster_by, keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
+    _save_schema(spark, path, df.schema)
+
+
+def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition_col: str,
            order: list | None = None, cluster_by: list[str] | None = None) -> None:
     """Insert or replace rows by ``keys`` (A8, L2). ``partition_col`` must be a function
     of the keys so a key never changes partition. Among rows of one key the new one
     wins, then ``order`` decides."""
     if not path_exists(spark, path):
-        (_clustered(new, partition_col, cluster_by, keys).write.mode("overwrite")
-         .partitionBy(partition_col).parquet(path))
+        _write(spark, path, new, partition_col, "static", cluster_by, keys)
         return
+    new, new_path = _staged(new, "new")
     target = read_target(spark, path)
-    # the dates of the new rows: bounded by the days of the batch, broadcast; the target
-    # scan is pruned to those partitions (dynamic partition pruning)
-    touched = F.broadcast(new.select(partition_col).distinct())
-    existing = target.join(touched, partition_col, "left_semi")
+    dates = [r[0] for r in new.select(partition_col).distinct().collect()]  # the days of the batch
+    existing = target.where(F.col(partition_col).isin(dates))
     merged = evolve(existing.withColumn("_is_new", F.lit(0)), new.withColumn("_is_new", F.lit(1)))
-    newest = first_per_key(merged, keys, [F.col("_is_new").desc(), *(order or [])]).drop("_is_new")
-    newest = materialize(newest, "upsert")
-    (_clustered(newest, partition_col, cluster_by, keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    kept = first_per_key(merged, keys, [F.col("_is_new").desc(), *(order or [])]).drop("_is_new")
+    kept, kept_path = _staged(kept, "upsert")
+    _write(spark, path, kept, partition_col, "dynamic", cluster_by, keys)
+    remove_path(spark, new_path)
+    remove_path(spark, kept_path)
 
 
-def append_new(spark: SparkSession, path: str, new: DataFrame, key: str, ts: str,
-               since: dt.datetime | None = None) -> None:
-    """Append rows whose key is not yet in the target (A9, L3). Late rows inside the
-    look-back are kept (S20) and re-delivered ones dropped; only target rows after
-    ``since`` are read for the check."""
+def replace_dates(spark: SparkSession, path: str, rows: DataFrame, partition_col: str,
+                  cluster_by: list[str] | None = None) -> None:
+    """Write whole dates in place of what the table has of them (A9, L3): every row of the source is
+    kept, as often as it occurs; late rows and re-deliveries of those dates come out right."""
     if path_exists(spark, path):
-        target = read_target(spark, path)
-        if since is not None:
-            target = target.where(F.col(ts) > F.lit(since))
-        new = new.join(target.select(key).distinct(), key, "left_anti")
-    new = new.dropDuplicates([key])
-    new.write.mode("append").parquet(path)
+        old = read_target(spark, path)
+        added = [f for f in old.schema if f.name not in rows.columns]
+        rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+    _write(spark, path, rows, partition_col, "dynamic", cluster_by)
 
 
 def run_incremental(spark: SparkSession, path: str, build: Callable[[dt.datetime | None], DataFrame],
@@ -112,10 +158,8 @@ def run_incremental(spark: SparkSession, path: str, build: Callable[[dt.datetime
     """Full build when the target is missing (A10) or ``full_refresh``; otherwise
     rebuild the look-back window and upsert it. Returns the lower bound used."""
     if full_refresh or not path_exists(spark, path):
-        df = build(None)
-        (_clustered(df, partition_col, cluster_by, keys).write.mode("overwrite")
-         .partitionBy(partition_col).parquet(path))
+        _write(spark, path, build(None), partition_col, "static", cluster_by, keys)
         return None
-    since = watermark(read_target(spark, path), ts, lookback_days)
+    since = watermark(newest(spark, path, partition_col), ts, lookback_days)
     upsert(spark, path, build(since), keys, partition_col, order, cluster_by)
     return since

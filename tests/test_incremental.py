@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ledgerlight.plans.canonical import canonical
 from ledgerlight.plans.query_cost import cost_per_query
 from ledgerlight.plans.registry import Context
-from ledgerlight.streaming.incremental import append_new, read_target, run_incremental, upsert, watermark
+from ledgerlight.streaming.incremental import (newest, partition_dates, read_target, replace_dates, run_incremental,
+                                                upsert, watermark)
 from tests.conftest import SF_SMALL
 
 
@@ -65,14 +66,34 @@ def test_upsert_adds_new_columns(spark, tmp_path):
     assert got == [("k1", 1.0, None), ("k2", 2.0, "x")]
 
 
-def test_append_new_skips_redelivered(spark, tmp_path):
-    path = str(tmp_path / "append")
-    a = spark.createDataFrame([("q1", dt.datetime(2024, 1, 1))], "query_id string, query_start_time timestamp")
-    append_new(spark, path, a, "query_id", "query_start_time")
-    b = spark.createDataFrame([("q1", dt.datetime(2024, 1, 1)), ("q2", dt.datetime(2023, 12, 31)),
-                               ("q2", dt.datetime(2023, 12, 31))], "query_id string, query_start_time timestamp")
-    append_new(spark, path, b, "query_id", "query_start_time", since=dt.datetime(2023, 12, 1))
-    assert sorted(r.query_id for r in read_target(spark, path).collect()) == ["q1", "q2"]
+def test_replaced_dates_keep_every_record(spark, tmp_path):
+    path = str(tmp_path / "log")
+    schema = "query_id string, query_start_time timestamp, d date"
+    row = lambda q, day: (q, dt.datetime(2024, 1, day, 5), dt.date(2024, 1, day))
+    first = [row("q1", 1), row("q2", 2), row("q2", 2), row("q3", 3)]
+    replace_dates(spark, path, spark.createDataFrame(first, schema), "d")
+    # the last two days again: a late record, a repeated one and a new day
+    again = [row("q2", 2), row("q2", 2), row("late", 2), row("q3", 3), row("q3", 3), row("q4", 4)]
+    replace_dates(spark, path, spark.createDataFrame(again, schema), "d")
+    assert sorted(r.query_id for r in read_target(spark, path).collect()) == ["late", "q1", "q2", "q2", "q3", "q3", "q4"]
+    assert [d.day for d in partition_dates(spark, path, "d")] == [1, 2, 3, 4]
+    assert newest(spark, path, "d", days=1).count() == 3
+
+
+def test_an_upsert_builds_its_rows_once_and_reads_touched_dates(spark, tmp_path, capsys):
+    path = str(tmp_path / "target")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(f"k{i}", dt.date(2024, 1, 1 + i % 4), float(i)) for i in range(20)], "k string, date date, v double")
+    upsert(spark, path, df, ["k"], "date")
+    new = df.where("date = '2024-01-02'").repartition(1).mapInArrow(count, df.schema)
+    upsert(spark, path, new, ["k"], "date")
+    assert seen.value == 5 and read_target(spark, path).count() == 20
 
 
 def test_hot_date_is_written_by_several_tasks(spark, tmp_path):

@@ -35,6 +35,15 @@ def test_full_then_incremental_equals_one_full_run(spark, tmp_path):
     for name in ["stg_query_history", "cost_per_query", "query_history_enriched", "dbt_queries",
                  "query_base_object_access", "query_direct_object_access", "stg_access_history"]:
         assert rows(inc.read(name)) == rows(full.read(name)), name
+    # all access records are kept, and what is built on them equals the registered queries
+    assert full.read("stg_access_history").count() == ah.count()
+    for kind in ("base", "direct"):
+        assert rows(inc.read(f"query_{kind}_object_access")) == rows(ctx.object_access(kind)), kind
+    # incremental runs read the staged log by date partition
+    since = lows["query_history_enriched"]
+    for df in (inc._window("stg_query_history", since), inc._costed({}, since).src["query_history"]):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(_date" in plan, plan
     # and the built tables equal the registered queries
     assert rows(full.read("cost_per_query")) == rows(ctx.cost_per_query())
     assert rows(full.daily_spend()) == rows(
