@@ -177,3 +177,46 @@ def remaining_balance_daily_without_contract_view(ctx: Context) -> DataFrame:
 def stg_query_history(ctx: Context) -> DataFrame:
     """The staged query log: 70 columns, first row per query id by start time."""
     return ctx.st.query_history()
+
+
+def _staging(name: str) -> None:
+    sql, doubles = M.STAGING[name]
+
+    @register(name, M.model_sql(sql), doubles, f"The staged table {name}.")
+    def staged(ctx: Context) -> DataFrame:
+        return getattr(ctx.st, name.removeprefix("stg_"))()
+
+
+for _name in M.STAGING:
+    _staging(_name)
+
+
+@register("dbt_queries_linked",
+          M.model_sql(M.DBT_LINKED_SELECT, M.DAILY_RATES, M.COST_PER_QUERY, M.ENRICHED))
+def dbt_queries_linked(ctx: Context) -> DataFrame:
+    """Links to the jobs and runs of queries issued by dbt, for a configured account."""
+    from ledgerlight.plans.enriched import dbt_queries as build
+    return build(_enriched(ctx), "42", "https://dbt.example.com/deploy/").select(
+        "query_id", "dbt_cloud_job_url", "dbt_cloud_run_url")
+
+
+@register("access_history_incremental", M.ACCESS_LINES + "SELECT query_id, query_start_time, user_name FROM lines")
+def access_history_incremental(ctx: Context) -> DataFrame:
+    """The access log built up to a day, then brought up to date by replacing its last dates:
+    every record, as often as it was delivered."""
+    import datetime as dt
+    import uuid
+
+    from pyspark.sql import functions as F
+    from ledgerlight.session import checkpoint_dir
+    from ledgerlight.streaming.incremental import partition_dates, read_target, replace_dates
+    log = ctx.st.access_history().withColumn("_date", F.to_date("query_start_time"))
+    path = f"{checkpoint_dir(ctx.spark).rstrip('/')}/access-{uuid.uuid4().hex}"
+    last = log.agg(F.max("_date")).first()[0]
+    if last is None:
+        return log.select("query_id", "query_start_time", "user_name")
+    replace_dates(ctx.spark, path, log.where(F.col("_date") <= F.lit(last - dt.timedelta(days=200))), "_date")
+    dates = partition_dates(ctx.spark, path, "_date")
+    since = dates[-1] - dt.timedelta(days=1) if dates else dt.date.min
+    replace_dates(ctx.spark, path, log.where(F.col("_date") >= F.lit(since)), "_date")
+    return read_target(ctx.spark, path).select("query_id", "query_start_time", "user_name")

@@ -387,6 +387,10 @@ DBT_FIELDS = [
 
 DBT_QUERIES_SELECT = ("SELECT " + ", ".join(f"{e} AS {n}" for e, n in DBT_FIELDS) +
                       ", * EXCLUDE (dbt_metadata, m_keys, m_tag, m_comment) FROM enriched WHERE m_keys IS NOT NULL")
+_LINK = f"'https://dbt.example.com/deploy/42/projects/' || {_PROJECT}"
+DBT_LINKED_SELECT = (
+    f"SELECT query_id, {_LINK} || '/jobs/' || {_meta_val('dbt_cloud_job_id')} AS dbt_cloud_job_url, "
+    f"{_LINK} || '/runs/' || {_meta_val('dbt_cloud_run_id')} AS dbt_cloud_run_url FROM enriched WHERE m_keys IS NOT NULL")
 ENRICHED_SELECT = "SELECT * EXCLUDE (m_keys, m_tag, m_comment) FROM enriched"
 ENRICHED_DOUBLES = (["compute_cost", "compute_credits", "query_acceleration_cost", "query_acceleration_credits",
                      "cloud_services_cost", "cloud_services_credits", "query_cost", "query_credits",
@@ -470,3 +474,45 @@ CHECK_UNIQUE_DAILY_RATES = ("SELECT date, usage_type, count(*) AS n FROM daily_r
                             "GROUP BY date, usage_type HAVING count(*) > 1")
 CHECK_COST_KEYS = ("SELECT query_id, count(*) AS n FROM cost_per_query GROUP BY query_id "
                    "HAVING count(*) > 1 OR query_id IS NULL")
+
+# --------------------------------------------------------------------------
+# Staging tables: (columns as delivered or renamed, double columns), written out from the models
+# --------------------------------------------------------------------------
+STAGING = {
+    "stg_metering_history": (
+        "SELECT service_type, start_time, end_time, entity_id, name, credits_used_compute, "
+        "credits_used_cloud_services, credits_used FROM metering_history",
+        ["credits_used_compute", "credits_used_cloud_services", "credits_used"]),
+    "stg_warehouse_metering_history": (
+        "SELECT start_time, end_time, warehouse_id, warehouse_name, credits_used, credits_used_compute, "
+        "credits_used_cloud_services FROM warehouse_metering_history",
+        ["credits_used_compute", "credits_used_cloud_services", "credits_used"]),
+    "stg_metering_daily_history": (
+        "SELECT usage_date AS date, service_type, credits_used_cloud_services, credits_adjustment_cloud_services "
+        "FROM metering_daily_history", ["credits_used_cloud_services", "credits_adjustment_cloud_services"]),
+    "stg_serverless_task_history": (
+        "SELECT start_time, end_time, task_id, task_name, schema_id, schema_name, database_id, database_name, "
+        "credits_used FROM serverless_task_history", ["credits_used"]),
+    "stg_database_storage_usage_history": (
+        "SELECT usage_date AS date, database_name, average_database_bytes, average_failsafe_bytes, "
+        "average_hybrid_table_storage_bytes FROM database_storage_usage_history",
+        ["average_database_bytes", "average_failsafe_bytes", "average_hybrid_table_storage_bytes"]),
+    "stg_stage_storage_usage_history": (
+        "SELECT usage_date AS date, average_stage_bytes FROM stage_storage_usage_history", ["average_stage_bytes"]),
+    "stg_storage_usage": (
+        "SELECT usage_date AS date, storage_bytes, stage_bytes, failsafe_bytes, hybrid_table_storage_bytes, "
+        "archive_storage_cool_bytes, archive_storage_cold_bytes, archive_storage_retrieval_temp_bytes FROM storage_usage",
+        ["storage_bytes", "stage_bytes", "failsafe_bytes", "hybrid_table_storage_bytes", "archive_storage_cool_bytes",
+         "archive_storage_cold_bytes", "archive_storage_retrieval_temp_bytes"]),
+    "stg_rate_sheet_daily": (
+        "SELECT date, organization_name, contract_number, account_name, account_locator, region, service_level, "
+        "usage_type, currency, effective_rate, service_type FROM rate_sheet_daily", ["effective_rate"]),
+    "stg_remaining_balance_daily": (
+        "SELECT date, organization_name, contract_number, currency, free_usage_balance, capacity_balance, "
+        "on_demand_consumption_balance, rollover_balance FROM remaining_balance_daily",
+        ["free_usage_balance", "capacity_balance", "on_demand_consumption_balance", "rollover_balance"]),
+    "stg_usage_in_currency_daily": (
+        "SELECT organization_name, contract_number, account_name, account_locator, region, service_level, usage_date, "
+        "usage_type, currency, usage, usage_in_currency, balance_source, billing_type, rating_type, service_type, "
+        "is_adjustment FROM usage_in_currency_daily", ["usage", "usage_in_currency"]),
+}
