@@ -27,8 +27,6 @@ null component, and link nothing; an empty table gives no rows; other columns ar
 """
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -127,58 +125,77 @@ def bit_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((n & 1).astype(np.uint8)).tobytes()
 
 
-def describe(texts: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set1, set2, bits): size, 128-bit name of the set, bit sketch."""
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    """A sketch with a bit count that follows the size: four bits for each shingle that may differ."""
+    n = max(64, 1 << (4 * differ_at_most(len(shingles), largest_partner(len(shingles)))).bit_length())
+    at = np.bincount((mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(n - 1)).astype(np.int64), minlength=n)
+    return np.packbits((at & 1).astype(np.uint8), bitorder="little").tobytes()
 
-    def run(batches):
-        shingles = Shingles()
-        for b in by_bytes(batches, "text", _BATCH):
-            sets = shingles.of(b.column("text").cast(pa.binary()).to_pylist())
-            name = [(int((mix(s)).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(s + np.uint64(97))))) if len(s) else (0, 0) for s in sets]
-            a = np.array(name, np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a[:, 0]), pa.array(a[:, 1]),
-                 pa.array([bit_sketch(s) for s in sets], pa.binary())], ["doc_id", "n_shingles", "set1", "set2", "bits"])
 
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, set1 long, set2 long, bits binary")
+def apart(a: bytes, b: bytes) -> int:
+    """Hamming distance of two wide sketches; the longer one is folded to the other's bits."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x, y = y, x
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
-def _packed_cells(texts: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, known, keys, docs): cells of the texts of a task. Texts of equal sets show their cells
-    once. A cell that several texts of the task have goes to its bucket once, and with all of them,
-    as known to be shared, to any bucket: no bucket gets more of a cell than tasks have blocks."""
+SCAN = ("doc_id long, n_shingles long, set1 long, set2 long, bits binary, sketch binary, "
+        "bucket int, known boolean, keys binary, docs binary")
+_TYPES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()),
+                    ("bits", pa.binary()), ("sketch", pa.binary()), ("bucket", pa.int32()), ("known", pa.bool_()),
+                    ("keys", pa.binary()), ("docs", pa.binary())])
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _TYPES], schema=_TYPES)
 
-    def run(batches):
-        shingles = Shingles()
 
-        def flush(held):
-            keys = np.concatenate([k for k, _ in held])
-            docs = np.repeat(np.array([d for _, d in held], np.int64), [len(k) for k, _ in held])
-            order = np.argsort(keys, kind="stable")
-            keys, docs = keys[order], docs[order]
-            first = np.append(True, keys[1:] != keys[:-1])
-            at = np.flatnonzero(first)
-            often = np.repeat(np.diff(np.append(at, len(keys))) > 1, np.diff(np.append(at, len(keys))))
-            for known, k, d, to in (
-                    (True, keys[often], docs[often], np.arange(often.sum()) // 4096 * 7919 % buckets),
-                    (False, keys[first], docs[first], (keys[first] % np.uint64(buckets)).astype(np.int64))):
-                order = np.argsort(to, kind="stable")
-                edge = np.searchsorted(to[order], np.arange(buckets + 1))
-                some = np.flatnonzero(np.diff(edge))
-                k, d = k[order], d[order]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([known] * len(some), pa.bool_()),
-                     pa.array([k[edge[i]: edge[i + 1]].tobytes() for i in some], pa.binary()),
-                     pa.array([d[edge[i]: edge[i + 1]].tobytes() for i in some], pa.binary())],
-                    ["bucket", "known", "keys", "docs"])
+def _scanned(texts: DataFrame, buckets: int) -> DataFrame:
+    """One pass over the texts, two kinds of rows. For every text: doc_id, size, a 128-bit name
+    of its set and two sketches. Of the texts of a task, by bucket: cells and whose they are.
+    Texts of equal sets show their cells once. A cell that several texts of the task have goes to
+    its bucket once, and with all of them, as known to be shared, to any bucket: no bucket gets
+    more of a cell than tasks have blocks."""
 
+    def flush(held):
+        keys = np.concatenate([k for k, _ in held])
+        docs = np.repeat(np.array([d for _, d in held], np.int64), [len(k) for k, _ in held])
+        order = np.argsort(keys, kind="stable")
+        keys, docs = keys[order], docs[order]
+        first = np.append(True, keys[1:] != keys[:-1])
+        copies = np.diff(np.append(np.flatnonzero(first), len(keys)))
+        often = np.repeat(copies > 1, copies)
+        for known, k, d, to in (
+                (True, keys[often], docs[often], np.arange(often.sum()) // 4096 * 7919 % buckets),
+                (False, keys[first], docs[first], (keys[first] % np.uint64(buckets)).astype(np.int64))):
+            order = np.argsort(to, kind="stable")
+            edge = np.searchsorted(to[order], np.arange(buckets + 1))
+            some = np.flatnonzero(np.diff(edge))
+            k, d = k[order], d[order]
+            yield _rows(bucket=some.astype(np.int32), known=[known] * len(some),
+                        keys=[k[edge[i]: edge[i + 1]].tobytes() for i in some],
+                        docs=[d[edge[i]: edge[i + 1]].tobytes() for i in some])
+
+    def run(batches):
+        shingles = Shingles()
         held, size, seen = [], 0, set()
         for b in by_bytes(batches, "text", _BATCH):
-            for doc, s in zip(b.column("doc_id").to_pylist(), shingles.of(b.column("text").cast(pa.binary()).to_pylist())):
-                name = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                if not len(s) or name in seen:
+            sets = shingles.of(b.column("text").cast(pa.binary()).to_pylist())
+            ids = b.column("doc_id").to_pylist()
+            name = [(int(mix(s).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(s + np.uint64(97))))) if len(s) else (0, 0)
+                    for s in sets]
+            both = np.array(name, np.uint64).reshape(-1, 2).view(np.int64)
+            yield _rows(doc_id=ids, n_shingles=[len(s) for s in sets], set1=both[:, 0], set2=both[:, 1],
+                        bits=[bit_sketch(s) for s in sets], sketch=[wide_sketch(s) for s in sets])
+            for doc, s, x in zip(ids, sets, name):
+                if doc is None or not len(s) or x in seen:
                     continue
-                seen.add(name)
+                seen.add(x)
                 for n in bands_of(len(s)):
                     held.append((cells(s, n), doc))
                     size += len(held[-1][0])
@@ -188,13 +205,13 @@ def _packed_cells(texts: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield from flush(held)
 
-    return texts.mapInArrow(run, "bucket int, known boolean, keys binary, docs binary")
+    return texts.mapInArrow(run, SCAN)
 
 
-def shared_cells(texts: DataFrame) -> DataFrame:
-    """(key, doc, pivot): every cell that several texts have, with each of them, and a smaller
+def shared_cells(packed: DataFrame) -> DataFrame:
+    """(key, doc, pivot) from the packed cells: every cell that several texts have, with each of them, and a smaller
     text of the same cell (or the text itself)."""
-    n = partitions_for(texts.sparkSession)
+    n = partitions_for(packed.sparkSession)
 
     def stars(keys, docs):
         """The cells that stand there more than once, each with its smallest text as pivot."""
@@ -222,8 +239,7 @@ def shared_cells(texts: DataFrame) -> DataFrame:
         if keys:
             yield from stars(np.concatenate(keys), np.concatenate(docs))
 
-    return (_packed_cells(texts, 4 * n).repartition(n, "bucket")
-            .mapInArrow(run, "key long, doc long, pivot long"))
+    return packed.repartition(n, "bucket").mapInArrow(run, "key long, doc long, pivot long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -329,14 +345,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id) for every row."""
     texts = texts_of(docs, id_col, text_col)
     known = texts.where(F.col("doc_id").isNotNull())
-    sets = store(describe(texts), "jac-sets")
+    scanned = store(_scanned(texts, 4 * partitions_for(docs.sparkSession)), "jac-scan")
+    sets = scanned.where("bucket IS NULL").select("doc_id", "n_shingles", "set1", "set2", "bits", "sketch")
     named = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
     # equal sets are linked: each with the smallest doc_id that has it
     classes = named.groupBy("set1", "set2").agg(F.min("doc_id").alias("a"))
     equal = named.join(classes, ["set1", "set2"]).where("doc_id > a").select("a", F.col("doc_id").alias("b"))
-    info = named.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bits")
+    info = named.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bits", "sketch")
 
-    shared = store(shared_cells(known), "jac-cells")
+    packed = scanned.where("bucket IS NOT NULL").select("bucket", "known", "keys", "docs")
+    shared = store(shared_cells(packed), "jac-cells")
     first = shared.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
     pairs = store(_possible(first, info), "jac-pairs")
     links = store(verify(pairs, known).unionByName(equal), "jac-links")
@@ -344,8 +362,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = components(links)
     open_ = shared.join(found, "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
     several = open_.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    rows = open_.join(several.select("key"), "key", "left_semi").distinct().join(info, "doc")
-    more = store(_across(rows).join(pairs, ["a", "b"], "left_anti"), "jac-more")
+    rows = open_.join(several.select("key"), "key", "left_semi").distinct().join(info.drop("sketch"), "doc")
+    more = store(_possible(_across(rows).join(pairs, ["a", "b"], "left_anti"), info), "jac-more")
     found = components(links.unionByName(store(verify(more, known), "jac-links")))
 
     return sets.join(found.withColumnRenamed("doc", "doc_id"), "doc_id", "left").select(
@@ -353,10 +371,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _possible(pairs: DataFrame, info: DataFrame) -> DataFrame:
-    """Pairs whose sizes and bit sketches let them be linked."""
-    side = lambda c: info.select(F.col("doc").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    most = F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / (NUM + DEN))
-    word = lambda c, i: F.conv(F.hex(F.substring(F.col(c), i * 8 + 1, 8)), 16, -10).cast("long")
-    apart = sum((F.bit_count(word("bits_a", i).bitwiseXOR(word("bits_b", i))) for i in range(BITS // 64)), F.lit(0))
-    return both.where((F.greatest("n_a", "n_b") * NUM <= F.least("n_a", "n_b") * DEN) & (apart <= most)).select("a", "b").distinct()
+    """Pairs whose sizes and wide sketches let them be linked."""
+    side = lambda c: info.select(F.col("doc").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(
+        F.greatest("n_a", "n_b") * NUM <= F.least("n_a", "n_b") * DEN)
+
+    def run(batches):
+        for b in batches:
+            n, m = b.column("n_a").to_pylist(), b.column("n_b").to_pylist()
+            near = [apart(x, y) <= differ_at_most(i, j) for x, y, i, j in
+                    zip(b.column("sketch_a").to_pylist(), b.column("sketch_b").to_pylist(), n, m)]
+            yield b.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long").distinct()

@@ -79,6 +79,12 @@ def test_hamming_distance_is_a_lower_bound(a, b):
     assert int(np.bitwise_count(bits(a) ^ bits(b)).sum()) <= len(a ^ b)
 
 
+@given(st.sets(st.integers(0, 2**40), min_size=1, max_size=300), st.sets(st.integers(0, 2**40), min_size=1, max_size=300))
+def test_folded_sketches_are_a_lower_bound(a, b):
+    wide = lambda s: jaccard.wide_sketch(mix(np.array(sorted(s), np.uint64)))
+    assert jaccard.apart(wide(a), wide(b)) == jaccard.apart(wide(b), wide(a)) <= len(a ^ b)
+
+
 def test_components_of_paths(spark):
     links = [(i, i + 1) for i in range(0, 40) if i % 13] + [(60, 61), (61, 60), (70, 70)]
     got = dict(jaccard.components(spark.createDataFrame(links, "a long, b long")).collect())
