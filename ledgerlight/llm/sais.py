@@ -44,33 +44,107 @@ def _placed(order: list[int], s: list[int], sizes: np.ndarray) -> list[int]:
     return sa
 
 
-def suffix_array(text: np.ndarray) -> list[int]:
-    """``text``: integers from 0; the last is 0 and stands nowhere else."""
+class _Buckets:
+    """Induced sorting where few symbols repeat: a bucket's suffixes induce all at once, as what
+    they induce lies in later buckets, or later in their own."""
+
+    def __init__(self, text: np.ndarray, small: np.ndarray, sizes: np.ndarray, unique: int):
+        self.s, self.small, self.sizes, self.unique = text, small, sizes, unique
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        self.n_small = np.bincount(text[small], minlength=len(sizes))
+        self.used = np.flatnonzero(sizes[unique:]) + unique
+
+    def sorted_from(self, order: np.ndarray) -> np.ndarray:
+        """All suffixes, from the leftmost-smaller ones in their order. The suffixes that start
+        with one of the first ``unique`` symbols are in place from the start: each has its own."""
+        s, sa = self.s, np.full(len(self.s), -1, np.int64)
+        by = np.argsort(s[order], kind="stable")
+        counts = np.bincount(s[order], minlength=len(self.sizes))
+        first = np.cumsum(counts) - counts
+        c = s[order[by]]
+        sa[self.ends[c] - counts[c] + np.arange(len(by)) - first[c]] = order[by]
+        alone = np.flatnonzero(s < self.unique)
+        sa[s[alone]] = alone
+        fixed = sa[: self.unique].copy()
+        heads, tails = self.starts.copy(), self.ends.copy()
+        self._induce(sa, fixed, False, heads)
+        for c in self.used:
+            at = self.starts[c]
+            while at < heads[c]:
+                batch, at = sa[at: heads[c]], heads[c]
+                self._induce(sa, batch, False, heads)
+            self._induce(sa, sa[self.ends[c] - counts[c]: self.ends[c]], False, heads)
+        for c in self.used[::-1]:
+            at = self.ends[c]
+            while at > tails[c]:
+                batch, at = sa[tails[c]: at][::-1], tails[c]
+                self._induce(sa, batch, True, tails)
+            self._induce(sa, sa[self.starts[c]: self.ends[c] - self.n_small[c]][::-1], True, tails)
+        return sa
+
+    def _induce(self, sa: np.ndarray, batch: np.ndarray, small: bool, edge: np.ndarray) -> None:
+        j = batch[batch > 0] - 1
+        j = j[self.small[j] == small]
+        c = self.s[j]
+        keep = c >= self.unique
+        j, c = j[keep], c[keep]
+        if not len(j):
+            return
+        by = np.argsort(c, kind="stable")
+        j, c = j[by], c[by]
+        at = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+        n = np.diff(np.append(at, len(c)))
+        rank = np.arange(len(c)) - np.repeat(at, n)
+        if small:
+            sa[edge[c] - 1 - rank] = j
+            edge[c[at]] -= n
+        else:
+            sa[edge[c] + rank] = j
+            edge[c[at]] += n
+
+
+def suffix_array(text: np.ndarray, unique: int = 1) -> list[int]:
+    """``text``: integers from 0; the last is 0. The first ``unique`` symbols stand nowhere
+    twice, 0 included, and are not repeated side by side in ascending order."""
     n = len(text)
     if n == 1:
         return [0]
     sizes = np.bincount(text)
-    small_ = _classify(text)
-    s, small = text.tolist(), small_.tolist()
-    lms_ = np.flatnonzero(small_[1:] & ~small_[:-1]) + 1
-    lms = lms_.tolist()
-    sa = _induce(s, small, _placed(lms, s, sizes), sizes)
+    small = _classify(text)
+    few = len(sizes) - unique <= 256  # symbols that may repeat; names of substrings are more
+    if few:
+        buckets = _Buckets(text, small, sizes, unique)
+        sort = lambda order: buckets.sorted_from(np.asarray(order, np.int64))
+    else:
+        s_, small_ = text.tolist(), small.tolist()
+        sort = lambda order: np.array(_induce(s_, small_, _placed(list(order), s_, sizes), sizes))
+    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     # names of the substrings between leftmost-smaller positions, in sorted order
     is_lms = np.zeros(n, bool)
-    is_lms[lms_] = True
-    sa_ = np.array(sa)
-    order = sa_[is_lms[sa_]].tolist()
-    end = dict(zip(lms, lms[1:] + [n - 1]))
-    names, name, prior = {}, -1, None
-    for j in order:
-        word = s[j: end[j] + 1]
-        if word != prior:
-            name += 1
-        names[j], prior = name, word
-    if name + 1 < len(lms):
-        reduced = np.array([names[j] for j in lms])
-        order = [lms[k] for k in suffix_array(reduced)]
-    return _induce(s, small, _placed(order, s, sizes), sizes)
+    is_lms[lms] = True
+    sa = sort(lms)
+    order = sa[is_lms[sa]]
+    end = np.zeros(n, np.int64)
+    end[lms] = np.append(lms[1:], n - 1)
+    names = np.zeros(n, np.int64)
+    names[order] = _named(text, order, end)
+    if names[order[-1]] + 1 < len(lms):
+        order = lms[np.array(suffix_array(names[lms]))]
+    return sort(order).tolist()
+
+
+def _named(text: np.ndarray, order: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Numbers of the substrings text[j : end[j]+1] in their order; equal ones get one number."""
+    size = end[order] - order + 1
+    new = np.append(True, size[1:] != size[:-1])
+    left, live = 0, np.flatnonzero(~new)  # those of equal length are compared symbol by symbol
+    while len(live):
+        live = live[left < size[live]]
+        differs = text[order[live] + left] != text[order[live - 1] + left]
+        new[live[differs]] = True
+        live, left = live[~differs], left + 1
+    return np.cumsum(new) - 1
 
 
 def common_prefixes(s: list[int], sa: list[int]) -> tuple[list[int], list[int]]:
@@ -105,7 +179,7 @@ def repeated_starts(strings: list[bytes], width: int) -> list[np.ndarray]:
         text[k: k + len(x)] = np.frombuffer(x, np.uint8).astype(np.int64) + m
         k += len(x) + 1
         text[k - 1] = m - 1 - i  # each string ends in a symbol of its own
-    prior, plcp = common_prefixes(text.tolist(), suffix_array(text))
+    prior, plcp = common_prefixes(text.tolist(), suffix_array(text, m))
     long_ = np.flatnonzero(np.array(plcp) >= width)
     seen = np.zeros(size, bool)
     seen[long_] = True

@@ -4,7 +4,7 @@ A suffix array of the whole corpus would put every byte into one order. It is bu
 shards that need nothing of each other: windows of WIDTH bytes are dealt out by minimizer
 (see windows.py), so equal windows always meet in one shard. A minimizer that leads to one
 content only needs no order: its windows repeat if the content does. Where several contents
-share a minimizer, one copy of each content goes to the shard, whose suffix array is built by
+share a minimizer, one copy of each content that shares at least a core (see core_hashes) with another goes to the shard, whose suffix array is built by
 induced sorting (sais.py); the permuted common prefix lengths then say which windows stand at
 two places. Contents that occur more than once repeat as a whole, and take part as
 neighbours for the others.
@@ -34,6 +34,7 @@ WIDTH = 200
 GRAM = 64
 MOST_CONTENTS = 1024
 SHARD_BYTES = 200_000
+_QUARTERS = 4
 _BATCH = 1_000_000
 _CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _OTHER = mix(_CODES ^ np.uint64(0xA0761D6478BD642F))
@@ -56,8 +57,37 @@ def byte_runs(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFram
         run, "row long, start int, n int, anchor long, content long, again boolean")
 
 
-def _stretches(docs: DataFrame, contents: DataFrame, width: int) -> DataFrame:
-    """One copy of each content: (anchor, row, start, copies, crowded, raw)."""
+def core_hashes(raw: list[bytes], width: int, gram: int) -> list[list[int] | None]:
+    """Hashes of the cores of each content. Windows hold the minimizer at one of width-gram+1
+    offsets; for each quarter of the offsets the core is what all its windows share, so equal
+    windows have an equal core. None where the minimizer stands at several places."""
+    codes = _CODES[np.frombuffer(b"".join(raw), np.uint8)]
+    rolling = Rolling(codes)
+    grams = rolling.grams(gram)
+    step = -(-(width - gram + 1) // _QUARTERS)
+    at, own, k, out, n = 0, [], [], [None] * len(raw), len(raw)
+    start, end = [], []
+    for i, x in enumerate(raw):
+        g = grams[at: at + len(x) - gram + 1]
+        p = int(g.argmin())
+        if int(len(g) - 1 - g[::-1].argmin()) == p:
+            out[i] = []
+            for q in range(_QUARTERS):
+                last = min(step * q + step - 1, width - gram)  # the quarter's largest offset
+                a, e = p - step * q, p - last + width
+                if a >= 0 and e <= len(x) and step * q <= width - gram:
+                    own.append(i)
+                    k.append(q)
+                    start.append(at + a)
+                    end.append(at + e)
+        at += len(x)
+    for i, q, h in zip(own, k, rolling.stretch(np.array(start, np.int64), np.array(end, np.int64)).view(np.int64).tolist() if own else []):
+        out[i].append(h ^ q)
+    return out
+
+
+def _stretches(docs: DataFrame, contents: DataFrame, width: int, gram: int) -> DataFrame:
+    """One copy of each content: (anchor, row, start, copies, crowded, raw, cores)."""
     asked = contents.groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "n", "copies", "crowded")).alias("asked"))
     rows = docs.join(asked, "row", "left").select("row", "text", "asked")
 
@@ -68,13 +98,28 @@ def _stretches(docs: DataFrame, contents: DataFrame, width: int) -> DataFrame:
                 raw = text.encode() if asks else b""
                 out += [(a["anchor"], row, a["start"], a["copies"], a["crowded"],
                          raw[a["start"]: a["start"] + a["n"] - 1 + width]) for a in asks or ()]
-            if out:
+            for i in range(0, len(out), 2048):
+                cols = list(zip(*out[i: i + 2048]))
+                cols.append(core_hashes(cols[5], width, gram))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()))],
-                    ["anchor", "row", "start", "copies", "crowded", "raw"])
+                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary(),
+                                                           pa.list_(pa.int64())))],
+                    ["anchor", "row", "start", "copies", "crowded", "raw", "cores"])
 
     # rows that repeat were asked once each; one copy is enough
-    return rows.mapInArrow(run, "anchor long, row long, start int, copies long, crowded boolean, raw binary").distinct()
+    return rows.mapInArrow(
+        run, "anchor long, row long, start int, copies long, crowded boolean, raw binary, cores array<long>").distinct()
+
+
+def _with_shared_core(stretches: DataFrame) -> DataFrame:
+    """Without the contents that share no core with another one: no window of theirs stands twice."""
+    cores = stretches.where("cores IS NOT NULL").select("anchor", "row", "start", F.explode("cores").alias("core"))
+    shared = cores.groupBy("anchor", "core").agg(F.count("*").alias("n")).where("n > 1")
+    some = cores.join(shared, ["anchor", "core"], "left_semi").select("anchor", "row", "start").distinct()
+    # where one content has its minimizer at several places, its neighbours may meet it there
+    several = stretches.where("cores IS NULL").select("anchor").distinct()
+    return (stretches.join(some, ["anchor", "row", "start"], "left_semi")
+            .unionByName(stretches.join(several, "anchor", "left_semi").join(some, ["anchor", "row", "start"], "left_anti")))
 
 
 def _sorted_shards(stretches: DataFrame, width: int) -> DataFrame:
@@ -152,7 +197,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM,
     crowded = contents.groupBy("anchor").agg(F.count("*").alias("contents")).select(
         "anchor", (F.col("contents") > most_contents).alias("crowded"))
     asked = contents.join(crowded, "anchor").select("anchor", "at.row", "at.start", "at.n", "copies", "crowded")
-    stretches = store(_stretches(docs, asked, width), "sa-stretches")
+    stretches = _with_shared_core(store(_stretches(docs, asked, width, gram), "sa-stretches"))
     return (whole.unionByName(copied)
             .unionByName(_sorted_shards(stretches.where("NOT crowded"), width))
             .unionByName(_matched_windows(stretches.where("crowded"), width)))
