@@ -14,8 +14,8 @@ while more cells remain than can differ. Equal cells hold equally many shingles,
 stricter of two sets' limits still leaves them one in common.
 
 Cells are packed by bucket before the shuffle; a bucket gives back the cells that more than one
-text has. Of a cell's texts, each is compared with the smallest of them first, exactly.
-Links make components; texts of one cell whose components still differ are compared with each other
+text has. Of a cell's texts, each is compared with the smallest of them first, then, while a cell's
+components differ, with the largest, exactly. Links make components; texts of one cell whose components still differ are compared with each other
 in blocks by a second sketch (one bit a cell), and what may be linked is verified. So a group
 of thousands of near copies costs one comparison a text, and no link between different
 components is lost.
@@ -38,7 +38,7 @@ from ledgerlight.llm.windows import Rolling, mix
 
 SHINGLE = 5
 NUM, DEN = 80, 100  # similarity 0.8, in whole numbers
-BITS = 512  # of the second sketch
+BITS = 2048  # of the second sketch
 BLOCK_TEXTS = 512
 _BATCH = 1_000_000
 _FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -359,8 +359,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = store(_possible(first, info), "jac-pairs")
     links = store(verify(pairs, known).unionByName(equal), "jac-links")
 
-    found = components(links)
-    open_ = shared.join(found, "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
+    def by_component(links):
+        found = components(links)
+        return shared.join(found, "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
+
+    # a second star, around each cell's largest text: most of a group's components meet here
+    open_ = by_component(links)
+    last = open_.groupBy("key").agg(F.max("doc").alias("last"), F.min("component").alias("c1"),
+                                    F.max("component").alias("c2")).where("c1 <> c2").select("key", "last")
+    far = (open_.join(last, "key").where("doc < last")
+           .select(F.col("doc").alias("a"), F.col("last").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
+    second = store(_possible(far, info), "jac-second")
+    links = store(links.unionByName(verify(second, known)), "jac-links")
+    pairs = pairs.unionByName(second)
+
+    open_ = by_component(links)
     several = open_.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
     rows = open_.join(several.select("key"), "key", "left_semi").distinct().join(info.drop("sketch"), "doc")
     more = store(_possible(_across(rows).join(pairs, ["a", "b"], "left_anti"), info), "jac-more")
