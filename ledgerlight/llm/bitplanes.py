@@ -38,11 +38,19 @@ from ledgerlight.llm.units import UnitCache
 
 BLOCK = 65_536
 END_ID = 0
+MOST_UNITS = 900_000  # remembered by a worker
 MAGIC = b"BPL1"
 # Fixed value: Unicode's White_Space. The tokenizer's pattern never joins a character and the
 # white space after it, so a text falls into units there.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+_LETTER, _SIGN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"!-&(-/:-@\[-`{-~"  # signs: ASCII but the apostrophe
+_LINE = SPACE.replace(" ", "")
+# Nor does it join letters, digits and signs to each other, but for an apostrophe and what
+# follows, and a run of white space ends before its last character if a word follows.
+UNIT = re.compile("|".join((
+    rf" ?[{_LETTER}]+(?!\w)", r" ?[0-9]+(?!\w)", rf" ?[{_SIGN}]+(?=[A-Za-z0-9{SPACE}]|\Z)",
+    f"[{_LINE}](?=[^{SPACE}])", f"[{SPACE}]+(?=[{SPACE}][^{SPACE}])", f"[{SPACE}]*[^{SPACE}]+", f"[{SPACE}]+")))
+COARSE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")  # for texts with what may be a special token
 
 
 @cache
@@ -57,15 +65,16 @@ def _cache(tokenizer_path: str) -> UnitCache:
             for e in tok.encode_batch_fast(units[i: i + 4096], add_special_tokens=False):
                 yield np.array(e.ids, "<u4").tobytes()
 
-    return UnitCache(encode)
+    return UnitCache(encode, MOST_UNITS)
 
 
 def encode_texts(texts: list[str], tokenizer_path: str) -> list[np.ndarray]:
     """Ids of each text, without an end id."""
-    return [np.frombuffer(b, "<u4") for b in _cache(tokenizer_path).ids([UNIT.findall(t) for t in texts])]
+    units = [(COARSE if "<|" in t else UNIT).findall(t) for t in texts]
+    return [np.frombuffer(b, "<u4") for b in _cache(tokenizer_path).ids(units)]
 
 
-def pack_block(ids: np.ndarray, mode: str = "bit", level: int = 1) -> bytes:
+def pack_block(ids: np.ndarray, mode: str = "byte", level: int = 1) -> bytes:
     """One block from at least one id."""
     ids = np.ascontiguousarray(ids, ">u4")
     rows = ids.view(np.uint8).reshape(-1, 4)
@@ -141,7 +150,7 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
         ("docs", pa.list_(doc))]))
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer_path: str, mode: str = "bit", block: int = BLOCK,
+def write_ids(docs: DataFrame, path: str, tokenizer_path: str, mode: str = "byte", block: int = BLOCK,
               id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
     """Encode and write every text; parts hold ascending ranges of doc_id."""
     spark = docs.sparkSession
@@ -224,7 +233,7 @@ def digests(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
             .select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", whole("parts").alias("ids_crc32")))
 
 
-def encode_and_digest(docs: DataFrame, tokenizer_path: str, mode: str = "bit") -> DataFrame:
+def encode_and_digest(docs: DataFrame, tokenizer_path: str, mode: str = "byte") -> DataFrame:
     """Write the ids into the shared folder, then read them back."""
     path = shared_path(docs.sparkSession, "token-ids")
     write_ids(docs, path, tokenizer_path, mode)
