@@ -21,6 +21,7 @@ scores: the longest last piece within a chunk, the smallest state between chunks
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterable
 from functools import cache
@@ -37,6 +38,7 @@ from ledgerlight.llm.units import UnitCache
 CHUNK = 16_384
 SPACE_MARK = "▁"  # fixed value: how the vocabulary writes a space
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+MOST_UNITS = 700_000  # remembered by a worker
 _LONG = 40  # units up to this length are solved in arrays
 NONE = -np.inf
 
@@ -49,13 +51,12 @@ class Vocabulary:
         self.width = max(map(len, pieces_))
         self.unknown = min(s for _, s in pieces_.values()) - 10.0
         self.text_of = {i: p.encode() for p, (i, _) in pieces_.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
-        inner = {a for p in pieces_ for a in (p if len(p) > 1 else "")}
-        alone = "".join(re.escape(c) for c in "\n\t\r" if c not in inner)
-        spaces_lead = all(" " not in p.lstrip(" ") for p in pieces_)
-        if not spaces_lead:  # a piece spans words: the text is one unit
-            self.unit = re.compile(r"(?s).+")
-        else:
-            self.unit = re.compile(f" +[^ {alone}]*|[^ {alone}]+" + (f"|[{alone}]" if alone else ""))
+        self.score_of = np.zeros(max(self.text_of) + 1)
+        for i, score in pieces_.values():
+            self.score_of[i] = score
+        for b, i in enumerate(byte_ids):  # a character's bytes cost what the character does, at the first
+            self.score_of[i] = 0.0 if 0x80 <= b < 0xC0 else self.unknown
+        self.unit = self._units()
         self._tables = {}
         for n in range(1, self.width + 1):
             own = [(p, i, s) for p, (i, s) in pieces_.items() if len(p) == n]
@@ -69,6 +70,24 @@ class Vocabulary:
                                    np.array([s for _, _, s in own])[order])
         self._seen = {n: self._bits(t[0]) for n, t in self._tables.items()}
 
+    def _units(self) -> re.Pattern:
+        """What to cut a text into: between units, characters stand side by side in no piece.
+        Spaces lead a unit; line ends that are in no longer piece are units; signs part from
+        words if no piece joins them (signs grow by what pieces join to them)."""
+        joined = [p for p in self.pieces if len(p) > 1]
+        if any(" " in p.lstrip(" ") for p in joined):  # a piece spans words: the text is one unit
+            return re.compile(r"(?s).+")
+        inner = {c for p in joined for c in p}
+        alone = [c for c in "\n\t\r" if c not in inner]
+        signs, pairs = set(string.punctuation), {(a, b) for p in joined for a, b in zip(p, p[1:]) if a != " "}
+        while more := {c for a, b in pairs if (a in signs) != (b in signs) for c in (a, b)} - signs:
+            signs |= more
+        if any(c.isascii() and c.isalnum() for c in signs):
+            signs = set()
+        line, sign = ("".join(map(re.escape, sorted(x))) for x in (alone, signs))
+        kinds = [f" *[^ {line}{sign}]+", " +"]
+        return re.compile("|".join([f" *[{sign}]+"] * bool(sign) + kinds + [f"[{line}]"] * bool(line)))
+
     @staticmethod
     def _bits(h: np.ndarray) -> np.ndarray:
         out = np.zeros(1 << 18, bool)
@@ -125,57 +144,67 @@ class Vocabulary:
 
     # -- many strings -------------------------------------------------------------------
 
-    def solve(self, strings: list[str]) -> list[tuple[float, list[int]]]:
-        """Best score and ids of whole units."""
+    def solve(self, strings: list[str]) -> list[bytes]:
+        """Ids of whole units, as little-endian 32-bit integers."""
         out: list = [None] * len(strings)
         by_length: dict[int, list[int]] = {}
         for k, s in enumerate(strings):
             by_length.setdefault(len(s), []).append(k)
         for n, where in by_length.items():
-            if n > _LONG:
-                for k in where:
-                    best, last = self.forward(strings[k])
-                    out[k] = (best[-1], self.trace(strings[k], last, 0, n))
-            else:
-                for i in range(0, len(where), 8192):
-                    some = where[i: i + 8192]
-                    for k, got in zip(some, self._solve_equal([strings[k] for k in some], n)):
-                        out[k] = got
+            for i in range(0, len(where), 8192):
+                some = where[i: i + 8192]
+                if n > _LONG:
+                    got = [self._ids(strings[k]) for k in some]
+                else:
+                    got = self._solve_equal([strings[k] for k in some], n)
+                for k, x in zip(some, got):
+                    out[k] = x
         return out
 
-    def _solve_equal(self, strings: list[str], n: int) -> list[tuple[float, list[int]]]:
-        m = len(strings)
+    def _ids(self, s: str) -> bytes:
+        return np.array(self.trace(s, self.forward(s)[1], 0, len(s)), "<u4").tobytes()
+
+    def _solve_equal(self, strings: list[str], n: int) -> list[bytes]:
+        m, most = len(strings), min(n, self.width)
         codes = np.array(strings, f"<U{n}").view("<u4").reshape(m, n).astype(np.uint64)
-        score = {k: np.full((m, n - k + 1), NONE) for k in range(1, min(n, self.width) + 1)}
-        ids = {k: np.full((m, n - k + 1), -1, np.int32) for k in score}
+        ids = np.full((most + 1, n, m), -1, np.int32)
+        best, last = np.full((n + 1, m), NONE), np.zeros((n + 1, m), np.int8)
+        best[0] = 0
+        score = []
         h = np.zeros((m, n), np.uint64)
-        for k in score:
+        for k in range(1, most + 1):
             h = h[:, : n - k + 1] * _BASE + codes[:, k - 1:]
-            if k == 1:
-                score[1][:] = self.unknown
+            score.append(np.full((n - k + 1, m), self.unknown if k == 1 else NONE))
             if k in self._tables:
                 keys, own, scores = self._tables[k]
                 r, c = np.nonzero(self._seen[k][(h * _BASE) >> np.uint64(46)])
                 at = np.minimum(np.searchsorted(keys, h[r, c]), len(keys) - 1)
                 hit = keys[at] == h[r, c]
                 r, c, at = r[hit], c[hit], at[hit]
-                score[k][r, c], ids[k][r, c] = scores[at], own[at]
-        best, last = np.full((n + 1, m), NONE), np.zeros((n + 1, m), np.int8)
-        best[0] = 0
+                score[-1][c, r], ids[k, c, r] = scores[at], own[at]
         for j in range(1, n + 1):
-            for k in range(1, min(j, self.width) + 1):
-                s = best[j - k] + score[k][:, j - k]
+            for k in range(1, min(j, most) + 1):
+                s = best[j - k] + score[k - 1][j - k]
                 better = s >= best[j]
                 best[j][better], last[j][better] = s[better], k
-        out, tails = [], last.T.tolist()
-        for r, s in enumerate(strings):
-            j, got = n, []
-            while j:
-                k = tails[r][j]
-                i = ids[k][r, j - k]
-                got.append([int(i)] if i >= 0 else self.fallback(s[j - 1]))
-                j -= k
-            out.append((float(best[n, r]), [i for part in reversed(got) for i in part]))
+        # all paths back at once, a piece at a time
+        at, row, trail = np.full(m, n), np.arange(m), np.full((m, n), -1, np.int32)
+        count, odd = np.zeros(m, np.int64), np.zeros(m, bool)
+        for step in range(n):
+            go = np.flatnonzero(at > 0)
+            if not len(go):
+                break
+            k = last[at[go], go].astype(np.int64)
+            at[go] -= k
+            trail[go, step] = ids[k, at[go], go]
+            count[go] += 1
+            odd[go] |= trail[go, step] < 0
+        cols = count[:, None] - 1 - np.arange(n)[None, :]
+        flat = trail[row[:, None], cols][cols >= 0].astype("<u4").tobytes()
+        edge = (4 * np.concatenate([[0], np.cumsum(count)])).tolist()
+        out = [flat[a:b] for a, b in zip(edge, edge[1:])]
+        for r in np.flatnonzero(odd).tolist():  # with characters outside the vocabulary
+            out[r] = self._ids(strings[r])
         return out
 
     def decode(self, ids: Iterable[int]) -> bytes:
@@ -185,7 +214,7 @@ class Vocabulary:
 class Encoder:
     def __init__(self, path: str):
         self.vocab = Vocabulary.load(path)
-        self.cache = UnitCache(lambda units: (np.array(ids, "<u4").tobytes() for _, ids in self.vocab.solve(units)))
+        self.cache = UnitCache(self.vocab.solve, MOST_UNITS)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts; a space before a text's first word is part of the encoding."""
@@ -236,7 +265,7 @@ class Encoder:
         head = np.full(w, NONE)
         for a in range(min(w - 1, first) + 1):
             head[a] = self.vocab.forward(chunk[:first], a)[0][first]
-        middle = sum(self.score(u) for u in self.vocab.unit.findall(chunk[first:last_cut]))
+        middle = self.score(self.units(chunk[first:last_cut]))
         tail = np.full(w, NONE)
         s = chunk[last_cut:] + ahead
         if last_cut == n:
@@ -245,8 +274,12 @@ class Encoder:
             tail[: reach + 1] = self.ends(s, n - last_cut, reach, 0)
         return head[:, None] + middle + tail[None, :]
 
-    def score(self, unit: str) -> float:
-        return self.vocab.forward(unit)[0][len(unit)]
+    def units(self, text: str) -> np.ndarray:
+        """Ids of a stretch between two forced cuts."""
+        return np.frombuffer(self.cache.ids([self.vocab.unit.findall(text)])[0], "<u4")
+
+    def score(self, ids: np.ndarray) -> float:
+        return float(self.vocab.score_of[ids].sum())
 
     def between(self, chunk: str, left: str, ahead: str, a: int, b: int) -> np.ndarray:
         """Ids of a chunk from boundary state ``a`` to boundary state ``b``."""
@@ -260,7 +293,7 @@ class Encoder:
             return np.array(v.trace(whole, last, a, n + b), "<u4")
         _, last = v.forward(chunk[:first], a)
         ids = v.trace(chunk, last, a, first)
-        middle = np.frombuffer(self.cache.ids([v.unit.findall(chunk[first:last_cut])])[0], "<u4")
+        middle = self.units(chunk[first:last_cut])
         rest = []
         if last_cut < n:
             s = whole[last_cut:]
