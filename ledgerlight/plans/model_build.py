@@ -2,7 +2,7 @@
 
 ``views`` stay lazy, ``tables`` are rebuilt, ``incremental`` models rebuild only their
 look-back window and upsert it by key (``streaming/incremental.py``), and the access
-log replaces its look-back dates with all records of those dates (S20: late records come
+log replaces its look-back months with all records of those months (S20: late records come
 in, repeated ones stay). Downstream models read the tables written upstream as they are,
 by date partition, so an incremental run reads each of them only inside its window.
 
@@ -88,14 +88,14 @@ class ModelBuild:
 
     def _access_log(self, full_refresh: bool) -> dt.datetime | None:
         path, log = self.path("stg_access_history"), self.src.access_history()
-        log = log.withColumn(PART, F.to_date("query_start_time"))
+        log = log.withColumn(PART, F.trunc("query_start_time", "month"))  # by month: few records a day
         dates = partition_dates(self.spark, path, PART) if path_exists(self.spark, path) and not full_refresh else []
         if not dates:
             remove_path(self.spark, path)
             replace_dates(self.spark, path, log, PART, ["query_start_time"])
             return None
         days = self.lookback_days.get("stg_access_history", ACCESS_LOOKBACK_DAYS)
-        since = dt.datetime.combine(dates[-1], dt.time()) - dt.timedelta(days=int(days))
+        since = dt.datetime.combine((dates[-1] - dt.timedelta(days=int(days))).replace(day=1), dt.time())
         replace_dates(self.spark, path, log.where(F.col("query_start_time") >= F.lit(since)), PART, ["query_start_time"])
         return since
 
@@ -125,7 +125,7 @@ class ModelBuild:
     def _accessed(self, since: dt.datetime | None) -> DataFrame:
         log = self.read("stg_access_history")
         if since is not None:
-            log = log.where((F.col(PART) >= F.lit(since.date())) & (F.col("query_start_time") > F.lit(since)))
+            log = log.where((F.col(PART) >= F.lit(since.date().replace(day=1))) & (F.col("query_start_time") > F.lit(since)))
         return log.drop(PART)
 
     def run(self, full_refresh: bool = False) -> dict[str, dt.datetime | None]:
