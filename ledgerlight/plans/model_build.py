@@ -33,6 +33,7 @@ class IncrementalSpec:
     ts: str              # column the watermark is read from
     lookback_days: float
     part_from: str       # key column the date partition is derived from
+    part_by: str = "day"  # or "month", for few rows a day
 
 
 # Keys and look-back windows of the incremental models
@@ -44,9 +45,9 @@ INCREMENTAL = {
     "query_history_enriched": IncrementalSpec(("query_id", "start_time"), "end_time", 3, "start_time"),
     "dbt_queries": IncrementalSpec(("query_id", "start_time"), "end_time", 3, "start_time"),
     "query_base_object_access": IncrementalSpec(("_unique_id", "query_start_time"), "query_start_time", 1,
-                                                "query_start_time"),
+                                                "query_start_time", "month"),
     "query_direct_object_access": IncrementalSpec(("_unique_id", "query_start_time"), "query_start_time", 1,
-                                                  "query_start_time"),
+                                                  "query_start_time", "month"),
 }
 ACCESS_LOOKBACK_DAYS = 1
 
@@ -103,7 +104,8 @@ class ModelBuild:
         spec = INCREMENTAL[name]
 
         def with_part(since):
-            return build(since).withColumn(PART, F.to_date(spec.part_from))
+            return build(since).withColumn(PART, F.trunc(spec.part_from, spec.part_by)
+                                          if spec.part_by == "month" else F.to_date(spec.part_from))
 
         return run_incremental(self.spark, self.path(name), with_part, list(spec.keys), spec.ts,
                                self.lookback_days.get(name, spec.lookback_days), PART, full_refresh,
