@@ -40,6 +40,7 @@ SHINGLE = 5
 NUM, DEN = 80, 100  # similarity 0.8, in whole numbers
 BITS = 2048  # of the second sketch
 BLOCK_TEXTS = 512
+DEALT = 4096  # rows of shared cells that are dealt out together, cells whole
 _BATCH = 1_000_000
 _FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -161,6 +162,7 @@ def _scanned(texts: DataFrame, buckets: int) -> DataFrame:
     Texts of equal sets show their cells once. A cell that several texts of the task have goes to
     its bucket once, and with all of them, as known to be shared, to any bucket: no bucket gets
     more of a cell than tasks have blocks."""
+    dealt = DEALT
 
     def flush(held):
         keys = np.concatenate([k for k, _ in held])
@@ -170,8 +172,10 @@ def _scanned(texts: DataFrame, buckets: int) -> DataFrame:
         first = np.append(True, keys[1:] != keys[:-1])
         copies = np.diff(np.append(np.flatnonzero(first), len(keys)))
         often = np.repeat(copies > 1, copies)
+        several = copies[copies > 1]
+        starts = np.repeat(np.cumsum(several) - several, several)  # where each row's cell begins: a cell stays whole
         for known, k, d, to in (
-                (True, keys[often], docs[often], np.arange(often.sum()) // 4096 * 7919 % buckets),
+                (True, keys[often], docs[often], starts // dealt * 7919 % buckets),
                 (False, keys[first], docs[first], (keys[first] % np.uint64(buckets)).astype(np.int64))):
             order = np.argsort(to, kind="stable")
             edge = np.searchsorted(to[order], np.arange(buckets + 1))

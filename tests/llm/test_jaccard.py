@@ -61,6 +61,18 @@ def test_against_brute_force(spark, docs_of, seed, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("dealt", [2, 3])
+def test_cells_stay_whole_when_they_are_dealt_out(spark, docs_of, dealt, monkeypatch):
+    monkeypatch.setattr(jaccard, "DEALT", dealt)
+    rng = np.random.default_rng(dealt)
+    rows = []
+    for i in range(60):  # groups of two to four short texts, which share few cells
+        w = [f"g{i}x{k}" for k in range(int(rng.integers(8, 12)))]
+        rows += [(len(rows) + j, " ".join(w + [f"own{i}y{j}"] * (j > 0))) for j in range(2 + i % 3)]
+    got = jaccard.near_duplicates(docs_of(rows).coalesce(1)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 100), st.integers(0, 100), st.integers(0, 10**6))
 def test_linked_sets_show_an_equal_cell(size, less, more, seed):
