@@ -30,7 +30,8 @@ from ledgerlight.llm.common import pieces, ship, texts_of
 
 SLOTS = 1 << 18
 SAMPLE = 12_000
-LEAST_ROWS, MOST_SHARE = 3, 0.3  # words in fewer rows, or in a larger share of them, get no weight
+LEAST_ROWS = 3  # words in fewer rows get no weight
+COMMON = 0.3  # words in a larger share of the rows take shorter steps, so that they slow no other word
 LAMBDA_SWAP = 1.0
 LAMBDA_L1 = 1e-4
 STEPS = 300
@@ -92,19 +93,22 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, twins: dict[int, np.ndarray]
         return Model(np.zeros(SLOTS, np.float32), float(np.log((share + 1e-12) / (1 - share + 1e-12))))
     n, weight = len(rows), np.where(y > 0, MISS_WEIGHT, 1.0)
     seen = np.bincount(np.concatenate(rows), minlength=SLOTS)
-    kept = (seen >= LEAST_ROWS) & (seen <= MOST_SHARE * n)
+    kept = seen >= LEAST_ROWS
     rows, twins = [r[kept[r]] for r in rows], {i: r[kept[r]] for i, r in twins.items()}
     used, flat = np.unique(np.concatenate([*rows, *twins.values()]), return_inverse=True)
     owner = np.repeat(np.arange(n + len(twins)), [len(r) for r in [*rows, *twins.values()]])
     at = np.fromiter(twins, np.int64, len(twins))
-    # a step that descends: the loss's curvature is at most its row norms / 4, by power iteration
     product = lambda w: np.bincount(owner, w[flat], n + len(twins))
     back = lambda g: np.bincount(flat, g[owner], len(used))
+    # steps that descend: the loss's curvature is at most its row norms / 4, by power iteration over scaled words
+    common = seen[used] > COMMON * n
+    scale = np.where(common, COMMON * n / np.maximum(seen[used], 1) / np.sqrt(max(1, common.sum())), 1.0)
     v = np.ones(len(used))
     for _ in range(12):
         v /= np.linalg.norm(v)
-        v = back(product(v))
-    step = 1.0 / ((0.25 * MISS_WEIGHT / n + (4 * lambda_swap / max(1, len(twins)) if twins else 0)) * (np.linalg.norm(v) + n))
+        v = np.sqrt(scale) * back(product(np.sqrt(scale) * v))
+    step_b = 1.0 / ((0.25 * MISS_WEIGHT / n + (4 * lambda_swap / max(1, len(twins)) if twins else 0)) * (np.linalg.norm(v) + n))
+    step = step_b * scale
     w, b, prior, prior_b, t = np.zeros(len(used)), float(np.log(y.mean() / (1 - y.mean()))), np.zeros(len(used)), None, 1.0
     prior_b = b
     for _ in range(steps):
@@ -122,7 +126,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, twins: dict[int, np.ndarray]
         z = u - step * back(g)
         prior, prior_b, t = w, b, t_next
         w = np.sign(z) * np.maximum(np.abs(z) - step * l1, 0)
-        b = ub - step * gb
+        b = ub - step_b * gb
     out = np.zeros(SLOTS, np.float32)
     out[used] = w
     return Model(out, float(b))

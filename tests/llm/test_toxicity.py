@@ -57,3 +57,15 @@ def test_labels_of_the_held_out_fold_teach_nothing(spark):
     turned = labels.withColumn("toxic", F.when(tox.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = tox.train(docs, labels), tox.train(docs, turned)
     assert (a.weights == b.weights).all() and a.intercept == b.intercept
+
+
+def test_copies_of_one_toxic_text_keep_their_words(spark):
+    """A third of the labelled rows are one toxic text; its words are evidence, the intercept is not."""
+    rows = corpus(800)
+    copy = "hateful rant that many sources repeat"
+    rows += [(1000 + i, copy, 1) for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    m = tox.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert m.score(copy) > 0.6
+    assert m.score("") < tox.CUTOFF and m.score("words never seen before") < tox.CUTOFF
+    assert m.score(rows[1][1]) < tox.CUTOFF and m.score(rows[1][1] + " vermin") > tox.CUTOFF
