@@ -12,7 +12,7 @@ driver gets their slot numbers, never a text. Scoring reads every text whole.
 
 Defined cases: null and empty texts have no features and get the score of the intercept;
 rows with a null label, and ids that are null, teach nothing; ids labelled twice count once if the labels agree
-and not at all if they differ; without labels of both kinds every score is the share of toxic ones (0
+and not at all if they differ; rows that repeat a doc_id teach as one; without labels of both kinds every score is the share of toxic ones (0
 without any); repeated rows each give a row; an empty table gives no rows; other columns are not read.
 """
 import re
@@ -154,8 +154,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  pa.array([None if f is None else slots(f) for f in twin], pa.list_(pa.int32()))],
                 ["doc_id", "y", "slots", "twin"])
 
-    rows = (texts_of(docs, id_col, text_col).join(F.broadcast(bounded), "doc_id")  # at most ``sample`` rows
-            .mapInArrow(features, "doc_id long, y int, slots array<int>, twin array<int>")
+    # rows that repeat an id teach as one, of the text with the smallest hash: at most ``sample`` rows
+    once = (texts_of(docs, id_col, text_col).join(F.broadcast(bounded), "doc_id")
+            .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("m"))
+            .select("doc_id", "m.text", "m.y"))
+    rows = (once.mapInArrow(features, "doc_id long, y int, slots array<int>, twin array<int>")
             .toArrow().sort_by("doc_id"))
     x = [np.asarray(r, np.int32) for r in rows.column("slots").to_pylist()]
     twins = {i: np.asarray(r, np.int32) for i, r in enumerate(rows.column("twin").to_pylist()) if r is not None}

@@ -69,3 +69,14 @@ def test_copies_of_one_toxic_text_keep_their_words(spark):
     assert m.score(copy) > 0.6
     assert m.score("") < tox.CUTOFF and m.score("words never seen before") < tox.CUTOFF
     assert m.score(rows[1][1]) < tox.CUTOFF and m.score(rows[1][1] + " vermin") > tox.CUTOFF
+
+
+def test_rows_that_repeat_an_id_teach_as_one(spark, docs_of, monkeypatch):
+    rows = [(i, t) for i, t, _ in corpus(200)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in corpus(200)], "doc_id long, toxic int")
+    seen, fit = [], tox.fit
+    monkeypatch.setattr(tox, "fit", lambda x, *a: seen.append(len(x)) or fit(x, *a))
+    again = [(8, f"other text {i % 3}") for i in range(100)]
+    a = tox.train(docs_of(rows + again), labels, sample=60)
+    b = tox.train(docs_of((rows + again)[::-1]).repartition(3), labels, sample=60)
+    assert seen == [60, 60] and (a.weights == b.weights).all() and a.intercept == b.intercept
