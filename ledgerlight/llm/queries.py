@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import (bitplanes, debruijn, decontaminate, jaccard, secrets, spm, suffix_dedup, topk, toxicity,
-                             url_filter)
+from ledgerlight.llm import (bitplanes, debruijn, decontaminate, jaccard, packing, secrets, spm, suffix_dedup, topk,
+                             toxicity, url_filter)
 from ledgerlight.llm.common import read_table
 
 
@@ -60,10 +60,14 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).drop("uid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_decontamination, op3_token_ids, op4_url_filters, op5_substring_dedup, op6_suffix_array_dedup,
-        op7_sentencepiece, op8_secret_scans, op9_exact_top_k, op10_ngram_jaccard_join)
+        op7_sentencepiece, op8_secret_scans, op9_exact_top_k, op10_ngram_jaccard_join, op11_best_fit_packing)
 }
 
 TOP_K_SQL = """
