@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import (alignment, bitplanes, debruijn, decontaminate, jaccard, packing, secrets, spm, suffix_dedup,
-                             topk, toxicity, url_filter)
+from ledgerlight.llm import (alignment, bitplanes, debruijn, decontaminate, jaccard, lexical, packing, secrets, spm,
+                             suffix_dedup, topk, toxicity, url_filter)
 from ledgerlight.llm.common import read_table
 
 
@@ -64,6 +64,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).drop("uid")
 
 
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"),
                                      _tokenizer("piece_bpe_32k.model"))
@@ -73,7 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_decontamination, op3_token_ids, op4_url_filters, op5_substring_dedup, op6_suffix_array_dedup,
         op7_sentencepiece, op8_secret_scans, op9_exact_top_k, op10_ngram_jaccard_join, op11_best_fit_packing,
-        op13_cross_tokenizer_alignment)
+        op12_ranked_lexical_search, op13_cross_tokenizer_alignment)
 }
 
 TOP_K_SQL = """
@@ -89,4 +93,5 @@ WHERE rank <= 20"""
 ORACLE_SQL: dict[str, str] = {
     "op4_url_filters": url_filter.oracle_sql(),
     "op9_exact_top_k": TOP_K_SQL,
+    "op12_ranked_lexical_search": lexical.oracle_sql(),
 }
