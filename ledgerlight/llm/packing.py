@@ -10,19 +10,20 @@ piece moves, one goes for one, two for one, or one for two. So slack gathers in
 bins empty. A shard hands its emptiest bins on (of at most HAND_ON pieces, one bin at least);
 those of FAN shards meet in the next round as they are and are searched again, until one group
 is left. All other bins are final. Every group holds a bounded number of pieces, whatever the
-input; the search of a group ends when its emptiest bin is stuck and no bin can be spared, or
-when PATIENCE sources in a row were stuck.
+input; the search of a group ends when its emptiest bin is stuck and no bin can be spared (in the
+last round: as soon as none can), or when PATIENCE sources in a row were stuck.
 
 Defined cases: null text is empty and has the end id only; rows with a null doc_id are packed
 too; rows that repeat an id or a text are documents of their own; an empty table gives no
-sequences; other columns are not read. Among
-gaining exchanges the one that leaves the smallest gap comes first, then the greater gain, then the lower bin.
+sequences; other columns are not read. Among gaining exchanges the one that leaves the
+smallest gap comes first, then the greater gain, then the lower bin.
 """
 from __future__ import annotations
 
 import bisect
 import heapq
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +31,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.bitplanes import encode_texts
+from ledgerlight.llm.bitplanes import COARSE, UNIT
 from ledgerlight.llm.common import by_bytes, pieces, store, texts_of
+from ledgerlight.llm.memo import ByteLevel, UnitMemo
 
 CAPACITY = 2048
 END_ID = 0
 SHARD = 8192
 FAN = 64
-HAND_ON = 1024
+HAND_ON = 128
 PATIENCE = 64
+MOST_UNITS = 900_000  # remembered by a worker
 
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -51,21 +54,30 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((i, i + capacity) for i in range(first, n, capacity))]
 
 
+@cache
+def _memo(tokenizer_path: str) -> UnitMemo:
+    return UnitMemo(ByteLevel(tokenizer_path, special_as_text=False).encode, MOST_UNITS)
+
+
 def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
                   text_col: str = "text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(uid, doc_id, piece, start, length, ids_crc32[, ids]): the pieces of every text, written
     to the shared folder. ``uid`` names the row of the input."""
     texts = texts_of(docs, id_col, text_col)
-    end = np.array([end_id], "<u4")
+    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
+        memo = _memo(tokenizer_path)
         uid = TaskContext.get().partitionId() << 40
         for b in (x for y in by_bytes(batches, "text", 2_000_000) for x in pieces([y])):
             cols: list[list] = [[], [], [], [], [], [], []]
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encode_texts(b.column("text").to_pylist(), tokenizer_path)):
-                ids = np.concatenate([ids, end])
-                for k, (i, j) in enumerate(cuts(len(ids), capacity)):
-                    row = (uid, doc_id, k, i, j - i, zlib.crc32(ids[i:j].tobytes()), ids[i:j])
+            # a text with what may be a special token falls into units at white space only
+            units = [(COARSE if "<|" in t else UNIT).findall(t) for t in b.column("text").to_pylist()]
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), memo.ids(units)):
+                ids += end
+                for k, (i, j) in enumerate(cuts(len(ids) // 4, capacity)):
+                    raw = ids[4 * i: 4 * j]
+                    row = (uid, doc_id, k, i, j - i, zlib.crc32(raw), raw)
                     for c, x in zip(cols, row):
                         c.append(x)
                 uid += 1
@@ -73,7 +85,7 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
             arrays = [pa.array(c, t) for c, t in zip(cols, types)]
             names = ["uid", "doc_id", "piece", "start", "length", "ids_crc32"]
             if with_ids:
-                flat = np.concatenate(cols[6]) if cols[6] else np.zeros(0, np.uint32)
+                flat = np.frombuffer(b"".join(cols[6]), "<u4")
                 edges = np.concatenate([[0], np.cumsum(cols[4])])
                 arrays.append(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat.astype(np.int32))))
                 names.append("ids")
@@ -209,14 +221,20 @@ class Search:
                 break
         return self.moves > before
 
-    def run(self, patience: int = PATIENCE) -> np.ndarray:
-        """The bin of every piece when no bin can be spared or ``patience`` sources were stuck."""
+    def _slack(self) -> int:
+        return sum(self.capacity - x for x in self.fill.values())
+
+    def run(self, patience: int = PATIENCE, to_spare: bool = False) -> np.ndarray:
+        """The bin of every piece when the emptiest bin is stuck and no bin can be spared, or when
+        ``patience`` sources in a row were stuck. ``to_spare``: as soon as no bin can be spared."""
         queue, stuck = [(f, b) for b, f in self.fill.items()], 0
         heapq.heapify(queue)
         while queue and stuck < patience and len(self.fill) > 1:
             f, b = heapq.heappop(queue)
             if self.fill.get(b) != f:
                 continue  # changed since, or gone
+            if to_spare and self._slack() < self.capacity:
+                break
             before = dict(self.fill) if len(self.fill) <= patience else None
             if self._drain(b):
                 stuck = 0
@@ -228,17 +246,18 @@ class Search:
                             heapq.heappush(queue, (fill, x))
                 continue
             stuck += 1
-            if sum(self.capacity - x for x in self.fill.values()) < self.capacity:
+            if self._slack() < self.capacity:
                 break  # as few bins as these tokens need
         return self.bins
 
 
-def pack_group(sizes: np.ndarray, bins: np.ndarray | None, capacity: int = CAPACITY, patience: int = PATIENCE) -> np.ndarray:
+def pack_group(sizes: np.ndarray, bins: np.ndarray | None, capacity: int = CAPACITY, patience: int = PATIENCE,
+               to_spare: bool = False) -> np.ndarray:
     """Bins 0, 1, ... of the pieces of a group; ``bins``: the packing to start from."""
     if not len(sizes):
         return np.zeros(0, np.int64)
     start = best_fit(sizes, capacity) if bins is None else np.unique(bins, return_inverse=True)[1]
-    return np.unique(Search(sizes, start, capacity).run(patience), return_inverse=True)[1]
+    return np.unique(Search(sizes, start, capacity).run(patience, to_spare), return_inverse=True)[1]
 
 
 # --- all groups
@@ -250,7 +269,7 @@ def _groups(rows: DataFrame, level: int, capacity: int, last: bool, hand_on: int
         table = table.select([f.name for f in schema]).sort_by([("doc_id", "ascending"), ("uid", "ascending"), ("piece", "ascending")])
         size = table.column("length").to_numpy().astype(np.int64)
         old = None if level == 0 else table.column("bin").to_numpy()
-        at = pack_group(size, old, capacity)
+        at = pack_group(size, old, capacity, to_spare=last and level > 0)
         order = np.argsort(at, kind="stable")
         fill, count = np.bincount(at, size).astype(np.int64), np.bincount(at)
         run_ = np.cumsum(size[order]) - size[order]
