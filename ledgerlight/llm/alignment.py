@@ -23,9 +23,9 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from functools import cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.llm.bitplanes import UNIT
 from ledgerlight.llm.common import by_bytes, pieces, ship, store, texts_of
+from ledgerlight.llm.memo import ByteLevel, UnitMemo
 
 MOST_UNITS = 400_000  # remembered by a worker, for each side
 BATCH_BYTES = 1_000_000
@@ -43,54 +44,35 @@ _UNIT_B = re.compile(" +[^ ]*")
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
 
-def byte_of_char() -> dict[str, int]:
-    """Byte-level vocabularies write printable Latin-1 bytes as themselves and the others as the
-    characters from U+0100 on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
-
-
 class Side:
-    """One tokenizer: ids of units, and the bytes of its ids."""
+    """One tokenizer: ids of texts, and the bytes of its ids."""
 
     def __init__(self, spelled: list[bytes], units: re.Pattern, encode):
         self.spelled, self._units, self._encode = spelled, units, encode
         self.length = np.array([len(x) for x in spelled], np.int64)
-        self._memo: dict[str, bytes | None] = {}
+        self._memo = UnitMemo(self._checked, MOST_UNITS)
+
+    def _checked(self, units: list[str]) -> list[bytes | None]:
+        """Ids of units; None where they don't spell the unit."""
+        ids, raw = list(self._encode(units)), [u.encode() for u in units]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.cumsum(self.length[flat])[np.cumsum([len(x) // 4 for x in ids]) - 1] if all(ids) else None
+        spell = self.spelled.__getitem__
+        if size is not None and (size == np.cumsum([len(x) for x in raw])).all() and (
+                b"".join(map(spell, flat.tolist())) == b"".join(raw)):
+            return ids
+        return [x if b"".join(map(spell, np.frombuffer(x, "<u4").tolist())) == r else None for x, r in zip(ids, raw)]
 
     def ids(self, texts: list[str]) -> list[np.ndarray | None]:
         """Ids of each text (with its leading space); None where they don't spell it."""
-        if len(self._memo) > MOST_UNITS:
-            self._memo = {}
-        memo = self._memo
-        found = [self._units.findall(t) for t in texts]
-        new = list({u for units in found for u in units if u not in memo})
-        for i in range(0, len(new), 4096):
-            part = new[i: i + 4096]
-            for u, ids in zip(part, self._encode(part)):
-                whole = b"".join([self.spelled[k] for k in ids]) == u.encode("utf-8", "surrogatepass")
-                memo[u] = np.array(ids, "<u4").tobytes() if whole else None
-        out = []
-        for units in found:
-            parts = [memo[u] for u in units]
-            out.append(None if None in parts else np.frombuffer(b"".join(parts), "<u4"))
-        return out
+        return [None if x is None else np.frombuffer(x, "<u4")
+                for x in self._memo.ids([self._units.findall(t) for t in texts])]
 
 
 @cache
 def side_a(path: str) -> Side:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    at = byte_of_char()
-    spelled = []
-    for k in range(tok.get_vocab_size()):
-        s = tok.id_to_token(k) or ""
-        spelled.append(bytes(at[c] for c in s) if all(c in at for c in s) else s.encode())
-    return Side(spelled, UNIT, lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)])
+    tok = ByteLevel(path, special_as_text=True)
+    return Side(tok.spelled, UNIT, tok.encode)
 
 
 @cache
@@ -106,7 +88,9 @@ def side_b(path: str) -> Side:
 
     def encode(units):
         # the leading space of a unit is the one that the model puts there; of an empty text it makes none
-        return [ids if u != " " else [alone] for u, ids in zip(units, m.encode([u[1:] for u in units], num_threads=1))]
+        found = [ids if u != " " else [alone] for u, ids in zip(units, m.encode([u[1:] for u in units], num_threads=1))]
+        raw, edges = np.array(list(chain.from_iterable(found)), "<u4").tobytes(), list(accumulate([4 * len(x) for x in found]))
+        return [raw[i:j] for i, j in zip([0, *edges], edges)]
 
     return Side(spelled, _UNIT_B, encode)
 

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerlight.llm import alignment
+from ledgerlight.llm.memo import ByteLevel, byte_of_char
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 TOK = Tokenizer.from_file(A)
@@ -22,7 +24,7 @@ def tokens(text):
     want = (" " + text).encode() if text else b""
     if not text:
         return [], [], [], []
-    at = alignment.byte_of_char()
+    at = byte_of_char()
     a = TOK.encode(" " + text, add_special_tokens=False).ids
     b = SPM.encode(text)
     bytes_a = [bytes(at[c] for c in TOK.id_to_token(k)) for k in a]
@@ -81,6 +83,16 @@ def test_units_change_no_ids(text):
         assert got_a is None or got_b is None
 
 
+TOGETHER = ByteLevel(A, True)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab'sT1.é日\u0301<|\x1c\x85 "), max_size=6).map(lambda s: " " + s), max_size=40))
+def test_units_encoded_together(units):
+    assert [np.frombuffer(x, "<u4").tolist() for x in TOGETHER.encode(units)] == [
+        TOK.encode(u, add_special_tokens=False).ids for u in units]
+
+
 def columns(r):
     return (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256)
 
