@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 
@@ -26,7 +27,7 @@ class UnitMemo:
         """The ids of each text, given as its units; None if a unit has none."""
         if len(self._ids) > self._most:
             self._ids, self._bad = {}, set()
-        flat = [u for units in texts for u in units]
+        flat = list(chain.from_iterable(texts))
         found = list(map(self._ids.get, flat))
         missing = [k for k, x in enumerate(found) if x is None]
         if missing:

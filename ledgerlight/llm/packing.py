@@ -38,8 +38,8 @@ from ledgerlight.llm.memo import ByteLevel, UnitMemo
 CAPACITY = 2048
 END_ID = 0
 SHARD = 8192
-FAN = 64
-HAND_ON = 128
+FAN = 256
+HAND_ON = 32
 PATIENCE = 64
 MOST_UNITS = 900_000  # remembered by a worker
 
