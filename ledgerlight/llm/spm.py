@@ -250,8 +250,13 @@ class Encoder:
                     best[n + b], last[n + b] = best[n + b - k] + p[1], k
         return best, last
 
-    def transfer(self, chunk: str, left: str, ahead: str) -> np.ndarray:
-        """T[state in, state out] of one chunk."""
+    def middle(self, chunk: str, left: str, ahead: str) -> np.ndarray:
+        """Ids between the first and the last forced cut of a chunk: those of every path."""
+        first, last_cut, _ = self.edges(chunk, left, ahead)
+        return np.array([], "<u4") if first is None else self.units(chunk[first:last_cut])
+
+    def transfer(self, chunk: str, left: str, ahead: str, ids: np.ndarray | None = None) -> np.ndarray:
+        """T[state in, state out] of one chunk; ``ids``: those of its middle, if known."""
         w, n = self.vocab.width, len(chunk)
         out = np.full((w, w), NONE)
         first, last_cut, reach = self.edges(chunk, left, ahead)
@@ -265,7 +270,7 @@ class Encoder:
         head = np.full(w, NONE)
         for a in range(min(w - 1, first) + 1):
             head[a] = self.vocab.forward(chunk[:first], a)[0][first]
-        middle = self.score(self.units(chunk[first:last_cut]))
+        middle = self.score(self.units(chunk[first:last_cut]) if ids is None else ids)
         tail = np.full(w, NONE)
         s = chunk[last_cut:] + ahead
         if last_cut == n:
@@ -281,8 +286,8 @@ class Encoder:
     def score(self, ids: np.ndarray) -> float:
         return float(self.vocab.score_of[ids].sum())
 
-    def between(self, chunk: str, left: str, ahead: str, a: int, b: int) -> np.ndarray:
-        """Ids of a chunk from boundary state ``a`` to boundary state ``b``."""
+    def between(self, chunk: str, left: str, ahead: str, a: int, b: int, middle: np.ndarray | None = None) -> np.ndarray:
+        """Ids of a chunk from boundary state ``a`` to boundary state ``b``; ``middle``: as ``transfer``'s ids."""
         n, v = len(chunk), self.vocab
         if a >= n:
             return np.array([], "<u4")
@@ -293,7 +298,8 @@ class Encoder:
             return np.array(v.trace(whole, last, a, n + b), "<u4")
         _, last = v.forward(chunk[:first], a)
         ids = v.trace(chunk, last, a, first)
-        middle = self.units(chunk[first:last_cut])
+        if middle is None:
+            middle = self.units(chunk[first:last_cut])
         rest = []
         if last_cut < n:
             s = whole[last_cut:]
@@ -381,8 +387,11 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         enc = encoder(model_path)
         for b in pieces(batches, 64):
             rows = b.to_pylist()
-            m = [enc.transfer(r["text"], r["lead"], r["ahead"]).astype("<f8").tobytes() for r in rows]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(m, pa.binary())], [*b.schema.names, "matrix"])
+            ids = [enc.middle(r["text"], r["lead"], r["ahead"]) for r in rows]
+            m = [enc.transfer(r["text"], r["lead"], r["ahead"], x).astype("<f8").tobytes() for r, x in zip(rows, ids)]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array(m, pa.binary())],
+                [*b.schema.names, "middle", "matrix"])
 
     def states(table):
         t = table.sort_by("chunk")
@@ -395,7 +404,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         enc = encoder(model_path)
         for b in pieces(batches, 64):
             rows = b.to_pylist()
-            ids = [enc.between(r["text"], r["lead"], r["ahead"], r["state_in"], r["state_out"]) for r in rows]
+            ids = [enc.between(r["text"], r["lead"], r["ahead"], r["state_in"], r["state_out"], np.frombuffer(r["middle"], "<u4"))
+                   for r in rows]
             same = [enc.vocab.decode(x.tolist()) == (r["text"] + r["ahead"])[r["state_in"]: len(r["text"]) + r["state_out"]].encode()
                     for x, r in zip(ids, rows)]
             yield _rows(b.column("uid"), b.column("doc_id"), b.column("chunk"), ids, same)
@@ -404,7 +414,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     chunks = (large.withColumn("uid", F.monotonically_increasing_id())
               .mapInArrow(cut, "uid long, doc_id long, chunk int, lead string, text string, ahead string"))
     weighed = store(chunks.repartition(n, "uid", "chunk").mapInArrow(
-        weigh, "uid long, doc_id long, chunk int, lead string, text string, ahead string, matrix binary"), "spm-chunks")
+        weigh, "uid long, doc_id long, chunk int, lead string, text string, ahead string, middle binary, matrix binary"),
+        "spm-chunks")
     # a matrix is a few kilobytes for each CHUNK characters of one document
     path = weighed.select("uid", "chunk", "matrix").groupBy("uid").applyInArrow(
         states, "uid long, chunk int, state_in int, state_out int")
@@ -413,7 +424,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
 
 
 def digest(encoded: DataFrame) -> DataFrame:
-    """One row per document: (doc_id, n_tokens, ids_crc32, round_trip)."""
+    """One row per document: (doc_id, n_tokens, ids_crc32, round_trip). The ids are those of the
+    best path, which need not be the vocabulary file's own merges."""
 
     @F.pandas_udf("long")
     def crc(ids):
@@ -423,7 +435,8 @@ def digest(encoded: DataFrame) -> DataFrame:
     def whole(parts):
         return parts.map(lambda p: crc_of_parts([(x["crc"], 4 * x["n_tokens"]) for x in p]))
 
-    rows = encoded.select("uid", "doc_id", "chunk", "n_tokens", crc("ids").alias("crc"), "round_trip")
+    # written once: both kinds of documents are read from it, so that no text is encoded twice
+    rows = store(encoded.select("uid", "doc_id", "chunk", "n_tokens", crc("ids").alias("crc"), "round_trip"), "spm-digest")
     long_ = (rows.where(F.col("uid").isNotNull()).groupBy("uid")
              .agg(F.first("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
                   F.array_sort(F.collect_list(F.struct("chunk", "n_tokens", "crc"))).alias("parts"),

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -80,5 +82,22 @@ def test_documents(spark, docs_of, chunk):
     assert sorted(((r.doc_id, r.text) for r in back), key=key) == sorted(((i, t or "") for i, t in rows), key=key)
 
 
+def test_query_gives_the_ids_of_the_best_path(spark, docs_of):
+    """Whole texts by one forward pass against the registered path, with texts of several chunks of
+    the production size."""
+    rows = [(1, "Hello  world\nof pieces"), (2, None), (3, "wörter und ▁ mehr " * 2500), (3, "x" * 40_000), (None, "a  b " * 4000)]
+
+    def ids(text):
+        if not text:
+            return np.array([], "<u4")
+        s = " " + text
+        _, last = ENC.vocab.forward(s)
+        return np.array(ENC.vocab.trace(s, last, 0, len(s)), "<u4")
+
+    want = [(i, len(x), zlib.crc32(x.tobytes()), True) for i, x in ((i, ids(t)) for i, t in rows)]
+    got = [tuple(r) for r in spm.digest(spm.encode_documents(docs_of(rows), PATH)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_empty_table(docs_of):
     assert spm.digest(spm.encode_documents(docs_of([]), PATH)).collect() == []
