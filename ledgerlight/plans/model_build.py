@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from ledgerlight.plans import access, enriched, query_cost, rates, spend, warehouses
 from ledgerlight.session import hadoop, remove_path
 from ledgerlight.sources.staging import Staged, first_query
-from ledgerlight.streaming.incremental import (MOST_RUN_DAYS, partition_dates, path_exists, read_target, replace_dates,
-                                               run_incremental)
+from ledgerlight.streaming import partition_stats
+from ledgerlight.streaming.incremental import (partition_dates, path_exists, read_target, replace_dates, run_incremental,
+                                               statistics)
 
 PART = "_date"  # date partition column of incremental tables, derived from a key column
 
@@ -79,12 +80,16 @@ class ModelBuild:
         remove_path(self.spark, old)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _stats(self, name: str) -> partition_stats.Stats:
+        return statistics(self.spark, self.path(name), PART, "start_time", "end_time")
+
     def _window(self, name: str, since: dt.datetime | None) -> DataFrame:
-        """Rows of a written table that ended after ``since``: of the date partitions that can hold them."""
+        """Rows of a written table that ended after ``since``, from the partitions that hold some,
+        however long ago they started."""
         df = self.read(name)
         if since is not None:
-            first = since.date() - dt.timedelta(days=MOST_RUN_DAYS)
-            df = df.where((F.col(PART) >= F.lit(first)) & (F.col("end_time") > F.lit(since)))
+            dates = partition_stats.ending_after(self._stats(name), since)
+            df = df.where(partition_stats.in_dates(PART, dates) & (F.col("end_time") > F.lit(since)))
         return df.drop(PART)
 
     def _access_log(self, full_refresh: bool) -> dt.datetime | None:
@@ -97,7 +102,8 @@ class ModelBuild:
             return None
         days = self.lookback_days.get("stg_access_history", ACCESS_LOOKBACK_DAYS)
         since = dt.datetime.combine((dates[-1] - dt.timedelta(days=int(days))).replace(day=1), dt.time())
-        replace_dates(self.spark, path, log.where(F.col("query_start_time") >= F.lit(since)), PART, ["query_start_time"])
+        replace_dates(self.spark, path, log.where(F.col("query_start_time") >= F.lit(since)), PART, ["query_start_time"],
+                      since.date())
         return since
 
     def _incremental(self, name: str, build, full_refresh: bool) -> dt.datetime | None:
@@ -109,18 +115,21 @@ class ModelBuild:
 
         return run_incremental(self.spark, self.path(name), with_part, list(spec.keys), spec.ts,
                                self.lookback_days.get(name, spec.lookback_days), PART, full_refresh,
-                               cluster_by=[spec.part_from])
+                               cluster_by=[spec.part_from], start=spec.part_from)
 
     @staticmethod
     def _after(df: DataFrame, col: str, since: dt.datetime | None) -> DataFrame:
         return df if since is None else df.where(F.col(col) > F.lit(since))
 
     def _costed(self, tables: dict[str, DataFrame], since: dt.datetime | None) -> Staged:
-        """The staged tables, of the query log only the dates whose queries share an hour with one
-        that ended after ``since``: those ran at most MOST_RUN_DAYS, and so did their neighbours."""
+        """The staged tables, of the query log only the partitions with queries that can share an
+        hour with one that ended after ``since``: those that ended after the earliest start there."""
         if since is not None:
-            first = since.date() - dt.timedelta(days=2 * MOST_RUN_DAYS + 1)
-            log = self.read("stg_query_history").where(F.col(PART) >= F.lit(first)).drop(PART)
+            stats = self._stats("stg_query_history")
+            first = partition_stats.earliest_start(stats, partition_stats.ending_after(stats, since)) or since
+            first = min(first, since).replace(minute=0, second=0, microsecond=0)
+            log = self.read("stg_query_history").where(
+                partition_stats.in_dates(PART, partition_stats.ending_after(stats, first))).drop(PART)
             tables = tables | {"query_history": log}
         return Staged(tables, deduplicated=True)
 

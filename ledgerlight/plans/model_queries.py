@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from oracle import models as M
 from ledgerlight.plans.registry import Context, register
@@ -59,7 +60,6 @@ def daily_spend(ctx: Context) -> DataFrame:
     ["spend"])
 def monthly_spend(ctx: Context) -> DataFrame:
     """Spend per service in the first month of the data (end-to-end check shape)."""
-    from pyspark.sql import functions as F
     from ledgerlight.plans.spend import daily_spend as build, monthly_spend as month_of
     first_month = ctx.tb.ev().agg(F.trunc(F.min("day"), "month")).scalar()
     return month_of(build(_hourly(ctx)), first_month)
@@ -123,13 +123,63 @@ def warehouses_type2_dimension(ctx: Context) -> DataFrame:
 def cost_per_query_incremental(ctx: Context) -> DataFrame:
     """An incremental run: queries ending in the last 3 days of the log, recomputed from
     whole hours so they equal the full run (look-back boundary fixed)."""
-    from pyspark.sql import functions as F
     from ledgerlight.plans.query_cost import cost_per_query as build, filtered_queries
     since = F.timestamp_add("DAY", F.lit(-LOOKBACK_DAYS),
                             filtered_queries(ctx.st).agg(F.max("end_time")).scalar())
     return build(ctx.st, ctx.daily_rates(), since=since)
 
 
+@register("cost_per_query_upsert",
+          M.model_sql("SELECT * FROM cost_per_query", M.DAILY_RATES, M.COST_PER_QUERY), _CPQ_DOUBLES)
+def cost_per_query_upsert(ctx: Context) -> DataFrame:
+    """The cost table built from what had arrived three days before the end (without failed
+    queries, which all come late), then upserted by what the later rows touch: equal to a full run."""
+    from ledgerlight.plans.cost_by_change import Changes, cost_of_changes
+    from ledgerlight.plans.query_cost import cost_per_query as build
+    from ledgerlight.session import shared_folder
+    from ledgerlight.sources.staging import Staged
+    from ledgerlight.streaming.incremental import read_target, upsert
+    log, metering = ctx.st.query_history(), ctx.st.metering_history()
+    warehouses = ctx.st.warehouse_metering_history()
+    cut = F.timestamp_add("DAY", F.lit(-LOOKBACK_DAYS), warehouses.agg(F.max("end_time")).scalar())
+    late = (F.col("execution_status") != "SUCCESS") | (F.col("end_time") > cut)
+    before = Staged({"query_history": log.where(~late), "metering_history": metering.where(F.col("end_time") <= cut),
+                     "warehouse_metering_history": warehouses.where(F.col("end_time") <= cut)}, deduplicated=True)
+    after = Staged({"query_history": log, "metering_history": metering, "warehouse_metering_history": warehouses},
+                   deduplicated=True)
+    dated = lambda df: df.withColumn("_date", F.to_date("start_time"))
+    path, keys, span = shared_folder(ctx.spark, "cost-upsert"), ["query_id", "start_time"], ("start_time", "end_time")
+    upsert(ctx.spark, path, dated(build(before, ctx.daily_rates())), keys, "_date", span=span)
+    old_stop = before.warehouse_metering_history().agg(F.max("end_time")).scalar()
+    rows, affected = cost_of_changes(after, ctx.daily_rates(), Changes(
+        log.where(late), metering.where(F.col("end_time") > cut), old_stop))
+    gone = dated(log.join(affected, "query_id", "left_semi"))
+    upsert(ctx.spark, path, dated(rows), keys, "_date", span=span, remove=gone)
+    return read_target(ctx.spark, path).drop("_date")
+
+
+@register("cost_per_query_schema_change",
+          M.model_sql("SELECT query_id, start_time, query_credits, CASE WHEN end_time > (SELECT max(end_time) - INTERVAL 3 DAY "
+                      "FROM done) THEN currency END AS currency FROM cost_per_query", M.DAILY_RATES, M.COST_PER_QUERY),
+          ["query_credits"])
+def cost_per_query_schema_change(ctx: Context) -> DataFrame:
+    """An incremental table whose source gains a column between two runs: a first run from an empty
+    target, a later one over the look-back window; rows not written again have null there."""
+    from ledgerlight.session import shared_folder
+    from ledgerlight.streaming.incremental import read_target, run_incremental
+    cost = ctx.cost_per_query().withColumn("_date", F.to_date("start_time"))
+    path = shared_folder(ctx.spark, "cost-schema")
+
+    def build(columns):
+        return lambda since: (cost if since is None else cost.where(F.col("end_time") > F.lit(since))).select(*columns)
+
+    first = ["query_id", "start_time", "end_time", "query_credits", "_date"]
+    for columns in (first, [*first, "currency"]):
+        run_incremental(ctx.spark, path, build(columns), ["query_id", "start_time"], "end_time", LOOKBACK_DAYS, "_date",
+                        start="start_time")
+    return read_target(ctx.spark, path).select("query_id", "start_time", "query_credits", "currency")
+
+
 @register("check_no_queries_dropped",
           M.model_sql(M.CHECK_NO_QUERIES_DROPPED, M.DAILY_RATES, M.COST_PER_QUERY, M.ENRICHED))
 def check_no_queries_dropped(ctx: Context) -> DataFrame:
@@ -151,7 +201,6 @@ def check_unique_daily_rates(ctx: Context) -> DataFrame:
           M.model_sql(M.CHECK_COST_KEYS, M.DAILY_RATES, M.COST_PER_QUERY))
 def check_cost_per_query_keys(ctx: Context) -> DataFrame:
     """Query ids of the cost table that repeat or are null (unique + not-null test)."""
-    from pyspark.sql import functions as F
     from ledgerlight.operators.checks import duplicates, nulls
     cost = ctx.cost_per_query()
     dup = duplicates(cost, ["query_id"])
@@ -200,23 +249,27 @@ def dbt_queries_linked(ctx: Context) -> DataFrame:
         "query_id", "dbt_cloud_job_url", "dbt_cloud_run_url")
 
 
-@register("access_history_incremental", M.ACCESS_LINES + "SELECT query_id, query_start_time, user_name FROM lines")
+@register("access_history_incremental", M.ACCESS_LOG)
 def access_history_incremental(ctx: Context) -> DataFrame:
-    """The access log built up to a day, then brought up to date by replacing its last dates:
-    every record, as often as it was delivered."""
+    """The access log, stored by month as the model build does, built up to a day and then brought up
+    to date by replacing its last months: every record, as often as it was delivered, all columns."""
     import datetime as dt
-    import uuid
 
-    from pyspark.sql import functions as F
-    from ledgerlight.session import checkpoint_dir
+    from ledgerlight.session import shared_folder
     from ledgerlight.streaming.incremental import partition_dates, read_target, replace_dates
-    log = ctx.st.access_history().withColumn("_date", F.to_date("query_start_time"))
-    path = f"{checkpoint_dir(ctx.spark).rstrip('/')}/access-{uuid.uuid4().hex}"
-    last = log.agg(F.max("_date")).first()[0]
-    if last is None:
-        return log.select("query_id", "query_start_time", "user_name")
-    replace_dates(ctx.spark, path, log.where(F.col("_date") <= F.lit(last - dt.timedelta(days=200))), "_date")
-    dates = partition_dates(ctx.spark, path, "_date")
-    since = dates[-1] - dt.timedelta(days=1) if dates else dt.date.min
-    replace_dates(ctx.spark, path, log.where(F.col("_date") >= F.lit(since)), "_date")
-    return read_target(ctx.spark, path).select("query_id", "query_start_time", "user_name")
+    log = ctx.st.access_history().withColumn("_date", F.trunc("query_start_time", "month"))
+    path = shared_folder(ctx.spark, "access")
+    last = log.agg(F.max("query_start_time")).first()[0]
+    if last is not None:
+        replace_dates(ctx.spark, path, log.where(F.col("query_start_time") <= F.lit(last - dt.timedelta(days=200))), "_date",
+                      ["query_start_time"])
+        dates = partition_dates(ctx.spark, path, "_date")
+        since = (dates[-1] - dt.timedelta(days=1)).replace(day=1) if dates else dt.date(1970, 1, 1)
+        replace_dates(ctx.spark, path, log.where(F.col("query_start_time") >= F.lit(since).cast("timestamp")), "_date",
+                      ["query_start_time"], since)
+        log = read_target(ctx.spark, path)
+    text = lambda c: F.array_join(F.transform(c, lambda o: F.concat_ws(
+        ":", F.coalesce(o["objectId"].cast("string"), F.lit("-")), F.coalesce(o["objectName"], F.lit("-")), o["objectDomain"],
+        F.array_join(F.transform(o["columns"], lambda x: x["columnName"]), ",", "-"))), ";")
+    return log.select("query_id", "parent_query_id", "root_query_id", "query_start_time", "user_name",
+                      *[text(c).alias(c) for c in ("direct_objects_accessed", "base_objects_accessed", "objects_modified")])

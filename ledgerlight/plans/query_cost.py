@@ -69,8 +69,10 @@ def credits_billed_hourly(st: Staged) -> DataFrame:
 
 def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
                    grid: tuple[Column, Column] | None = None,
-                   max_slices_per_hour: int | None = MAX_SLICES_PER_WAREHOUSE_HOUR) -> DataFrame:
-    """Cost of every query; with ``since``, only queries ending after it.
+                   max_slices_per_hour: int | None = MAX_SLICES_PER_WAREHOUSE_HOUR,
+                   only: DataFrame | None = None) -> DataFrame:
+    """Cost of every query; with ``since``, only queries ending after it; with ``only`` (a table
+    of distinct query ids), those queries, from all slices of the hours that they ran in.
 
     Incremental runs are exact (fix for S18): hour totals need every query with a slice
     in the hours the new queries touch, so the slicing input reaches back to the
@@ -91,6 +93,9 @@ def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
     slices = slice_intervals(queries.where(F.col("ran_on_warehouse")), end="end_time",
                              anchor="execution_start_time", grid=grid,
                              clip=clip).withColumnRenamed("hour_start", "hour")
+    if only is not None:
+        shared = slices.join(only, "query_id", "left_semi").select("warehouse_id", "hour").distinct()
+        slices = slices.join(shared, ["warehouse_id", "hour"], "left_semi")
     # K5 + K6: share each hour's bill by run time and by accelerated bytes
     cost = allocate(
         slices, billed.select("hour", "warehouse_id", "credits_used_compute",
@@ -106,6 +111,9 @@ def cost_per_query(st: Staged, rates: DataFrame, since: Column | None = None,
                  "allocated_query_acceleration_credits_in_hour": (
                      "credits_used_query_acceleration",
                      "fraction_of_total_query_acceleration_bytes_scanned_in_hour")})
+    if only is not None:
+        cost = cost.join(only, "query_id", "left_semi")
+        queries = queries.join(only, "query_id", "left_semi")
     compute_rate = rate_slice(rates, "WAREHOUSE_METERING", "compute", prefix="c_")
     cost = cost.join(compute_rate, F.to_date("start_time") == F.col("c_rate_date"), "inner")
     cost = cost.withColumns({

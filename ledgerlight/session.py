@@ -108,6 +108,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(os.environ.get("LEDGERLIGHT_PARTITIONS", spark.sparkContext.defaultParallelism))
 

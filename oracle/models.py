@@ -439,6 +439,18 @@ direct_objects AS (
 TABLE_ACCESS = ("SELECT _unique_id, query_id, query_start_time, user_name, object_name AS full_table_name, "
                 "table_id, columns_accessed FROM {src} WHERE object_domain = 'Table' AND table_id IS NOT NULL")
 
+# The whole log, arrays as text: objects parted by semicolons, a missing id, name or column as a dash
+ACCESS_LOG = ACCESS_LINES + """
+SELECT query_id, NULL::VARCHAR AS parent_query_id, NULL::VARCHAR AS root_query_id, query_start_time, user_name,
+  supplier || ':l_quantity,' || CASE WHEN l_discount > 0.05 THEN 'l_discount' ELSE '-' END || ',line_' || l_linenumber || ';'
+  || supplier || ':l_quantity,l_shipdate' AS direct_objects_accessed,
+  l_partkey || ':' || CASE WHEN l_tax > 0.07 THEN '-' ELSE 'PART_' || l_partkey END || ':Table:'
+  || CASE WHEN l_quantity < 5 THEN '' ELSE 'l_extendedprice,l_shipdate' END || ';' || l_suppkey || ':SUPPLIER_' || l_suppkey
+  || ':Table' AS base_objects_accessed,
+  NULL::VARCHAR AS objects_modified
+FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN '-' ELSE l_suppkey::VARCHAR END || ':SUPPLIER_' || l_suppkey || ':'
+  || CASE WHEN l_linestatus = 'O' THEN 'Table' ELSE 'View' END AS supplier FROM lines) AS x"""
+
 # Gaps and islands: rows numbered over the warehouse and over each of its states; a state's run
 # has one difference. A null name starts no period, but parts two runs of the same state.
 WAREHOUSES = """,

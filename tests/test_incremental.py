@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from ledgerlight.plans.canonical import canonical
 from ledgerlight.plans.query_cost import cost_per_query
 from ledgerlight.plans.registry import Context
-from ledgerlight.streaming.incremental import (newest, partition_dates, read_target, replace_dates, run_incremental,
-                                                upsert, watermark)
+from ledgerlight.streaming import partition_stats as ps
+from ledgerlight.streaming.incremental import (partition_dates, read_target, replace_dates, run_incremental, statistics,
+                                                touched_partitions, upsert, watermark)
 from tests.conftest import SF_SMALL
 
 
@@ -77,7 +78,9 @@ def test_replaced_dates_keep_every_record(spark, tmp_path):
     replace_dates(spark, path, spark.createDataFrame(again, schema), "d")
     assert sorted(r.query_id for r in read_target(spark, path).collect()) == ["late", "q1", "q2", "q2", "q3", "q3", "q4"]
     assert [d.day for d in partition_dates(spark, path, "d")] == [1, 2, 3, 4]
-    assert newest(spark, path, "d", days=1).count() == 3
+    # a date that has lost all its rows in the source leaves the table
+    replace_dates(spark, path, spark.createDataFrame([row("q4", 4)], schema), "d", since=dt.date(2024, 1, 3))
+    assert [d.day for d in partition_dates(spark, path, "d")] == [1, 2, 4]
 
 
 def test_an_upsert_builds_its_rows_once_and_reads_touched_dates(spark, tmp_path, capsys):
@@ -109,3 +112,45 @@ def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
     files = [f for f in os.listdir(os.path.join(path, "date=2024-01-01")) if f.endswith(".parquet")]
     assert len(files) > 1
     assert read_target(spark, path).count() == 4000
+
+
+def test_statistics_follow_every_write(spark, tmp_path):
+    path = str(tmp_path / "stats")
+    schema = "k string, s timestamp, e timestamp, d date"
+    row = lambda k, day, hours: (k, dt.datetime(2024, 1, day), dt.datetime(2024, 1, day) + dt.timedelta(hours=hours),
+                                 dt.date(2024, 1, day))
+    span = ("s", "e")
+    upsert(spark, path, spark.createDataFrame([row("a", 1, 1), row("b", 2, 3)], schema), ["k", "s"], "d", span=span)
+    upsert(spark, path, spark.createDataFrame([row("long", 1, 480), row("c", 3, 1)], schema), ["k", "s"], "d", span=span)
+    stats = statistics(spark, path, "d", *span)
+    assert stats == ps.compute(read_target(spark, path), "d", *span) and len(stats) == 3
+    # the partition of a query that ran for 20 days is read, whatever its start
+    assert ps.ending_after(stats, dt.datetime(2024, 1, 15)) == [dt.date(2024, 1, 1)]
+    assert ps.latest_end(stats) == dt.datetime(2024, 1, 21)
+    assert sorted(ps.meeting(stats, [dt.date(2024, 1, 2)])) == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    # keys that leave, and a partition that loses all its rows
+    gone = spark.createDataFrame([row("long", 1, 0), row("c", 3, 0)], schema)
+    upsert(spark, path, spark.createDataFrame([row("n", 2, 1)], schema), ["k", "s"], "d", span=span, remove=gone)
+    assert sorted(r.k for r in read_target(spark, path).collect()) == ["a", "b", "n"]
+    assert statistics(spark, path, "d", *span) == ps.compute(read_target(spark, path), "d", *span)
+
+
+def test_bounds_before_a_write_hold_for_both_states(spark):
+    a = {dt.date(2024, 1, 1): ps.Span(5, 9, 2), None: ps.Span(None, None, 1)}
+    b = {dt.date(2024, 1, 1): ps.Span(3, 7, 1), dt.date(2024, 1, 2): ps.Span(1, 2, 1), None: ps.Span(4, 4, 1)}
+    assert ps.wider(a, b) == {dt.date(2024, 1, 1): ps.Span(3, 9, 2), None: ps.Span(4, 4, 1), dt.date(2024, 1, 2): ps.Span(1, 2, 1)}
+
+
+def test_the_target_is_pruned_by_a_join(spark, tmp_path):
+    path = str(tmp_path / "pruned")
+    df = spark.createDataFrame([(f"k{i}", dt.date(2024, 1, 1 + i), 1.0) for i in range(9)] + [("none", None, 2.0)], "k string, date date, v double")
+    upsert(spark, path, df, ["k"], "date")
+    batch = str(tmp_path / "batch")
+    df.where("k = 'k3'").write.parquet(batch)
+    got = touched_partitions(read_target(spark, path), "date", spark.read.parquet(batch))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan, plan
+    assert sorted(r.k for r in got.collect()) == ["k3", "none"]
+    # rows without a date survive an upsert of others
+    upsert(spark, path, df.where("k = 'k3'"), ["k"], "date")
+    assert read_target(spark, path).count() == 10
