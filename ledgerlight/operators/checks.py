@@ -28,6 +28,12 @@ def table_diff(actual: DataFrame, expected: DataFrame, truncate: list[str] | Non
     return left.select(which.alias("which_diff"), *cols, copies.alias("_copy")).drop("_copy")
 
 
+def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of one table and not of the other, in the new table's columns (missing ones are null)."""
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in new.schema if f.name not in old.columns]
+    return table_diff(new, old.select("*", *missing)).drop("which_diff")
+
+
 def unmatched_keys(a: DataFrame, b: DataFrame, key: str, date_col: str | None = None,
                    before=None) -> DataFrame:
     """Keys present on one side only (one aggregate over both sides instead of a full outer join),

@@ -36,7 +36,7 @@ class Changes:
     rate_days: DataFrame | None = None  # (date) with another rate than before
 
 
-def _slices(queries: DataFrame) -> DataFrame:
+def query_slices(queries: DataFrame) -> DataFrame:
     """(query_id, warehouse_id, hour) of queries that ran on a warehouse."""
     waits = sum((F.col(c) for c in WAITS[1:]), F.col(WAITS[0]))
     q = queries.where(F.col("warehouse_size").isNotNull()).select(
@@ -49,7 +49,7 @@ def touched_hours(changes: Changes) -> DataFrame:
     """Distinct (warehouse_id, hour) whose totals or bill may differ."""
     bills = changes.metering.where(F.col("service_type").isin(*HOURLY_SERVICE_TYPES)).select(
         F.col("entity_id").alias("warehouse_id"), F.col("start_time").alias("hour"))
-    return _slices(changes.queries).select("warehouse_id", "hour").unionByName(bills).distinct()
+    return query_slices(changes.queries).select("warehouse_id", "hour").unionByName(bills).distinct()
 
 
 def touched_days(changes: Changes) -> DataFrame:
@@ -65,7 +65,7 @@ def affected_queries(log: DataFrame, changes: Changes) -> DataFrame:
     """Distinct ids of the queries whose cost may differ."""
     hours = materialize(touched_hours(changes), "touched-hours")
     days = touched_days(changes)  # at most as many as the calendar has
-    by_hour = _slices(log).join(hours, ["warehouse_id", "hour"], "left_semi").select("query_id")
+    by_hour = query_slices(log).join(hours, ["warehouse_id", "hour"], "left_semi").select("query_id")
     by_day = log.select("query_id", F.to_date("start_time").alias("day")).join(F.broadcast(days), "day", "left_semi")
     metered_since = log.where(F.col("end_time") > changes.old_stop).select("query_id")
     return (by_hour.unionByName(by_day.select("query_id")).unionByName(metered_since)

@@ -1,8 +1,10 @@
 """The whole model set as one job: every model with its materialization, in order.
 
-``views`` stay lazy, ``tables`` are rebuilt, ``incremental`` models rebuild only their
-look-back window and upsert it by key (``streaming/incremental.py``), and the access
-log replaces its look-back months with all records of those months (S20: late records come
+``views`` stay lazy, ``tables`` are rebuilt, ``incremental`` staging and access models rebuild only
+their look-back window and upsert it by key (``streaming/incremental.py``). Cost, enriched log and
+dbt queries are brought up to date by what changed in their inputs (``plans/cost_by_change.py``):
+a late or long query changes its neighbours' costs however far back, so a look-back over them
+would differ from a full build. The access log replaces its look-back months with all records of those months (S20: late records come
 in, repeated ones stay). Downstream models read the tables written upstream as they are,
 by date partition, so an incremental run reads each of them only inside its window.
 
@@ -19,11 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.plans import access, enriched, query_cost, rates, spend, warehouses
-from ledgerlight.session import hadoop, remove_path
+from ledgerlight.operators.checks import changed_rows
+from ledgerlight.plans.cost_by_change import (Changes, affected_queries, query_slices, touched_days, touched_hours)
+from ledgerlight.session import hadoop, materialize, remove_path
 from ledgerlight.sources.staging import Staged, first_query
 from ledgerlight.streaming import partition_stats
 from ledgerlight.streaming.incremental import (partition_dates, path_exists, read_target, replace_dates, run_incremental,
-                                               statistics)
+                                               statistics, touched_partitions, upsert)
 
 PART = "_date"  # date partition column of incremental tables, derived from a key column
 
@@ -83,14 +87,10 @@ class ModelBuild:
     def _stats(self, name: str) -> partition_stats.Stats:
         return statistics(self.spark, self.path(name), PART, "start_time", "end_time")
 
-    def _window(self, name: str, since: dt.datetime | None) -> DataFrame:
-        """Rows of a written table that ended after ``since``, from the partitions that hold some,
-        however long ago they started."""
-        df = self.read(name)
-        if since is not None:
-            dates = partition_stats.ending_after(self._stats(name), since)
-            df = df.where(partition_stats.in_dates(PART, dates) & (F.col("end_time") > F.lit(since)))
-        return df.drop(PART)
+    def _log(self, dates: list | None = None) -> DataFrame:
+        """The staged query log, or the partitions of some dates of it."""
+        df = self.read("stg_query_history")
+        return (df if dates is None else df.where(partition_stats.in_dates(PART, dates))).drop(PART)
 
     def _access_log(self, full_refresh: bool) -> dt.datetime | None:
         path, log = self.path("stg_access_history"), self.src.access_history()
@@ -121,17 +121,54 @@ class ModelBuild:
     def _after(df: DataFrame, col: str, since: dt.datetime | None) -> DataFrame:
         return df if since is None else df.where(F.col(col) > F.lit(since))
 
-    def _costed(self, tables: dict[str, DataFrame], since: dt.datetime | None) -> Staged:
-        """The staged tables, of the query log only the partitions with queries that can share an
-        hour with one that ended after ``since``: those that ended after the earliest start there."""
-        if since is not None:
-            stats = self._stats("stg_query_history")
-            first = partition_stats.earliest_start(stats, partition_stats.ending_after(stats, since)) or since
-            first = min(first, since).replace(minute=0, second=0, microsecond=0)
-            log = self.read("stg_query_history").where(
-                partition_stats.in_dates(PART, partition_stats.ending_after(stats, first))).drop(PART)
-            tables = tables | {"query_history": log}
-        return Staged(tables, deduplicated=True)
+    def _stage_log(self, full_refresh: bool) -> tuple[dt.datetime | None, DataFrame | None]:
+        """Bring the staged query log up to date; the rows that differ, in their old and new forms."""
+        name = "stg_query_history"
+        before = None if full_refresh or not path_exists(self.spark, self.path(name)) else self.read(name)
+        batch: list[DataFrame] = []
+
+        def build(since):
+            rows = first_query(self._after(self.src.query_log(), "end_time", since))
+            if since is None:
+                return rows
+            batch.append(materialize(rows.withColumn(PART, F.to_date("start_time")), "log-batch"))
+            old = touched_partitions(before, PART, batch[0]).join(
+                batch[0].select("query_id", "start_time"), ["query_id", "start_time"], "left_semi")
+            batch.append(materialize(changed_rows(old.drop(PART), batch[0].drop(PART)), "log-changes"))
+            return batch[0].drop(PART)
+
+        since = self._incremental(name, build, full_refresh)
+        return since, batch[1] if batch else None
+
+    def _changes(self, log: DataFrame, old: Mapping[str, DataFrame], st: Staged, rates_now: DataFrame) -> Changes:
+        key = ["date", "usage_type", "service_type", "effective_rate", "currency", "is_latest_rate"]
+        differ = changed_rows(old["daily_rates"].select(*key), rates_now.select(*key)).select("date")
+        # days without a rate of their own are billed with the latest one
+        priced = rates_now.where(F.col("service_type") == "CLOUD_SERVICES").select("date")
+        bare = st.metering_history().select(F.to_date("start_time").alias("date")).distinct().join(priced, "date", "left_anti")
+        return Changes(log, changed_rows(old["stg_metering_history"], st.metering_history()),
+                       F.lit(old["stop"]).cast("timestamp"), differ.unionByName(bare).distinct())
+
+    def _by_change(self, tables: dict[str, DataFrame], changes: Changes, daily_rates: DataFrame) -> None:
+        """Cost, enriched log and dbt queries of the affected queries only, whatever their age; the
+        log is read by partitions that ran on the days concerned."""
+        stats = self._stats("stg_query_history")
+        days = lambda df, c: [r[0] for r in df.select(F.to_date(c)).distinct().collect()]  # noqa: E731  calendar-bounded
+        hours = days(touched_hours(changes), "hour") + days(touched_days(changes), "day")
+        stop = self.spark.range(1).select(changes.old_stop.alias("t")).first().t or dt.datetime(1970, 1, 1)
+        near = set(partition_stats.meeting(stats, hours)) | set(partition_stats.ending_after(stats, stop))
+        affected = materialize(affected_queries(self._log(list(near)), changes), "affected")
+        rows = materialize(self._log(list(near)).join(affected, "query_id", "left_semi"), "affected-log")
+        neighbours = self._log(partition_stats.meeting(stats, days(query_slices(rows), "hour") + days(rows, "start_time")))
+        st = Staged(tables | {"query_history": neighbours}, deduplicated=True)
+        cost = materialize(query_cost.cost_per_query(st, daily_rates, only=affected), "affected-cost")
+        full = materialize(enriched.query_history_enriched(rows, cost), "affected-enriched")
+        gone = rows.unionByName(changes.queries).select("query_id", "start_time", F.to_date("start_time").alias(PART))
+        for name, df in (("cost_per_query", cost), ("query_history_enriched", full),
+                         ("dbt_queries", enriched.dbt_queries(full, self.cloud_account_id, self.cloud_url))):
+            spec = INCREMENTAL[name]
+            upsert(self.spark, self.path(name), df.withColumn(PART, F.to_date("start_time")), list(spec.keys), PART,
+                   cluster_by=[spec.part_from], span=(spec.part_from, spec.ts), remove=gone)
 
     def _accessed(self, since: dt.datetime | None) -> DataFrame:
         log = self.read("stg_access_history")
@@ -144,10 +181,15 @@ class ModelBuild:
         src = self.src
 
         # --- staging: incremental upserts, an append, full tables; the rest are views
-        lows["stg_query_history"] = self._incremental(
-            "stg_query_history",
-            lambda since: first_query(self._after(src.query_log(), "end_time", since)),
-            full_refresh)
+        # what the models by change compare with: as the last run left it
+        models = ("cost_per_query", "query_history_enriched", "dbt_queries")
+        by_change = not full_refresh and all(path_exists(self.spark, self.path(n)) for n in (
+            *models, "stg_query_history", "stg_metering_history", "stg_warehouse_metering_history", "daily_rates"))
+        old: dict = {}
+        if by_change:
+            old = {n: materialize(self.read(n), n) for n in ("stg_metering_history", "daily_rates")}
+            old["stop"] = partition_stats.latest_end(self._stats("stg_warehouse_metering_history"))
+        lows["stg_query_history"], changed_log = self._stage_log(full_refresh)
         lows["stg_warehouse_metering_history"] = self._incremental(
             "stg_warehouse_metering_history",
             lambda since: self._after(src.warehouse_metering_history(), "end_time", since), full_refresh)
@@ -178,21 +220,18 @@ class ModelBuild:
         self._table("warehouses_type2_dimension", warehouses.warehouses_type2_dimension(st))
 
         # --- incremental models, each reading what was written upstream
-        lows["cost_per_query"] = self._incremental(
-            "cost_per_query",
-            lambda since: query_cost.cost_per_query(self._costed(tables, since), daily_rates,
-                                                    None if since is None else F.lit(since)),
-            full_refresh)
-        lows["query_history_enriched"] = self._incremental(
-            "query_history_enriched",
-            lambda since: enriched.query_history_enriched(
-                self._window("stg_query_history", since), self._window("cost_per_query", since)),
-            full_refresh)
-        lows["dbt_queries"] = self._incremental(
-            "dbt_queries",
-            lambda since: enriched.dbt_queries(
-                self._window("query_history_enriched", since), self.cloud_account_id, self.cloud_url),
-            full_refresh)
+        if by_change and changed_log is not None:
+            self._by_change(tables, self._changes(changed_log, old, st, daily_rates), daily_rates)
+            lows |= dict.fromkeys(models, lows["stg_query_history"])
+        else:
+            whole = {
+                "cost_per_query": lambda _: query_cost.cost_per_query(st, daily_rates),
+                "query_history_enriched": lambda _: enriched.query_history_enriched(
+                    self._log(), self.read("cost_per_query").drop(PART)),
+                "dbt_queries": lambda _: enriched.dbt_queries(
+                    self.read("query_history_enriched").drop(PART), self.cloud_account_id, self.cloud_url)}
+            for name in models:
+                lows[name] = self._incremental(name, whole[name], True)
         for kind, build in (("base", access.query_base_object_access), ("direct", access.query_direct_object_access)):
             name = f"query_{kind}_object_access"
             lows[name] = self._incremental(

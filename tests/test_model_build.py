@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerlight.plans.canonical import canonical
 from ledgerlight.plans.model_build import PART, ModelBuild
 from ledgerlight.plans.registry import Context
+from ledgerlight.streaming import partition_stats
 from tests.conftest import SF_SMALL
 
 
@@ -12,10 +13,19 @@ def rows(df):
     return sorted((tuple(r) for r in canonical(df.drop(PART) if PART in df.columns else df).collect()), key=str)
 
 
+def with_long_query(log):
+    """The log and one more query: it starts with its warehouse's first and ends 20 days later, on the last day."""
+    end = log.agg(F.max("end_time")).first()[0]
+    start = end - dt.timedelta(days=20)
+    first = log.where((F.col("start_time") >= F.lit(start)) & F.col("warehouse_size").isNotNull()).orderBy("start_time", "query_id").limit(1)
+    return log.unionByName(first.withColumns({"query_id": F.lit("long"), "end_time": F.lit(end - dt.timedelta(hours=1))}))
+
+
 def test_full_then_incremental_equals_one_full_run(spark, tmp_path):
     ctx = Context(spark, SF_SMALL)
     sources = ctx.tb.sources()
-    qh = sources["query_history"]
+    qh = with_long_query(sources["query_history"])
+    sources["query_history"] = qh
     cut = qh.agg(F.max("end_time")).first()[0] - dt.timedelta(days=1)
     ah = sources["access_history"]
     acut = ah.agg(F.max("query_start_time")).first()[0] - dt.timedelta(days=200)
@@ -40,11 +50,15 @@ def test_full_then_incremental_equals_one_full_run(spark, tmp_path):
     for kind in ("base", "direct"):
         assert rows(inc.read(f"query_{kind}_object_access")) == rows(ctx.object_access(kind)), kind
     # incremental runs read the staged log by date partition
-    since = lows["query_history_enriched"]
-    for df in (inc._window("stg_query_history", since), inc._costed({}, since).src["query_history"]):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "PartitionFilters: [isnotnull(_date" in plan, plan
-    # and the built tables equal the registered queries
-    assert rows(full.read("cost_per_query")) == rows(ctx.cost_per_query())
+    stats = inc._stats("stg_query_history")
+    plan = inc._log(partition_stats.ending_after(stats, cut))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_date" in plan, plan
+    # a third run without news changes nothing
+    before = {n: rows(inc.read(n)) for n in ("cost_per_query", "dbt_queries")}
+    inc.run()
+    assert {n: rows(inc.read(n)) for n in before} == before
+    # and the built tables equal the registered queries, but for the long query and what it changes
+    same = full.read("stg_query_history").where("query_id <> 'long'")
+    assert rows(same) == rows(ctx.st.query_history())
     assert rows(full.daily_spend()) == rows(
         __import__("ledgerlight.plans.spend", fromlist=["daily_spend"]).daily_spend(ctx.hourly_spend()))
