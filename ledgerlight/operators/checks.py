@@ -1,11 +1,12 @@
 """Data checks (N1-N4): each returns the offending rows; an empty result passes."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.functions.num import trunc_to
+from ledgerlight.session import materialize
 
 
 def table_diff(actual: DataFrame, expected: DataFrame, truncate: list[str] | None = None,
@@ -28,6 +29,49 @@ def table_diff(actual: DataFrame, expected: DataFrame, truncate: list[str] | Non
     return left.select(which.alias("which_diff"), *cols, copies.alias("_copy")).drop("_copy")
 
 
+BUCKETS = 1 << 16
+
+
+def checksum_diff(actual: DataFrame, expected: DataFrame, truncate: list[str] | None = None, digits: int = 8,
+                  buckets: int = BUCKETS) -> DataFrame:
+    """``table_diff`` of large, almost equal tables: rows fall into buckets by their hash, one
+    aggregate a side gives each bucket's count and checksums, and only rows of buckets that differ are
+    shuffled and compared. Checksums add hashes up (a pair of equal rows doesn't cancel out, as it
+    would under xor alone) under two hash functions. There are at most ``buckets`` buckets."""
+    cols = actual.columns
+
+    def prep(df):
+        df = df.select(*cols)
+        return df.withColumns({c: trunc_to(c, digits) for c in truncate}) if truncate else df
+
+    h = F.xxhash64(*[F.col(c) for c in cols])
+    other = F.xxhash64(F.lit("checksum"), *[F.col(c) for c in cols])
+    halves = lambda x: (F.shiftrightunsigned(x, 32), x.bitwiseAND(F.lit(0xFFFFFFFF)))  # noqa: E731  their sums don't overflow
+    place = F.pmod(h, F.lit(buckets))
+
+    def sums(df):
+        return df.groupBy(place.alias("_bucket")).agg(
+            F.count(F.lit(1)).alias("_n"), F.bit_xor(h).alias("_x"),
+            *[F.sum(part).alias(f"_s{k}") for k, part in enumerate((*halves(h), *halves(other)))])
+
+    a, b = prep(actual), prep(expected)
+    state = F.struct("_n", "_x", "_s0", "_s1", "_s2", "_s3")
+    differ = (sums(a).unionByName(sums(b)).groupBy("_bucket")
+              .agg(F.count(F.lit(1)).alias("_sides"), F.min(state).alias("_lo"), F.max(state).alias("_hi")))
+    differ = materialize(differ.where((F.col("_sides") < 2) | (F.col("_lo") != F.col("_hi"))).select("_bucket"), "buckets")
+    of = lambda df: df.withColumn("_bucket", place).join(F.broadcast(differ), "_bucket", "left_semi").drop("_bucket")
+    return table_diff(of(a), of(b))
+
+
+def observed(df: DataFrame, not_null: list[str] = (), not_negative: list[str] = ()) -> tuple[DataFrame, Observation]:
+    """The table with counts that its next action takes on the way (N2-N4 without a scan of their
+    own): ``rows``, ``null_<col>`` and ``negative_<col>``; read them from the observation."""
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null],
+              *[F.count_if(F.col(c) < 0).alias(f"negative_{c}") for c in not_negative]]
+    return df.observe(seen, *counts), seen
+
+
 def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of one table and not of the other, in the new table's columns (missing ones are null)."""
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in new.schema if f.name not in old.columns]

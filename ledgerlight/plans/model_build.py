@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.plans import access, enriched, query_cost, rates, spend, warehouses
-from ledgerlight.operators.checks import changed_rows
+from ledgerlight.operators.checks import changed_rows, observed
 from ledgerlight.plans.cost_by_change import (Changes, affected_queries, query_slices, touched_days, touched_hours)
 from ledgerlight.session import hadoop, materialize, remove_path
 from ledgerlight.sources.staging import Staged, first_query
@@ -55,6 +55,13 @@ INCREMENTAL = {
                                                   "query_start_time", "month"),
 }
 ACCESS_LOOKBACK_DAYS = 1
+# Counted while a table is written: columns that may not be null, columns that may not be negative
+CHECKED = {
+    "stg_metering_history": (("start_time", "service_type"), ("credits_used",)),
+    "daily_rates": (("date", "usage_type", "effective_rate"), ("effective_rate",)),
+    "hourly_spend": (("hour", "service"), ()),
+    "warehouses_type2_dimension": (("warehouse_id", "valid_from", "valid_to"), ()),
+}
 
 
 class ModelBuild:
@@ -65,6 +72,7 @@ class ModelBuild:
         self.spark, self.sources, self.root = spark, sources, target_root.rstrip("/")
         self.account, self.as_of, self.cloud_account_id = account, as_of, cloud_account_id
         self.src = Staged(sources)
+        self.metrics: dict[str, dict[str, int]] = {}  # by table: rows, nulls and negatives of its last write
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -75,7 +83,9 @@ class ModelBuild:
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         """Write beside the live table, then swap: a failed job leaves the old one as it was."""
         path, new, old = (f"{self.path(name)}{x}" for x in ("", f"__new-{uuid.uuid4().hex}", f"__old-{uuid.uuid4().hex}"))
+        df, seen = observed(df, *CHECKED.get(name, ((), ())))
         df.write.parquet(new)
+        self.metrics[name] = seen.get
         fs, live = hadoop(self.spark, path)
         at = lambda x: hadoop(self.spark, x)[1]
         if fs.exists(live):

@@ -76,6 +76,16 @@ def query_history_enriched(ctx: Context) -> DataFrame:
     return _enriched(ctx)
 
 
+@register("query_history_enriched_bucketed",
+          M.model_sql(M.ENRICHED_SELECT, M.DAILY_RATES, M.COST_PER_QUERY, M.ENRICHED), M.ENRICHED_DOUBLES)
+def query_history_enriched_bucketed(ctx: Context) -> DataFrame:
+    """The same from catalog tables bucketed by query id: log and cost meet without a shuffle."""
+    from ledgerlight.plans.enriched import query_history_enriched as build
+    from ledgerlight.session import save_bucketed
+    return build(save_bucketed(ctx.st.query_history(), "log", "query_id"),
+                 save_bucketed(ctx.cost_per_query(), "cost", "query_id"))
+
+
 @register("dbt_queries",
           M.model_sql(M.DBT_QUERIES_SELECT, M.DAILY_RATES, M.COST_PER_QUERY, M.ENRICHED), M.ENRICHED_DOUBLES)
 def dbt_queries(ctx: Context) -> DataFrame:

@@ -11,11 +11,11 @@ from ledgerlight.operators import checks
 from ledgerlight.operators.allocation import allocate, conditional_sums
 from ledgerlight.operators.fill import first_per_key, gap_fill, latest_per_key
 from ledgerlight.operators.history import scd2
-from ledgerlight.operators.nested import explode_objects
+from ledgerlight.operators.nested import explode_objects, explode_variant
 from ledgerlight.operators.spine import hour_spine, slice_intervals, with_day_stats
 from ledgerlight.plans.query_cost import MAX_SLICES_PER_WAREHOUSE_HOUR
 from ledgerlight.plans.registry import Context, register
-from ledgerlight.session import checkpoint_dir, materialize
+from ledgerlight.session import materialize, shared_folder
 from ledgerlight.sources.testbed import EV_SPARK
 
 STREAM_LATENESS_HOURS = 24
@@ -124,6 +124,39 @@ def j1_explode_objects(ctx: Context) -> DataFrame:
                        F.size("columns_array").alias("n_columns"))
 
 
+@register("j1_explode_raw_json", O.J1_EXPLODE_RAW)
+def j1_explode_raw_json(ctx: Context) -> DataFrame:
+    """The nested objects as they arrive from a log of JSON text, read through VARIANT: ids that are
+    numbers, text or words, missing domains, missing column lists and records that are no array."""
+    li = ctx.table("lineitem")
+    supplier = F.col("l_suppkey").cast("string")
+    number = (F.when(F.col("l_returnflag") == "R", F.concat(F.lit('"id-'), supplier, F.lit('"')))      # a word
+              .when(F.col("l_returnflag") == "A", F.concat(F.lit('"'), supplier, F.lit('"'))).otherwise(supplier))
+    domain = F.when(F.col("l_linestatus") == "O", F.lit(', "objectDomain": "Table"')).otherwise(F.lit(""))
+    cols = F.when(F.col("l_discount") > 0.05, F.lit("")).otherwise(
+        F.lit(', "columns": [{"columnName": "l_quantity"}, {"columnId": 7}]'))
+    element = F.concat(F.lit('{"objectId": '), number, F.lit(', "objectName": "SUPPLIER_'), supplier, F.lit('"'), domain, cols, F.lit("}"))
+    text = (F.when(F.col("l_tax") > 0.07, F.lit('{"objectId": 1}')).when(F.col("l_tax") == 0, F.lit("[{"))
+            .otherwise(F.concat(F.lit("["), element, F.lit(', {"objectName": null, "columns": []}]'))))
+    raw = li.select("l_orderkey", "l_linenumber", text.alias("objects"))
+    flat = explode_variant(raw, "objects", ["l_orderkey", "l_linenumber"], {
+        "table_id": ("$.objectId", "bigint"), "object_name": ("$.objectName", "string"),
+        "object_domain": ("$.objectDomain", "string"), "columns": ("$.columns", "array<variant>")})
+    named = F.filter(F.transform("columns", lambda x: F.try_variant_get(x, "$.columnName", "string")), lambda x: x.isNotNull())
+    return flat.select("l_orderkey", "l_linenumber", "table_id", "object_name", "object_domain", F.size("columns").alias("n_columns"),
+                       F.size(named).alias("n_named"))
+
+
+@register("n1_checksum_diff", O.N1_TABLE_DIFF, ["l_extendedprice", "l_discount"])
+def n1_checksum_diff(ctx: Context) -> DataFrame:
+    """The same diff as ``n1_table_diff`` by checksum descent: only rows of hash buckets whose
+    checksums differ are compared."""
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount"]
+    li = ctx.table("lineitem").select(*cols)
+    dedup = first_per_key(ctx.table("lineitem"), ["l_orderkey", "l_linenumber"], DEDUP_ORDER).select(*cols)
+    return checks.checksum_diff(li, dedup, truncate=["l_extendedprice", "l_discount"])
+
+
 @register("n1_table_diff", O.N1_TABLE_DIFF, ["l_extendedprice", "l_discount"])
 def n1_table_diff(ctx: Context) -> DataFrame:
     """Two-way multiset diff of the line items against their deduplicated form,
@@ -207,8 +240,62 @@ def f5_flag_latest(ctx: Context) -> DataFrame:
 def l7_stream_query_hours(ctx: Context) -> DataFrame:
     """Structured Streaming run over the events file (available-now trigger): run time per
     warehouse and hour for every hour the watermark has closed."""
-    import uuid
-
     from ledgerlight.streaming.query_hours import run_events_stream
-    base = f"{checkpoint_dir(ctx.spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    return run_events_stream(ctx.spark, f"{ctx.sf_dir}/events.parquet", base, f"{STREAM_LATENESS_HOURS} hours")
+    return run_events_stream(ctx.spark, f"{ctx.sf_dir}/events.parquet", shared_folder(ctx.spark, "stream"),
+                             f"{STREAM_LATENESS_HOURS} hours")
+
+
+@register("l7_late_rows", O.L7_ALL_HOURS)
+def l7_late_rows(ctx: Context) -> DataFrame:
+    """Hourly totals from a stream in three batches: first half of the time, purchases of all times
+    after the rest (late by up to the whole range), and the second batch delivered again."""
+    from ledgerlight.streaming.hour_totals import hour_totals, start_hour_totals, write_batch
+    from ledgerlight.streaming.query_hours import event_intervals, events_stream
+    spark, base = ctx.spark, shared_folder(ctx.spark, "late-rows")
+    ev = ctx.table("events")
+    middle = ev.agg(F.expr("timestamp_micros((unix_micros(min(cast(ts as timestamp))) + unix_micros(max(cast(ts as timestamp)))) div 2)")).scalar()
+    late = F.col("event_type") == "purchase"
+    early = F.col("ts").cast("timestamp") < middle
+    for batch in (ev.where(early & ~late), ev.where(~early & ~late), ev.where(late)):
+        batch.write.mode("append").parquet(f"{base}/source")
+        start_hour_totals(event_intervals(events_stream(spark, f"{base}/source")), base).awaitTermination()
+    write_batch(spark, base, event_intervals(ev.where(~early & ~late)), 1)
+    return hour_totals(spark, base)
+
+
+@register("l7_busy_sessions", O.L7_SESSIONS)
+def l7_busy_sessions(ctx: Context) -> DataFrame:
+    """Busy sessions of every warehouse: queries parted by at most five idle minutes."""
+    from ledgerlight.streaming.query_hours import event_intervals
+    from ledgerlight.streaming.sessions import busy_sessions
+    return busy_sessions(event_intervals(ctx.table("events")))
+
+
+@register("l7_stream_busy_sessions", O.L7_CLOSED_SESSIONS)
+def l7_stream_busy_sessions(ctx: Context) -> DataFrame:
+    """The same sessions from a stream, those that its watermark has closed."""
+    from ledgerlight.streaming.query_hours import drain, event_intervals, events_stream
+    from ledgerlight.streaming.sessions import busy_sessions
+    base, path = shared_folder(ctx.spark, "sessions"), f"{ctx.sf_dir}/events.parquet"
+    lateness = f"{STREAM_LATENESS_HOURS} hours"
+    drain(busy_sessions(event_intervals(events_stream(ctx.spark, path)), lateness=lateness), base)
+    return ctx.spark.read.schema(busy_sessions(event_intervals(ctx.table("events"))).schema).parquet(f"{base}/sink")
+
+
+@register("k5_stream_allocate", O.K5_STREAM, ["allocated", "fraction"])
+def k5_stream_allocate(ctx: Context) -> DataFrame:
+    """The allocation of ``k5_allocate`` from two streams that meet, for the hours both have closed."""
+    from ledgerlight.streaming.allocation import allocate_stream
+    from ledgerlight.streaming.query_hours import drain, event_intervals, events_stream
+    spark, base = ctx.spark, shared_folder(ctx.spark, "stream-allocation")
+    ev = ctx.table("events")
+    bills = (ev.groupBy(F.col("user_id").alias("warehouse_id"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"))
+             .agg(F.sum("value").alias("billed")))
+    bills.write.parquet(f"{base}/bills")
+    streams = (event_intervals(events_stream(spark, f"{ctx.sf_dir}/events.parquet")),
+               spark.readStream.schema(bills.schema).parquet(f"{base}/bills"))
+    out = allocate_stream(*streams, lateness=f"{STREAM_LATENESS_HOURS} hours")
+    drain(out, base)
+    return spark.read.schema(out.schema).parquet(f"{base}/sink").select(
+        F.col("query_id").cast("long").alias("event_id"), F.col("warehouse_id").alias("user_id"),
+        F.col("hour").alias("hour_start"), "ms", "fraction", "allocated")

@@ -113,6 +113,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write a catalog table bucketed and sorted by ``key``, one file a bucket, its files under the
+    shared checkpoint folder. Tables of equal bucket counts join on the key without a shuffle."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", shared_folder(spark, table)).saveAsTable(table))
+    return spark.table(table)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(os.environ.get("LEDGERLIGHT_PARTITIONS", spark.sparkContext.defaultParallelism))
 

@@ -53,18 +53,26 @@ def event_intervals(events: DataFrame) -> DataFrame:
                          F.timestamp_add("SECOND", F.floor(F.col("value") * 60), start).alias("end_time"))
 
 
-def run_events_stream(spark: SparkSession, events_path: str, base: str, lateness: str) -> DataFrame:
-    """Stream an events table (a file, or a folder of part files) through ``hourly_run_time``
-    until drained; return the closed hours written to the sink (a batch read of it)."""
-    table = spark.read.parquet(events_path)
-    source = spark.readStream.schema(table.schema)
+def events_stream(spark: SparkSession, events_path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of an events table: a file, or a folder of part files."""
+    source = spark.readStream.schema(spark.read.parquet(events_path).schema)
+    if files_per_trigger:
+        source = source.option("maxFilesPerTrigger", files_per_trigger)
     if is_file(spark, events_path):  # a file source streams a folder
         folder, _, name = events_path.rpartition("/")
-        stream = source.option("pathGlobFilter", name).parquet(folder)
-    else:
-        stream = source.parquet(events_path)
-    query = (hourly_run_time(event_intervals(stream), lateness).writeStream.format("parquet")
-             .option("path", f"{base}/sink").option("checkpointLocation", f"{base}/checkpoint")
-             .outputMode("append").trigger(availableNow=True).start())
-    query.awaitTermination()
+        return source.option("pathGlobFilter", name).parquet(folder)
+    return source.parquet(events_path)
+
+
+def drain(result: DataFrame, base: str) -> None:
+    """Append a stream's result to ``<base>/sink`` until its input is used up."""
+    (result.writeStream.format("parquet").option("path", f"{base}/sink").option("checkpointLocation", f"{base}/checkpoint")
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+
+
+def run_events_stream(spark: SparkSession, events_path: str, base: str, lateness: str) -> DataFrame:
+    """Stream an events table through ``hourly_run_time`` until drained; return the closed hours
+    written to the sink (a batch read of it)."""
+    drain(hourly_run_time(event_intervals(events_stream(spark, events_path)), lateness), base)
+    table = spark.read.parquet(events_path)
     return spark.read.schema(hourly_run_time(event_intervals(table), lateness).schema).parquet(f"{base}/sink")

@@ -87,6 +87,16 @@ SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) A
        CAST(n AS INTEGER) AS n_columns
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey, (VALUES (3), (2)) AS t(n)"""
 
+# Per kind of record, without JSON: the two elements of each that is an array
+J1_EXPLODE_RAW = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN n = 1 AND l_returnflag <> 'R' THEN l_suppkey END AS table_id,
+       CASE WHEN n = 1 THEN 'SUPPLIER_' || l_suppkey END AS object_name,
+       CASE WHEN n = 1 AND l_linestatus = 'O' THEN 'Table' END AS object_domain,
+       CASE WHEN n = 2 THEN 0 WHEN l_discount > 0.05 THEN NULL ELSE 2 END::INTEGER AS n_columns,
+       CASE WHEN n = 2 THEN 0 WHEN l_discount > 0.05 THEN NULL ELSE 1 END::INTEGER AS n_named
+FROM lineitem, (VALUES (1), (2)) AS t(n) WHERE l_tax <= 0.07 AND l_tax <> 0"""
+
 _T8 = "sign({c}) * floor(abs({c}) * 100000000.0) / 100000000.0 AS {c}"
 _N1_COLS = f"l_orderkey, l_linenumber, l_partkey, {_T8.format(c='l_extendedprice')}, {_T8.format(c='l_discount')}"
 N1_TABLE_DIFF = f"""
@@ -144,3 +154,25 @@ SELECT user_id AS warehouse_id, hour_start AS hour, CAST(sum(ms) AS BIGINT) AS t
        count(*) AS slices
 FROM sl GROUP BY 1, 2
 HAVING hour_start + INTERVAL 1 HOUR <= (SELECT wm FROM closed)"""
+
+L7_ALL_HOURS = _SLICES + """
+SELECT user_id AS warehouse_id, hour_start AS hour, CAST(sum(ms) AS BIGINT) AS total_query_milliseconds_in_hour,
+       count(*) AS slices
+FROM sl GROUP BY 1, 2"""
+
+# Gaps and islands over the latest end so far
+_SESSIONS = """
+WITH iv AS (SELECT user_id, ts AS s, ts + to_seconds(CAST(floor(value * 60) AS BIGINT)) AS e,
+                   CAST(floor(value * 60) AS BIGINT) AS seconds, event_id FROM events WHERE user_id IS NOT NULL AND value >= 0),
+o AS (SELECT *, max(e) OVER (PARTITION BY user_id ORDER BY s, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS busy FROM iv),
+g AS (SELECT *, sum(CASE WHEN busy IS NULL OR s > busy + INTERVAL 300 SECOND THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY s, event_id) AS grp FROM o),
+sessions AS (SELECT user_id AS warehouse_id, min(s) AS busy_from, max(e) AS busy_to, count(*) AS queries,
+                    CAST(sum(seconds) AS BIGINT) AS run_seconds FROM g GROUP BY user_id, grp)
+"""
+L7_SESSIONS = _SESSIONS + "SELECT * FROM sessions"
+L7_CLOSED_SESSIONS = _SESSIONS + """
+SELECT * FROM sessions WHERE busy_to + INTERVAL 300 SECOND <= (SELECT max(s) - INTERVAL 24 HOUR FROM iv)"""
+
+K5_STREAM = (f"SELECT * FROM ({K5_ALLOCATE}) AS a "
+             "WHERE hour_start <= (SELECT max(date_trunc('hour', ts)) - INTERVAL 24 HOUR FROM events)")

@@ -65,3 +65,18 @@ def test_source_config_reads_files_with_schema(spark, tmp_path):
     assert (r.storage_bytes, r.failsafe_bytes) == (5.0, None)
     assert SourceConfig(account_usage_database="db", account_usage_schema="au").location("query_history") == \
         ("table", "db.au.query_history")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from ledgerlight.session import save_bucketed
+    a = save_bucketed(spark.range(5000).withColumnRenamed("id", "query_id"), "bucket_a", "query_id", 4)
+    b = save_bucketed(spark.range(0, 5000, 7).selectExpr("id as query_id", "id * 2 as cost"), "bucket_b", "query_id", 4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.join(b, "query_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan, plan
+        assert joined.count() == 715
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlight.plans.canonical import canonical
-from ledgerlight.plans.model_build import PART, ModelBuild
+from ledgerlight.plans.model_build import CHECKED, PART, ModelBuild
 from ledgerlight.plans.registry import Context
 from ledgerlight.streaming import partition_stats
 from tests.conftest import SF_SMALL
@@ -49,6 +49,10 @@ def test_full_then_incremental_equals_one_full_run(spark, tmp_path):
     assert full.read("stg_access_history").count() == ah.count()
     for kind in ("base", "direct"):
         assert rows(inc.read(f"query_{kind}_object_access")) == rows(ctx.object_access(kind)), kind
+    # rows, nulls and negatives were counted during the writes
+    for name in CHECKED:
+        assert full.metrics[name]["rows"] == full.read(name).count()
+        assert all(n == 0 for k, n in full.metrics[name].items() if k.startswith("null_")), full.metrics[name]
     # incremental runs read the staged log by date partition
     stats = inc._stats("stg_query_history")
     plan = inc._log(partition_stats.ending_after(stats, cut))._jdf.queryExecution().executedPlan().toString()

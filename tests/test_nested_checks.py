@@ -85,3 +85,70 @@ def test_access_history_from_raw_json_text(spark):
     got = sorted(((r.query_id, r.table_id, r.object_name, tuple(r.columns_accessed)) for r in out.collect()),
                  key=str)
     assert got == [("q1", 7, "DB.S.T", ("a", "b")), ("q1", None, "DB.S.V", ("x",))]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_access_is_built_with_one_generator_and_one_exchange(spark, tmp_path):
+    access_frame(spark, [("q1", [obj(1, "T1", "Table", ["a"])])]).write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    for build in (query_base_object_access, query_direct_object_access):
+        plan = plan_of(build(log))
+        assert plan.count("Generate") == 1 and plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_direct_access_keeps_the_first_of_a_row_key(spark):
+    rows = [("q1", [obj(5, "T", "View", ["z"]), obj(5, "T", "Table", ["b", None]), obj(5, "T", "Table", ["a"])]),
+            ("q1", [obj(7, "T", "Table", ["c"])]),
+            ("q2", [obj(9, "N", "Table", [None])])]                        # a column without a name
+    got = sorted((r.query_id, r.table_id, r.object_domain, tuple(r.columns_accessed))
+                 for r in query_direct_object_access(access_frame(spark, rows)).collect())
+    assert got == [("q1", 5, "Table", ("a", "b")), ("q2", 9, "Table", ())]
+
+
+def test_checksum_diff_counts_copies(spark):
+    schema = "k long, v double"
+    many = [(i, i / 3) for i in range(3000)]
+    a = spark.createDataFrame(many + [(-1, 1.0)] * 2 + [(-2, None)] + [(5, 5 / 3)] * 2, schema)
+    b = spark.createDataFrame(many + [(-3, 1.0)] * 2 + [(-2, None)], schema)
+    want = [tuple(r) for r in checks.table_diff(a, b, truncate=["v"]).collect()]
+    for buckets in (1, 4, 1 << 16):  # in one bucket the swapped pairs meet
+        got = checks.checksum_diff(a, b, truncate=["v"], buckets=buckets)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert checks.checksum_diff(a, a).count() == 0 and checks.checksum_diff(a, a.limit(0)).count() == a.count()
+
+
+def test_checksum_diff_compares_few_rows(spark):
+    compared = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for x in batches:
+            compared.add(x.num_rows)
+            yield x
+
+    a, b = spark.range(20_000), spark.range(20_003)
+    from ledgerlight.operators.checks import table_diff
+    seen = []
+    checks.table_diff = lambda x, y: seen.append(x.mapInArrow(count, x.schema)) or table_diff(seen[-1], y)
+    try:
+        assert checks.checksum_diff(a, b).count() == 3
+    finally:
+        checks.table_diff = table_diff
+    assert compared.value <= 10
+
+
+def test_checks_taken_during_a_write(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0), (None, -1.0), (3, None)], "k long, v double")
+    out, seen = checks.observed(df, ["k", "v"], ["v"])
+    out.write.parquet(f"{tmp_path}/t")
+    assert seen.get == {"rows": 3, "null_k": 1, "null_v": 1, "negative_v": 1}
+
+
+def test_variant_paths_of_drifting_types(spark):
+    from ledgerlight.operators.nested import explode_variant
+    texts = ['[{"id": 1, "n": "a"}, {"id": "2"}, {"id": "x", "n": null}, {"n": 5}, 7, null]', "not json", None, '{"id": 1}', "[]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "r long, t string")
+    got = [tuple(r) for r in explode_variant(df, "t", ["r"], {"id": ("$.id", "bigint"), "n": ("$.n", "string")}).collect()]
+    assert got == [(0, 1, "a"), (0, 2, None), (0, None, None), (0, None, "5"), (0, None, None), (0, None, None)]
