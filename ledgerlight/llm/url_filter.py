@@ -7,7 +7,10 @@ follow). A url's score is its log-likelihood difference divided by its length, i
 of a nat, so sums are exact integers. One in four ruled urls (by hash of the id) is kept out of
 the counts and calibrates the threshold: the one that weighs both kinds of error alike.
 
-Defined cases: null urls and urls without ``://`` have empty host and path and are scored as
+The models count and score whole urls, scheme, query string and fragment too; host and path
+are for the rules.
+
+Defined cases: null urls and urls without ``://`` have empty host and path; a null url is scored as
 an empty text; repeated rows and null ids each give a row; texts that occur often are scored
 once; without ruled urls all differences are 0 and the verdict is allow; an empty table gives
 no rows; other columns are not read.
@@ -28,6 +31,14 @@ START, END = "\x02", "\x03"
 STEP = 10_000  # width of a calibration bin, in millionths of a nat
 
 
+def read_text(url: Column, host: Column) -> Column:
+    """What the language models read: the whole url, its host lower-cased."""
+    url = F.coalesce(url, F.lit(""))
+    start = F.locate("://", url)
+    folded = F.concat(F.substring(url, F.lit(1), start + 2), host, F.substring(url, start + 3 + F.length(host), F.length(url)))
+    return F.when(start > 0, folded).otherwise(url)
+
+
 def host_of(url: Column) -> Column:
     return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1), UPPER, LOWER)
 
@@ -98,8 +109,8 @@ def judge_urls(pages: DataFrame, rules=RULES, order: int = ORDER, id_col: str =
                url_col: str = "url") -> DataFrame:
     """(page_id, host, path, rule, verdict, score), one row per row of ``pages``."""
     url = F.col(f"`{url_col}`")
-    judged = (pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-              .withColumn("text", F.concat("host", "path"))
+    judged = (pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), url.alias("url"))
+              .withColumn("text", read_text(F.col("url"), F.col("host"))).drop("url")
               .withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
               .withColumn("held", F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 1, 1)
                           .isin("0", "1", "2", "3")))
@@ -122,11 +133,14 @@ def oracle_sql(rules=RULES, order: int = ORDER) -> str:
         f"CASE WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') "
         f"THEN {{'length': {len(h + p)}, 'rule': '{h + p}', 'verdict': '{v}'}} END" for h, p, v in rules)
     parts = [f"""WITH split AS (
-  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-cut AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS h, regexp_extract(rest, '^[^?#]*') AS hp FROM split),
-named AS (SELECT page_id, translate(h, '{UPPER}', '{LOWER}') AS host, substr(hp, length(h) + 1) AS path FROM cut),
+  SELECT page_id, coalesce(url, '') AS url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+cut AS (SELECT page_id, url, rest, regexp_extract(rest, '^[^/?#]*') AS h, regexp_extract(rest, '^[^?#]*') AS hp FROM split),
+named AS (SELECT page_id, translate(h, '{UPPER}', '{LOWER}') AS host, substr(hp, length(h) + 1) AS path,
+  CASE WHEN strpos(url, '://') > 0 THEN left(url, strpos(url, '://') + 2) || translate(h, '{UPPER}', '{LOWER}') || substr(rest, length(h) + 1)
+  ELSE url END AS text FROM cut),
 ruled AS (SELECT *, list_max(list_filter([{fits}], lambda x: x IS NOT NULL)) AS best FROM named),
-judged AS (SELECT page_id, host, path, host || path AS text, best.rule AS rule, best.verdict AS ruled,
+judged AS (SELECT page_id, host, path, text, best.rule AS rule, best.verdict AS ruled,
   substr(md5(coalesce(page_id::VARCHAR, '')), 1, 1) IN ('0', '1', '2', '3') AS held FROM ruled),
 texts AS (SELECT text, sum((ruled IS NOT DISTINCT FROM 'allow' AND NOT held)::INT) AS a,
   sum((ruled IS NOT DISTINCT FROM 'block' AND NOT held)::INT) AS b FROM judged GROUP BY text),

@@ -26,6 +26,21 @@ def test_url_edges(spark):
     assert url_filter.judge_urls(pages).count() == 14 and url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_whole_urls_are_scored(spark):
+    urls = [f"http://a{i}.com/shop?ref=plain&n={i}" for i in range(40)] + [f"http://b{i}.net/es/shop?ref=casino&n={i}" for i in range(40)]
+    urls += ["http://x.org/shop?ref=plain", "http://x.org/shop?ref=casino", "http://x.org/shop#casino", "casino-win.org/x", "plain"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r.page_id]: r for r in url_filter.judge_urls(pages).collect()}
+    score = lambda u: got[u].score
+    assert score("http://x.org/shop?ref=plain") > score("http://x.org/shop?ref=casino")
+    assert got["http://x.org/shop?ref=casino"].verdict == "block" and score("casino-win.org/x") != score("plain")
+
+
+def test_without_ruled_urls_all_pass(spark):
+    pages = spark.createDataFrame([(1, "http://h.org/a"), (2, "http://h.org/a?b"), (3, None)], "page_id long, url string")
+    assert [(r.verdict, r.score) for r in url_filter.judge_urls(pages).collect()] == [("allow", 0)] * 3
+
+
 def test_url_plan_is_native(spark, capsys):
     url_filter.judge_urls(spark.read.parquet(f"{SF}/pages.parquet")).explain()
     plan = capsys.readouterr().out
