@@ -41,6 +41,7 @@ NUM, DEN = 80, 100  # similarity 0.8, in whole numbers
 BITS = 2048  # of the second sketch
 BLOCK_TEXTS = 512
 DEALT = 4096  # rows of shared cells that are dealt out together, cells whole
+HELD = 500_000  # cells that a task gathers before it deals them out
 _BATCH = 1_000_000
 _FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -203,11 +204,12 @@ def _scanned(texts: DataFrame, buckets: int) -> DataFrame:
                 for n in bands_of(len(s)):
                     held.append((cells(s, n), doc))
                     size += len(held[-1][0])
-            if size > 1_000_000:
+            if size > HELD:
                 yield from flush(held)
                 held, size = [], 0
         if held:
             yield from flush(held)
+        pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(run, SCAN)
 
@@ -230,20 +232,25 @@ def shared_cells(packed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x[i: i + 100_000]) for x in (keys, docs, pivot)], ["key", "doc", "pivot"])
 
     def run(batches):
-        # a task's share of the cells: some bytes for each, whatever the texts' length
-        keys, docs = [], []
+        # buckets come one after the other; one is held at a time, some bytes for each of its cells
+        keys, docs, at = [], [], None
         for b in batches:
-            for known, k, d in zip(*(b.column(c).to_pylist() for c in ("known", "keys", "docs"))):
+            for known, bucket, k, d in zip(*(b.column(c).to_pylist() for c in ("known", "bucket", "keys", "docs"))):
                 k, d = np.frombuffer(k, "<i8"), np.frombuffer(d, "<i8")
                 if known:
                     yield from stars(k, d)
-                else:
-                    keys.append(k)
-                    docs.append(d)
+                    continue
+                if bucket != at and keys:
+                    yield from stars(np.concatenate(keys), np.concatenate(docs))
+                    keys, docs = [], []
+                at = bucket
+                keys.append(k)
+                docs.append(d)
         if keys:
             yield from stars(np.concatenate(keys), np.concatenate(docs))
+        pa.default_memory_pool().release_unused()
 
-    return packed.repartition(n, "bucket").mapInArrow(run, "key long, doc long, pivot long")
+    return packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "key long, doc long, pivot long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -349,7 +356,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id) for every row."""
     texts = texts_of(docs, id_col, text_col)
     known = texts.where(F.col("doc_id").isNotNull())
-    scanned = store(_scanned(texts, 4 * partitions_for(docs.sparkSession)), "jac-scan")
+    scanned = store(_scanned(texts, 16 * partitions_for(docs.sparkSession)), "jac-scan")
     sets = scanned.where("bucket IS NULL").select("doc_id", "n_shingles", "set1", "set2", "bits", "sketch")
     named = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
     # equal sets are linked: each with the smallest doc_id that has it

@@ -80,3 +80,15 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark, tmp_path):
+    same, near = "a b c d e f g h i j k l m n o p q r s t", "one two three four five six seven eight nine ten"
+    rows = [(5, same, "en", "s", 1), (5, near, "en", "s", 2), (5, near, "en", "s", 3), (5, None, "en", "s", 4),
+            (7, near, "en", "s", 5), (8, "words of its own " * 5, "en", "s", 6), (9, same, "en", "s", 7), (None, same, "en", "s", 8)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
+    # the plain ids 7 and 9 come before the hashed rows of id 5; the texts of 5 that equal theirs go
+    assert sorted(((r.doc_id, r.n_chars) for r in got), key=str) == sorted([(5, 4), (7, 5), (8, 6), (9, 7), (None, 8)], key=str)
+    alone = corpus_pipeline.drop_near_duplicates(spark, docs.where("doc_id = 5"), str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in alone) == [(5, 1), (5, 2), (5, 4)]
