@@ -3,8 +3,8 @@ duplicates, drop documents that leak benchmark items, mask secrets, encode.
 
 Each stage works on what its predecessor kept, written as Parquet and read again. All but the
 last return the columns of the documents. Null texts and ids pass through: a null text is
-judged like an empty one, and rows without an id are never duplicates. Rows that repeat an id are one
-document to the second stage, of which the first by text stays.
+judged like an empty one, and rows without an id are never duplicates. Rows that repeat an id with
+other texts are documents of their own; of rows that repeat id and text the second stage keeps one.
 """
 from __future__ import annotations
 
@@ -23,12 +23,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every component stays."""
-    found = jaccard.near_duplicates(docs)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
-    kept = named.sortWithinPartitions("doc_id", "text").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+    """Of every component the document with the smallest doc_id stays. Rows that repeat a doc_id are
+    documents of their own, known to the join by a hash of id and text above all ids."""
+    known = docs.where(F.col("doc_id").isNotNull())
+    repeated = store(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-repeated")
+    keyed = known.withColumn("_key", F.col("doc_id"))
+    if not repeated.isEmpty():
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        odd = known.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("_o"))
+        odd = odd.select("doc_id", "text", *[F.col("_o")[c].alias(c) for c in others]).select(docs.columns)
+        key = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        keyed = keyed.join(repeated, "doc_id", "left_anti").select(keyed.columns).unionByName(odd.withColumn("_key", key))
+    found = jaccard.near_duplicates(keyed, id_col="_key")
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_key"))
+    kept = keyed.join(gone, "_key", "left_anti").select(docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
