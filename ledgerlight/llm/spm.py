@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.llm.common import by_bytes, partitions_for, pieces, ship, store, texts_of
 from ledgerlight.llm.crc import crc_of_parts
-from ledgerlight.llm.units import UnitCache
+from ledgerlight.llm.memo import UnitMemo
 
 CHUNK = 16_384
 SPACE_MARK = "▁"  # fixed value: how the vocabulary writes a space
@@ -214,7 +214,7 @@ class Vocabulary:
 class Encoder:
     def __init__(self, path: str):
         self.vocab = Vocabulary.load(path)
-        self.cache = UnitCache(self.vocab.solve, MOST_UNITS)
+        self.cache = UnitMemo(self.vocab.solve, MOST_UNITS)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts; a space before a text's first word is part of the encoding."""
@@ -250,16 +250,16 @@ class Encoder:
                     best[n + b], last[n + b] = best[n + b - k] + p[1], k
         return best, last
 
-    def middle(self, chunk: str, left: str, ahead: str) -> np.ndarray:
+    def middle(self, chunk: str, edges: tuple) -> np.ndarray:
         """Ids between the first and the last forced cut of a chunk: those of every path."""
-        first, last_cut, _ = self.edges(chunk, left, ahead)
+        first, last_cut, _ = edges
         return np.array([], "<u4") if first is None else self.units(chunk[first:last_cut])
 
-    def transfer(self, chunk: str, left: str, ahead: str, ids: np.ndarray | None = None) -> np.ndarray:
-        """T[state in, state out] of one chunk; ``ids``: those of its middle, if known."""
+    def transfer(self, chunk: str, left: str, ahead: str, edges: tuple | None = None, ids: np.ndarray | None = None) -> np.ndarray:
+        """T[state in, state out] of one chunk; its ``edges`` and the ``ids`` of its middle, if known."""
         w, n = self.vocab.width, len(chunk)
         out = np.full((w, w), NONE)
-        first, last_cut, reach = self.edges(chunk, left, ahead)
+        first, last_cut, reach = edges or self.edges(chunk, left, ahead)
         if first is None:
             for a in range(min(w, n + reach + 1)):
                 if a >= n:
@@ -286,12 +286,13 @@ class Encoder:
     def score(self, ids: np.ndarray) -> float:
         return float(self.vocab.score_of[ids].sum())
 
-    def between(self, chunk: str, left: str, ahead: str, a: int, b: int, middle: np.ndarray | None = None) -> np.ndarray:
-        """Ids of a chunk from boundary state ``a`` to boundary state ``b``; ``middle``: as ``transfer``'s ids."""
+    def between(self, chunk: str, left: str, ahead: str, a: int, b: int, edges: tuple | None = None,
+                middle: np.ndarray | None = None) -> np.ndarray:
+        """Ids of a chunk from boundary state ``a`` to boundary state ``b``."""
         n, v = len(chunk), self.vocab
         if a >= n:
             return np.array([], "<u4")
-        first, last_cut, reach = self.edges(chunk, left, ahead)
+        first, last_cut, reach = edges or self.edges(chunk, left, ahead)
         whole = chunk + ahead
         if first is None or first < a:
             _, last = self._stopped(whole, n, reach, a)
@@ -387,11 +388,13 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         enc = encoder(model_path)
         for b in pieces(batches, 64):
             rows = b.to_pylist()
-            ids = [enc.middle(r["text"], r["lead"], r["ahead"]) for r in rows]
-            m = [enc.transfer(r["text"], r["lead"], r["ahead"], x).astype("<f8").tobytes() for r, x in zip(rows, ids)]
+            edges = [enc.edges(r["text"], r["lead"], r["ahead"]) for r in rows]
+            ids = [enc.middle(r["text"], e) for r, e in zip(rows, edges)]
+            m = [enc.transfer(r["text"], r["lead"], r["ahead"], e, x).astype("<f8").tobytes() for r, e, x in zip(rows, edges, ids)]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array(m, pa.binary())],
-                [*b.schema.names, "middle", "matrix"])
+                [*b.columns, *[pa.array(c, pa.int32()) for c in zip(*edges)],
+                 pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array(m, pa.binary())],
+                [*b.schema.names, "first", "last", "reach", "middle", "matrix"])
 
     def states(table):
         t = table.sort_by("chunk")
@@ -404,8 +407,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         enc = encoder(model_path)
         for b in pieces(batches, 64):
             rows = b.to_pylist()
-            ids = [enc.between(r["text"], r["lead"], r["ahead"], r["state_in"], r["state_out"], np.frombuffer(r["middle"], "<u4"))
-                   for r in rows]
+            ids = [enc.between(r["text"], r["lead"], r["ahead"], r["state_in"], r["state_out"],
+                               (r["first"], r["last"], r["reach"]), np.frombuffer(r["middle"], "<u4")) for r in rows]
             same = [enc.vocab.decode(x.tolist()) == (r["text"] + r["ahead"])[r["state_in"]: len(r["text"]) + r["state_out"]].encode()
                     for x, r in zip(ids, rows)]
             yield _rows(b.column("uid"), b.column("doc_id"), b.column("chunk"), ids, same)
@@ -414,8 +417,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     chunks = (large.withColumn("uid", F.monotonically_increasing_id())
               .mapInArrow(cut, "uid long, doc_id long, chunk int, lead string, text string, ahead string"))
     weighed = store(chunks.repartition(n, "uid", "chunk").mapInArrow(
-        weigh, "uid long, doc_id long, chunk int, lead string, text string, ahead string, middle binary, matrix binary"),
-        "spm-chunks")
+        weigh, "uid long, doc_id long, chunk int, lead string, text string, ahead string, first int, last int, reach int, "
+               "middle binary, matrix binary"), "spm-chunks")
     # a matrix is a few kilobytes for each CHUNK characters of one document
     path = weighed.select("uid", "chunk", "matrix").groupBy("uid").applyInArrow(
         states, "uid long, chunk int, state_in int, state_out int")
