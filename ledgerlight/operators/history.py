@@ -1,11 +1,11 @@
 """Type-2 history from an observation log (K14, F6, C9), skew-proof.
 
 A plain ``lag``/``lead`` over ``partition by entity`` puts an entity's whole log in one
-task. Here the log is range-partitioned by (entity, time, tiebreak), which splits a hot
-entity over many partitions, and ``lag``/``lead`` run over the range partition instead. Only the
-edge row of a partition lacks its neighbour; it comes from a table with one row per partition.
-Finding the next change is the same over the change rows. No group of any size is held by
-one task, and each pass shuffles the log once.
+task. Here they run over the entity's rows of one stretch of time (a day; a month where the log has
+dates only), so a hot entity is dealt to as many groups as it has stretches. Only the edge row of a
+stretch lacks its neighbour; it comes from a table with one row per entity and stretch, in which
+stretches with rows are in order. Finding the next change is the same over the change rows. A
+pass shuffles the log once, by (entity, stretch); what else it shuffles has one row for each.
 """
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlight.session import materialize
 
@@ -24,47 +25,42 @@ def _changed(cur: list[Column], prev: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, terms)
 
 
-def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
-    """The rows with the range partition (``_pid``) they fell into. Materialized, since the
-    ranges come from a sample and every later step must see the same ones."""
-    return materialize(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()), "ranged")
-
-
-def _neighbour(s: DataFrame, order: list[str], cols: list[str], step: int, prefix: str) -> DataFrame:
-    """Attach the previous (``step=-1``) or next (``step=1``) row's ``cols`` in the global
-    order as ``{prefix}{col}``. The window holds one range partition, bounded by the shuffle;
-    edge rows take the nearest row of the nearest partition before (after) from a
-    one-row-per-partition table."""
-    within = Window.partitionBy("_pid").orderBy(*order)
-    shift = F.lag if step < 0 else F.lead
+def _neighbour(df: DataFrame, key: str, ts: str, order: list[str], cols: list[str], step: int, prefix: str,
+               stretch: str) -> DataFrame:
+    """Attach the entity's previous (``step=-1``) or next (``step=1``) row's ``cols`` as
+    ``{prefix}{col}``. Structs compare null keys and null times as equal."""
+    shift, ends = (F.lag, F.max_by) if step < 0 else (F.lead, F.min_by)
     near = F.struct(*[F.col(c) for c in cols])
-    out = s.withColumn("_near", shift(near).over(within))
-    place = F.struct(*[F.col(c) for c in order])
-    edge = s.groupBy("_pid").agg((F.max_by if step < 0 else F.min_by)(near, place).alias("_e"))
-    beyond = edge.select("_pid", shift("_e").over(Window.orderBy("_pid")).alias("_beyond"))
-    out = out.join(F.broadcast(beyond), "_pid", "left").withColumn("_near", F.coalesce("_near", "_beyond"))
+    when = F.date_trunc(stretch, F.col(ts).cast("timestamp"))
+    s = df.withColumns({"_key": F.struct(F.col(key)), "_when": when}).withColumn("_g", F.struct("_key", "_when"))
+    edge = s.groupBy("_g").agg(ends(near, F.struct(*[F.col(c) for c in order])).alias("_e"))
+    stretches = Window.partitionBy("_g._key").orderBy("_g._when")
+    beyond = edge.select(F.col("_g").alias("_h"), shift("_e").over(stretches).alias("_beyond"))
+    out = s.withColumn("_near", shift(near).over(Window.partitionBy("_g").orderBy(*order)))
+    out = out.join(beyond, F.col("_g") == F.col("_h"), "left").withColumn("_near", F.coalesce("_near", "_beyond"))
     return out.withColumns({f"{prefix}{c}": F.col("_near")[c] for c in cols} | {
-        f"_has{prefix}": F.col("_near").isNotNull()}).drop("_near", "_beyond")
+        f"_has{prefix}": F.col("_near").isNotNull()}).drop("_near", "_beyond", "_key", "_when", "_g", "_h")
 
 
 def scd2(df: DataFrame, key: str, tracked: list[str], ts: str, stop: Column,
          tiebreak: list[str] | None = None, valid_from: str = "valid_from", valid_to: str = "valid_to",
-         is_current: str = "is_current") -> DataFrame:
+         is_current: str = "is_current", stretch: str | None = None) -> DataFrame:
     """Compress an observation log to validity periods.
 
     A row starts a period when any tracked value differs from the previous observation
     of the same key (ordered by ``ts`` then ``tiebreak``; null keys are one key).
     ``valid_to`` is the start of the next period, or ``stop`` (a scalar, e.g. the latest
-    observation time) for the open one, which is flagged ``is_current``.
+    observation time) for the open one, which is flagged ``is_current``. ``stretch`` (a unit of
+    ``date_trunc``): how much of an entity's time one group holds.
     """
     tiebreak = tiebreak or []
-    order = [key, ts, *tiebreak]
+    order = [ts, *tiebreak]
     cols = list(dict.fromkeys([key, *tracked, ts, *tiebreak]))
-    s = _neighbour(_ranged(df.select(*cols), order), order, [key, *tracked], -1, "_prev_")
-    same = F.col("_prev_" + key).eqNullSafe(F.col(key)) & F.col("_has_prev_")
-    prev = [F.when(same, F.col(f"_prev_{c}")) for c in tracked]
-    changes = s.where(_changed([F.col(c) for c in tracked], prev)).select(*cols)
-    c = _neighbour(_ranged(changes, order), order, [key, ts], 1, "_next_")
-    nxt = F.when(F.col("_next_" + key).eqNullSafe(F.col(key)) & F.col("_has_next_"), F.col(f"_next_{ts}"))
+    stretch = stretch or ("month" if isinstance(df.schema[ts].dataType, T.DateType) else "day")
+    s = _neighbour(df.select(*cols), key, ts, order, tracked, -1, "_prev_", stretch)
+    prev = [F.when(F.col("_has_prev_"), F.col(f"_prev_{c}")) for c in tracked]
+    changes = materialize(s.where(_changed([F.col(c) for c in tracked], prev)).select(*cols), "changes")
+    c = _neighbour(changes, key, ts, order, [ts], 1, "_next_", stretch)
+    nxt = F.when(F.col("_has_next_"), F.col(f"_next_{ts}"))
     return c.select(key, *tracked, F.col(ts).alias(valid_from), F.coalesce(nxt, stop).alias(valid_to),
                     nxt.isNull().alias(is_current), *[F.col(t) for t in tiebreak])

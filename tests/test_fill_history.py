@@ -61,10 +61,10 @@ def naive_scd2(rows, stop):
     return sorted(out, key=str)
 
 
-def run_scd2(spark, rows):
+def run_scd2(spark, rows, stretch=None):
     df = spark.createDataFrame(rows, "k long, size string, name string, t timestamp, tb long")
     stop = df.agg(F.max("t")).scalar()
-    out = scd2(df, "k", ["size", "name"], "t", stop, tiebreak=["tb"])
+    out = scd2(df, "k", ["size", "name"], "t", stop, tiebreak=["tb"], stretch=stretch)
     return sorted(((r.k, r.size, r.name, r.valid_from, r.valid_to, r.is_current) for r in out.collect()), key=str)
 
 
@@ -101,25 +101,27 @@ def test_scd2_random_logs_match_naive(spark):
     assert run_scd2(spark, rows) == naive_scd2(rows, stop)
 
 
-def test_scd2_sorted_splits_a_hot_key_over_partitions(spark):
+def test_scd2_splits_a_hot_key_by_stretches_of_time(spark):
     rnd = random.Random(11)
     t0 = ts("2024-01-01 00:00:00")
-    # key 1 holds most rows, all inside one hour bucket
+    # key 1 holds most rows, all inside one hour
     rows = [(1, rnd.choice(["S", "M"]), "a", t0 + dt.timedelta(seconds=rnd.randint(0, 3000)), i) for i in range(900)]
     rows += [(k, rnd.choice(["S", "M"]), "b", t0 + dt.timedelta(minutes=rnd.randint(0, 600)), 1000 + i)
              for i, k in enumerate(rnd.choices([2, 3, 4], k=100))]
     stop = max(r[3] for r in rows)
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        from ledgerlight.operators.history import _ranged
-        df = spark.createDataFrame(rows, "k long, size string, name string, t timestamp, tb long")
-        parts = _ranged(df, ["k", "t", "tb"]).where("k = 1").select("_pid").distinct().count()
-        assert parts > 4                       # the hot key is split over many sorted partitions
-        assert run_scd2(spark, rows) == naive_scd2(rows, stop)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = naive_scd2(rows, stop)
+    for stretch in ("minute", "hour", "day", "year"):
+        assert run_scd2(spark, rows, stretch) == want, stretch
+
+
+def test_scd2_shuffles_the_log_once_a_pass(spark, tmp_path):
+    from ledgerlight.operators.history import _neighbour
+    df = spark.createDataFrame([(1, "S", ts("2024-01-01 00:00:00"), 1)], "k long, size string, t timestamp, tb long")
+    df.write.parquet(f"{tmp_path}/log")
+    out = _neighbour(spark.read.parquet(f"{tmp_path}/log"), "k", "t", ["t", "tb"], ["size"], -1, "_prev_", "day")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    rows, edges, months, back = 1, 1, 1, 1  # the log, its edges by (key, day), by key, and back to (key, day)
+    assert plan.count("Exchange hashpartitioning") <= rows + edges + months + back, plan
 
 
 def test_first_per_key_dedup(spark):
