@@ -147,8 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def features(batches):
         for b in pieces(batches):
-            found = [words(t) for t in b.column("text").to_pylist()]
-            twin = [swapped(f, i) if f & SWAPS.keys() else None for f, i in zip(found, b.column("doc_id").to_pylist())]
+            texts = b.column("text").to_pylist()
+            found = [words(t) for t in texts]
+            twin = [swapped(f, zlib.crc32(t.encode())) if f & SWAPS.keys() else None for f, t in zip(found, texts)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("y"), pa.array([slots(f) for f in found], pa.list_(pa.int32())),
                  pa.array([None if f is None else slots(f) for f in twin], pa.list_(pa.int32()))],

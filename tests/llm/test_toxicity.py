@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -80,3 +82,17 @@ def test_rows_that_repeat_an_id_teach_as_one(spark, docs_of, monkeypatch):
     a = tox.train(docs_of(rows + again), labels, sample=60)
     b = tox.train(docs_of((rows + again)[::-1]).repartition(3), labels, sample=60)
     assert seen == [60, 60] and (a.weights == b.weights).all() and a.intercept == b.intercept
+
+
+def test_ids_are_no_input(spark, docs_of):
+    """The same texts under other ids of the same fold give the same scores."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["women", "men", "plain", "vermin", "walk", "tree", "muslim", "gay"], 12)) for _ in range(200)]
+    open_ids = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 4 != 2]
+
+    def scores(ids):
+        labels = spark.createDataFrame([(i, int("vermin" in t)) for i, t in zip(ids, texts)], "doc_id long, toxic int")
+        model = tox.train(docs_of(list(zip(ids, texts))), labels)
+        return [model.score(t) for t in texts]
+
+    assert np.allclose(scores(open_ids[:200]), scores(open_ids[1000:1200]), atol=1e-3)
