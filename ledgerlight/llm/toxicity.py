@@ -3,9 +3,12 @@
 Features are the distinct words of a text (lower case, hashed to SLOTS), so a text's length
 or repeated words carry no weight. Weights minimise the log loss, plus an L1 term that
 leaves words without evidence at 0, plus the counterfactual term: every training text
-with a neutral identity term is paired with the same text with the term swapped for
-another of its group, and the squared difference of the two scores is penalised. Naming a
-group then moves no score, though the words about it may.
+with a neutral identity term is paired with the same text with the term swapped for each
+other of its group, and the squared difference of the two scores is penalised. A training text
+without such a term gets one after its last word, the terms of all groups in turn, and is paired with
+itself with the next term of that group; so every group is compared in every fit. Naming a
+group then moves no score, though the words about it may. The groups are a parameter; the
+given ones are in English, Spanish, French and German.
 
 The fit uses a bounded sample: the SAMPLE labelled rows with the smallest hash of doc_id; the
 driver gets their slot numbers, never a text. Scoring reads every text whole.
@@ -17,7 +20,7 @@ without any); repeated rows each give a row; an empty table gives no rows; other
 """
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +35,8 @@ SLOTS = 1 << 18
 SAMPLE = 12_000
 LEAST_ROWS = 3  # words in fewer rows get no weight
 COMMON = 0.3  # words in a larger share of the rows take shorter steps, so that they slow no other word
-LAMBDA_SWAP = 1.0
+LAMBDA_SWAP = 1.0  # of the mean squared change over the pairs found, and over those joined for each group
+TERM_STEP = 0.1  # identity terms take shorter steps, so that the penalty slows no other word
 LAMBDA_L1 = 1e-4
 STEPS = 300
 MISS_WEIGHT = 2.0  # a toxic row counts this much in the loss
@@ -48,8 +52,16 @@ IDENTITY_GROUPS = [
     ("african", "american", "european", "mexican", "chinese", "indian"),
     ("immigrant", "refugee", "citizen"), ("immigrants", "refugees", "citizens"),
     ("deaf", "blind", "disabled"), ("old", "young"),
+    ("mujeres", "hombres", "niñas", "niños"), ("mujer", "hombre"), ("lesbiana", "heterosexual", "homosexual"),
+    ("musulmanes", "cristianos", "judíos", "budistas", "ateos"), ("negros", "blancos", "asiáticos", "latinos"),
+    ("inmigrantes", "refugiados", "ciudadanos"), ("sordos", "ciegos", "discapacitados"), ("viejos", "jóvenes"),
+    ("femmes", "hommes", "filles", "garçons"), ("femme", "homme"), ("lesbienne", "hétérosexuel", "homosexuel"),
+    ("musulmans", "chrétiens", "juifs", "bouddhistes", "athées"), ("noirs", "blancs", "asiatiques"),
+    ("immigrés", "réfugiés", "citoyens"), ("sourds", "aveugles", "handicapés"), ("vieux", "jeunes"),
+    ("frauen", "männer", "mädchen", "jungen"), ("frau", "mann"), ("lesbisch", "schwul", "heterosexuell"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"), ("schwarze", "weiße", "asiaten"),
+    ("einwanderer", "flüchtlinge", "bürger"), ("gehörlose", "blinde", "behinderte"), ("alte", "junge"),
 ]
-SWAPS = {t: [x for x in g if x != t] for g in IDENTITY_GROUPS for t in g}
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -65,15 +77,32 @@ def slots(found: set[str]) -> np.ndarray:
     return np.unique(np.fromiter(map(slot, found), np.int32, len(found)))
 
 
-def swapped(found: set[str], seed: int) -> set[str]:
-    """The words after every identity term has become another of its group."""
-    return {SWAPS[w][(seed + zlib.crc32(w.encode())) % len(SWAPS[w])] if w in SWAPS else w for w in found}
+def group_of(groups: Sequence[Sequence[str]]) -> dict[str, tuple[Sequence[str], int]]:
+    """Each term's group and its place there; a term of several groups counts for the first."""
+    out: dict[str, tuple[Sequence[str], int]] = {}
+    for g in groups:
+        if len(g) > 1:
+            for k, term in enumerate(g):
+                out.setdefault(term, (g, k))
+    return out
+
+
+SWAPS = group_of(IDENTITY_GROUPS)
+
+
+def twins(found: set[str], swaps: dict[str, tuple[Sequence[str], int]]) -> list[set[str]]:
+    """The words with every identity term swapped: once for each other term of the largest group met."""
+    named = found & swaps.keys()
+    turns = max((len(swaps[w][0]) - 1 for w in named), default=0)
+    return [(found - named) | {g[(k + 1 + turn % (len(g) - 1)) % len(g)] for g, k in (swaps[w] for w in named)}
+            for turn in range(turns)]
 
 
 @dataclass
 class Model:
     weights: np.ndarray  # float32[SLOTS]
     intercept: float
+    n_pairs: int = 0  # counterfactual pairs of the fit
 
     def score(self, text: str) -> float:
         z = self.intercept + float(self.weights[slots(words(text))].sum())
@@ -84,30 +113,51 @@ def _log_loss_gradient(z, y):
     return 1 / (1 + np.exp(-np.clip(z, -50, 50))) - y
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, twins: dict[int, np.ndarray], lambda_swap: float = LAMBDA_SWAP,
+Pair = tuple[np.ndarray, np.ndarray, float]  # slots that a swap takes away and brings, and its weight in the penalty
+
+
+def joined_pairs(rows: list[np.ndarray], order: np.ndarray, groups: Sequence[Sequence[str]]) -> list[Pair]:
+    """Rows (those of ``order``, in that order) with a term put after them, and the same with the next term of its group.
+    Rows and neighbouring terms are dealt out in turn until both are used up; each group weighs 1."""
+    swaps = [(i, slot(a), slot(b)) for i, g in enumerate(groups) if len(g) > 1 for a, b in zip(g, [*g[1:], g[0]])]
+    if not len(order) or not swaps:
+        return []
+    dealt = [(rows[order[k % len(order)]], *swaps[k % len(swaps)]) for k in range(max(len(order), len(swaps)))]
+    times = np.bincount([i for _, i, _, _ in dealt])
+    return [(np.setdiff1d([a], r), np.setdiff1d([b], r), 1.0 / times[i]) for r, i, a, b in dealt]
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, pairs: Sequence[Pair], lambda_swap: float = LAMBDA_SWAP,
         l1: float = LAMBDA_L1, steps: int = STEPS) -> Model:
-    """Accelerated proximal gradient over sparse rows. ``twins``: the swapped text of a row."""
+    """Accelerated proximal gradient over sparse rows. A pair adds ``lambda_swap`` times its weight times the
+    squared change of the linear score under its swap."""
     y = labels.astype(float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros(SLOTS, np.float32), float(np.log((share + 1e-12) / (1 - share + 1e-12))))
+        return Model(np.zeros(SLOTS, np.float32), float(np.log((share + 1e-12) / (1 - share + 1e-12))), len(pairs))
     n, weight = len(rows), np.where(y > 0, MISS_WEIGHT, 1.0)
     seen = np.bincount(np.concatenate(rows), minlength=SLOTS)
     kept = seen >= LEAST_ROWS
-    rows, twins = [r[kept[r]] for r in rows], {i: r[kept[r]] for i, r in twins.items()}
-    used, flat = np.unique(np.concatenate([*rows, *twins.values()]), return_inverse=True)
-    owner = np.repeat(np.arange(n + len(twins)), [len(r) for r in [*rows, *twins.values()]])
-    at = np.fromiter(twins, np.int64, len(twins))
-    product = lambda w: np.bincount(owner, w[flat], n + len(twins))
-    back = lambda g: np.bincount(flat, g[owner], len(used))
-    # steps that descend: the loss's curvature is at most its row norms / 4, by power iteration over scaled words
+    rows = [r[kept[r]] for r in rows]
+    # a pair's row holds +1 for a slot it loses and -1 for one it gains
+    sides = [x[kept[x]] for lost, gained, _ in pairs for x in (lost, gained)]
+    used, flat = np.unique(np.concatenate([*rows, *sides]).astype(np.int64), return_inverse=True)
+    sizes = [len(r) for r in [*rows, *sides]]
+    owner = np.repeat(np.concatenate([np.arange(n), n + np.arange(len(sides)) // 2]), sizes)
+    sign = np.repeat(np.concatenate([np.ones(n), np.tile([1.0, -1.0], len(pairs))]), sizes)
+    cost = lambda_swap * np.array([c for _, _, c in pairs], float)
+    product = lambda w: np.bincount(owner, w[flat] * sign, n + len(pairs))
+    back = lambda g: np.bincount(flat, g[owner] * sign, len(used))
+    # steps that descend: the curvature of loss and penalty over scaled words, by power iteration
     common = seen[used] > COMMON * n
     scale = np.where(common, COMMON * n / np.maximum(seen[used], 1) / np.sqrt(max(1, common.sum())), 1.0)
+    scale[flat[owner >= n]] = np.minimum(scale[flat[owner >= n]], TERM_STEP)
+    curve = np.concatenate([np.full(n, 0.25 * MISS_WEIGHT / n), 4 * cost])
     v = np.ones(len(used))
     for _ in range(12):
-        v /= np.linalg.norm(v)
-        v = np.sqrt(scale) * back(product(np.sqrt(scale) * v))
-    step_b = 1.0 / ((0.25 * MISS_WEIGHT / n + (4 * lambda_swap / max(1, len(twins)) if twins else 0)) * (np.linalg.norm(v) + n))
+        v /= max(np.linalg.norm(v), 1e-300)
+        v = np.sqrt(scale) * back(curve * product(np.sqrt(scale) * v))
+    step_b = 1.0 / (np.linalg.norm(v) + 0.25 * MISS_WEIGHT)
     step = step_b * scale
     w, b, prior, prior_b, t = np.zeros(len(used)), float(np.log(y.mean() / (1 - y.mean()))), np.zeros(len(used)), None, 1.0
     prior_b = b
@@ -116,20 +166,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, twins: dict[int, np.ndarray]
         m = (t - 1) / t_next
         u, ub = w + m * (w - prior), b + m * (b - prior_b)
         s = product(u)
-        g = np.zeros(n + len(twins))
-        g[:n] = weight * _log_loss_gradient(s[:n] + ub, y) / n
+        g = np.concatenate([weight * _log_loss_gradient(s[:n] + ub, y) / n, 2 * cost * s[n:]])
         gb = g[:n].sum()
-        if twins:
-            d = 2 * lambda_swap * (s[at] - s[n:]) / len(twins)
-            np.add.at(g, at, d)
-            g[n:] -= d
         z = u - step * back(g)
         prior, prior_b, t = w, b, t_next
         w = np.sign(z) * np.maximum(np.abs(z) - step * l1, 0)
         b = ub - step_b * gb
     out = np.zeros(SLOTS, np.float32)
     out[used] = w
-    return Model(out, float(b))
+    return Model(out, float(b), len(pairs))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -138,8 +183,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", sample: int = SAMPLE, lambda_swap: float = LAMBDA_SWAP) -> Model:
-    """Fit on at most ``sample`` labelled rows outside the held-out fold."""
+          label_col: str = "toxic", sample: int = SAMPLE, lambda_swap: float = LAMBDA_SWAP,
+          groups: Sequence[Sequence[str]] = IDENTITY_GROUPS) -> Model:
+    """Fit on at most ``sample`` labelled rows outside the held-out fold; terms of ``groups`` in lower case."""
+    swaps = group_of(groups)
     marks = (labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y"))
              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2").drop("y2"))
@@ -147,23 +194,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def features(batches):
         for b in pieces(batches):
-            texts = b.column("text").to_pylist()
-            found = [words(t) for t in texts]
-            twin = [swapped(f, zlib.crc32(t.encode())) if f & SWAPS.keys() else None for f, t in zip(found, texts)]
+            found = [words(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("y"), pa.array([slots(f) for f in found], pa.list_(pa.int32())),
-                 pa.array([None if f is None else slots(f) for f in twin], pa.list_(pa.int32()))],
-                ["doc_id", "y", "slots", "twin"])
+                [b.column("doc_id"), b.column("y"), b.column("h"), pa.array([slots(f) for f in found], pa.list_(pa.int32())),
+                 pa.array([[slots(x) for x in twins(f, swaps)] for f in found], pa.list_(pa.list_(pa.int32())))],
+                ["doc_id", "y", "h", "slots", "twins"])
 
     # rows that repeat an id teach as one, of the text with the smallest hash: at most ``sample`` rows
     once = (texts_of(docs, id_col, text_col).join(F.broadcast(bounded), "doc_id")
             .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("m"))
-            .select("doc_id", "m.text", "m.y"))
-    rows = (once.mapInArrow(features, "doc_id long, y int, slots array<int>, twin array<int>")
+            .select("doc_id", "m.h", "m.text", "m.y"))
+    rows = (once.mapInArrow(features, "doc_id long, y int, h long, slots array<int>, twins array<array<int>>")
             .toArrow().sort_by("doc_id"))
     x = [np.asarray(r, np.int32) for r in rows.column("slots").to_pylist()]
-    twins = {i: np.asarray(r, np.int32) for i, r in enumerate(rows.column("twin").to_pylist()) if r is not None}
-    return fit(x, rows.column("y").to_numpy(), twins, lambda_swap)
+    swapped = [[np.asarray(r, np.int32) for r in t] for t in rows.column("twins").to_pylist()]
+    found = [(np.setdiff1d(r, r2), np.setdiff1d(r2, r)) for r, t in zip(x, swapped) for r2 in t]
+    pairs = [(lost, gained, 1.0 / len(found)) for lost, gained in found]
+    nameless = np.array([not t for t in swapped], bool)
+    order = np.argsort(rows.column("h").to_numpy(), kind="stable")  # by a hash of the text
+    pairs += joined_pairs(x, order[nameless[order]], groups)
+    return fit(x, rows.column("y").to_numpy(), pairs, lambda_swap)
 
 
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:

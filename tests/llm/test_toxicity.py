@@ -96,3 +96,59 @@ def test_ids_are_no_input(spark, docs_of):
         return [model.score(t) for t in texts]
 
     assert np.allclose(scores(open_ids[:200]), scores(open_ids[1000:1200]), atol=1e-3)
+
+
+def objective(rows, y, pairs, w, b, lam, l1):
+    """The loss that fit minimises, over dense rows."""
+    z = rows @ w + b
+    loss = np.where(y > 0, tox.MISS_WEIGHT, 1.0) * (np.logaddexp(0, z) - y * z)
+    return loss.mean() + l1 * np.abs(w).sum() + lam * sum(c * (d @ w) ** 2 for d, c in pairs)
+
+
+def test_fit_reaches_the_optimum_of_a_dense_solver():
+    rng = np.random.default_rng(11)
+    n, k = 300, 12
+    dense = (rng.random((n, k)) < 0.3).astype(float)
+    y = (dense[:, 0] + 0.8 * dense[:, 1] + rng.random(n) > 1.1).astype(int)
+    swap = [(0, 5), (1, 6), (5, 6)]
+    pairs = [(np.array([a]), np.array([b]), 0.5) for a, b in swap]
+    got = tox.fit([np.flatnonzero(r).astype(np.int32) for r in dense], y, pairs, 0.05, 1e-3, 2000)
+    diff = [(np.eye(k)[a] - np.eye(k)[b], 0.5) for a, b in swap]
+    w, b = np.zeros(k), 0.0
+    for _ in range(40_000):  # plain proximal gradient
+        g = np.where(y > 0, tox.MISS_WEIGHT, 1.0) * (1 / (1 + np.exp(-(dense @ w + b))) - y) / n
+        u = w - 0.1 * (dense.T @ g + sum(2 * 0.05 * c * (d @ w) * d for d, c in diff))
+        w, b = np.sign(u) * np.maximum(np.abs(u) - 0.1 * 1e-3, 0), b - 0.1 * g.sum()
+    assert np.allclose(got.weights[:k], w, atol=0.02) and abs(got.intercept - b) < 0.02
+    assert objective(dense, y, diff, got.weights[:k].astype(float), got.intercept, 0.05, 1e-3) < \
+        objective(dense, y, diff, w, b, 0.05, 1e-3) + 1e-4
+
+
+def test_every_other_term_is_a_twin():
+    swaps = tox.group_of([("a", "b", "c"), ("x", "y"), ("a", "z"), ("alone",)])
+    assert tox.twins({"w", "a"}, swaps) == [{"w", "b"}, {"w", "c"}]
+    assert tox.twins({"a", "x"}, swaps) == [{"b", "y"}, {"c", "y"}]
+    assert tox.twins({"w", "alone"}, swaps) == [] and tox.twins(set(), swaps) == []
+
+
+def test_pairs_take_part_in_every_fit(spark, docs_of):
+    """Without any identity term in the texts, each group's neighbours are still compared."""
+    rows = [(i, t.replace("gay", "").replace("straight", "")) for i, t, _ in corpus(300)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in corpus(300)], "doc_id long, toxic int")
+    neighbours = sum(len(g) for g in tox.IDENTITY_GROUPS)
+    assert tox.train(docs_of(rows), labels).n_pairs >= neighbours
+    assert tox.train(docs_of(rows[:9]), labels).n_pairs == neighbours
+    assert tox.train(docs_of([]), labels).n_pairs == 0
+    # a word that a term shares its slot with would carry its weight to the term: the penalty takes it away
+    term = "vermin"
+    taken = [("neutral", term)]
+    plain = tox.train(docs_of(rows), labels, lambda_swap=0.0, groups=taken)
+    fair = tox.train(docs_of(rows), labels, lambda_swap=10.0, groups=taken)
+    text = "wab wbc"
+    gap = lambda m: abs(m.score(text + " " + term) - m.score(text + " neutral"))
+    assert gap(plain) > 0.2 and gap(fair) < gap(plain) / 4
+
+
+def test_the_registered_fit_compares_groups(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    assert tox.train(docs, labels).n_pairs >= sum(len(g) for g in tox.IDENTITY_GROUPS)
