@@ -68,3 +68,79 @@ def test_long_items_are_cut(spark, docs_of):
     docs = [(i, "a b c " + " ".join(words[i: i + 15]) + " d") for i in range(0, 8985, 400)]
     got = {r.doc_id for r in dec.contaminated(dec.overlaps(docs_of(docs), bench)).collect()}
     assert got == {i for i, _ in docs}
+
+
+def runs(longest):
+    """Every run that can be an overlap, as bits of equal words: each beginning and each end of it scores above 0."""
+    out, open_ = [], [((1,), 1, 0, 1)]
+    while open_:
+        bits, score, top, equal = open_.pop()
+        if equal >= dec.MIN_MATCH and score > top:
+            out.append("".join(map(str, bits)))
+        if len(bits) < longest:
+            for b in (0, 1):
+                s = score + (1 if b else -dec.PENALTY)
+                if s > 0:
+                    open_.append(((*bits, b), s, max(top, score), equal + b))
+    return out
+
+
+def looked_at(run):
+    n = int(run, 2)
+    return any((n >> k) & int(m, 2) == int(m, 2) for m in dec.MASKS for k in range(len(run) - dec.SPAN + 1))
+
+
+def test_masks_miss_no_run():
+    found = runs(17)
+    assert len(found) > 400 and all(map(looked_at, found))
+    # of any length: runs without a hit are followed by their last words, score and highest score, which are finitely many
+    masks = [int(m, 2) for m in dec.MASKS]
+    start = (1, 1, 1, 0, 1)
+    seen, open_ = {start}, [start]
+    while open_:
+        last, size, score, top, equal = open_.pop()
+        assert not (equal >= dec.MIN_MATCH and score > top)
+        for b in (0, 1):
+            nxt = (last << 1 | b) & 511
+            s = score + (1 if b else -dec.PENALTY)
+            state = (nxt, min(9, size + 1), s, max(top, score), min(dec.MIN_MATCH, equal + b))
+            if s > 0 and not (size >= 8 and any(nxt & m == m for m in masks)) and state not in seen:
+                seen.add(state)
+                open_.append(state)
+        assert len(seen) < 100_000
+
+
+def test_repeated_words_take_linear_memory_and_seconds():
+    import time
+    t0 = time.time()
+    text = dec.Text(dec.Codes().of(["again"] * 20_000))
+    item = dec.Codes().of(["again"] * dec.MAX_WORDS)
+    assert len(text.diagonals(item)) == 20_000 + dec.MAX_WORDS - 2 * dec.SPAN + 1 and time.time() - t0 < 20
+    assert max(e - s for s, e, _, _ in text.overlaps(item, dec.MIN_MATCH, True)) == dec.MAX_WORDS and time.time() - t0 < 40
+    both = dec.Text(dec.Codes().of(["a", "b"] * 50))
+    item = dec.Codes().of(["a", "b"] * 10)
+    listed, dec.LISTED = both.diagonals(item).tolist(), 0
+    try:
+        assert both.diagonals(item).tolist() == listed
+    finally:
+        dec.LISTED = 1 << 20
+
+
+def test_short_items_match_whole(spark, docs_of):
+    items = [(n, " ".join(f"k{n}x{j}" for j in range(n))) for n in range(1, 13)] + [(20, "長い文章の問題です今日は")]
+    docs = [(n, f"start {t} and more") for n, t in items] + [(100 + n, "start " + " ".join(t.split()[:-1]) + " other") for n, t in items[:9]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dec.contaminated(dec.overlaps(docs_of(docs), bench)).collect()}
+    assert got == {(n, n) for n in [*range(dec.MIN_WHOLE, 13), 20]}
+    kept = {r.doc_id for r in dec.keep_clean(docs_of(docs), bench).collect()}
+    assert kept == {i for i, _ in docs} - {i for i, _ in got}
+
+
+def test_a_text_that_repeats_under_many_ids(spark, docs_of):
+    passage = " ".join(f"p{j}" for j in range(30))
+    docs = [(i, "x " + passage) for i in range(400)] + [(500, "x y z"), (None, None)]
+    bench = spark.createDataFrame([(1, passage), (2, passage)], "item_id long, text string")
+    found = dec.contaminated(dec.overlaps(docs_of(docs), bench)).collect()
+    assert {(r.doc_id, r.item_id, r.n_equal) for r in found} == {(i, k, 30) for i in range(400) for k in (1, 2)}
+    clean = dec.keep_clean(docs_of(docs), bench)
+    assert clean.columns == docs_of(docs).columns and {r.doc_id for r in clean.collect()} == {500, None}
