@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import (alignment, bitplanes, debruijn, decontaminate, jaccard, lexical, packing, secrets, spm,
-                             suffix_dedup, topk, toxicity, url_filter)
+from ledgerlight.llm import (alignment, bitplanes, debruijn, decontaminate, duplicate_sql, jaccard, lexical, packing, secrets,
+                             spm, suffix_dedup, topk, toxicity, url_filter)
 from ledgerlight.llm.common import read_table
 
 
@@ -92,6 +92,9 @@ WHERE rank <= 20"""
 
 ORACLE_SQL: dict[str, str] = {
     "op4_url_filters": url_filter.oracle_sql(),
+    "op5_substring_dedup": duplicate_sql.substring_sql(),
+    "op6_suffix_array_dedup": duplicate_sql.bytes_sql(),
     "op9_exact_top_k": TOP_K_SQL,
+    "op10_ngram_jaccard_join": duplicate_sql.jaccard_sql(),
     "op12_ranked_lexical_search": lexical.oracle_sql(),
 }
