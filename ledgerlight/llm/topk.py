@@ -4,12 +4,16 @@ Rows are cut into blocks that carry an inverted index (term -> rows of the block
 term, and their weights). A block of queries meets a block of rows in one task: for each
 term the queries' weights are scattered over the term's postings into a dense array of
 scores, the best k of the block are selected by partition, and the winners of all blocks
-are merged by rank. A task holds QUERY_BLOCK x ROW_BLOCK scores at most, whatever the input.
+are merged by rank. A task holds QUERY_BLOCK x ROW_BLOCK scores at most, whatever the input. Query blocks
+travel in groups of up to GROUP: a cell is one block of rows, shuffled once a group, and the group's query
+blocks, which stream past it one after the other.
 
 Defined cases: vectors that are null, empty or hold a null or non-finite component take no
 part; vectors of different lengths meet on the terms they share; equal scores rank by
 smaller vec_id; a query's own vec_id is no candidate, so rows that repeat an id don't find
-each other; repeated rows of one id are one row; an empty table gives no rows.
+each other; repeated rows of one id and vector are one row, rows that repeat an id with other vectors are
+candidates of their own (of such an id the smallest vector asks); scores that could pass 64 bits end the job
+with an error; an empty table gives no rows.
 """
 from __future__ import annotations
 
@@ -19,29 +23,29 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import partitions_for, ship, store
+from ledgerlight.llm.common import partitions_for, pieces, ship, store
 
 QUERY_BLOCK = 256
+GROUP = 64
 ROW_BLOCK = 8192
 SCALE = 64.0
 
 
 def quantized(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """(id, w): floor(scale * x) of every component, for the vectors that take part."""
+    """(id, w): floor(scale * x) of every component, for the rows that take part."""
     v = F.transform(F.col(f"`{vec_col}`"), lambda x: x.cast("double"))
     ok = F.col(f"`{vec_col}`").isNotNull() & (F.size(F.col(f"`{vec_col}`")) > 0) & F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return (df.where(F.col(f"`{id_col}`").isNotNull() & ok)
             .select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                    F.transform(v, lambda x: F.floor(x * scale).cast("long")).alias("w"))
-            .groupBy("id").agg(F.min("w").alias("w")))
+                    F.transform(v, lambda x: F.floor(x * scale).cast("long")).alias("w")))
 
 
-def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Blocks of about ``size`` rows: (block, ids, dims, w) with the weights row after row.
-    A block is a hash slice of the ids, so none depends on the order of the input."""
-    n = rows.count()
-    slices = max(1, -(-n // size))
+def _blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    """Blocks of about ``size`` rows and their number: (block, ids, dims, w) with the weights row after row. A block
+    is a hash slice of ids and vectors, so none depends on the order of the input and a repeated id fills no block."""
+    rows = store(rows, f"topk-{name}-rows")
+    slices = -(-rows.count() // size)
 
     def pack(key, table):
         t = table.sort_by("id")
@@ -54,8 +58,9 @@ def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
                         schema=pa.schema([("block", pa.int32()), ("ids", pa.binary()), ("dims", pa.binary()),
                                           ("w", pa.binary())]))
 
-    return (rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-            .groupBy("block").applyInArrow(pack, "block int, ids binary, dims binary, w binary"))
+    packed = (rows.withColumn("block", F.pmod(F.xxhash64("id", "w"), F.lit(max(1, slices))).cast("int"))
+              .groupBy("block").applyInArrow(pack, "block int, ids binary, dims binary, w binary"))
+    return store(packed, f"topk-{name}"), slices
 
 
 def _matrix(dims: bytes, w: bytes) -> np.ndarray:
@@ -67,8 +72,13 @@ def _matrix(dims: bytes, w: bytes) -> np.ndarray:
 
 
 def _score_type(q: np.ndarray, c: np.ndarray) -> type:
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
-    return np.int32 if most < 2**31 else np.int64
+    most = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0)) * max(1, q.shape[1])
+    if most < 2**31:
+        return np.int32
+    n = min(q.shape[1], c.shape[1])
+    if most >= 2**62 and (np.abs(q[:, :n].astype(float)) @ np.abs(c[:, :n].astype(float)).T).max(initial=0) >= 2**62:
+        raise OverflowError("inner products pass 64 bits; use a smaller scale")
+    return np.int64
 
 
 def postings(c: np.ndarray) -> list[tuple[np.ndarray | None, np.ndarray]]:
@@ -120,38 +130,50 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id"
     """(query_id, rank, vec_id, score): the k best rows of ``df`` for every row of ``queries``."""
     spark = df.sparkSession
     ship(spark)
-    rows = store(_blocks(quantized(df, id_col, vec_col, scale), ROW_BLOCK, "rows"), "topk-rows")
-    asks = store(_blocks(quantized(queries, id_col, vec_col, scale), QUERY_BLOCK, "asks"), "topk-asks")
+    rows, n_rows = _blocks(quantized(df, id_col, vec_col, scale).distinct(), ROW_BLOCK, "rows")
+    asks, n_asks = _blocks(quantized(queries, id_col, vec_col, scale).groupBy("id").agg(F.min("w").alias("w")),
+                           QUERY_BLOCK, "asks")
+    least = partitions_for(spark, 12)
+    # small inputs go in smaller groups, so that every core has cells
+    group = max(1, min(GROUP, n_rows * n_asks // (8 * least)))
+    groups = -(-n_asks // group)
 
     def meet(batches):
-        for b in batches:
+        cid = c = parts = None
+        for b in pieces(batches, 8):
             for r in b.to_pylist():
-                cid, qid = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["q_ids"], "<i8")
-                c, q = _matrix(r["dims"], r["w"]), _matrix(r["q_dims"], r["q_w"])
-                kind = _score_type(q, c)
-                parts = [(cid[i: i + STRIPE], postings(c[i: i + STRIPE])) for i in range(0, len(cid), STRIPE)]
-                for j in range(0, len(qid), 64):
-                    ids = qid[j: j + 64]
-                    acc = np.concatenate([accumulate(q[j: j + 64], index, len(x), kind) for x, index in parts], axis=1)
+                ids, m = np.frombuffer(r["ids"], "<i8"), _matrix(r["dims"], r["w"])
+                if not r["asks"]:
+                    cid, c = ids, m
+                    parts = [postings(c[i: i + STRIPE]) for i in range(0, len(cid), STRIPE)]
+                    continue
+                kind = _score_type(m, c)
+                for j in range(0, len(ids), 64):
+                    some = ids[j: j + 64]
+                    acc = np.concatenate([accumulate(m[j: j + 64], index, len(cid[i * STRIPE: (i + 1) * STRIPE]), kind)
+                                          for i, index in enumerate(parts)], axis=1)
+                    first, end = np.searchsorted(cid, some), np.searchsorted(cid, some, "right")
+                    for i, (lo, hi) in enumerate(zip(first, end)):
+                        acc[i, lo:hi] = np.iinfo(kind).min  # the query itself comes last
                     got_q, got_c, got_s = [], [], []
-                    # one more than k: a query may meet itself
-                    for i, cols in enumerate(best(acc, k + 1)):
-                        keep = cols[cid[cols] != ids[i]]
-                        got_q.append(np.full(len(keep), ids[i]))
+                    for i, cols in enumerate(best(acc, k)):
+                        keep = cols[cid[cols] != some[i]]
+                        got_q.append(np.full(len(keep), some[i]))
                         got_c.append(cid[keep])
                         got_s.append(acc[i, keep].astype(np.int64))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(x) if x else np.array([], np.int64), pa.int64())
                          for x in (got_q, got_c, got_s)], ["query_id", "vec_id", "score"])
 
-    n_asks = asks.select(F.max("block")).first()[0]
-    grid = (rows.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(-1 if n_asks is None else n_asks),
-                                                            F.lit(1)))) if n_asks is not None
-            else rows.withColumn("q_block", F.lit(None).cast("int")).limit(0))
-    pairs = grid.join(asks.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"),
-                                  F.col("dims").alias("q_dims"), F.col("w").alias("q_w")), "q_block")
-    found = (pairs.repartition(partitions_for(spark, 12), "block", "q_block")
-             .mapInArrow(meet, "query_id long, vec_id long, score long"))
+    # a cell is a block of rows and a group of query blocks; the rows come first
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(max(1, n) - 1)))
+    data = ("ids", "dims", "w")
+    cells = (rows.select("block", upto(groups).alias("group"), F.lit(False).alias("asks"), *data)
+             .unionByName(asks.select(upto(n_rows).alias("block"), F.floor(F.col("block") / group).cast("int").alias("group"),
+                                      F.lit(True).alias("asks"), *data)))
+    n = min(max(least, n_rows * groups // 4), 200_000)
+    found = (cells.where(F.lit(n_rows > 0 and n_asks > 0)).repartition(n, "block", "group")
+             .sortWithinPartitions("block", "group", "asks").mapInArrow(meet, "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

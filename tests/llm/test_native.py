@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from ledgerlight.llm import queries, topk, url_filter
 from oracle import compare, duck
@@ -57,6 +58,31 @@ def brute_top(rows, asks, k):
     return out
 
 
+@pytest.mark.parametrize("group", [1, 3, 64])
+def test_query_blocks_travel_in_groups(spark, monkeypatch, group):
+    for name, value in (("ROW_BLOCK", 16), ("QUERY_BLOCK", 2), ("GROUP", group)):
+        monkeypatch.setattr(topk, name, value)
+    monkeypatch.setattr(topk, "partitions_for", lambda *_: 1)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 64]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.where("vec_id % 2 = 0"), 7).collect()
+    assert sorted(tuple(r) for r in got) == brute_top(rows, range(0, 120, 2), 7)
+
+
+def test_rows_that_repeat_an_id_are_candidates(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, [3.0]), (2, [2.0]), (2, [2.0]), (3, [2.5])], "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.where("vec_id < 3"), 5, scale=2.0).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 2, 12), (1, 2, 3, 10), (1, 3, 2, 8), (2, 1, 3, 20), (2, 2, 1, 8)]
+
+
+def test_scores_past_64_bits_are_refused():
+    big = np.array([[1 << 40]])
+    with pytest.raises(OverflowError):
+        topk._score_type(big, big)
+    assert topk._score_type(big, np.array([[1 << 20]])) is np.int64
+
+
 def test_top_k_edges(spark, monkeypatch):
     monkeypatch.setattr(topk, "ROW_BLOCK", 16)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
