@@ -267,7 +267,7 @@ def access_history_incremental(ctx: Context) -> DataFrame:
 
     from ledgerlight.session import shared_folder
     from ledgerlight.streaming.incremental import partition_dates, read_target, replace_dates
-    log = ctx.st.access_history().withColumn("_date", F.trunc("query_start_time", "month"))
+    log = ctx.access_history_table().withColumn("_date", F.trunc("query_start_time", "month"))
     path = shared_folder(ctx.spark, "access")
     last = log.agg(F.max("query_start_time")).first()[0]
     if last is not None:

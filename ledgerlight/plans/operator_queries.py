@@ -116,7 +116,7 @@ def s29_strip_comments(ctx: Context) -> DataFrame:
 @register("j1_explode_objects", O.J1_EXPLODE)
 def j1_explode_objects(ctx: Context) -> DataFrame:
     """Flatten the nested direct-object arrays: one row per query and object."""
-    flat = explode_objects(ctx.st.access_history(), "direct_objects_accessed",
+    flat = explode_objects(ctx.access_history(), "direct_objects_accessed",
                            ["query_id", "query_start_time"],
                            {"table_id": ("objectId", "bigint"), "object_name": ("objectName", "string"),
                             "object_domain": ("objectDomain", "string"), "columns_array": ("columns", None)})

@@ -62,6 +62,7 @@ class Context:
         self.tb = Testbed(spark, sf_dir, account)
         self.st = _StagedTables(self.tb.sources_lazy(), self)
         self._memo: dict[str, DataFrame] = {}
+        self._asked: set[str] = set()
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, account: str = ACCOUNT) -> "Context":
@@ -90,6 +91,14 @@ class Context:
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self.memo(name, lambda: materialize(build(), name))
 
+    def _table_if_shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A large table that most applications read once, for one result: its first reader gets the
+        plan, which moves only the columns and rows that the result needs; a second one has it written."""
+        if name not in self._asked and name not in self._memo:
+            self._asked.add(name)
+            return build()
+        return self._table(name, build)
+
     def daily_rates(self) -> DataFrame:
         return self._table("daily_rates", lambda: rates.daily_rates(self.st, self.account, self.as_of))
 
@@ -104,9 +113,16 @@ class Context:
         return self._table("query_history_enriched", lambda: enriched.query_history_enriched(
             self.st.query_history(), self.cost_per_query()))
 
+    def access_history(self) -> DataFrame:
+        return self._table_if_shared("stg_access_history", self.st.access_history)
+
+    def access_history_table(self) -> DataFrame:
+        """The access log for one that reads it several times."""
+        return self._table("stg_access_history", self.st.access_history)
+
     def object_access(self, kind: str) -> DataFrame:
         build = access.query_base_object_access if kind == "base" else access.query_direct_object_access
-        return self._table(f"query_{kind}_object_access", lambda: build(self.st.access_history()))
+        return self._table(f"query_{kind}_object_access", lambda: build(self.access_history()))
 
 
 QUERIES: dict[str, Query] = {}

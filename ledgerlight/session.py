@@ -102,6 +102,12 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """The size of a file, or of all files of a folder."""
+    fs, p = hadoop(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate files."""
     fs, p = hadoop(spark, path)

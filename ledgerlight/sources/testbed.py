@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.schemas import SOURCES
+from ledgerlight.session import default_parallelism, path_bytes
 
 # ---------------------------------------------------------------------------
 # Fixed values of the binding
 # ---------------------------------------------------------------------------
 ACCOUNT = "ACME"
 OTHER_ACCOUNT = "OTHER"
+LOG_TASK_BYTES = 8 * 1024 * 1024  # of line item files, for one task of the nested access log
 # (metered service type, usage type, rate-sheet service type, base rate)
 PRICE_LIST = [
     ("WAREHOUSE_METERING", "compute", "WAREHOUSE_METERING", 2.0),
@@ -312,8 +314,7 @@ class Testbed:
     # the reference's world) so that plans reusing them stay small
     MATERIALIZED = ("metering_history", "metering_daily_history", "rate_sheet_daily",
                     "remaining_balance_daily", "database_storage_usage_history",
-                    "stage_storage_usage_history", "storage_usage", "usage_in_currency_daily",
-                    "access_history")
+                    "stage_storage_usage_history", "storage_usage", "usage_in_currency_daily")
 
     def _memo(self, name, build):
         if name not in self._cache:
@@ -423,10 +424,14 @@ class Testbed:
         """One access record per line item (query = order + line number). The object
         arrays are built per row, so their size is fixed (no per-key collection); the
         supplier object appears twice with different columns and the base supplier
-        object has no column list."""
+        object has no column list. Not written: a reader joins the columns that it needs, in
+        as many tasks as the line items' files ask for, so that what a task holds of the nested
+        rows does not grow with the log."""
         def build():
-            li = self.table("lineitem")
-            od = self.table("orders").select("o_orderkey", "o_orderdate", "o_custkey")
+            n = max(default_parallelism(self.spark),
+                    -(-path_bytes(self.spark, f"{self.sf_dir}/lineitem.parquet") // LOG_TASK_BYTES))
+            li = self.table("lineitem").repartition(n, "l_orderkey")
+            od = self.table("orders").select("o_orderkey", "o_orderdate", "o_custkey").repartition(n, "o_orderkey")
             supplier_id = F.expr("CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_suppkey END")
             supplier_name = F.expr("'SUPPLIER_' || CAST(l_suppkey AS STRING)")
             supplier_domain = F.expr("CASE WHEN l_linestatus = 'O' THEN 'Table' ELSE 'View' END")

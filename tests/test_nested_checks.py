@@ -152,3 +152,28 @@ def test_variant_paths_of_drifting_types(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "r long, t string")
     got = [tuple(r) for r in explode_variant(df, "t", ["r"], {"id": ("$.id", "bigint"), "n": ("$.n", "string")}).collect()]
     assert got == [(0, 1, "a"), (0, 2, None), (0, None, None), (0, None, "5"), (0, None, None), (0, None, None)]
+
+
+def access_tables(spark, path, lines):
+    """Orders and line items of a small access log: (order, line, supplier, status, tax)."""
+    spark.createDataFrame([(o, T0, 7) for o in sorted({x[0] for x in lines})],
+                          "o_orderkey long, o_orderdate timestamp, o_custkey long").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame([(o, 70, s, n, 9.0, 0.1, tax, "N", status) for o, n, s, status, tax in lines],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, "
+                          "l_tax double, l_returnflag string, l_linestatus string").write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_access_log_is_joined_by_its_reader_in_tasks_of_bounded_input(spark, tmp_path, monkeypatch):
+    from ledgerlight.plans.operator_queries import j1_explode_objects
+    from ledgerlight.plans.registry import Context
+    from ledgerlight.sources import testbed
+    access_tables(spark, tmp_path, [(1, 1, 5, "O", 0.0), (1, 2, 6, "F", 0.0), (2, 1, 5, "O", 0.08)])
+    ctx = Context(spark, str(tmp_path))
+    first = j1_explode_objects(ctx)
+    assert all(str(tmp_path) in f for f in first.inputFiles())  # no written copy of the nested log
+    second = j1_explode_objects(ctx)
+    assert not any(str(tmp_path) in f for f in second.inputFiles())  # written for a second reader
+    assert sorted(first.collect()) == sorted(second.collect()) and first.count() == 6
+    size = sum(f.stat().st_size for f in (tmp_path / "lineitem.parquet").iterdir() if not f.name.startswith("."))
+    monkeypatch.setattr(testbed, "LOG_TASK_BYTES", size // 20)
+    assert Context(spark, str(tmp_path)).access_history().rdd.getNumPartitions() >= 20
