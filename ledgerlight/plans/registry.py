@@ -122,7 +122,7 @@ class Context:
 
     def object_access(self, kind: str) -> DataFrame:
         build = access.query_base_object_access if kind == "base" else access.query_direct_object_access
-        return self._table(f"query_{kind}_object_access", lambda: build(self.access_history()))
+        return self._table_if_shared(f"query_{kind}_object_access", lambda: build(self.access_history()))
 
 
 QUERIES: dict[str, Query] = {}

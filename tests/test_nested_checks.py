@@ -177,3 +177,17 @@ def test_access_log_is_joined_by_its_reader_in_tasks_of_bounded_input(spark, tmp
     size = sum(f.stat().st_size for f in (tmp_path / "lineitem.parquet").iterdir() if not f.name.startswith("."))
     monkeypatch.setattr(testbed, "LOG_TASK_BYTES", size // 20)
     assert Context(spark, str(tmp_path)).access_history().rdd.getNumPartitions() >= 20
+
+
+def test_table_access_is_built_in_one_pass(spark, tmp_path):
+    from ledgerlight.plans.registry import Context, load_all
+    access_tables(spark, tmp_path, [(1, 1, 5, "O", 0.0), (1, 2, 6, "F", 0.0), (2, 1, 5, "O", 0.08)])
+    queries = load_all()
+    for kind, names in (("base", ["PART_70", "PART_70"]), ("direct", ["SUPPLIER_5", "SUPPLIER_5"])):
+        ctx = Context(spark, str(tmp_path))
+        tables = queries[f"query_{kind}_table_access"].build(ctx)
+        assert all(str(tmp_path) in f for f in tables.inputFiles()), kind  # neither log nor objects were written
+        assert [r.full_table_name for r in tables.collect()] == names
+        again = queries[f"query_{kind}_object_access"].build(ctx)
+        assert not any(str(tmp_path) in f for f in again.inputFiles()), kind
+        assert again.count() == (2 if kind == "base" else 3)
