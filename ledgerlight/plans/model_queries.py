@@ -81,9 +81,8 @@ def query_history_enriched(ctx: Context) -> DataFrame:
 def query_history_enriched_bucketed(ctx: Context) -> DataFrame:
     """The same from catalog tables bucketed by query id: log and cost meet without a shuffle."""
     from ledgerlight.plans.enriched import query_history_enriched as build
-    from ledgerlight.session import save_bucketed
-    return build(save_bucketed(ctx.st.query_history(), "log", "query_id"),
-                 save_bucketed(ctx.cost_per_query(), "cost", "query_id"))
+    log = ctx.bucketed("stg_query_history", ctx.st.log_plan, "query_id")
+    return build(log, ctx.bucketed("cost_per_query", ctx.cost_plan, "query_id"))
 
 
 @register("dbt_queries",

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ledgerlight.plans import access, enriched, query_cost, rates, spend
 from ledgerlight.plans.canonical import canonical, sql_canonical
-from ledgerlight.session import ensure_conf, materialize
-from ledgerlight.sources.staging import Staged
+from ledgerlight.session import ensure_conf, materialize, save_bucketed
+from ledgerlight.operators.fill import repeated_keys
+from ledgerlight.sources.staging import Staged, first_query
 from ledgerlight.sources.testbed import ACCOUNT, Testbed
 
 
@@ -44,8 +45,12 @@ class _StagedTables(Staged):
         self._ctx = ctx
 
     def query_history(self) -> DataFrame:
-        return self._ctx.memo("stg_query_history",
-                              lambda: materialize(Staged.query_history(self), "stg_query_history"))
+        return self._ctx.memo("stg_query_history", lambda: materialize(self.log_plan(), "stg_query_history"))
+
+    def log_plan(self) -> DataFrame:
+        """The first rows of the log by a list of the ids that repeat: the log is wide, and only rows of
+        such ids are shuffled and sorted."""
+        return first_query(self.query_log(), repeated_keys(self.query_log(), ["query_id"]))
 
 
 class Context:
@@ -103,16 +108,25 @@ class Context:
         return self._table("daily_rates", lambda: rates.daily_rates(self.st, self.account, self.as_of))
 
     def cost_per_query(self) -> DataFrame:
-        return self._table("cost_per_query", lambda: query_cost.cost_per_query(self.st, self.daily_rates()))
+        return self._table("cost_per_query", self.cost_plan)
+
+    def cost_plan(self) -> DataFrame:
+        return query_cost.cost_per_query(self.st, self.daily_rates())
 
     def hourly_spend(self) -> DataFrame:
         return self._table("hourly_spend",
                            lambda: spend.hourly_spend(self.st, self.daily_rates(), self.account))
 
     def query_history_enriched(self) -> DataFrame:
-        return self._table("query_history_enriched", lambda: enriched.query_history_enriched(
+        return self._table_if_shared("query_history_enriched", lambda: enriched.query_history_enriched(
             self.st.query_history(), self.cost_per_query()))
 
+    def bucketed(self, name: str, plan: Callable[[], DataFrame], key: str) -> DataFrame:
+        """An upstream table bucketed by ``key``; it stands for the table itself if that is not written yet."""
+        df = save_bucketed(self._memo[name] if name in self._memo else plan(), name, key)
+        self._memo.setdefault(name, df)
+        return df
+
     def access_history(self) -> DataFrame:
         return self._table_if_shared("stg_access_history", self.st.access_history)
 

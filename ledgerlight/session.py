@@ -27,6 +27,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
+# The codec of tables that a job writes for itself or keeps
+STORED = "zstd"
+
 # Performance settings: applied when we build the session ourselves.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -125,7 +128,7 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{name}_{uuid.uuid4().hex}"
-    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("compression", STORED)
      .option("path", shared_folder(spark, table)).saveAsTable(table))
     return spark.table(table)
 
@@ -141,5 +144,5 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     materializes these as tables."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", STORED).parquet(path)
     return spark.read.parquet(path)

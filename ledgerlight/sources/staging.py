@@ -16,8 +16,8 @@ RAW_OBJECTS_ARRAY = ("array<struct<objectId:string,objectName:string,objectDomai
                      "columns:array<struct<columnName:string>>>>")
 
 
-def first_query(log: DataFrame) -> DataFrame:
-    return first_per_key(log, ["query_id"], ["start_time", "end_time", "query_text"])
+def first_query(log: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    return first_per_key(log, ["query_id"], ["start_time", "end_time", "query_text"], repeated=repeated)
 
 
 class Staged:

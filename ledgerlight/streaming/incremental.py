@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.operators.fill import first_per_key
-from ledgerlight.session import checkpoint_dir, hadoop, remove_path
+from ledgerlight.session import STORED, checkpoint_dir, hadoop, remove_path
 from ledgerlight.streaming import partition_stats
 
 EPOCH = dt.datetime(1970, 1, 1)
@@ -118,7 +118,7 @@ def _write(spark: SparkSession, path: str, df: DataFrame, partition_col: str, mo
         new = partition_stats.compute(df, partition_col, *span)
         if old:
             partition_stats.save(spark, path, partition_stats.wider(old, new))
-    (_clustered(df, partition_col, cluster_by, keys).write.mode("overwrite")
+    (_clustered(df, partition_col, cluster_by, keys).write.mode("overwrite").option("compression", STORED)
      .option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
     _save_schema(spark, path, df.schema)
     gone = []
@@ -136,7 +136,7 @@ def _write(spark: SparkSession, path: str, df: DataFrame, partition_col: str, mo
 def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", STORED).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

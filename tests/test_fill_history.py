@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.fill import first_per_key, flag_latest, gap_fill, latest_per_key, pick_by_priority
+from ledgerlight.operators.fill import first_per_key, flag_latest, gap_fill, latest_per_key, pick_by_priority, repeated_keys
 from ledgerlight.operators.history import scd2
 from tests.conftest import ts
 
@@ -129,3 +129,15 @@ def test_first_per_key_dedup(spark):
                                 ("q2", ts("2024-01-01 00:00:05"))], "query_id string, start_time timestamp")
     got = sorted((r.query_id, r.start_time.second) for r in first_per_key(df, ["query_id"], ["start_time"]).collect())
     assert got == [("q1", 1), ("q2", 5)]
+
+
+def test_first_per_key_by_the_list_of_repeated_keys(spark):
+    rows = [("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z"), (None, 4, "v"), (None, 3, "w"), ("c", None, "u"), ("c", 1, "t"), ("d", 1, "s")]
+    df = spark.createDataFrame(rows, "k string, t int, tag string")
+    repeated = repeated_keys(df, ["k"])
+    assert sorted((r.k for r in repeated.collect()), key=str) == [None, "a", "c"]
+    got = first_per_key(df, ["k"], ["t"], repeated=repeated)
+    assert sorted(got.collect(), key=str) == sorted(first_per_key(df, ["k"], ["t"]).collect(), key=str)
+    assert got.columns == df.columns and got.count() == 5
+    none = first_per_key(df.where("k in ('b', 'd')"), ["k"], ["t"], repeated=repeated.where("k = 'b'").limit(0))
+    assert sorted(r.tag for r in none.collect()) == ["s", "z"]

@@ -154,3 +154,11 @@ def test_the_target_is_pruned_by_a_join(spark, tmp_path):
     # rows without a date survive an upsert of others
     upsert(spark, path, df.where("k = 'k3'"), ["k"], "date")
     assert read_target(spark, path).count() == 10
+
+
+def test_replaced_dates_are_stored_with_the_strong_codec(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_dates(spark, path, spark.createDataFrame([("q1", dt.date(2024, 1, 1))], "k string, d date"), "d")
+    names = [f.name for f in (tmp_path / "t").rglob("*.parquet")]
+    assert names and all(".zstd." in n for n in names)
+    assert read_target(spark, path).count() == 1

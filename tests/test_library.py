@@ -80,3 +80,34 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         assert joined.count() == 715
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def event_table(spark, path):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 9)
+    rows = [(i, t0 + dt.timedelta(minutes=7 * i), 1 + i % 3, ["view", "click", "purchase", "error", "signup"][i % 5], 20.0 + i,
+             f'{{"k": {i % 50}}}') for i in [*range(60), 7]]  # event 7 twice
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(f"{path}/events.parquet")
+
+
+def test_links_of_dbt_queries_are_made_without_writing_the_enriched_log(spark, tmp_path):
+    from ledgerlight.plans.registry import Context, load_all
+    event_table(spark, tmp_path)
+    ctx = Context(spark, str(tmp_path))
+    links = load_all()["dbt_queries_linked"].build(ctx)
+    assert not any("query_history_enriched" in f for f in links.inputFiles())
+    again = load_all()["dbt_queries_linked"].build(ctx)  # a second reader has it written
+    assert all("query_history_enriched" in f for f in again.inputFiles())
+    assert sorted(links.collect(), key=str) == sorted(again.collect(), key=str) and links.count() > 0
+
+
+def test_bucketed_log_and_cost_are_written_once(spark, tmp_path):
+    from ledgerlight.plans.registry import Context, load_all
+    event_table(spark, tmp_path)
+    ctx, plain = Context(spark, str(tmp_path)), Context(spark, str(tmp_path))
+    got = load_all()["query_history_enriched_bucketed"].build(ctx)
+    for table in (ctx.st.query_history(), ctx.cost_per_query()):  # what the cost and other queries read
+        assert set(table.inputFiles()) <= set(got.inputFiles())
+    text = lambda df: sorted(str(r) for r in df.collect())
+    assert text(got) == text(plain.query_history_enriched()) and got.count() > 0
