@@ -19,11 +19,11 @@ no blocks; other columns are not read.
 """
 from __future__ import annotations
 
-import os
 import re
 import struct
 import zlib
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +34,15 @@ from pyspark.sql import functions as F
 
 from ledgerlight.llm.common import by_bytes, partitions_for, pieces, ship, shared_path, texts_of
 from ledgerlight.llm.crc import crc_of_parts
+from ledgerlight.llm.memo import ByteLevel
 from ledgerlight.llm.units import UnitCache
 
 BLOCK = 65_536
 END_ID = 0
 MOST_UNITS = 900_000  # remembered by a worker
+WINDOW_BYTES = 2_000_000  # of texts encoded together
 MAGIC = b"BPL1"
+# Units one text at a time, for packing and alignment; ``units.py`` cuts whole columns.
 # Fixed value: Unicode's White_Space. The tokenizer's pattern never joins a character and the
 # white space after it, so a text falls into units there.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -55,23 +58,13 @@ COARSE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")  # for texts with what
 
 @cache
 def _cache(tokenizer_path: str) -> UnitCache:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(tokenizer_path)
-
-    def encode(units):
-        for i in range(0, len(units), 4096):
-            for e in tok.encode_batch_fast(units[i: i + 4096], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
-
-    return UnitCache(encode, MOST_UNITS)
+    return UnitCache(ByteLevel(tokenizer_path, special_as_text=False), MOST_UNITS)
 
 
 def encode_texts(texts: list[str], tokenizer_path: str) -> list[np.ndarray]:
     """Ids of each text, without an end id."""
-    units = [(COARSE if "<|" in t else UNIT).findall(t) for t in texts]
-    return [np.frombuffer(b, "<u4") for b in _cache(tokenizer_path).ids(units)]
+    ids, at = _cache(tokenizer_path).ids(pa.array(texts, pa.string()))
+    return [ids[i:j] for i, j in pairwise(at.tolist())]
 
 
 def pack_block(ids: np.ndarray, mode: str = "byte", level: int = 1) -> bytes:
@@ -159,10 +152,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, mode: str = "byte
 
     def run(batches):
         w = _Writer(TaskContext.get().partitionId(), block, mode)
-        for b in (x for y in by_bytes(batches, "text", 2_000_000) for x in pieces([y])):
+        for b in by_bytes(batches, "text", WINDOW_BYTES):
             out = []
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encode_texts(b.column("text").to_pylist(), tokenizer_path)):
-                out += w.add(doc_id, np.concatenate([ids, end]))
+            ids, at = _cache(tokenizer_path).ids(b.column("text"))
+            for doc_id, (i, j) in zip(b.column("doc_id").to_pylist(), pairwise(at.tolist())):
+                out += w.add(doc_id, np.concatenate([ids[i:j], end]))
             if out:
                 yield _batch(out)
         if w.fill:

@@ -61,19 +61,19 @@ class ByteLevel:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = special_as_text
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = special_as_text
         at = byte_of_char()
-        names = [self._tok.id_to_token(k) or "" for k in range(self._tok.get_vocab_size())]
+        names = [self.tok.id_to_token(k) or "" for k in range(self.tok.get_vocab_size())]
         self.spelled = [bytes(at[c] for c in s) if all(c in at for c in s) else s.encode() for s in names]
         self.length = np.array([len(x) for x in self.spelled], np.int64)
 
     def _alone(self, units: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._tok.encode_batch_fast(units, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
 
     def _joined(self, units: list[str]) -> list[bytes]:
         """Units that begin with the only white space they have: the tokenizer cuts before each."""
-        ids = np.array(self._tok.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.tok.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.cumsum(self.length[ids])
         want = np.cumsum([len(u.encode()) for u in units])
         cut = np.searchsorted(ends, want)
