@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from pathlib import Path
 
 import numpy as np
@@ -55,11 +56,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def batches_of(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs begun meanwhile hand rows to Python in batches that end at ``most`` bytes (one row at least)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
+def store(df: DataFrame, name: str, part_bytes: int | None = None) -> DataFrame:
     """Write a table into the shared folder and read it back: lineage is cut and the data
-    outlives any executor."""
+    outlives any executor. For tables of long rows ``part_bytes`` bounds what a task holds of them,
+    whatever its share of the table: Python gets batches, and files have row groups, of about so
+    many bytes (one row at least)."""
     path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    out = df.write.option("compression", "zstd")
+    if part_bytes:  # a row group's size is looked at after each row, not after 100 first
+        out = out.option("parquet.block.size", part_bytes).option("parquet.page.size.row.check.min", 1)
+    with batches_of(df.sparkSession, part_bytes) if part_bytes else nullcontext():
+        out.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

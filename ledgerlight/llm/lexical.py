@@ -2,7 +2,8 @@
 
 Documents are indexed in blocks of at most BLOCK_DOCS texts, like lengths together: a block holds its
 own vocabulary with postings (document, times). Counts over all documents (N, L, df) come from
-the blocks' small columns; an item's term without postings anywhere is dropped.
+the blocks' small columns; an item's term without postings anywhere is dropped. Tasks get texts and
+blocks in parts of about WINDOW_BYTES, however long their splits are.
 
 Items meet the blocks in groups of about GROUP_TERMS terms, one group sent out at a time, so that
 what a task holds of them has a bound. In a block the documents of an item are grouped by
@@ -24,7 +25,9 @@ rows; other columns are not read. Equal scores: ascending doc_id.
 """
 from __future__ import annotations
 
+import itertools
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ from ledgerlight.llm.common import by_bytes, pieces, store, texts_of
 
 K = 20
 BLOCK_DOCS = 512
-WINDOW_BYTES = 4_000_000   # texts that are sorted by length before they are cut into blocks
+WINDOW_BYTES = 4_000_000   # texts sorted by length before they are cut into blocks; texts or index that a task holds at once
 GROUP_TERMS = 500_000
 CELLS = 4_000_000          # of a block's table of documents x terms
 # Fixed value: every byte that is no ASCII letter or digit and not beyond ASCII is a gap; A-Z become a-z
@@ -56,36 +59,44 @@ _INDEX_TYPES = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64(
 _INDEX_NAMES = ["n_docs", "n_terms", "doc_id", "n", "terms", "df", "rows", "tf"]
 
 
-def _block(docs: list[tuple[int, int | None, Counter]]) -> pa.RecordBatch:
-    """One index row from (number of terms, doc_id, terms)."""
-    number: defaultdict[bytes, int] = defaultdict()
-    number.default_factory = number.__len__
-    term = [np.fromiter(map(number.__getitem__, c), np.int64, len(c)) for _, _, c in docs]
-    row = np.repeat(np.arange(len(docs)), [len(t) for t in term])
-    tf = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for _, _, c in docs])
-    term = np.concatenate(term)
+def _block(docs: list[tuple[int, int | None, np.ndarray, np.ndarray]], names: np.ndarray) -> pa.RecordBatch:
+    """One index row from (number of terms, doc_id, distinct terms as places in ``names``, times)."""
+    term = np.concatenate([t for _, _, t, _ in docs])
+    row = np.repeat(np.arange(len(docs)), [len(t) for _, _, t, _ in docs])
+    tf = np.concatenate([x for _, _, _, x in docs])
     order = np.argsort(term, kind="stable")
-    n = [x for x, _, _ in docs]
-    values = [len(docs), sum(n), [d for _, d, _ in docs], n, [t.decode("utf-8", "replace") for t in number],
-              np.bincount(term, minlength=len(number)), row[order], tf[order]]
+    held, df = np.unique(term, return_counts=True)
+    n = [x for x, _, _, _ in docs]
+    values = [len(docs), sum(n), [d for _, d, _, _ in docs], n, [t.decode("utf-8", "replace") for t in names[held]],
+              df, row[order], tf[order]]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _INDEX_TYPES)], _INDEX_NAMES)
 
 
+def index_rows(batches: Iterator[pa.RecordBatch], block_docs: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of (doc_id, text); nothing of a window is kept when the next begins."""
+    for b in (x for y in by_bytes(batches, "text", WINDOW_BYTES) for x in pieces([y], 4 * block_docs)):
+        docs = []
+        # A factory that is a method of the dict would make a cycle, which stays until garbage is collected
+        number: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+        for doc_id, raw in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+            found = terms_of(raw)
+            if found:
+                c = Counter(found)
+                docs.append((len(found), doc_id, np.fromiter(map(number.__getitem__, c), np.int32, len(c)),
+                             np.fromiter(c.values(), np.int32, len(c))))
+        names = np.fromiter(number, object, len(number))
+        docs.sort(key=lambda d: d[0])
+        for i in range(0, len(docs), block_docs):
+            yield _block(docs[i: i + block_docs], names)
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_docs: int = BLOCK_DOCS) -> DataFrame:
     """The index of all texts, written to the shared folder: one row for each block."""
 
     def run(batches):
-        for b in (x for y in by_bytes(batches, "text", WINDOW_BYTES) for x in pieces([y], 4 * block_docs)):
-            docs = []
-            for doc_id, raw in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
-                found = terms_of(raw)
-                if found:
-                    docs.append((len(found), doc_id, Counter(found)))
-            docs.sort(key=lambda d: d[0])
-            for i in range(0, len(docs), block_docs):
-                yield _block(docs[i: i + block_docs])
+        return index_rows(batches, block_docs)
 
-    return store(texts_of(docs, id_col, text_col).mapInArrow(run, INDEX), "lexical-index")
+    return store(texts_of(docs, id_col, text_col).mapInArrow(run, INDEX), "lexical-index", WINDOW_BYTES)
 
 
 def weighted_terms(index: DataFrame, items: DataFrame, n_docs: int, item_col: str = "item_id",
@@ -105,7 +116,7 @@ def weighted_terms(index: DataFrame, items: DataFrame, n_docs: int, item_col: st
                                              ["uid", "item_id", "term", "times"])
 
     asked = store(texts_of(items, item_col, text_col).withColumn("uid", F.monotonically_increasing_id())
-                  .mapInArrow(run, "uid long, item_id long, term string, times long"), "lexical-items")
+                  .mapInArrow(run, "uid long, item_id long, term string, times long"), "lexical-items", WINDOW_BYTES)
     held = index.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).select(F.col("x.terms").alias("term"), F.col("x.df").alias("df"))
     df = held.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2.0) / (2.0 * F.col("df") + 1.0))).cast("long")
@@ -253,7 +264,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
     found = None
     for g in range(n):
         group = asked if n == 1 else asked.where(F.pmod(F.xxhash64("uid"), F.lit(n)) == g)
-        part = store(_search(index, group, total.d, total.t, k), "lexical-found")
+        part = store(_search(index, group, total.d, total.t, k), "lexical-found", WINDOW_BYTES)
         found = part if found is None else found.unionByName(part)
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
     salt = F.pmod(F.xxhash64("doc_id", "score"), F.lit(64))  # an item's rows, k for each task, are thinned in 64 parts first

@@ -1,13 +1,18 @@
+import gc
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerlight.llm import lexical
+from ledgerlight.llm.common import store
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -92,3 +97,37 @@ def test_empty_tables(spark, docs_of):
     assert rows(lexical.search(docs_of([]), bench)) == []
     assert rows(lexical.search(docs_of([(1, "a")]), bench.limit(0))) == []
     assert rows(lexical.search(docs_of([(1, None)]), bench)) == []
+
+
+def test_a_task_holds_a_bounded_part_of_texts_and_index(spark, docs_of, monkeypatch):
+    most, key = 20_000, "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key)
+    monkeypatch.setattr(lexical, "WINDOW_BYTES", most)
+    index = lexical.build_index(docs_of(list(enumerate(texts(3, 600, 3000, 400)))).coalesce(1), block_docs=16)
+    groups = [m.row_group(i).total_byte_size for f in index.inputFiles()
+              for m in [pq.ParquetFile(f.removeprefix("file:")).metadata] for i in range(m.num_row_groups)]
+    assert len(groups) > 10 and max(groups) < 2 * most
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"])
+
+    got = store(index.coalesce(1).mapInArrow(sizes, "rows long, bytes long"), "sizes", most).collect()
+    assert sum(r.rows for r in got) == index.count() and len(got) > 10
+    assert max(r.bytes for r in got) < 3 * most  # a batch ends with the row that fills it
+    assert spark.conf.get(key) == was
+
+
+def test_building_blocks_keeps_nothing_of_those_before():
+    docs = texts(4, 3000, 5000, 120)
+    batches = (pa.RecordBatch.from_arrays([pa.array(range(i, i + 50)), pa.array(docs[i: i + 50])], ["doc_id", "text"])
+               for i in range(0, len(docs), 50))
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        held = [tracemalloc.get_traced_memory()[0] for _ in lexical.index_rows(batches, 512)]
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert len(held) == 60 and max(held) - held[0] < 500_000
